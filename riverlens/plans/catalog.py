@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riverlens.plans import history, ingest, labelling, profile  # noqa: F401
+from riverlens.plans import history, ingest, labelling, profile, rules  # noqa: F401
 from riverlens.plans.registry import ORACLES, QUERIES, SURVEY_IDS
 
 __all__ = ["QUERIES", "ORACLES", "SURVEY_IDS"]
