@@ -54,9 +54,9 @@ def _rule_rows(rules, columns: Sequence[str]):
     return rows
 
 
-def findings_array(columns: Sequence[str], rules=dims.RULES, label: str | None = "wqi_class") -> Column:
-    """Elevated findings of one row as array<struct> (RUL-1 + RUL-2)."""
-    items = []
+def _finding_parts(columns: Sequence[str], rules, label: str | None):
+    """Per-rule (abnormal, struct-without-priority, base) scalar expressions."""
+    parts = []
     for i, r in enumerate(_rule_rows(rules, columns)):
         v = F.nanvl(F.col(r["column"]).cast("double"), F.lit(None).cast("double"))
         limit = float(r["limit"])
@@ -68,51 +68,74 @@ def findings_array(columns: Sequence[str], rules=dims.RULES, label: str | None =
             abnormal = v > limit
             crit_v = float(crit) if crit is not None else 2.0 * limit
             critical = v > crit_v
+        critical = F.coalesce(critical, F.lit(False))
         base = F.when(critical, F.lit(r["critical_priority"])).otherwise(F.lit(r["base_priority"]))
-        items.append(F.when(F.coalesce(abnormal, F.lit(False)), F.struct(
-            F.lit(i).alias("rule_order"), F.lit(r["parameter"]).alias("parameter"),
-            F.lit(r["kind"]).alias("kind"), v.alias("value"), F.lit(limit).alias("limit"),
-            F.coalesce(critical, F.lit(False)).alias("is_critical"), base.alias("base"))))
-    if not items:
-        return F.array().cast("array<struct<rule_order:int,parameter:string,kind:string,value:double,"
-                              "limit:double,is_critical:boolean,base:string,priority:string>>")
-    raw = F.filter(F.array(*items), lambda x: x.isNotNull())
-    n = F.size(raw)
-    poor = F.col(label).isin(*dims.POOR_CLASSES) if label else F.lit(False)
-    poor = F.coalesce(poor, F.lit(False))
-    return F.transform(raw, lambda x: x.withField(
-        "priority",
-        F.when(n >= 2, F.lit("High"))
-         .when(poor & (x["base"] == "Medium"), F.lit("High"))
-         .otherwise(x["base"])))
-
-
-def overall_priority(findings: Column, label: str | None = "wqi_class") -> Column:
-    """RUL-3: None / High / Medium / Low from a row's elevated findings."""
-    n = F.size(findings)
-    pr = F.transform(findings, lambda x: x["priority"])
-    poor = F.coalesce(F.col(label).isin(*dims.POOR_CLASSES), F.lit(False)) if label else F.lit(False)
-    return (F.when(n == 0, "None")
-             .when(F.array_contains(pr, "High"), "High")
-             .when(n >= 2, "High")
-             .when(poor, "High")
-             .when(F.array_contains(pr, "Medium"), "Medium")
-             .otherwise("Low"))
+        parts.append((F.coalesce(abnormal, F.lit(False)), i, r, v, limit, critical, base))
+    return parts
+
+
+PRIORITY_CODE = {"Low": 1, "Medium": 2, "High": 3}
+PRIORITY_NAMES = ("Low", "Medium", "High")
 
 
 def with_findings(df: DataFrame, columns: Sequence[str], rules=dims.RULES,
                   label: str | None = "wqi_class") -> DataFrame:
-    """Append ``findings``, ``n_evaluated``, ``n_abnormal`` and ``overall_priority`` (RUL-4)."""
-    f = findings_array(columns, rules, label)
-    return (df.withColumn("findings", f)
-              .withColumn("n_evaluated", F.lit(len([c for c in columns if c in df.columns])))
-              .withColumn("n_abnormal", F.size("findings"))
-              .withColumn("overall_priority", overall_priority(F.col("findings"), label)))
+    """RUL-1..4: per-rule priority codes ``_p<i>`` (0 = normal, 1..3 = Low..High
+    after elevation), finding structs ``_f<i>`` (null when normal), ``findings``
+    (compacted array), ``n_evaluated``, ``n_abnormal`` and ``overall_priority``.
+
+    Each step is a separate projection over small integer codes, so no
+    expression is repeated inside another and the generated code stays
+    small enough for the JIT (whole-stage codegen).
+    """
+    parts = _finding_parts(columns, rules, label)
+    n = sum((F.when(a, 1).otherwise(0) for a, *_ in parts), F.lit(0))
+    poor = F.coalesce(F.col(label).isin(*dims.POOR_CLASSES), F.lit(False)) if label else F.lit(False)
+    df = df.withColumns({"n_abnormal": n.cast("int"), "_poor": poor,
+                         "n_evaluated": F.lit(len([c for c in columns if c in df.columns]))})
+    cnt = F.col("n_abnormal")
+    codes = {}
+    for abnormal, i, r, v, limit, critical, base in parts:
+        base_code = F.when(critical, F.lit(PRIORITY_CODE[r["critical_priority"]])).otherwise(
+            F.lit(PRIORITY_CODE[r["base_priority"]]))
+        codes[f"_b{i}"] = F.when(abnormal, base_code).otherwise(F.lit(0))
+    df = df.withColumns(codes)
+    prio = {}
+    for abnormal, i, *_ in parts:
+        b = F.col(f"_b{i}")
+        prio[f"_p{i}"] = (F.when(b == 0, F.lit(0)).when(cnt >= 2, F.lit(3))
+                           .when(F.col("_poor") & (b == 2), F.lit(3)).otherwise(b))
+    df = df.withColumns(prio)
+    top = F.greatest(*[F.col(c) for c in prio], F.lit(0)) if prio else F.lit(0)
+    df = df.withColumn("_top", top)
+    overall = (F.when(cnt == 0, "None").when(F.col("_top") == 3, "High").when(cnt >= 2, "High")
+                .when(F.col("_poor"), "High").when(F.col("_top") == 2, "Medium").otherwise("Low"))
+    fcols = {}
+    for abnormal, i, r, v, limit, critical, base in parts:
+        p = F.col(f"_p{i}")
+        fcols[f"_f{i}"] = F.when(p > 0, F.struct(
+            F.lit(i).alias("rule_order"), F.lit(r["parameter"]).alias("parameter"),
+            F.lit(r["kind"]).alias("kind"), v.alias("value"), F.lit(limit).alias("limit"),
+            (F.col(f"_b{i}") == PRIORITY_CODE[r["critical_priority"]]).alias("is_critical")
+            if r["critical_priority"] != r["base_priority"] else critical.alias("is_critical"),
+            F.element_at(F.array(*[F.lit(x) for x in PRIORITY_NAMES]), F.col(f"_b{i}")).alias("base"),
+            F.element_at(F.array(*[F.lit(x) for x in PRIORITY_NAMES]), p).alias("priority")))
+    df = df.withColumn("overall_priority", overall).withColumns(fcols)
+    names = list(fcols)
+    arr = F.array(*[F.col(c) for c in names]) if names else F.array()
+    return (df.withColumn("findings", F.filter(arr, lambda x: x.isNotNull()))
+              .drop("_poor", "_top", *codes, *prio))
+
+
+def finding_columns(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c.startswith("_f") and c[2:].isdigit()]
 
 
 def findings_long(df: DataFrame, keys: Sequence[str] = ("obs_id",)) -> DataFrame:
-    """One row per finding (explode of the in-row array)."""
-    return df.select(*keys, "n_abnormal", F.inline("findings"))
+    """One row per finding: explode of the per-rule columns, nulls dropped (no HOF)."""
+    cols = finding_columns(df)
+    return (df.select(*keys, "n_abnormal", F.explode(F.array(*[F.col(c) for c in cols])).alias("_x"))
+              .where(F.col("_x").isNotNull()).select(*keys, "n_abnormal", "_x.*"))
 
 
 def unique_by_parameter(findings: Column) -> Column:

@@ -28,6 +28,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("RIVERLENS_DRIVER_MEMORY", "8g"))
+        .config("spark.sql.codegen.hugeMethodLimit", os.environ.get("RIVERLENS_HUGE_METHOD_LIMIT", "65535"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
