@@ -40,29 +40,52 @@ def present_parameters(columns: Iterable[str]) -> list[IndexParameter]:
     return [p for p in dims.INDEX_PARAMETERS if p.column in cols]
 
 
-def score_columns(params: Sequence[IndexParameter],
-                  min_parameters: int = dims.MIN_PARAMETERS) -> tuple[Column, Column]:
-    """(n_params, wqi_score) for the given parameter columns.
+def compensated_sum(terms: Sequence[Column]) -> Column:
+    """Sum of ``terms`` with Neumaier compensation, as one ``aggregate`` fold.
+
+    This is the float summation of Python 3.12+ ``sum`` (the reference's
+    arithmetic): an exactly-at-limit sample scores 99.99999999999997, not
+    100.00000000000001, and keeps its class.  The running (sum, carry) pair
+    is a lambda accumulator, so the optimizer can inline the score into
+    filters and aggregates without duplicating any sub-expression.
+    """
+    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("c"))
+
+    def step(acc, x):
+        t = acc["s"] + x
+        comp = F.when(F.abs(acc["s"]) >= F.abs(x), (acc["s"] - t) + x).otherwise((x - t) + acc["s"])
+        return F.struct(t.alias("s"), (acc["c"] + comp).alias("c"))
+
+    def finish(acc):
+        c = acc["c"]
+        ok = (c != 0.0) & ~F.isnan(c) & (F.abs(c) != float("inf"))
+        return F.when(ok, acc["s"] + c).otherwise(acc["s"])
+
+    return F.aggregate(F.array(*terms), zero, step, finish)
+
+
+def with_score(df: DataFrame, params: Sequence[IndexParameter],
+               min_parameters: int = dims.MIN_PARAMETERS) -> DataFrame:
+    """Append n_params and wqi_score for the given parameter columns.
 
     Weights are redistributed over the parameters present in each row; rows
     with fewer than ``min_parameters`` usable values score null.
     """
     if not params:
-        return F.lit(0).cast("int"), F.lit(None).cast("double")
+        return df.withColumns({"n_params": F.lit(0).cast("int"), "wqi_score": F.lit(None).cast("double")})
     n = None
-    wq = None
-    w = None
+    wq_terms, w_terms = [], []
     for p in params:
         v = usable(F.col(p.column))
         weight = 1.0 / p.limit
         n_i = F.when(v.isNotNull(), 1).otherwise(0)
-        wq_i = F.coalesce(sub_index(p, v) * weight, F.lit(0.0))
-        w_i = F.when(v.isNotNull(), F.lit(weight)).otherwise(F.lit(0.0))
         n = n_i if n is None else n + n_i
-        wq = wq_i if wq is None else wq + wq_i
-        w = w_i if w is None else w + w_i
-    score = F.when((n >= min_parameters) & (w > 0.0), wq / w)
-    return n.cast("int"), score
+        wq_terms.append(F.coalesce(sub_index(p, v) * weight, F.lit(0.0)))
+        w_terms.append(F.when(v.isNotNull(), F.lit(weight)).otherwise(F.lit(0.0)))
+    df = df.withColumns({"n_params": n.cast("int"), "_wq": compensated_sum(wq_terms),
+                         "_w": compensated_sum(w_terms)})
+    score = F.when((F.col("n_params") >= min_parameters) & (F.col("_w") > 0.0), F.col("_wq") / F.col("_w"))
+    return df.withColumn("wqi_score", score).drop("_wq", "_w")
 
 
 def class_label(score: Column, classes=dims.CLASSES) -> Column:
@@ -86,8 +109,7 @@ def potability(score: Column) -> Column:
 def with_index(df: DataFrame, min_parameters: int = dims.MIN_PARAMETERS,
                classes=dims.CLASSES) -> DataFrame:
     """Append n_params, wqi_score, wqi_class and potability."""
-    n, score = score_columns(present_parameters(df.columns), min_parameters)
-    return (df.withColumns({"n_params": n, "wqi_score": score})
+    return (with_score(df, present_parameters(df.columns), min_parameters)
               .withColumns({"wqi_class": class_label(F.col("wqi_score"), classes),
                             "potability": potability(F.col("wqi_score"))}))
 

@@ -64,21 +64,37 @@ def sub_index_sql(p: dims.IndexParameter, v: str) -> str:
     return f"(abs({v} - {d(p.ideal)}) / ({d(p.limit)} - {d(p.ideal)}) * {d(100.0)})"
 
 
-def index_select(columns, prefix: str = "") -> str:
-    """SQL select items n_params, wqi_score for the present index columns."""
+def _neumaier_ctes(src: str, terms: list[str], out: str, tmp: str, name: str) -> tuple[str, str]:
+    """CTE chain computing ``out`` = compensated (Neumaier) sum of ``terms``."""
+    ctes = [f"{name}0 AS (SELECT *, {d(0.0)} AS {tmp}_s, {d(0.0)} AS {tmp}_c FROM {src})"]
+    for i, x in enumerate(terms):
+        s, c = f"{tmp}_s", f"{tmp}_c"
+        ctes.append(
+            f"{name}{i + 1} AS (SELECT * EXCLUDE ({s}, {c}), {s} + ({x}) AS {s}, {c} + CASE WHEN abs({s}) >= abs({x}) "
+            f"THEN ({s} - ({s} + ({x}))) + ({x}) ELSE (({x}) - ({s} + ({x}))) + {s} END AS {c} "
+            f"FROM {name}{i})")
+    last = f"{name}{len(terms)}"
+    ctes.append(f"{name}_out AS (SELECT * EXCLUDE ({tmp}_s, {tmp}_c), CASE WHEN {tmp}_c <> 0 AND isfinite({tmp}_c) "
+                f"THEN {tmp}_s + {tmp}_c ELSE {tmp}_s END AS {out} FROM {last})")
+    return ", ".join(ctes), f"{name}_out"
+
+
+def index_ctes(src: str, columns, name: str = "_idx") -> tuple[str, str]:
+    """CTE chain adding n_params and wqi_score to ``src``; returns (sql, final cte)."""
     params = [p for p in dims.INDEX_PARAMETERS if p.column in set(columns)]
     n_terms, wq_terms, w_terms = [], [], []
     for p in params:
-        v = f"{prefix}{p.column}"
+        v = p.column
         w = d(1.0 / p.limit)
         n_terms.append(f"(CASE WHEN {v} IS NOT NULL THEN 1 ELSE 0 END)")
         wq_terms.append(f"coalesce({sub_index_sql(p, v)} * {w}, {d(0.0)})")
         w_terms.append(f"(CASE WHEN {v} IS NOT NULL THEN {w} ELSE {d(0.0)} END)")
-    n = " + ".join(n_terms)
-    wq = " + ".join(wq_terms)
-    w = " + ".join(w_terms)
-    return (f"CAST({n} AS INTEGER) AS n_params, "
-            f"CASE WHEN ({n}) >= {dims.MIN_PARAMETERS} AND ({w}) > 0 THEN ({wq}) / ({w}) END AS wqi_score")
+    base = f"{name}_n AS (SELECT *, CAST({' + '.join(n_terms)} AS INTEGER) AS n_params FROM {src})"
+    a_sql, a_out = _neumaier_ctes(f"{name}_n", wq_terms, "_wq", "_a", f"{name}_a")
+    b_sql, b_out = _neumaier_ctes(a_out, w_terms, "_w", "_b", f"{name}_b")
+    fin = (f"{name} AS (SELECT * EXCLUDE (_wq, _w), CASE WHEN n_params >= {dims.MIN_PARAMETERS} AND _w > 0 "
+           f"THEN _wq / _w END AS wqi_score FROM {b_out})")
+    return ", ".join([base, a_sql, b_sql, fin]), name
 
 
 def class_sql(score: str) -> str:
@@ -99,7 +115,8 @@ def potability_sql(score: str) -> str:
 def scored_cte(name: str = "scored", src: str = "obs", with_coordinates: bool = False) -> str:
     """obs CTE followed by a CTE adding n_params, wqi_score, wqi_class, potability."""
     cols = ["ph", "do_mgl", "bod_mgl", "fc"]
-    return (f"{obs_cte(with_coordinates)}, _idx AS (SELECT *, {index_select(cols)} FROM {src}), "
+    idx_sql, idx = index_ctes(src, cols)
+    return (f"{obs_cte(with_coordinates)}, {idx_sql}, "
             f"{name} AS (SELECT *, {class_sql('wqi_score')} AS wqi_class, "
             f"{potability_sql('wqi_score')} AS potability FROM _idx)")
 

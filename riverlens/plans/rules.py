@@ -10,7 +10,7 @@ from riverlens.operators import labelling as L
 from riverlens.operators import rules as RU
 from riverlens.plans.ingest import JOINED_SQL, joined_table
 from riverlens.plans.labelling import scored_observations
-from riverlens.plans.oracle import class_sql, d, index_select, scored_cte
+from riverlens.plans.oracle import class_sql, d, index_ctes, scored_cte
 from riverlens.plans.registry import register
 from riverlens.sources.feeds import thresholds_frame
 
@@ -58,7 +58,8 @@ def _elevated_sql(src, cols, keys):
             f"WHEN coalesce(wqi_class IN ({POOR}), false) AND base = 'Medium' THEN 'High' ELSE base END AS priority FROM el)")
 
 
-_FEED_SCORED = (f"{JOINED_SQL}, fs0 AS (SELECT *, {index_select(('ph', 'do_mgl', 'bod_mgl', 'ec', 'turbidity', 'fc', 'nitrate_n'))} FROM joined), "
+_FEED_IDX, _ = index_ctes("joined", ('ph', 'do_mgl', 'bod_mgl', 'ec', 'turbidity', 'fc', 'nitrate_n'), "fs0")
+_FEED_SCORED = (f"{JOINED_SQL}, {_FEED_IDX}, "
                 f"fs AS (SELECT *, {class_sql('wqi_score')} AS wqi_class, CASE WHEN fc IS NOT NULL THEN "
                 f"log10(greatest(fc, {d(1.0)})) END AS log10_fc FROM fs0)")
 
