@@ -65,14 +65,15 @@ def compensated_sum(terms: Sequence[Column]) -> Column:
 
 
 def with_score(df: DataFrame, params: Sequence[IndexParameter],
-               min_parameters: int = dims.MIN_PARAMETERS) -> DataFrame:
+               min_parameters: int = dims.MIN_PARAMETERS, n_name: str = "n_params",
+               score_name: str = "wqi_score") -> DataFrame:
     """Append n_params and wqi_score for the given parameter columns.
 
     Weights are redistributed over the parameters present in each row; rows
     with fewer than ``min_parameters`` usable values score null.
     """
     if not params:
-        return df.withColumns({"n_params": F.lit(0).cast("int"), "wqi_score": F.lit(None).cast("double")})
+        return df.withColumns({n_name: F.lit(0).cast("int"), score_name: F.lit(None).cast("double")})
     n = None
     wq_terms, w_terms = [], []
     for p in params:
@@ -82,10 +83,10 @@ def with_score(df: DataFrame, params: Sequence[IndexParameter],
         n = n_i if n is None else n + n_i
         wq_terms.append(F.coalesce(sub_index(p, v) * weight, F.lit(0.0)))
         w_terms.append(F.when(v.isNotNull(), F.lit(weight)).otherwise(F.lit(0.0)))
-    df = df.withColumns({"n_params": n.cast("int"), "_wq": compensated_sum(wq_terms),
+    df = df.withColumns({n_name: n.cast("int"), "_wq": compensated_sum(wq_terms),
                          "_w": compensated_sum(w_terms)})
-    score = F.when((F.col("n_params") >= min_parameters) & (F.col("_w") > 0.0), F.col("_wq") / F.col("_w"))
-    return df.withColumn("wqi_score", score).drop("_wq", "_w")
+    score = F.when((F.col(n_name) >= min_parameters) & (F.col("_w") > 0.0), F.col("_wq") / F.col("_w"))
+    return df.withColumn(score_name, score).drop("_wq", "_w")
 
 
 def class_label(score: Column, classes=dims.CLASSES) -> Column:
