@@ -3,16 +3,18 @@
 ``percentile`` in Spark keeps a map of every distinct value of a group in
 one aggregation buffer, and a window ordered over a whole column runs in
 one task.  Both break when a column has billions of distinct values or one
-group holds a third of the rows.  The primitives here compute exact
-cumulative counts over distinct values with range partitioning:
+group holds a third of the rows.  ``ranked_values`` computes exact
+cumulative counts over distinct values instead:
 
 1. ``groupBy(keys, value).count()``: partial aggregation collapses
    duplicates map-side, so the shuffle carries distinct values only.
-2. ``repartitionByRange`` on ``(keys, value)`` spreads the distinct values
-   over tasks (sampled bounds, so a hot group still splits across many
-   partitions); each task computes local prefix sums with pandas.
-3. One row per (partition, group) gives the per-partition totals; a window
-   over that small table turns them into offsets, joined back.
+2. Each distinct value gets a bucket: equal width on a signed-log scale
+   between its group's min and max (a pure function of the data, so any
+   re-evaluation of any branch gives the same layout), ``NUM_BUCKETS`` per
+   group.  A hot group is spread over thousands of window partitions.
+3. Prefix sums run per (group, bucket) in a window; bucket totals (at most
+   groups x buckets rows) become offsets through a window over that small
+   table, broadcast back.
 
 The result gives for every distinct value its count and the number of
 values strictly below it in its group: enough for exact linear-interpolated
@@ -23,65 +25,42 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-
-def _local_prefix(keys: list[str], value: str):
-    def run(batches):
-        frames = [b for b in batches if len(b)]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        pdf = pdf.sort_values(keys + [value], kind="mergesort", ignore_index=True)
-        if keys:
-            grp = pdf.groupby(keys, sort=False, dropna=False)
-            cum = grp["cnt"].cumsum()
-            anchor = grp[value].transform("first")
-        else:
-            cum = pdf["cnt"].cumsum()
-            anchor = pd.Series(pdf[value].iloc[0], index=pdf.index)
-        pdf["local_before"] = (cum - pdf["cnt"]).astype("int64")
-        pdf["anchor"] = anchor.astype("float64")
-        yield pdf
-    return run
+
+NUM_BUCKETS = 4096
 
 
 def ranked_values(df: DataFrame, value: str, keys: Sequence[str] = (),
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_buckets: int = NUM_BUCKETS) -> DataFrame:
     """Distinct non-null values per group with exact cumulative counts.
 
     Returns ``keys..., value, cnt, before, n`` where ``before`` is the number
     of rows in the group with a smaller value and ``n`` the group size.
     """
     keys = list(keys)
+    gk = keys or ["_all"]
     v = F.col(value).cast("double")
-    base = (df.select(*keys, v.alias(value))
-              .where(F.col(value).isNotNull() & ~F.isnan(F.col(value))))
-    counts = base.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("cnt"))
-    spark = df.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = counts.repartitionByRange(parts, *keys, value).sortWithinPartitions(*keys, value)
-    schema = T.StructType(
-        [f for f in counts.schema.fields]
-        + [T.StructField("local_before", T.LongType()), T.StructField("anchor", T.DoubleType())]
-    )
-    local = ranged.mapInPandas(_local_prefix(keys, value), schema)
-    totals = local.groupBy(*keys, "anchor").agg(F.sum("cnt").alias("part_total"))
-    w_before = (Window.partitionBy(*keys).orderBy("anchor")
-                .rowsBetween(Window.unboundedPreceding, -1)) if keys else (
-        Window.orderBy("anchor").rowsBetween(Window.unboundedPreceding, -1))
-    w_all = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    offsets = totals.select(
-        *keys, "anchor",
-        F.coalesce(F.sum("part_total").over(w_before), F.lit(0)).cast("long").alias("offset"),
-        F.sum("part_total").over(w_all).cast("long").alias("n"),
-    )
-    return (local.join(offsets, [*keys, "anchor"], "inner")
-                 .select(*keys, value, "cnt",
-                         (F.col("offset") + F.col("local_before")).alias("before"), "n"))
+    base = df.select(*keys, v.alias(value)).where(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
+    if not keys:
+        base = base.withColumn("_all", F.lit(0))
+    counts = base.groupBy(*gk, value).agg(F.count(F.lit(1)).alias("cnt"))
+    t = F.signum(F.col(value)) * F.log1p(F.abs(F.col(value)))
+    rng = counts.groupBy(*gk).agg(F.min(t).alias("_lo"), F.max(t).alias("_hi"))   # one row per group
+    width = F.col("_hi") - F.col("_lo")
+    raw_b = F.floor((t - F.col("_lo")) / width * num_buckets)
+    bucket = F.when(width > 0, F.least(F.lit(num_buckets - 1), F.coalesce(raw_b, F.lit(num_buckets - 1))))
+    withb = (counts.join(F.broadcast(rng), gk)
+                   .withColumn("_b", F.coalesce(bucket, F.lit(0)).cast("int")).drop("_lo", "_hi"))
+    totals = withb.groupBy(*gk, "_b").agg(F.sum("cnt").alias("_bt"))             # <= groups x buckets rows
+    w_before = Window.partitionBy(*gk).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*gk, "_b",
+                            F.coalesce(F.sum("_bt").over(w_before), F.lit(0)).cast("long").alias("_off"),
+                            F.sum("_bt").over(Window.partitionBy(*gk)).cast("long").alias("n"))
+    w_in = Window.partitionBy(*gk, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    local = withb.withColumn("_lb", F.coalesce(F.sum("cnt").over(w_in), F.lit(0)))
+    return (local.join(F.broadcast(offsets), [*gk, "_b"])
+                 .select(*keys, value, "cnt", (F.col("_off") + F.col("_lb")).cast("long").alias("before"), "n"))
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riverlens.plans import evaluation, history, ingest, labelling, profile, rules, scoring, training  # noqa: F401
+from riverlens.plans import evaluation, history, ingest, labelling, models, profile, rules, scoring, training  # noqa: F401
 from riverlens.plans.registry import ORACLES, QUERIES, SURVEY_IDS
 
 __all__ = ["QUERIES", "ORACLES", "SURVEY_IDS"]

@@ -27,7 +27,7 @@ def test_ranks_are_partition_independent(spark):
     pdf = pd.DataFrame({"v": [5.0, 1.0, 1.0, 3.0, 3.0, 3.0, 9.0]})
     for parts in (1, 3, 8):
         df = spark.createDataFrame(pdf).repartition(parts)
-        got = sorted((r["v"], r["cnt"], r["before"]) for r in ranked_values(df, "v", num_partitions=parts).collect())
+        got = sorted((r["v"], r["cnt"], r["before"]) for r in ranked_values(df, "v", num_buckets=parts).collect())
         assert got == [(1.0, 2, 0), (3.0, 3, 2), (5.0, 1, 5), (9.0, 1, 6)]
 
 
