@@ -145,31 +145,38 @@ def unique_by_parameter(findings: Column) -> Column:
         lambda y: y["parameter"] == x["parameter"]))
 
 
+_SEP = "\u001f"
+
+
 def _action_map(rules) -> Column:
+    """Literal map (parameter|kind|priority) -> encoded "parameter<SEP>priority<SEP>text" actions."""
     pairs = []
     for r in rules:
-        key = f"{r[0]}|{r[2]}"
         texts = ACTIONS.get((r[0], r[2]), ("Review the measurement and resample",))
-        pairs += [F.lit(key), F.array(*[F.lit(t) for t in texts])]
+        for prio in PRIORITY_NAMES:
+            pairs += [F.lit(f"{r[0]}|{r[2]}|{prio}"),
+                      F.array(*[F.lit(f"{r[0]}{_SEP}{prio}{_SEP}{t}") for t in texts])]
     return F.create_map(*pairs)
 
 
-def action_items(df: DataFrame, keys: Sequence[str] = ("obs_id",), rules=dims.RULES,
-                 findings: str = "findings") -> DataFrame:
+def action_items(df: DataFrame, keys: Sequence[str] = ("obs_id",), rules=dims.RULES) -> DataFrame:
     """SET-4 / RUL-5 level 3: ordered, de-duplicated (parameter, priority, text) actions.
 
-    The findings order (attribution order first when present, then rule
-    order) is kept; ``array_distinct`` keeps first occurrences.  Texts come
-    from a literal map keyed by rule: no join.
+    Findings are taken in rule order; each finding's actions come from a
+    literal map keyed by (parameter, kind, priority); ``concat`` +
+    ``array_distinct`` (first occurrence kept) + ``posexplode`` are all
+    code-generated array operations: no lambda, no join, no shuffle.
     """
     amap = _action_map(rules)
-    items = F.flatten(F.transform(F.col(findings), lambda x: F.transform(
-        F.element_at(amap, F.concat_ws("|", x["parameter"], x["kind"])),
-        lambda t: F.struct(x["parameter"].alias("parameter"), x["priority"].alias("priority"),
-                           t.alias("recommendation")))))
-    return (df.select(*keys, F.posexplode(F.array_distinct(items)).alias("pos", "a"))
-              .select(*keys, (F.col("pos") + 1).alias("action_rank"), "a.parameter", "a.priority",
-                      "a.recommendation"))
+    empty = F.array().cast("array<string>")
+    parts = [F.coalesce(F.element_at(amap, F.concat_ws("|", F.col(f"{c}.parameter"), F.col(f"{c}.kind"),
+                                                      F.col(f"{c}.priority"))), empty)
+             for c in finding_columns(df)]
+    items = F.array_distinct(F.concat(*parts)) if parts else empty
+    out = df.select(*keys, F.posexplode(items).alias("pos", "_a"))
+    bits = F.split(F.col("_a"), _SEP)
+    return out.select(*keys, (F.col("pos") + 1).alias("action_rank"), bits[0].alias("parameter"),
+                      bits[1].alias("priority"), bits[2].alias("recommendation"))
 
 
 def findings_by_join(df: DataFrame, rules_df: DataFrame, columns: Sequence[str],
