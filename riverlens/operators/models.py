@@ -118,3 +118,16 @@ def predict(model: PipelineModel, df: DataFrame, keys: Sequence[str] = ("obs_id"
                  F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.col("_p")).alias("probabilities"),
                  (F.array_max("_p") < dims.UNCERTAIN_BELOW).alias("uncertain")]
     return out.select(*cols)
+
+
+def one_hot(df: DataFrame, columns: Sequence[str]):
+    """FEA-6: one-hot for text features; a value unseen at fit time encodes as all zeros.
+
+    ``StringIndexer(handleInvalid="keep")`` maps unseen values to the last
+    index and ``OneHotEncoder(dropLast=True)`` drops exactly that slot.
+    """
+    from pyspark.ml.feature import OneHotEncoder
+    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in columns]
+    enc = OneHotEncoder(inputCols=[f"{c}_idx" for c in columns], outputCols=[f"{c}_vec" for c in columns],
+                        dropLast=True, handleInvalid="error")
+    return Pipeline(stages=[*idx, enc]).fit(df)

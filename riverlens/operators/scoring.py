@@ -104,3 +104,49 @@ def rule_label_disagreement(findings_df: DataFrame, params: Sequence[str] = ("pH
 def uncertain(prob_max, threshold: float = dims.UNCERTAIN_BELOW):
     """SCO-4: top class probability strictly below the threshold."""
     return prob_max < threshold
+
+
+# FIXED VALUES: acceptable range shown in the review table per core parameter.
+REVIEW_LIMITS: dict[str, tuple[str, float | None, float | None, str]] = {
+    "ph": ("pH", 6.5, 8.5, "pH scale"),
+    "do_mgl": ("DO", 5.0, None, "mg/L"),
+    "bod_mgl": ("BOD", None, 3.0, "mg/L"),
+    "fc": ("FC", None, 250.0, "MPN/100mL"),
+    "log10_fc": ("Log10_FC", None, 2.398, "log10 MPN/100mL"),
+}
+
+
+def measurement_review(df: DataFrame, keys: Sequence[str] = ("obs_id",), limits=REVIEW_LIMITS) -> DataFrame:
+    """SCO-8: per observation and parameter: value, unit, acceptable range, abnormal flag.
+
+    Built in-row (array of structs + inline) against the fixed limit table:
+    no join, no shuffle.
+    """
+    items = []
+    for col, (param, lo, hi, unit) in limits.items():
+        v = F.col(col).cast("double")
+        bad = F.lit(False)
+        if lo is not None:
+            bad = bad | (v < lo)
+        if hi is not None:
+            bad = bad | (v > hi)
+        items.append(F.struct(F.lit(param).alias("parameter"), v.alias("value"), F.lit(unit).alias("unit"),
+                              F.lit(lo).cast("double").alias("lower_limit"),
+                              F.lit(hi).cast("double").alias("upper_limit"),
+                              F.coalesce(bad, F.lit(False)).alias("abnormal")))
+    return df.select(*keys, F.inline(F.array(*items)))
+
+
+def decision_summary_json(findings_df: DataFrame, keys: Sequence[str] = ("obs_id",)) -> DataFrame:
+    """RUL-4 / SCL-5 / SCL-9: one JSON document per observation with condition texts.
+
+    The numbers stay in their own fields; the condition text (two decimals)
+    is presentation only.
+    """
+    cond = F.transform(F.col("findings"), lambda x: x.withField(
+        "condition", F.format_string("%s %s %.2f (limit %.2f)", x["parameter"],
+                                     F.when(x["kind"] == "low", F.lit("below")).otherwise(F.lit("above")),
+                                     x["value"], x["limit"])))
+    doc = F.struct(*[F.col(k) for k in keys], F.col("wqi_class").alias("label"),
+                   "overall_priority", "n_evaluated", "n_abnormal", cond.alias("findings"))
+    return findings_df.select(*keys, F.to_json(doc).alias("document"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from riverlens.plans import cleaning, evaluation, history, ingest, labelling, models, profile, rules, scoring, training  # noqa: F401
+from riverlens.plans import (cleaning, evaluation, history, ingest, labelling, models, profile, review,  # noqa: F401
+                             rules, scoring, training)
 from riverlens.plans.registry import ORACLES, QUERIES, SURVEY_IDS
 
 __all__ = ["QUERIES", "ORACLES", "SURVEY_IDS"]
