@@ -191,3 +191,17 @@ def local_explanation(contrib: DataFrame, predictions: DataFrame, base: np.ndarr
                    F.sum("contribution").over(tot).alias("_sum"), "_prob")
     return out.withColumn("additive_ok", F.abs(F.col("base_value") + F.col("_sum") - F.col("_prob")) <= 1e-5) \
               .drop("_sum", "_prob")
+
+
+def compare_with_eda(importance: DataFrame, five_number: DataFrame) -> DataFrame:
+    """XAI-5: attribution rank vs class-separation rank (spread of class medians).
+
+    ``five_number`` is AGG-20 (one row per class x feature).  Both inputs have
+    one row per feature (x class), so the comparison is a small join.
+    """
+    spread = (five_number.groupBy("feature")
+                         .agg((F.max("median") - F.min("median")).alias("median_spread")))
+    sep_rank = F.row_number().over(Window.orderBy(F.col("median_spread").desc(), F.col("feature")))
+    eda = spread.withColumn("eda_rank", sep_rank)
+    j = importance.select("feature", F.col("rank").alias("shap_rank"), "share").join(eda, "feature", "left")
+    return j.withColumn("rank_agrees", F.col("shap_rank") == F.col("eda_rank"))

@@ -37,9 +37,18 @@ def holdout_count(n: Column, test_size: float = TEST_SIZE) -> Column:
 
 
 def stratified_split(df: DataFrame, label: str = "wqi_class", key: str = "obs_id",
-                     test_size: float = TEST_SIZE, seed: int = SEED) -> DataFrame:
-    """SPL-1: append ``split`` ('train' / 'test'); exact per-class test counts."""
+                     test_size: float = TEST_SIZE, seed: int = SEED, materialize: bool = False) -> DataFrame:
+    """SPL-1: append ``split`` ('train' / 'test'); exact per-class test counts.
+
+    The input is read by the rank pass, the threshold join and the tie
+    group.  With ``materialize`` it is checkpointed once to the session's
+    checkpoint folder (shared on a cluster), so upstream joins run once.
+    """
     base = df.withColumn("_ok", order_key(F.col(key), seed))
+    if materialize:
+        from riverlens.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        base = base.checkpoint(eager=True)
     ranked = ranked_values(base.select(label, "_ok"), "_ok", [label])
     need = holdout_count(F.col("n"), test_size)
     # the threshold key per class: the value covering position need-1

@@ -18,7 +18,7 @@ def labelled(spark, sf_dir):
 
 
 def split_frame(spark, sf_dir):
-    return S.stratified_split(labelled(spark, sf_dir))
+    return S.stratified_split(labelled(spark, sf_dir), materialize=True)
 
 
 _NEED = f"CASE WHEN n <= 1 THEN 0 ELSE least(CAST(floor(n * {d(0.2)} + {d(0.5)}) AS BIGINT), n - 1) END"

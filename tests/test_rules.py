@@ -79,3 +79,20 @@ def test_long_form_and_join_agree(spark):
     b = sorted((r["obs_id"], r["parameter"], r["base"])
                for r in RU.findings_by_join(df, thresholds_frame(spark), COLS).collect())
     assert a == b
+
+
+CAUSAL = ("caused by", "due to", "because", "proves", "the cause")
+
+
+def test_wording_discipline():
+    """RUL-8: recommendations describe checks, never assert a cause."""
+    for texts in RU.ACTIONS.values():
+        for t in texts:
+            assert not any(p in t.lower() for p in CAUSAL), t
+
+
+def test_text_helpers(spark):
+    from riverlens.functions.scalars import normalise_text, slug
+    r = spark.range(1).select(slug(F.lit("  Dissolved Oxygen (mg/L) ")).alias("s"),
+                              normalise_text(F.lit("  BOD ")).alias("n")).first()
+    assert r["s"] == "dissolved_oxygen_mg_l_" and r["n"] == "bod"
