@@ -93,3 +93,18 @@ def test_local_explanation_is_additive(fitted):
 def test_non_tree_rejected():
     with pytest.raises(X.NotATreeError):
         X.tree_from_pipeline(object())
+
+
+def test_random_search_runs_and_picks_best(spark):
+    from riverlens.operators.tuning import MacroF1Evaluator, sample_param_maps, tune
+    df = scored_observations(spark, SF_SMALL).where(F.col("wqi_class").isNotNull())
+    train = S.with_weights(S.stratified_split(df).where(F.col("split") == "train")
+                           .select("obs_id", "wqi_class", *MD.RAW))
+    best, scores = tune(MD.build_pipeline("decision_tree"), train, "decision_tree", n_iter=3, folds=2,
+                        parallelism=2)
+    assert len(scores) == 3 and all(0.0 <= s <= 1.0 for _p, s in scores)
+    maps = sample_param_maps(MD.classifier("decision_tree"), {"maxDepth": [3, 5]}, n_iter=10)
+    assert len(maps) == 2                      # never more candidates than the grid holds
+    ev = MacroF1Evaluator()
+    pred = best.transform(train)
+    assert 0.0 < ev.evaluate(pred) <= 1.0
