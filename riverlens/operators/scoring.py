@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverlens.functions import dims
@@ -150,3 +150,48 @@ def decision_summary_json(findings_df: DataFrame, keys: Sequence[str] = ("obs_id
     doc = F.struct(*[F.col(k) for k in keys], F.col("wqi_class").alias("label"),
                    "overall_priority", "n_evaluated", "n_abnormal", cond.alias("findings"))
     return findings_df.select(*keys, F.to_json(doc).alias("document"))
+
+
+MAX_QUERIES = 10_000
+
+
+def nearest_labelled(queries: DataFrame, labelled: DataFrame, stats: DataFrame,
+                     features: Sequence[str], k: int = 3, buckets: int = 64,
+                     group: str = "split", key: str = "obs_id") -> DataFrame:
+    """SCO-10: the k nearest labelled rows per query and group in train-standardised space.
+
+    Queries are a bounded set (checked, then broadcast); every labelled row
+    with complete features is compared with every query.  Top-k is two-level:
+    per (query, group, hash bucket) first, then over the <= buckets * k
+    survivors, so no task holds a whole group.
+    """
+    n_q = queries.count()
+    if n_q > MAX_QUERIES:
+        raise ValueError(f"{n_q} queries exceed the broadcast bound {MAX_QUERIES}")
+    wide = stats.agg(*[F.max(F.when(F.col("feature") == f, F.struct("mean", "std_pop"))).alias(f"_s_{f}")
+                       for f in features])
+    def z(df, prefix):
+        cols = {}
+        for f in features:
+            s = F.col(f"_s_{f}")
+            sd = F.when(s["std_pop"] > 0, s["std_pop"]).otherwise(1.0)
+            cols[f"{prefix}{f}"] = (F.col(f) - s["mean"]) / sd
+        return cols
+    one = F.lit(1)
+    q = (queries.withColumn("_k", one).join(F.broadcast(wide.withColumn("_k", one)), "_k")
+                .select(F.col(key).alias("query_id"), *[v.alias(n) for n, v in z(queries, "q_").items()]))
+    complete = F.lit(True)
+    for f in features:
+        complete = complete & F.col(f).isNotNull()
+    rows = (labelled.where(complete).withColumn("_k", one).join(F.broadcast(wide.withColumn("_k", one)), "_k")
+                    .select(key, group, "wqi_class", *[v.alias(n) for n, v in z(labelled, "r_").items()]))
+    pairs = rows.withColumn("_k", one).join(F.broadcast(q.withColumn("_k", one)), "_k") \
+                .where(F.col(key) != F.col("query_id"))
+    dist = F.sqrt(sum(((F.col(f"r_{f}") - F.col(f"q_{f}")) ** 2 for f in features), F.lit(0.0)))
+    pairs = pairs.select("query_id", group, key, "wqi_class", dist.alias("distance"),
+                         (F.abs(F.xxhash64(key)) % buckets).alias("_b"))
+    w1 = Window.partitionBy("query_id", group, "_b").orderBy("distance", key)
+    local = pairs.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= k)
+    w2 = Window.partitionBy("query_id", group).orderBy("distance", key)
+    return (local.withColumn("neighbour_rank", F.row_number().over(w2)).where(F.col("neighbour_rank") <= k)
+                 .select("query_id", group, "neighbour_rank", key, "wqi_class", "distance"))

@@ -98,3 +98,47 @@ SELECT obs_id, wqi_class FROM op WHERE wqi_class IN ({_POOR}) AND obs_id NOT IN
 """)
 def rule_label_disagreement(spark, sf_dir):
     return SC.rule_label_disagreement(obs_with_findings(spark, sf_dir))
+
+
+NN_FEATURES = ("ph", "do_mgl", "bod_mgl", "log10_fc")
+
+
+def _z_sql(prefix, src_alias):
+    return ", ".join(
+        f"({src_alias}.{f} - (SELECT mean FROM st WHERE feature = '{f}')) / "
+        f"(SELECT CASE WHEN std_pop > 0 THEN std_pop ELSE 1 END FROM st WHERE feature = '{f}') AS {prefix}{f}"
+        for f in NN_FEATURES)
+
+
+_NN_STATS = " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, avg({f}) AS mean, stddev_pop({f}) AS std_pop FROM tr" for f in NN_FEATURES)
+_NN_BOUNDS = " AND ".join(
+    f"({c} IS NOT NULL AND isfinite({c}) AND {c} BETWEEN {d(lo)} AND {d(hi)})" for c, (lo, hi) in dims.INPUT_BOUNDS.items())
+
+
+@register("nearest_labelled", ("SCO-10",), oracle=f"""
+WITH {SPLIT_SQL}, spl AS (SELECT *, CASE WHEN fc IS NOT NULL THEN log10(greatest(fc, {d(1.0)})) END AS log10_fc FROM sp),
+tr AS (SELECT * FROM spl WHERE split = 'train'), st AS ({_NN_STATS}),
+qsrc AS (SELECT * FROM spl WHERE {_NN_BOUNDS} ORDER BY sampled_at, obs_id LIMIT 1),
+q AS (SELECT obs_id AS query_id, {_z_sql('q_', 'qsrc')} FROM qsrc),
+r AS (SELECT obs_id, split, wqi_class, {_z_sql('r_', 'spl')} FROM spl
+      WHERE {' AND '.join(f'{f} IS NOT NULL' for f in NN_FEATURES)}),
+p AS (SELECT query_id, split, obs_id, wqi_class,
+             sqrt({' + '.join(f'(r_{f} - q_{f}) * (r_{f} - q_{f})' for f in NN_FEATURES)}) AS distance
+      FROM r, q WHERE obs_id <> query_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY query_id, split ORDER BY distance, obs_id) AS neighbour_rank FROM p)
+SELECT query_id, split, CAST(neighbour_rank AS INTEGER) AS neighbour_rank, obs_id, wqi_class,
+       round(distance, 6) AS distance FROM k WHERE neighbour_rank <= 3
+""")
+def nearest_labelled(spark, sf_dir):
+    """Three nearest labelled observations per split for the first valid sample (the query)."""
+    from riverlens.functions.scalars import log10_floor1
+    from riverlens.operators import split as S
+    from riverlens.operators.history import first_valid_sample
+    sp = split_frame(spark, sf_dir).withColumn("log10_fc", log10_floor1(F.col("fc")))
+    stats = S.fitted_statistics(sp.where(F.col("split") == "train"), NN_FEATURES)
+    query = first_valid_sample(sp.where(F.lit(True)))
+    qrow = sp.join(F.broadcast(query.select("obs_id")), "obs_id", "left_semi")
+    out = SC.nearest_labelled(qrow, sp, stats, NN_FEATURES)
+    return out.select("query_id", "split", "neighbour_rank", "obs_id", "wqi_class",
+                      F.round("distance", 6).alias("distance"))
