@@ -18,22 +18,31 @@ from riverlens.functions import dims
 from riverlens.functions.scalars import in_bounds
 
 
-def history_records(scored: DataFrame, features: Sequence[str] = dims.MODEL_FEATURES) -> DataFrame:
+def history_records(scored: DataFrame, features: Sequence[str] = dims.MODEL_FEATURES,
+                    keep_ts: bool = False) -> DataFrame:
     """PRJ-6: state, station, category, features, day and month text (bad date -> null)."""
     ts = F.col("sampled_at")
     return scored.select("obs_id", "state", "station", F.col("wqi_class").alias("category"), *features,
                          F.date_format(ts, "yyyy-MM-dd").alias("date"),
-                         F.date_format(ts, "yyyy-MM").alias("month"))
+                         F.date_format(ts, "yyyy-MM").alias("month"), *(["sampled_at"] if keep_ts else []))
 
 
 def filter_history(records: DataFrame, date_from: str | None = None, date_to: str | None = None,
-                   state: str | None = None, station: str | None = None) -> DataFrame:
+                   state: str | None = None, station: str | None = None,
+                   ts_col: str | None = None) -> DataFrame:
     """FLT-2: dated rows only; inclusive text bounds on the day (or the month
     when no record in the whole set has a day); optional state and station.
 
     The day-precision flag is one global boolean, computed as a one-row
     aggregate and attached by a constant-key join (no global window).
     """
+    if ts_col:
+        # date/month text derive from ts_col: the same bounds as a timestamp range reach the
+        # parquet scan (PushedFilters); the exact text test below still decides
+        if date_from and len(date_from) == 10:
+            records = records.where(F.col(ts_col) >= F.to_timestamp(F.lit(date_from)))
+        if date_to and len(date_to) == 10:
+            records = records.where(F.col(ts_col) < F.date_add(F.to_date(F.lit(date_to)), 1))
     flag = records.agg(F.max(F.col("date").isNotNull()).alias("_day")).withColumn("_k", F.lit(1))
     df = records.withColumn("_k", F.lit(1)).join(F.broadcast(flag), "_k").drop("_k")
     period = F.when(F.coalesce(F.col("_day"), F.lit(False)), F.col("date")).otherwise(F.col("month"))

@@ -17,8 +17,8 @@ REC_CTE = (f"{scored_cte(with_coordinates=True)}, rec AS (SELECT obs_id, state,
            f"strftime(sampled_at, '%Y-%m') AS month FROM scored)")
 
 
-def records(spark, sf_dir):
-    return H.history_records(scored_observations(spark, sf_dir), FEATURES)
+def records(spark, sf_dir, with_ts=False):
+    return H.history_records(scored_observations(spark, sf_dir), FEATURES, keep_ts=with_ts)
 
 
 def _means_sql(src):
@@ -48,7 +48,8 @@ f AS (SELECT rec.* FROM rec, flag
 {_means_sql('f')}
 """)
 def history_period_monthly_means(spark, sf_dir):
-    return H.monthly_means(H.filter_history(records(spark, sf_dir), HIST_FROM, HIST_TO), FEATURES)
+    rec = records(spark, sf_dir, with_ts=True)
+    return H.monthly_means(H.filter_history(rec, HIST_FROM, HIST_TO, ts_col="sampled_at"), FEATURES)
 
 
 _CLS = ", ".join(f"('{c}', {i + 1})" for i, c in enumerate(dims.CLASS_ORDER))
