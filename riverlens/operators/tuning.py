@@ -86,3 +86,35 @@ def tune(pipeline, train: DataFrame, kind: str, key: str = "obs_id", n_iter: int
     model = cv.fit(data)
     scores = [({p.name: v for p, v in m.items()}, s) for m, s in zip(maps, model.avgMetrics)]
     return model.bestModel, scores
+
+
+def imbalance_experiment(train: DataFrame, test: DataFrame, kinds: Sequence[str] = ("decision_tree",
+                         "random_forest", "logistic_regression", "boosted_trees"),
+                         strategies: Sequence[str] = ("balanced_weights", "random_oversampling"),
+                         label: str = "wqi_class") -> DataFrame:
+    """ML-13: macro F1 per (model, imbalance strategy) on the same test split.
+
+    ``balanced_weights`` trains with n / (k n_c) weights; ``random_oversampling``
+    trains unweighted on the deterministic oversample of the training rows
+    (SPL-4).  Boosted trees take no weights, as in the reference.
+    """
+    from riverlens.operators import metrics as M
+    from riverlens.operators import models as MD
+    from riverlens.operators.split import oversample, with_weights
+    conf = None
+    for strategy in strategies:
+        if strategy == "balanced_weights":
+            data = with_weights(train, label)
+        elif strategy == "random_oversampling":
+            data = oversample(train, label).drop("copy").withColumn("weight", F.lit(1.0))
+        else:
+            raise ValueError(f"unknown strategy {strategy!r}")
+        data = data.cache()
+        for kind in kinds:
+            model = MD.build_pipeline(kind).fit(data)
+            pred = MD.predict(model, test).select(F.col(label).alias("label"), F.col("predicted").alias("prediction"))
+            c = M.confusion(pred, model=f"{kind}|{strategy}")
+            conf = c if conf is None else conf.unionByName(c)
+    ov = M.overall(conf, ["model"])
+    parts = F.split(F.col("model"), "[|]")
+    return ov.select(parts[0].alias("model_kind"), parts[1].alias("strategy"), "f1_macro", "f1_weighted", "accuracy")

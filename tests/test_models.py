@@ -108,3 +108,14 @@ def test_random_search_runs_and_picks_best(spark):
     ev = MacroF1Evaluator()
     pred = best.transform(train)
     assert 0.0 < ev.evaluate(pred) <= 1.0
+
+
+def test_imbalance_experiment_table(spark):
+    from riverlens.operators.tuning import imbalance_experiment
+    df = scored_observations(spark, SF_SMALL).where(F.col("wqi_class").isNotNull())
+    sp = S.stratified_split(df, materialize=True).select("obs_id", "wqi_class", *MD.RAW, "split")
+    train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+    out = imbalance_experiment(train, test, kinds=("decision_tree", "logistic_regression")).collect()
+    assert {(r["model_kind"], r["strategy"]) for r in out} == {
+        (k, s) for k in ("decision_tree", "logistic_regression") for s in ("balanced_weights", "random_oversampling")}
+    assert all(0.0 <= r["f1_macro"] <= 1.0 for r in out)
