@@ -39,16 +39,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) a fresh scratch folder is
-    created and registered.
+    ``spark.checkpoint.dir`` (or an earlier ``setCheckpointDir``) is used as
+    is.  Where it is unset, a scratch folder is made only for a ``local``
+    master, whose executors share the driver's disk; on a cluster an unset
+    folder is an error, since a driver-local path would not be readable by
+    the executors.
     """
-    current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if current:
-        spark.sparkContext.setCheckpointDir(current)
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
         return current
-    path = tempfile.mkdtemp(prefix="riverlens-ckpt-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(path)
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    path = tempfile.mkdtemp(prefix="riverlens-ckpt-")
+    sc.setCheckpointDir(path)
     return path
