@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverlens.llm import chat, linededup, mixing, urlfilter
+from riverlens.llm import bpe, chat, linededup, mixing, urlfilter
 from riverlens.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,18 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+def tokenizer() -> tuple[str, str]:
+    """Path of the public rank file and the pattern of its pre-tokens."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@query
+def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again, as counts and digests."""
+    return bpe.round_trip(read_table(spark, sf_dir, "documents").select("doc_id", "text"), *tokenizer())
+
+
 @query
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the repeats of cross-site lines."""
