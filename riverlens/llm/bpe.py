@@ -89,6 +89,7 @@ class Vocabulary:
     def __init__(self, tokens: list[bytes]):
         held = [(t, k) for k, t in enumerate(tokens) if t]
         self.tokens, self.ids = tokens, [k for _, k in held]
+        self.print = xxhash.xxh64_intdigest(b"\n".join(tokens))
         self.find = PerfectHash([t for t, _ in held])
         self.pairs = {t: k for t, k in held if len(t) > 1}  # for the merges: a pair by its joined bytes
 
@@ -162,15 +163,16 @@ class Coder:
         return b"".join([pieces[k] for k in ids.split(",")])
 
 
-_CODERS: dict[int, Coder] = {}
+_CODERS: dict[tuple[int, str], Coder] = {}
 
 
 def coder_of(shared: Broadcast, pattern: str) -> Coder:
     """The worker's coder for a broadcast token list; made once per worker process."""
-    if shared.id not in _CODERS:
+    key = (shared.value.print, pattern)
+    if key not in _CODERS:
         _CODERS.clear()
-        _CODERS[shared.id] = Coder(shared.value, pattern)
-    return _CODERS[shared.id]
+        _CODERS[key] = Coder(shared.value, pattern)
+    return _CODERS[key]
 
 
 def _texts(batch: pa.RecordBatch, column: str) -> Iterator[str]:
