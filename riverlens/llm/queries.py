@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverlens.llm import bpe, chat, linededup, mixing, urlfilter
+from riverlens.llm import bpe, chat, fingerprint, linededup, mixing, urlfilter
 from riverlens.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,12 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text, its edited text, and their likeness."""
+    return fingerprint.compare_edits(read_table(spark, sf_dir, "documents"))
+
+
 def tokenizer() -> tuple[str, str]:
     """Path of the public rank file and the pattern of its pre-tokens."""
     import public_tokenizers
