@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverlens.llm import bpe, chat, fingerprint, linededup, mixing, urlfilter
+from riverlens.llm import bpe, chat, fingerprint, langid, linededup, mixing, urlfilter
 from riverlens.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,14 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every text, learned from two folds of three."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", langid.held_out(F.col("doc_id")))
+    return langid.predict(docs, langid.fit(docs.where("not held_out")))
+
+
 @query
 def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text, its edited text, and their likeness."""
