@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverlens.llm import bpe, chat, fingerprint, langid, linededup, mixing, urlfilter
+from riverlens.llm import bpe, chat, fingerprint, langid, linededup, mixing, toxicity, urlfilter
 from riverlens.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,14 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity, likeliest grade and rejection of every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    grades = toxicity.label_grades(read_table(spark, sf_dir, "labels"))
+    return toxicity.severity(docs, toxicity.fit(docs, grades))
+
+
 @query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every text, learned from two folds of three."""
