@@ -79,7 +79,7 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = 2, min_words: int = 3,
     ``removed`` names a column for the number of removed lines, if wanted.
     ``n_chars``, where there is one, follows the new text.
     """
-    lines = line_hashes(docs, min_words)
+    lines = cut(line_hashes(docs, min_words), "line-hashes")
     known = cut(boilerplate_lines(lines, min_sites, lg_k), "boilerplate")
     gone = (lines.join(known, ["h1", "h2"])
             .where(~F.struct("doc_id", "line_no").eqNullSafe(F.col("first")))
