@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverlens.llm import bpe, chat, fingerprint, langid, linededup, mixing, toxicity, urlfilter
+from riverlens.llm import bpe, chat, fingerprint, langid, linededup, mixing, neardup, toxicity, urlfilter
 from riverlens.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.fit(docs.where("not held_out")))
 
 
+@query
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return neardup.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text, its edited text, and their likeness."""
