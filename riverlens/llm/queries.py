@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverlens.llm import bpe, chat, fingerprint, langid, linededup, mixing, neardup, toxicity, urlfilter
+from riverlens.llm import bpe, chat, fingerprint, langid, linededup, mixing, neardup, topk, toxicity, urlfilter
 from riverlens.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,13 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op9_chat_format"] = chat.ORACLE
+
+
+@query
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector among all others."""
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", topk.quantised(F.col("embedding")).alias("v"))
+    return topk.top_k(rows, F.col("vec_id") % 50 == 0, k=5)
+
+
+ORACLES["op10_top_k"] = topk.ORACLE
