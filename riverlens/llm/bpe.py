@@ -33,7 +33,6 @@ import regex
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 MEMO = 500_000
 RUN = 100_000  # pre-tokens encoded at once
@@ -210,25 +209,32 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
     return rows.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256): encodes every text and decodes the ids, in one pass."""
+def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids]): encodes every text and decodes the ids, in one pass."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = coder_of(shared, pattern)
         for batch in batches:
-            counts, hashes, backs = [], [], []
+            counts, hashes, backs, all_ids = [], [], [], []
             for text in _texts(batch, "text"):
-                n, ids, back = 0, hashlib.sha256(), hashlib.sha256()
+                n, ids, back, parts = 0, hashlib.sha256(), hashlib.sha256(), []
                 for part in coder.runs(text):
+                    if with_ids:
+                        parts.append(np.array(part.split(","), dtype=np.int32))
                     ids.update(b"," * (n > 0) + part.encode())
                     back.update(coder.decoded(part))
                     n += part.count(",") + 1
                 counts.append(n), hashes.append(ids.hexdigest()), backs.append(back.hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()),
-                                              pa.array(hashes, pa.string()), pa.array(backs, pa.string())],
-                                             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                all_ids.append(np.concatenate(parts) if parts else np.zeros(0, dtype=np.int32))
+            out = {"doc_id": batch.column("doc_id"), "n_tokens": pa.array(counts, pa.int64()),
+                   "ids_sha256": pa.array(hashes, pa.string()), "decoded_sha256": pa.array(backs, pa.string())}
+            if with_ids:
+                ends = np.cumsum([0, *(len(x) for x in all_ids)])
+                flat = np.concatenate(all_ids) if all_ids else np.zeros(0, dtype=np.int32)
+                out["ids"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+            yield pa.RecordBatch.from_pydict(out)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text")).mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return docs.select("doc_id", "text").mapInArrow(run, schema + ", ids array<int>" * with_ids)
