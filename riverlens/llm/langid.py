@@ -182,9 +182,13 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
     """Train on at most ``per_lang`` documents of each language, by the hash order of their ids."""
     turn = F.xxhash64("doc_id", F.lit(5))
     place = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1 << 40))
-    rows = (docs.where("lang is not null and text is not null")
-            .select("lang", turn.alias("turn"), windows_of(F.col("text"), place).alias("piece"))
-            .where(F.col("piece").rlike(r"\p{L}")))
+    known = docs.where("lang is not null and text is not null")
+    share = known.groupBy(F.col("lang").alias("l")).agg((2.0 * per_lang / F.count("*")).alias("share"))
+    # a cut in hash order first, at twice the number, so that no language meets as a whole in one task
+    known = (known.join(share, F.col("lang") == F.col("l"))
+             .where((turn / F.lit(2.0 ** 64) + 0.5 < F.col("share"))))
+    rows = (known.select("lang", turn.alias("turn"), windows_of(F.col("text"), place).alias("piece"))
+            .where(F.col("piece").rlike(r"\p{L}")).distinct())
     few = Window.partitionBy("lang").orderBy("turn", "piece")
     rows = rows.withColumn("nth", F.row_number().over(few)).where(F.col("nth") <= per_lang)
     found = rows.select("lang", "piece").orderBy("lang", "nth").collect()
