@@ -60,7 +60,9 @@ def candidate_keys(captures: DataFrame, depth: int) -> DataFrame:
     n = F.size("labels")
     domains = F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(
         F.lit("domain "), F.array_join(F.slice("labels", i, n), ".")))
-    parts = F.filter(F.split(F.regexp_extract("url", PATH, 1), "/", -1 if depth < 0 else depth + 2), lambda x: x != "")
+    # empty segments do not count; the limit leaves what lies deeper than any entry in one piece
+    path = F.regexp_replace(F.regexp_extract("url", PATH, 1), "^/+|/+$|/+(?=/)", "")
+    parts = F.when(path != "", F.split(path, "/", depth + 1)).otherwise(F.array().cast("array<string>"))
     m = F.least(F.size("parts"), F.lit(depth))
     paths = F.when(m > 0, F.transform(F.sequence(F.lit(1), m), lambda i: F.concat(
         F.lit("path "), "host", F.lit("/"), F.array_join(F.slice("parts", F.lit(1), i), "/"))))
