@@ -86,13 +86,15 @@ def train(windows: np.ndarray, labels: list[str]) -> Model:
     """Fit by Adam on windows (rows of WINDOW bytes) and their languages."""
     langs = sorted(set(labels), key=lambda s: s.encode())
     model = Model(langs)
+    if len(langs) < 2:
+        return model
     y = np.array([langs.index(s) for s in labels], dtype=np.int64)
     share = len(y) / (len(langs) * np.bincount(y, minlength=max(1, len(langs))))  # rare languages count as much
     rng, step = np.random.default_rng(11), 0
     first = [np.zeros_like(p) for p in model.parameters()]
     second = [np.zeros_like(p) for p in model.parameters()]
     epochs = EPOCHS if len(y) > 500 else EPOCHS * 5
-    for epoch in range(epochs if len(langs) > 1 else 0):
+    for epoch in range(epochs):
         picked = rng.choice(len(y), len(y), p=share[y] / share[y].sum())
         for lo in range(0, len(y), BATCH):
             part = picked[lo:lo + BATCH]
