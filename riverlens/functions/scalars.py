@@ -13,6 +13,11 @@ def log10_floor1(c: Column) -> Column:
     return F.when(c.isNotNull(), F.log10(F.greatest(c.cast("double"), F.lit(1.0))))
 
 
+def no_nan(c: Column) -> Column:
+    """A number as double with NaN read as missing (null)."""
+    return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
+
+
 def is_finite(c: Column) -> Column:
     """SCL-7: not null, not NaN, not infinite."""
     d = c.cast("double")

@@ -75,15 +75,20 @@ def join_feeds(feeds: dict[str, DataFrame], keys: Sequence[str] = EVENT_KEY,
 
 
 def checked_join(feeds: dict[str, DataFrame], keys: Sequence[str] = EVENT_KEY) -> DataFrame:
-    """JOIN-3: uniqueness before, row inflation after; raises on violation."""
+    """JOIN-3: uniqueness of every feed's key, checked in one pass over the keys; raises on violation.
+
+    With unique keys on both sides neither join can repeat a row of its
+    preserved side, so no join has to run for the row check.
+    """
+    tagged = None
     for name, f in feeds.items():
-        assert_unique(f, keys, name)
-    joined = join_feeds(feeds, keys)
-    core_n = feeds["biological"].join(feeds["chemical"].select(*keys), list(keys), "inner").count()
-    out_n = joined.count()
-    if out_n != core_n:
-        raise RowInflationError(f"join produced {out_n} rows from {core_n} core rows")
-    return joined
+        t = f.select(*keys, F.lit(name).alias("_feed"))
+        tagged = t if tagged is None else tagged.unionByName(t)
+    dup = tagged.groupBy("_feed", *keys).count().where("count > 1").limit(1).collect()
+    if dup:
+        row = dup[0].asDict()
+        raise DuplicateKeyError(f"{row.pop('_feed')}: duplicate event key {row}")
+    return join_feeds(feeds, keys)
 
 
 def key_audit(feeds: dict[str, DataFrame], keys: Sequence[str] = EVENT_KEY) -> DataFrame:
@@ -104,32 +109,31 @@ def key_audit(feeds: dict[str, DataFrame], keys: Sequence[str] = EVENT_KEY) -> D
 
 
 def state_accounting(feeds: dict[str, DataFrame], joined: DataFrame) -> DataFrame:
-    """AGG-1, AGG-2: per-state join accounting plus an all-states row (state null).
+    """AGG-1, AGG-2: per-state join accounting plus an all-states row (scope 'all').
 
-    ``rollup`` produces the per-state and total rows in one aggregation; the
-    distinct counts are exact.  Feed counts are rolled up the same way and
-    joined on the (null-safe) state.
+    One rollup over the union of the feeds' keys and the joined rows, tagged by
+    origin; ``grouping_id`` tells the total from rows whose state is null.
     """
-    feed_counts = None
+    tag = lambda df, name, *cols: df.select(
+        "state", F.lit(name).alias("_from"), *(cols or (
+            F.lit(None).cast("boolean").alias("has_physical_record"), F.lit(None).cast("string").alias("station"),
+            F.lit(None).cast("timestamp").alias("sampled_at"))))
+    rows = tag(joined, "_joined", F.col("has_physical_record"), F.col("station").cast("string").alias("station"),
+               F.col("sampled_at").cast("timestamp").alias("sampled_at"))
     for name, f in feeds.items():
-        c = f.rollup("state").agg(F.count(F.lit(1)).alias(f"{name}_rows"))
-        feed_counts = c if feed_counts is None else feed_counts.join(
-            c, feed_counts["state"].eqNullSafe(c["state"]), "full").select(
-            F.coalesce(feed_counts["state"], c["state"]).alias("state"),
-            *[feed_counts[x] for x in feed_counts.columns if x != "state"], c[f"{name}_rows"])
-    j = joined.rollup("state").agg(
-        F.count(F.lit(1)).alias("final_rows"),
+        rows = rows.unionByName(tag(f, name))
+    mine = F.col("_from") == "_joined"
+    out = rows.rollup("state").agg(
+        F.grouping_id().alias("_all"),
+        *[F.count_if(F.col("_from") == n).alias(f"{n}_rows") for n in feeds],
+        F.count_if(mine).alias("final_rows"),
         F.count_if(F.col("has_physical_record")).alias("physical_matches"),
         F.count_if(~F.col("has_physical_record")).alias("physical_unmatched"),
         F.countDistinct("station").alias("stations"),
-        F.countDistinct("sampled_at").alias("timestamps"),
-    )
-    out = feed_counts.join(j, feed_counts["state"].eqNullSafe(j["state"]), "full").select(
-        F.coalesce(feed_counts["state"], j["state"]).alias("state"),
-        *[F.coalesce(feed_counts[f"{n}_rows"], F.lit(0)).cast("long").alias(f"{n}_rows") for n in feeds],
-        *[F.coalesce(j[c], F.lit(0)).cast("long").alias(c)
-          for c in ("final_rows", "physical_matches", "physical_unmatched", "stations", "timestamps")])
-    return out.withColumn("scope", F.when(F.col("state").isNull(), "all").otherwise("state"))
+        F.countDistinct("sampled_at").alias("timestamps"))
+    names = [f"{n}_rows" for n in feeds] + ["final_rows", "physical_matches", "physical_unmatched", "stations", "timestamps"]
+    return out.select("state", *[F.col(c).cast("long").alias(c) for c in names],
+                      F.when(F.col("_all") == 1, "all").otherwise("state").alias("scope"))
 
 
 def missing_percentages(df: DataFrame, columns: Sequence[str] | None = None,

@@ -16,7 +16,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverlens.functions import dims
-from riverlens.operators.quantiles import exact_quantiles, melt, quantiles_wide, ranked_values
+from riverlens.functions.scalars import no_nan
+from riverlens.operators.quantiles import exact_quantiles, melt, quantiles_wide
+from riverlens.session import written
 
 R = 6
 
@@ -39,7 +41,7 @@ def summary_statistics(df: DataFrame, features: Sequence[str] = dims.MODEL_FEATU
     """AGG-9 / AGG-10: count, missing, mean, sample std, min, quartiles, max, IQR, G1, G2."""
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(features):
-        v = F.col(c)
+        v = no_nan(F.col(c))
         aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"mean{i}"),
                  F.stddev_samp(v).alias(f"std{i}"), F.min(v).alias(f"min{i}"),
                  F.max(v).alias(f"max{i}"), F.skewness(v).alias(f"g1_{i}"),
@@ -91,8 +93,8 @@ def outlier_audit(df: DataFrame, features: Sequence[str] = dims.MODEL_FEATURES)
 
 
 def invalid_mask(bounds: dict[str, tuple[float, float]]) -> dict[str, Column]:
-    """Per-feature physically-impossible test; a null never counts as invalid."""
-    return {c: F.coalesce((F.col(c) < lo) | (F.col(c) > hi), F.lit(False)) for c, (lo, hi) in bounds.items()}
+    """Per-feature physically-impossible test; a null or NaN never counts as invalid."""
+    return {c: F.coalesce((no_nan(F.col(c)) < lo) | (no_nan(F.col(c)) > hi), F.lit(False)) for c, (lo, hi) in bounds.items()}
 
 
 def invalid_counts(df: DataFrame, bounds=dims.CLEANING_BOUNDS) -> DataFrame:
@@ -114,28 +116,28 @@ def remove_invalid(df: DataFrame, bounds=dims.CLEANING_BOUNDS, enabled: bool = T
     """FLT-1: drop physically impossible rows (pushed down as a plain filter)."""
     if not enabled:
         return df
-    masks = invalid_mask({c: b for c, b in bounds.items() if c in df.columns})
+    return df.where(~any_invalid(df, bounds))
+
+
+def any_invalid(df: DataFrame, bounds=dims.CLEANING_BOUNDS) -> Column:
+    """Whether a row holds a physically impossible value."""
     cond = F.lit(False)
-    for m in masks.values():
+    for m in invalid_mask({c: b for c, b in bounds.items() if c in df.columns}).values():
         cond = cond | m
-    return df.where(~cond)
+    return cond
 
 
-def class_loss(before: DataFrame, after: DataFrame, label: str = "wqi_class",
-               flag_pct: float = 10.0) -> DataFrame:
-    """AGG-13: per-class rows before and after filtering, loss share, flag above 10%."""
-    def counts(df, name):
-        return df.agg(*[F.count_if(F.col(label) == c).alias(f"{name}{i}") for i, c in enumerate(dims.CLASS_ORDER)])
-    b = counts(before, "b").withColumn("_k", F.lit(1))
-    a = counts(after, "a").withColumn("_k", F.lit(1))
+def class_loss(df: DataFrame, kept: Column, label: str = "wqi_class", flag_pct: float = 10.0) -> DataFrame:
+    """AGG-13: per-class rows of ``df`` and of its ``kept`` rows, loss share, flag above 10%; one scan."""
+    one = df.agg(*[F.count_if(F.col(label) == c).alias(f"b{i}") for i, c in enumerate(dims.CLASS_ORDER)],
+                 *[F.count_if((F.col(label) == c) & kept).alias(f"a{i}") for i, c in enumerate(dims.CLASS_ORDER)])
     arr = F.array(*[F.struct(F.lit(c).alias(label), F.lit(i + 1).alias("class_order"),
                              F.col(f"b{i}").alias("before"), F.col(f"a{i}").alias("after"))
                     for i, c in enumerate(dims.CLASS_ORDER)])
-    out = b.join(a, "_k").select(F.inline(arr))
     loss = F.when(F.col("before") > 0, (F.col("before") - F.col("after")) * 100.0 / F.col("before")).otherwise(0.0)
-    return out.select(label, "class_order", F.col("before").cast("long").alias("before"),
-                      F.col("after").cast("long").alias("after"), r(loss).alias("loss_pct"),
-                      (loss > flag_pct).alias("loss_flag"))
+    return one.select(F.inline(arr)).select(
+        label, "class_order", F.col("before").cast("long").alias("before"),
+        F.col("after").cast("long").alias("after"), r(loss).alias("loss_pct"), (loss > flag_pct).alias("loss_flag"))
 
 
 def class_distribution(df: DataFrame, label: str = "wqi_class") -> DataFrame:
@@ -170,10 +172,11 @@ def crosstab_percent(df: DataFrame, row: str, label: str = "wqi_class",
 
 
 def state_overview(df: DataFrame) -> DataFrame:
-    """AGG-16: observations and distinct stations per state, plus all states (state null)."""
-    return (df.rollup("state").agg(F.count(F.lit(1)).alias("observations"),
+    """AGG-16: observations and distinct stations per state, plus all states (scope 'all')."""
+    return (df.rollup("state").agg(F.grouping_id().alias("_all"), F.count(F.lit(1)).alias("observations"),
                                    F.countDistinct("station").alias("stations"))
-              .select("state", F.col("observations").cast("long"), F.col("stations").cast("long")))
+              .select("state", F.when(F.col("_all") == 1, "all").otherwise("state").alias("scope"),
+                      F.col("observations").cast("long"), F.col("stations").cast("long")))
 
 
 def _pairs(features):
@@ -198,8 +201,9 @@ def spearman_matrix(df: DataFrame, features: Sequence[str] = dims.MODEL_FEATURES
     """AGG-18: pairwise-complete Spearman rho with average ranks on ties.
 
     For each pair the rows complete on both sides are ranked separately (as
-    pandas does), all pairs in one ranked pass keyed by (pair, side); the
-    ranks are joined back to the rows by value, then ``corr`` per pair.
+    pandas does).  Rows collapse to distinct (pair, x, y) with counts first,
+    so neither a frequent value nor the joins of the ranks meet the rows; the
+    correlation of the ranks is weighted by these counts.
     """
     features = list(features)
     pairs = _pairs(features)
@@ -209,16 +213,26 @@ def spearman_matrix(df: DataFrame, features: Sequence[str] = dims.MODEL_FEATURES
                            F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"),
                                     F.col(b).cast("double").alias("y"))))
     long = df.select(F.inline(F.filter(F.array(*rows), lambda s: s.isNotNull())))
-    sides = long.select("pair", F.inline(F.array(
-        F.struct(F.lit(0).alias("side"), F.col("x").alias("v")),
-        F.struct(F.lit(1).alias("side"), F.col("y").alias("v")))))
-    ranks = ranked_values(sides, "v", ["pair", "side"]).select(
-        "pair", "side", "v", (F.col("before") + (F.col("cnt") + 1) / 2.0).alias("rank"))
-    rx = long.join(ranks.where("side = 0").select("pair", F.col("v").alias("x"), F.col("rank").alias("rx")),
-                   ["pair", "x"])
-    rxy = rx.join(ranks.where("side = 1").select("pair", F.col("v").alias("y"), F.col("rank").alias("ry")),
-                  ["pair", "y"])
-    rho = rxy.groupBy("pair").agg(F.corr("rx", "ry").alias("rho"))
+    points = written(long.groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("w")), "rank-points")
+
+    def ranks(side: str) -> DataFrame:
+        """Average rank of each distinct value of one side: counts are merged before anything is ordered."""
+        values = points.groupBy("pair", side).agg(F.sum("w").alias("cnt"))
+        parts = written(values.repartitionByRange("pair", side).withColumn("_b", F.spark_partition_id()), "rank-values")
+        upto = Window.partitionBy("pair").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = (parts.groupBy("pair", "_b").agg(F.sum("cnt").alias("_t"))
+                   .select("pair", "_b", F.coalesce(F.sum("_t").over(upto), F.lit(0)).alias("_off")))
+        inside = Window.partitionBy("pair", "_b").orderBy(side).rowsBetween(Window.unboundedPreceding, -1)
+        rank = F.col("_off") + F.coalesce(F.sum("cnt").over(inside), F.lit(0)) + (F.col("cnt") + 1) / 2.0
+        return parts.join(offsets, ["pair", "_b"]).select("pair", side, rank.alias(f"r{side}"))
+
+    ranked = points.join(ranks("x"), ["pair", "x"]).join(ranks("y"), ["pair", "y"])
+    # ranks of n rows have mean (n + 1) / 2: deviations from it keep the sums small
+    sizes = points.groupBy("pair").agg(F.sum("w").alias("n")).withColumnRenamed("pair", "p")
+    ranked = ranked.join(sizes, F.col("pair") == F.col("p"))
+    dx, dy = (F.col(c) - (F.col("n") + 1) / 2.0 for c in ("rx", "ry"))
+    rho = ranked.groupBy("pair").agg(
+        (F.sum(F.col("w") * dx * dy) / F.sqrt(F.sum(F.col("w") * dx * dx) * F.sum(F.col("w") * dy * dy))).alias("rho"))
     names = F.array(*[F.struct(F.lit(i).alias("pair"), F.lit(a).alias("a"), F.lit(b).alias("b"))
                       for i, (a, b) in enumerate(pairs)])
     spark = df.sparkSession

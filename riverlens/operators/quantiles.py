@@ -8,17 +8,17 @@ cumulative counts over distinct values instead:
 
 1. ``groupBy(keys, value).count()``: partial aggregation collapses
    duplicates map-side, so the shuffle carries distinct values only.
-2. Each distinct value gets a bucket: equal width on a signed-log scale
-   between its group's min and max (a pure function of the data, so any
-   re-evaluation of any branch gives the same layout), ``NUM_BUCKETS`` per
-   group.  A hot group is spread over thousands of window partitions.
-3. Prefix sums run per (group, bucket) in a window; bucket totals (at most
-   groups x buckets rows) become offsets through a window over that small
-   table, broadcast back.
+2. The distinct values are range-partitioned by (keys, value) and written
+   once with their partition number.  Spark samples the bounds, so the parts
+   are even whatever the distribution: a hot group, a uniform key or a single
+   infinite value makes no part larger, and the number of parts follows the
+   session's shuffle partitions.
+3. Prefix sums run per (group, part) in a window; the parts' totals (a row
+   per group and part that meet) become offsets.
 
 The result gives for every distinct value its count and the number of
 values strictly below it in its group: enough for exact linear-interpolated
-quantiles, average ranks (Spearman) and exact-count cuts (stratified split).
+quantiles, average ranks (Spearman) and exact-count cuts.
 """
 
 from __future__ import annotations
@@ -28,39 +28,42 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-NUM_BUCKETS = 4096
+from riverlens.functions.scalars import no_nan
+from riverlens.session import written
 
 
-def ranked_values(df: DataFrame, value: str, keys: Sequence[str] = (),
-                  num_buckets: int = NUM_BUCKETS) -> DataFrame:
+def _placed(df: DataFrame, value: str, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Distinct values with counts and part ``_b``; per group and part the rows before it, in it and in all."""
+    v = no_nan(F.col(value))
+    counts = (df.select(*keys, v.alias(value)).where(F.col(value).isNotNull())
+                .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("cnt")))
+    placed = written(counts.repartitionByRange(*[F.col(k) for k in keys], F.col(value))
+                           .withColumn("_b", F.spark_partition_id()), "ranks")
+    totals = placed.groupBy(*keys, "_b").agg(F.sum("cnt").alias("_bt"))
+    w_before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    return placed, totals.select(
+        *keys, "_b", "_bt", F.coalesce(F.sum("_bt").over(w_before), F.lit(0)).cast("long").alias("_off"),
+        F.sum("_bt").over(Window.partitionBy(*keys)).cast("long").alias("n"))
+
+
+def _counted(placed: DataFrame, offsets: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
+    w_in = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    local = placed.withColumn("_lb", F.coalesce(F.sum("cnt").over(w_in), F.lit(0)))
+    return (local.join(offsets.select(*keys, "_b", "_off", "n"), [*keys, "_b"])
+                 .withColumn("before", (F.col("_off") + F.col("_lb")).cast("long")))
+
+
+def ranked_values(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     """Distinct non-null values per group with exact cumulative counts.
 
     Returns ``keys..., value, cnt, before, n`` where ``before`` is the number
     of rows in the group with a smaller value and ``n`` the group size.
     """
     keys = list(keys)
-    gk = keys or ["_all"]
-    v = F.col(value).cast("double")
-    base = df.select(*keys, v.alias(value)).where(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
     if not keys:
-        base = base.withColumn("_all", F.lit(0))
-    counts = base.groupBy(*gk, value).agg(F.count(F.lit(1)).alias("cnt"))
-    t = F.signum(F.col(value)) * F.log1p(F.abs(F.col(value)))
-    rng = counts.groupBy(*gk).agg(F.min(t).alias("_lo"), F.max(t).alias("_hi"))   # one row per group
-    width = F.col("_hi") - F.col("_lo")
-    raw_b = F.floor((t - F.col("_lo")) / width * num_buckets)
-    bucket = F.when(width > 0, F.least(F.lit(num_buckets - 1), F.coalesce(raw_b, F.lit(num_buckets - 1))))
-    withb = (counts.join(F.broadcast(rng), gk)
-                   .withColumn("_b", F.coalesce(bucket, F.lit(0)).cast("int")).drop("_lo", "_hi"))
-    totals = withb.groupBy(*gk, "_b").agg(F.sum("cnt").alias("_bt"))             # <= groups x buckets rows
-    w_before = Window.partitionBy(*gk).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*gk, "_b",
-                            F.coalesce(F.sum("_bt").over(w_before), F.lit(0)).cast("long").alias("_off"),
-                            F.sum("_bt").over(Window.partitionBy(*gk)).cast("long").alias("n"))
-    w_in = Window.partitionBy(*gk, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    local = withb.withColumn("_lb", F.coalesce(F.sum("cnt").over(w_in), F.lit(0)))
-    return (local.join(F.broadcast(offsets), [*gk, "_b"])
-                 .select(*keys, value, "cnt", (F.col("_off") + F.col("_lb")).cast("long").alias("before"), "n"))
+        return ranked_values(df.withColumn("_all", F.lit(0)), value, ["_all"]).drop("_all")
+    placed, offsets = _placed(df, value, keys)
+    return _counted(placed, offsets, value, keys).select(*keys, value, "cnt", "before", "n")
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
@@ -68,30 +71,27 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     """Linear-interpolated quantiles (pandas / ``quantile_cont`` semantics).
 
     Returns ``keys..., prob, quantile``; groups without a value are absent.
-    The (group x prob) position table is tiny and broadcast; every ranked
-    value probes it and keeps the one or two positions it covers.
+    The parts' totals tell which part holds each wanted position; only these
+    parts are read again and ranked.
     """
     keys = list(keys)
     if not keys:
-        # one constant group: the position table stays an equi-join side
         out = exact_quantiles(df.withColumn("_all", F.lit(0)), value, probs, ["_all"])
         return out.drop("_all")
-    ranked = ranked_values(df, value, keys)
-    sizes = ranked.select(*keys, "n").distinct()
-    prob_arr = F.array(*[F.lit(float(p)) for p in probs])
-    pos = (sizes.select(*keys, "n", F.explode(prob_arr).alias("prob"))
-                .withColumn("h", (F.col("n") - 1).cast("double") * F.col("prob"))
-                .withColumn("k_lo", F.floor("h").cast("long"))
-                .withColumn("k_hi", F.ceil("h").cast("long"))
-                .withColumn("frac", F.col("h") - F.col("k_lo"))
-                .drop("n"))
-    hit = ranked.join(F.broadcast(pos), keys, "inner")
-    end = F.col("before") + F.col("cnt")
-    hit = hit.where(((F.col("before") <= F.col("k_lo")) & (F.col("k_lo") < end))
-                    | ((F.col("before") <= F.col("k_hi")) & (F.col("k_hi") < end)))
-    lo_v = F.max(F.when((F.col("before") <= F.col("k_lo")) & (F.col("k_lo") < end), F.col(value)))
-    hi_v = F.max(F.when((F.col("before") <= F.col("k_hi")) & (F.col("k_hi") < end), F.col(value)))
-    out = hit.groupBy(*keys, "prob").agg(lo_v.alias("_lo"), hi_v.alias("_hi"), F.first("frac").alias("_f"))
+    placed, offsets = _placed(df, value, keys)
+    h = (F.col("n") - 1).cast("double") * F.col("prob")
+    pos = (offsets.select(*keys, "_b", "_bt", "_off", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
+                  .select(*keys, "_b", "_bt", "_off", "prob", (h - F.floor(h)).alias("frac"), F.inline(F.array(
+                      F.struct(F.lit(0).alias("side"), F.floor(h).cast("long").alias("k")),
+                      F.struct(F.lit(1).alias("side"), F.ceil(h).cast("long").alias("k")))))
+                  .where((F.col("_off") <= F.col("k")) & (F.col("k") < F.col("_off") + F.col("_bt")))
+                  .drop("_bt", "_off"))
+    wanted = placed.join(pos.select(*keys, "_b").distinct(), [*keys, "_b"], "left_semi")
+    hit = (_counted(wanted, offsets, value, keys).join(pos, [*keys, "_b"])
+           .where((F.col("before") <= F.col("k")) & (F.col("k") < F.col("before") + F.col("cnt"))))
+    out = hit.groupBy(*keys, "prob").agg(F.max(F.when(F.col("side") == 0, F.col(value))).alias("_lo"),
+                                         F.max(F.when(F.col("side") == 1, F.col(value))).alias("_hi"),
+                                         F.first("frac").alias("_f"))
     return out.select(*keys, "prob",
                       (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f")).alias("quantile"))
 
@@ -114,7 +114,7 @@ def quantiles_wide(df: DataFrame, columns: Sequence[str], probs: Sequence[float]
 
 def melt(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
          name: str = "feature", value: str = "value") -> DataFrame:
-    """Wide measurement columns to long (keys..., feature, value) rows, in-row."""
-    arr = F.array(*[F.struct(F.lit(c).alias(name), F.col(c).cast("double").alias(value))
+    """Wide measurement columns to long (keys..., feature, value) rows, in-row; NaN reads as missing."""
+    arr = F.array(*[F.struct(F.lit(c).alias(name), no_nan(F.col(c)).alias(value))
                     for c in columns])
     return (df.select(*keys, F.inline(arr)))

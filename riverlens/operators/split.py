@@ -1,13 +1,10 @@
-"""Stratified exact-size split, leakage checks, class weights, oversampling.
+"""Stratified exact-size split, leakage audit, class weights, oversampling.
 
 Order key: the first 52 bits of md5(key || ':' || seed), identical in every
-engine, uniform, and exactly representable as a double.  The per-class cut
-is exact: the ranked-values primitive finds, per class, the key at the
-test-size position (range partitioned, so the majority class is spread over
-many tasks instead of one window partition); rows then compare against
-that small per-class threshold table with a map-side broadcast join.  Key
-ties at the threshold (possible at 10^10 rows) are resolved by ``obs_id``
-inside the tiny tie group only.
+engine, uniform, and exactly representable as a double.  The first rows of a
+class in (order key, key) order are found in two steps: a histogram of the
+order key (merged map-side, at most 65,536 rows a class) names the one bucket
+in which the wanted count is reached, and only that bucket's rows are ordered.
 """
 
 from __future__ import annotations
@@ -18,10 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverlens.functions import dims
-from riverlens.operators.quantiles import exact_quantiles, ranked_values
+from riverlens.operators.quantiles import exact_quantiles
+from riverlens.session import written
 
 TEST_SIZE = 0.2
 SEED = 42
+BUCKET_WIDTH = 2 ** 36   # of the 52-bit order key: 65,536 buckets
+CHUNK = 1024
 
 
 def order_key(key: Column, seed: int = SEED) -> Column:
@@ -30,41 +30,56 @@ def order_key(key: Column, seed: int = SEED) -> Column:
     return F.conv(F.substring(h, 1, 13), 16, 10).cast("long").cast("double")
 
 
-def holdout_count(n: Column, test_size: float = TEST_SIZE) -> Column:
-    """Rows of a class going to test: round(n * size) (half up), leaving >= 1 train row."""
-    t = F.floor(n * F.lit(test_size) + F.lit(0.5)).cast("long")
-    return F.when(n <= 1, F.lit(0).cast("long")).otherwise(F.least(t, n - 1))
+def holdout_counts(sizes: DataFrame, label: str, test_size: float = TEST_SIZE) -> DataFrame:
+    """(label, need): test rows per class of ``sizes`` (label, n), ceil(n * size) in all.
+
+    The train rows are dealt to the classes in proportion, whole numbers first
+    and the rest by largest remainder (ties by label); a class keeps one train
+    row at least.
+    """
+    whole = Window.partitionBy()    # over one row per class
+    t = sizes.select(label, "n", F.sum("n").over(whole).alias("_n"))
+    t = t.withColumn("_train", (F.col("_n") - F.ceil(F.col("_n") * F.lit(test_size))).cast("decimal(19,0)"))
+    part = F.col("n").cast("decimal(19,0)") * F.col("_train")
+    t = t.withColumn("_whole", F.floor(part / F.col("_n")).cast("long")).withColumn(
+        "_rest", (part % F.col("_n").cast("decimal(19,0)")).cast("long"))
+    by_rest = Window.partitionBy().orderBy(F.desc("_rest"), label)
+    extra = F.row_number().over(by_rest) <= F.col("_train").cast("long") - F.sum("_whole").over(whole)
+    train = F.col("_whole") + extra.cast("long")
+    return t.select(label, F.greatest(F.lit(0), F.least(F.col("n") - train, F.col("n") - 1)).cast("long").alias("need"))
+
+
+def with_first(df: DataFrame, need: DataFrame, label: str, key: str, seed: int, flag: str) -> DataFrame:
+    """``df`` with ``flag``: whether the row is among the first ``need`` of its class in (order key, key) order.
+
+    ``need`` has (label, need).  ``df`` is read twice; write it before if it is
+    costly.  Rows that tie in both keys are interchangeable.
+    """
+    base = df.withColumn("_ok", order_key(F.col(key), seed)).withColumn("_b", F.floor(F.col("_ok") / BUCKET_WIDTH))
+    hist = base.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    edge = (hist.withColumn("_upto", F.sum("_n").over(upto)).join(need.withColumnRenamed("need", "_need"), label)
+                .where((F.col("_upto") >= F.col("_need")) & (F.col("_upto") - F.col("_n") < F.col("_need")))
+                .select(label, F.col("_b").alias("_edge"), (F.col("_need") - F.col("_upto") + F.col("_n")).alias("_take")))
+    out = base.join(edge, label, "left")     # a class that needs none has no edge
+    at = F.coalesce(F.col("_b") == F.col("_edge"), F.lit(False))
+    order = Window.partitionBy(label).orderBy("_ok", key)
+    ranked = out.where(at).withColumn(flag, F.row_number().over(order) <= F.col("_take"))
+    rest = out.where(~at).withColumn(flag, F.coalesce(F.col("_b") < F.col("_edge"), F.lit(False)))
+    return rest.unionByName(ranked).drop("_ok", "_b", "_edge", "_take")
 
 
 def stratified_split(df: DataFrame, label: str = "wqi_class", key: str = "obs_id",
                      test_size: float = TEST_SIZE, seed: int = SEED, materialize: bool = False) -> DataFrame:
-    """SPL-1: append ``split`` ('train' / 'test'); exact per-class test counts.
+    """SPL-1: append ``split`` ('train' / 'test'); exact total and per-class test counts.
 
-    The input is read by the rank pass, the threshold join and the tie
-    group.  With ``materialize`` it is checkpointed once to the session's
-    checkpoint folder (shared on a cluster), so upstream joins run once.
+    With ``materialize`` the input is written once to the shared folder, so
+    upstream joins run once.
     """
-    base = df.withColumn("_ok", order_key(F.col(key), seed))
-    if materialize:
-        from riverlens.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        base = base.checkpoint(eager=True)
-    ranked = ranked_values(base.select(label, "_ok"), "_ok", [label])
-    need = holdout_count(F.col("n"), test_size)
-    # the threshold key per class: the value covering position need-1
-    thr = (ranked.where((need > 0) & (F.col("before") < need) & (need <= F.col("before") + F.col("cnt")))
-                 .select(label, F.col("_ok").alias("_t"), (need - F.col("before")).alias("_take")))
-    out = base.join(F.broadcast(thr), label, "left")           # one row per class
-    below = F.coalesce(F.col("_ok") < F.col("_t"), F.lit(False))
-    at = F.coalesce(F.col("_ok") == F.col("_t"), F.lit(False))
-    # tie group at the threshold: ordered by key column only within that tiny group
-    ties = (out.where(at).select(label, key, "_take")
-               .withColumn("_r", F.row_number().over(Window.partitionBy(label).orderBy(key)))
-               .where(F.col("_r") <= F.col("_take")).select(label, key, F.lit(True).alias("_tie")))
-    out = out.join(F.broadcast(ties), [label, key], "left")  # ties: a handful of rows per class
-    is_test = below | F.coalesce(F.col("_tie"), F.lit(False))
-    return (out.withColumn("split", F.when(is_test, "test").otherwise("train"))
-               .drop("_ok", "_t", "_take", "_tie"))
+    base = written(df, "split-input") if materialize else df
+    need = holdout_counts(base.groupBy(label).agg(F.count(F.lit(1)).alias("n")), label, test_size)
+    return with_first(base, need, label, key, seed, "_test").withColumn(
+        "split", F.when(F.col("_test"), "test").otherwise("train")).drop("_test")
 
 
 def split_report(split_df: DataFrame, label: str = "wqi_class") -> DataFrame:
@@ -105,24 +120,24 @@ def oversample(train: DataFrame, label: str = "wqi_class", key: str = "obs_id",
     """SPL-4: deterministic random oversampling of every class to the majority size.
 
     Each row is repeated q or q + 1 times (q = M div n_c); the r = M mod n_c
-    extra copies go to the rows first in hash order.  Replication is an
-    in-row ``explode(sequence)``; no row is dropped.
+    extra copies go to the rows first in (hash, key) order.  Up to ``CHUNK``
+    copies are exploded in-row; a row with more is first exploded into chunks,
+    which are dealt out before they are exploded, so a rare class spreads over
+    all tasks.  No row is dropped; ``copy`` counts from 1.
     """
-    base = train.withColumn("_ok", order_key(F.col(key), seed + 1))
-    ranked = ranked_values(base.select(label, "_ok"), "_ok", [label])
-    sizes = ranked.select(label, "n").distinct()
-    m = sizes.agg(F.max("n").alias("_m"))
-    plan = sizes.withColumn("_k", F.lit(1)).join(F.broadcast(m.withColumn("_k", F.lit(1))), "_k").select(
-        label, (F.col("_m") / F.col("n")).cast("long").alias("_q"), (F.col("_m") % F.col("n")).alias("_r"))
-    thr = (ranked.join(F.broadcast(plan), label)
-                 .where((F.col("_r") > 0) & (F.col("before") < F.col("_r"))
-                        & (F.col("_r") <= F.col("before") + F.col("cnt")))
-                 .select(label, F.col("_ok").alias("_t")))
-    j = base.join(F.broadcast(plan), label).join(F.broadcast(thr), label, "left")
-    extra = F.coalesce(F.col("_ok") <= F.col("_t"), F.lit(False))
-    copies = F.col("_q") + F.when(extra, 1).otherwise(0)
-    return (j.withColumn("copy", F.explode(F.sequence(F.lit(1), copies.cast("int"))))
-             .drop("_ok", "_q", "_r", "_t"))
+    sizes = train.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    plan = sizes.withColumn("_m", F.max("n").over(Window.partitionBy()))     # one row per class
+    plan = plan.select(label, F.expr("_m div n").alias("_q"), (F.col("_m") % F.col("n")).alias("need"))
+    out = with_first(train, plan.select(label, "need"), label, key, seed + 1, "_extra").join(plan.drop("need"), label)
+    out = out.withColumn("_copies", F.col("_q") + F.col("_extra").cast("long")).drop("_q", "_extra")
+    few = out.where(F.col("_copies") <= CHUNK).withColumn(
+        "copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    chunks = out.where(F.col("_copies") > CHUNK).withColumn(
+        "_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_copies - 1) div {CHUNK}"))))
+    first = F.col("_chunk") * CHUNK + 1
+    many = chunks.repartition(F.col(key), F.col("_chunk")).withColumn(
+        "copy", F.explode(F.sequence(first, F.least(F.col("_copies"), first + (CHUNK - 1))))).drop("_chunk")
+    return few.unionByName(many).drop("_copies")
 
 
 def fitted_statistics(train: DataFrame, features: Sequence[str] = dims.MODEL_FEATURES) -> DataFrame:

@@ -84,15 +84,15 @@ def feed_key_audit(spark, sf_dir):
 
 @register("join_accounting", ("AGG-1", "AGG-2"), oracle=f"""
 WITH {JOINED_SQL},
-fb AS (SELECT state, count(*) AS n FROM bio GROUP BY ROLLUP (state)),
-fc AS (SELECT state, count(*) AS n FROM chem GROUP BY ROLLUP (state)),
-fp AS (SELECT state, count(*) AS n FROM phys GROUP BY ROLLUP (state)),
-j AS (SELECT state, count(*) AS final_rows,
+fb AS (SELECT state, grouping(state) AS g, count(*) AS n FROM bio GROUP BY ROLLUP (state)),
+fc AS (SELECT state, grouping(state) AS g, count(*) AS n FROM chem GROUP BY ROLLUP (state)),
+fp AS (SELECT state, grouping(state) AS g, count(*) AS n FROM phys GROUP BY ROLLUP (state)),
+j AS (SELECT state, grouping(state) AS g, count(*) AS final_rows,
              count(*) FILTER (WHERE has_physical_record) AS physical_matches,
              count(*) FILTER (WHERE NOT has_physical_record) AS physical_unmatched,
              count(DISTINCT station) AS stations, count(DISTINCT sampled_at) AS timestamps
       FROM joined GROUP BY ROLLUP (state)),
-s AS (SELECT state FROM fb UNION SELECT state FROM fc UNION SELECT state FROM fp UNION SELECT state FROM j)
+s AS (SELECT state, g FROM fb UNION SELECT state, g FROM fc UNION SELECT state, g FROM fp UNION SELECT state, g FROM j)
 SELECT s.state, CAST(coalesce(fb.n, 0) AS BIGINT) AS biological_rows,
        CAST(coalesce(fc.n, 0) AS BIGINT) AS chemical_rows, CAST(coalesce(fp.n, 0) AS BIGINT) AS physical_rows,
        CAST(coalesce(j.final_rows, 0) AS BIGINT) AS final_rows,
@@ -100,11 +100,11 @@ SELECT s.state, CAST(coalesce(fb.n, 0) AS BIGINT) AS biological_rows,
        CAST(coalesce(j.physical_unmatched, 0) AS BIGINT) AS physical_unmatched,
        CAST(coalesce(j.stations, 0) AS BIGINT) AS stations,
        CAST(coalesce(j.timestamps, 0) AS BIGINT) AS timestamps,
-       CASE WHEN s.state IS NULL THEN 'all' ELSE 'state' END AS scope
-FROM s LEFT JOIN fb ON s.state IS NOT DISTINCT FROM fb.state
-LEFT JOIN fc ON s.state IS NOT DISTINCT FROM fc.state
-LEFT JOIN fp ON s.state IS NOT DISTINCT FROM fp.state
-LEFT JOIN j ON s.state IS NOT DISTINCT FROM j.state
+       CASE WHEN s.g = 1 THEN 'all' ELSE 'state' END AS scope
+FROM s LEFT JOIN fb ON s.state IS NOT DISTINCT FROM fb.state AND s.g = fb.g
+LEFT JOIN fc ON s.state IS NOT DISTINCT FROM fc.state AND s.g = fc.g
+LEFT JOIN fp ON s.state IS NOT DISTINCT FROM fp.state AND s.g = fp.g
+LEFT JOIN j ON s.state IS NOT DISTINCT FROM j.state AND s.g = j.g
 """)
 def join_accounting(spark, sf_dir):
     feeds = driver_feeds(spark, sf_dir)

@@ -115,7 +115,7 @@ FROM cls c LEFT JOIN b USING (wqi_class) LEFT JOIN a USING (wqi_class)
 """)
 def class_loss_after_cleaning(spark, sf_dir):
     s = scored_observations(spark, sf_dir)
-    return P.class_loss(s, P.remove_invalid(s))
+    return P.class_loss(s, ~P.any_invalid(s))
 
 
 @register("class_distribution", ("AGG-8", "SRT-2"), oracle=f"""
@@ -155,7 +155,8 @@ def year_class_crosstab(spark, sf_dir):
 
 @register("state_overview", ("AGG-16",), oracle=f"""
 WITH {scored_cte()}
-SELECT state, count(*) AS observations, count(DISTINCT station) AS stations FROM scored GROUP BY ROLLUP (state)
+SELECT state, CASE WHEN grouping(state) = 1 THEN 'all' ELSE 'state' END AS scope, count(*) AS observations,
+       count(DISTINCT station) AS stations FROM scored GROUP BY ROLLUP (state)
 """)
 def state_overview(spark, sf_dir):
     return P.state_overview(scored_observations(spark, sf_dir))

@@ -21,12 +21,15 @@ def split_frame(spark, sf_dir):
     return S.stratified_split(labelled(spark, sf_dir), materialize=True)
 
 
-_NEED = f"CASE WHEN n <= 1 THEN 0 ELSE least(CAST(floor(n * {d(0.2)} + {d(0.5)}) AS BIGINT), n - 1) END"
 _KEY = "CAST(('0x' || substr(md5(obs_id || ':42'), 1, 13)) AS BIGINT)"
 SPLIT_SQL = (f"{scored_cte()}, lab AS (SELECT * FROM scored WHERE wqi_class IS NOT NULL), "
              f"cn AS (SELECT wqi_class, count(*) AS n FROM lab GROUP BY wqi_class), "
+             f"tn AS (SELECT *, sum(n) OVER () AS total, sum(n) OVER () - CAST(ceil(sum(n) OVER () * {d(0.2)}) AS BIGINT) AS trains FROM cn), "
+             f"rm AS (SELECT *, n * trains // total AS whole, n * trains % total AS rest FROM tn), "
+             f"al AS (SELECT wqi_class, n, whole + CASE WHEN row_number() OVER (ORDER BY rest DESC, wqi_class) "
+             f"<= trains - sum(whole) OVER () THEN 1 ELSE 0 END AS trains FROM rm), "
              f"rk AS (SELECT lab.*, row_number() OVER (PARTITION BY wqi_class ORDER BY {_KEY}, obs_id) AS rn, "
-             f"{_NEED} AS need FROM lab JOIN cn USING (wqi_class)), "
+             f"greatest(0, least(n - trains, n - 1)) AS need FROM lab JOIN al USING (wqi_class)), "
              f"sp AS (SELECT *, CASE WHEN rn <= need THEN 'test' ELSE 'train' END AS split FROM rk)")
 
 

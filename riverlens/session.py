@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -56,3 +57,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="riverlens-ckpt-")
     sc.setCheckpointDir(path)
     return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Compute ``df`` once into the shared folder and return the written table.
+
+    Several readers then share one run of what came before, a lost executor
+    costs a reread only, and the files' size tells Catalyst whether a side is
+    small.  The files can go once the job's last output is written.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/riverlens-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -27,7 +27,7 @@ def test_ranks_are_partition_independent(spark):
     pdf = pd.DataFrame({"v": [5.0, 1.0, 1.0, 3.0, 3.0, 3.0, 9.0]})
     for parts in (1, 3, 8):
         df = spark.createDataFrame(pdf).repartition(parts)
-        got = sorted((r["v"], r["cnt"], r["before"]) for r in ranked_values(df, "v", num_buckets=parts).collect())
+        got = sorted((r["v"], r["cnt"], r["before"]) for r in ranked_values(df, "v").collect())
         assert got == [(1.0, 2, 0), (3.0, 3, 2), (5.0, 1, 5), (9.0, 1, 6)]
 
 
@@ -35,3 +35,14 @@ def test_global_median(spark):
     df = spark.createDataFrame([(float(x),) for x in (1, 2, 3, 4)], "v double")
     q = exact_quantiles(df, "v", [0.5]).first()["quantile"]
     assert q == 2.5  # interpolated, unlike ml.feature.Imputer's 2.0
+
+
+def test_skewed_values_leave_even_parts(spark):
+    from riverlens.operators.quantiles import _placed
+    vals = [float(x) for x in range(20000)] + [float("inf"), 1e300, -1e300]
+    df = spark.createDataFrame([("a", v) for v in vals] + [("b", 1.0)], "g string, v double")
+    placed, _ = _placed(df, "v", ["g"])
+    sizes = [r["count"] for r in placed.groupBy("_b").count().collect()]
+    assert max(sizes) <= 3 * sum(sizes) / len(sizes)
+    got = {r["v"]: r["before"] for r in ranked_values(df.where("g = 'a'"), "v", ["g"]).collect()}
+    assert got == {v: k for k, v in enumerate(sorted(vals))}
