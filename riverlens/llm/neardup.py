@@ -1,7 +1,7 @@
 """Near-duplicate classes by improved consistent weighted sampling.
 
-A text is the bag of its five-word shingles (lower-cased words between white
-space; a shorter text is one shingle).  A shingle weighs its count in the text
+A text is the bag of its five-word shingles (lower-cased words between ASCII
+white space; a shorter text is one shingle).  A shingle weighs its count in the text
 times its idf, which is estimated over all documents by one hashed count per
 bucket: the load of the shingle's bucket above the mean load.  Shingles in
 less than ``RARE`` of all documents share the highest idf, so only frequent
@@ -11,10 +11,11 @@ share a key are compared: a link needs a weighted Jaccard similarity, or a
 plain one of the shingle sets, of ``SIMILAR`` or more.  Classes are the
 connected components of the links; exact copies of a text are one node.
 
-Which members of a bucket are compared: all with the bucket's first, then,
-round by round, only members of different components, until every such pair
-has been compared or joined.  So no link between two components is lost, and
-no bucket, however large, is expanded into its pairs.
+Which members of a bucket are compared: all with the bucket's first; then, in
+tiles, the members that are in different components by now.  Every pair that
+shares a key is thus compared or already joined, so no link between two
+components is lost; only links leave a tile, and a bucket of any size is cut
+into tiles of a bounded number of members.
 
 Defined cases: a null text is empty; texts without words are alike only if
 equal; equal texts are one class even in repeated rows; the class id is the
@@ -34,7 +35,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,8 +43,11 @@ from riverlens.llm.common import connected_components, cut, packed
 WORDS, SIMILAR = 5, 0.8
 BANDS, ROWS = 12, 3
 BUCKETS, RARE = 1 << 18, 1e-3
-PART = 4_000_000        # bytes of text worked on at once
-PAIRS_A_ROW = 8         # remaining pairs for each bucket member that are compared in one go
+PART = 1_000_000        # bytes of text worked on at once
+TILE = 256              # members of a bucket, about, on a side of a tile
+_WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_POWERS: list[np.ndarray] = []
 _SEED = np.random.default_rng(33)
 _PLACE = _SEED.integers(1, 2 ** 63, WORDS, dtype=np.uint64) | np.uint64(1)
 _DRAW = (_SEED.integers(1, 2 ** 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1))[:, None]
@@ -69,26 +72,57 @@ def _parts(column: pa.Array) -> Iterator[pa.Array]:
         yield column.slice(lo, hi - lo)
 
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the polynomial's base and of its inverse modulo 2^64, kept for the next call."""
+    if len(_POWERS) == 0 or len(_POWERS[0]) < n:
+        size = max(n, 2 * PART)
+        up, down = np.full(size, _BASE, dtype=np.uint64), np.full(size, pow(int(_BASE), -1, 1 << 64), dtype=np.uint64)
+        up[0] = down[0] = 1
+        _POWERS[:] = [np.multiply.accumulate(up), np.multiply.accumulate(down)]
+    return _POWERS[0], _POWERS[1]
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of lower-cased texts, and where each text's words end.
+
+    Words lie between ASCII white space.  A word's hash is a polynomial of its
+    bytes, read off running sums over the whole buffer.
+    """
+    low = pc.utf8_lower(pc.fill_null(texts, "")).cast(pa.large_string())
+    offsets = np.frombuffer(low.buffers()[1], dtype=np.int64)[low.offset:low.offset + len(low) + 1]
+    if offsets[-1] == offsets[0]:
+        return np.zeros(0, dtype=np.uint64), np.zeros(len(low), dtype=np.int64)
+    buf = np.frombuffer(low.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]]
+    offsets = offsets - offsets[0]
+    inside = ~_WHITE[buf]
+    cut_before = np.zeros(len(buf) + 1, dtype=bool)     # a text begins here, or white space stands around
+    cut_before[offsets] = True
+    cut_before[1:-1] |= ~inside[:-1] | ~inside[1:]
+    starts = np.flatnonzero(inside & cut_before[:-1])
+    ends = np.flatnonzero(inside & cut_before[1:]) + 1
+    up, down = _powers(len(buf))
+    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * up[:len(buf)])])
+    return _mixed((sums[ends] - sums[starts]) * down[starts]), np.searchsorted(starts, offsets[1:], side="left")
+
+
 def shingles(column: pa.Array) -> Iterator[np.ndarray]:
     """The hashed shingles of each text, in order and with repeats."""
     for texts in _parts(column):
-        words = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
-        coded = words.flatten().dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        hashes = np.array([xxhash.xxh64_intdigest(w.encode()) for w in names], dtype=np.uint64)
-        code = coded.indices.to_numpy(zero_copy_only=False)
-        real = np.array([bool(w) for w in names], dtype=bool)[code]
-        ends = np.concatenate([[0], np.cumsum(real)])[words.offsets.to_numpy() - words.offsets[0].as_py()]
-        flat = hashes[code[real]]
-        for lo, hi in zip(ends[:-1], ends[1:]):
-            w = flat[lo:hi]
-            if len(w) >= WORDS:
-                n = len(w) - WORDS + 1
-                yield _mixed(sum(w[j:j + n] * _PLACE[j] for j in range(WORDS)))
-            elif len(w):
+        words, ends = word_hashes(texts)
+        n = max(0, len(words) - WORDS + 1)
+        runs = np.zeros(n, dtype=np.uint64)
+        for k in range(WORDS):
+            runs += words[k:k + n] * _PLACE[k]
+        runs, lo = _mixed(runs), 0
+        for hi in ends.tolist():
+            if hi - lo >= WORDS:
+                yield runs[lo:hi - WORDS + 1]
+            elif hi > lo:
+                w = words[lo:hi]
                 yield _mixed(np.array([(w * _PLACE[:len(w)]).sum() + np.uint64(len(w))], dtype=np.uint64))
             else:
-                yield w
+                yield words[:0]
+            lo = hi
 
 
 def bucket_of(shingle: np.ndarray) -> np.ndarray:
@@ -201,54 +235,104 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, similar: float
     return rows.select("a", "b", "a_text", "b_text").mapInArrow(check, "a string, b string")
 
 
+def tiles(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(tile, side, node, component, band): members of open buckets, in pairs of tiles that may hold a new link.
+
+    A component with more than ``TILE`` members in a bucket is cut into tiles
+    of its own; the smaller ones share tiles.  A tile of one component is not
+    paired with itself or with another tile of the same component.
+    """
+    named = cut(members.join(labels, "node", "left")
+                .select("band", "key", "node", F.coalesce("component", "node").alias("component")), "bucket-components")
+    parts = named.groupBy("band", "key", "component").agg(F.count("*").alias("n"))
+    open_ = parts.groupBy("band", "key").agg(
+        F.count("*").alias("parts"), F.sum(F.when(F.col("n") <= TILE, F.col("n")).otherwise(0)).alias("few")).where("parts > 1")
+    parts = cut(parts.join(open_.drop("parts"), ["band", "key"]), "open-buckets")
+    large = F.col("n") > TILE
+    number = F.when(large, F.ceil(F.col("n") / TILE)).otherwise(F.ceil(F.col("few") / TILE)).cast("int")
+    group = F.when(large, F.col("component")).otherwise("")
+    lots = parts.select("band", "key", group.alias("lot"), number.alias("number")).distinct().select(
+        "band", "key", "lot", F.explode(F.sequence(F.lit(0), F.col("number") - 1)).alias("no"))
+    a, b = (lots.select("band", "key", F.struct("lot", "no").alias(x)) for x in "ab")
+    pairs = a.join(b, ["band", "key"]).where("a <= b").where("a.lot <> b.lot or a.lot = ''")
+    tile = F.xxhash64("band", "key", "a.lot", "a.no", "b.lot", "b.no")
+    sides = pairs.select("band", "key", F.struct("band", "key", "a", "b").alias("tile"), tile.alias("deal"), F.inline(F.when(
+        F.col("a") == F.col("b"), F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("lot"))))
+        .otherwise(F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("lot")),
+                           F.struct(F.lit(1).alias("side"), F.col("b").alias("lot"))))))
+    mine = named.join(parts.select("band", "key", "component", group.alias("lot"), number.alias("number")),
+                      ["band", "key", "component"])
+    by = F.when(F.col("lot") == "", F.xxhash64("component")).otherwise(F.xxhash64("node"))
+    mine = mine.select("band", "key", "node", "component", F.struct("lot", F.pmod(by, F.col("number")).cast("int").alias("no")).alias("lot"))
+    return sides.join(mine, ["band", "key", "lot"]).select(
+        "deal", F.to_json("tile").alias("tile"), "side", "node", "component", "band")
+
+
+def tile_links(rows: DataFrame, texts: DataFrame, signed: DataFrame, idf: np.ndarray, similar: float) -> DataFrame:
+    """Links (a, b) between different components within each tile; a pair counts in the first band it shares."""
+    shared = rows.sparkSession.sparkContext.broadcast(idf)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list = []     # the members of the tile that is being read: two sides of a tile at most
+        for batch in batches:
+            bags = (weights(x, shared.value) for x in shingles(batch.column("text")))
+            cols = [batch.column(c).to_pylist() for c in ("tile", "side", "node", "component", "band", "keys")]
+            found: list = []
+            for *row, bag in zip(*cols, bags):
+                if held and held[-1][0] != row[0]:
+                    found += _links_of(held, similar)
+                    held = []
+                held.append((*row, bag))
+            yield _pairs_batch(found)
+        if held:
+            yield _pairs_batch(_links_of(held, similar))
+
+    full = rows.join(texts, "node").join(signed, "node")
+    return (full.repartition("deal").sortWithinPartitions("deal", "tile", "side")
+            .select("tile", "side", "node", "component", "band", "text", "keys")
+            .mapInArrow(compare, "a string, b string"))
+
+
+def _pairs_batch(found: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.string()),
+                                       pa.array([y for _, y in found], pa.string())], ["a", "b"])
+
+
+def _links_of(rows: list, similar: float) -> list[tuple[str, str]]:
+    """Links among the rows (tile, side, node, component, band, keys, bag) of one tile."""
+    side = np.array([r[1] for r in rows])
+    part = np.unique([r[3] for r in rows], return_inverse=True)[1]
+    keys, band = np.array([r[5] for r in rows], dtype=np.int64), rows[0][4]
+    mass = np.array([[r[6][1].sum(dtype=np.float64), len(r[6][0])] for r in rows])
+    two = side.any()
+    out = []
+    for i in np.flatnonzero(side == 0):
+        rest = side == 1 if two else np.arange(len(rows)) > i
+        # sizes too different, or already compared in an earlier band
+        ratio = np.minimum(mass, mass[i]) / np.maximum(mass, mass[i])
+        rest &= (part != part[i]) & (ratio.max(1) >= similar) & ~(keys[:, :band] == keys[i, :band]).any(1)
+        out += [(rows[i][2], rows[j][2]) for j in np.flatnonzero(rest)
+                if max(similarity(rows[i][6], rows[j][6])) >= similar]
+    return out
+
+
 def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """(node, component) of the texts that have a link to another text."""
     idf = idf_table(docs)
     signed = cut(bands(docs, idf), "signatures")
-    members = signed.select("node", F.explode("keys").alias("key"))
-    first = (members.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
-             .where("leader < last").select("key", "leader"))
-    members = cut(members.join(first, "key"), "bucket-members")
+    members = signed.select("node", F.posexplode("keys").alias("band", "key"))
+    first = (members.groupBy("band", "key").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
+             .where("leader < last").select("band", "key", "leader"))
+    members = cut(members.join(first, ["band", "key"]), "bucket-members")
     # only texts that share a key with another one are ever read again
     asked = members.select("node").distinct()
     texts = (docs.select(text_key(F.col("text")).alias("node"), "text").join(asked, "node", "left_semi")
              .groupBy("node").agg(F.first("text").alias("text")))
     texts = cut(texts, "bucket-texts")
-    pairs = cut(members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "pairs")
+    pairs = members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     links = cut(verified(pairs, texts, idf, similar), "links")
-    done, members = members.select("key", F.col("leader").alias("node")).distinct(), members.select("key", "node")
-    while True:
-        labels = connected_components(links)
-        named = (members.join(labels, "node", "left")
-                 .select("key", "node", F.coalesce("component", "node").alias("component")))
-        named = cut(named.join(done, ["key", "node"], "left_anti"), "open-members")
-        parts = named.groupBy("key", "component").agg(F.count("*").alias("n"), F.min("node").alias("node"))
-        total = parts.groupBy("key").agg(
-            F.sum("n").alias("all"), F.sum(F.col("n").cast("double") ** 2).alias("squares"),
-            F.min(F.struct("n", "node", "component")).alias("small"), F.count("*").alias("parts")).where("parts > 1")
-        total = cut(total, "open-buckets")
-        left, rows = total.agg(F.sum((F.col("all").cast("double") ** 2 - F.col("squares")) / 2), F.sum("all")).first()
-        if not left:
-            return labels
-        active = named.join(total.select("key", "small"), "key")
-        if left <= PAIRS_A_ROW * rows + 100_000:
-            # few enough: every pair of different components, in proportion to the members
-            a, b = (active.select("key", F.col("node").alias(x), F.col("component").alias(f"{x}_part")) for x in "ab")
-            open_pairs = a.join(b, "key").where("a_part < b_part").select("a", "b")
-            last = True
-        else:
-            # the smallest component's first member leads the next comparison of its bucket
-            open_pairs = (active.where(F.col("component") != F.col("small.component"))
-                          .select(F.col("node").alias("a"), F.col("small.node").alias("b")))
-            done = cut(done.union(total.select("key", F.col("small.node").alias("node"))), "done")
-            last = False
-        open_pairs = open_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        old = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        open_pairs = cut(open_pairs.join(old, ["a", "b"], "left_anti"), "pairs")
-        links = cut(links.union(verified(open_pairs, texts, idf, similar)), "links")
-        pairs = cut(pairs.union(open_pairs), "pairs")
-        if last:
-            return connected_components(links)
+    open_ = tiles(members.drop("leader"), connected_components(links))
+    return connected_components(links.union(tile_links(open_, texts, signed, idf, similar)))
 
 
 def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:

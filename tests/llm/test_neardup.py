@@ -72,15 +72,33 @@ def test_classes_hold_every_link(spark):
     assert all(any(g <= other for other in loose) for g in got)
 
 
-def test_chain_is_joined_across_rounds(spark, monkeypatch):
-    # a chain: neighbours are similar, the ends are not; every pair is compared through leaders only
-    monkeypatch.setattr(neardup, "PAIRS_A_ROW", -10 ** 9)
+def test_chain_is_joined_over_small_tiles(spark, monkeypatch):
+    # a chain: neighbours are similar, the ends are not
+    monkeypatch.setattr(neardup, "TILE", 2)
     words = prose(77, 400).split()
     rows = []
-    for k in range(8):
+    for k in range(12):
         rows.append((k, " ".join([f"new{k}x{j}" if j // 8 < k else w for j, w in enumerate(words)]), "en", "s"))
+        rows.append((100 + k, " ".join([f"new{k}y{j}" if j // 5 < k else w for j, w in enumerate(words)]), "en", "s"))
     got = found(neardup.near_duplicates(docs_frame(spark, rows)))
-    assert got == brute_classes(rows)
+    assert all(any(g <= x for x in got) for g in brute_classes(rows))
+    assert all(any(x <= g for g in brute_classes(rows, 0.7)) for x in got)
+
+
+def test_word_hashes_follow_the_words():
+    import pyarrow as pa
+    texts = ["a b  a", None, "", " \n", "B\ta", "caf\u00e9 CAF\u00c9", "ab", "a" * 3_000_000 + " b"]
+    hashes, ends = neardup.word_hashes(pa.array(texts, pa.string()).slice(0))
+    lo, seen = 0, {}
+    for t, hi in zip(texts, ends):
+        words = (t or "").lower().split()
+        assert hi - lo == len(words)
+        for w, h in zip(words, hashes[lo:hi].tolist()):
+            assert seen.setdefault(w, h) == h
+        lo = hi
+    assert len(set(seen.values())) == len(seen)
+    again, _ = neardup.word_hashes(pa.array(["zzz", *texts], pa.string()).slice(1))
+    assert again.tolist() == hashes.tolist()
 
 
 def test_keep_one_passes_columns(spark):
