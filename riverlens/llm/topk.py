@@ -45,7 +45,7 @@ BLOCK = 4096            # rows of a data block, about
 QUERY_BLOCK = 1024      # rows of a query block, about
 SAMPLE = 4096           # rows that the pivots are chosen from
 PIVOTS = 1024           # pivots at most: more rows make more blocks around each
-LEAF = 64               # rows under a node that is not split further
+LEAF = 256              # rows under a node that is not split further
 
 
 # ---- cover trees within a block
@@ -99,42 +99,51 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def dual_search(q_ids: np.ndarray, q: np.ndarray, p_ids: np.ndarray, p: np.ndarray, k: int,
-                floor: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query row, ids, scores) of the k best of ``p`` for each row of ``q``, as far as they reach ``floor``."""
+                floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, id, score) of the k best of ``p`` for each row of ``q``, as far as they reach ``floor``."""
+    none = np.zeros(0, dtype=np.int64)
     if not len(q) or not len(p):
-        return
+        return none, none, none
     one, two = Tree(q), Tree(p)
-    best = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)) for _ in range(len(q))]
-    worst = floor.astype(np.float64).copy()     # the score that a candidate has to reach, by query
+    q_ids, q, worst = q_ids[one.order], q[one.order], floor[one.order].astype(np.float64)
+    p_ids, p = p_ids[two.order], p[two.order]
+    best: dict[int, tuple] = {}     # by leaf of the query tree: (row, id, score), the k best of each row
     todo = [(0, 0)]
     while todo:
         a, b = todo.pop()
-        rows = one.order[one.lo[a]:one.hi[a]]
+        lo, hi = one.lo[a], one.hi[a]
         bound = (one.centres[a] @ two.centres[b] + one.radii[a] * two.norms[b] + two.radii[b] * one.norms[a]
                  + one.radii[a] * two.radii[b])
-        if bound * (1 + 1e-9 * np.sign(bound)) + 1e-6 < worst[rows].min():
+        # worst: the score that a candidate has to reach, by query
+        if bound * (1 + 1e-9 * np.sign(bound)) + 1e-6 < worst[lo:hi].min():
             continue
         if not one.children[a] and not two.children[b]:
-            under = two.order[two.lo[b]:two.hi[b]]
-            scores = products(q[rows], p[under])
-            for r, s in zip(rows, scores):
-                hit = np.flatnonzero((s >= worst[r]) & (p_ids[under] != q_ids[r]))
-                if len(hit):
-                    ids = np.concatenate([best[r][0], p_ids[under][hit]])
-                    s = np.concatenate([best[r][1], s[hit]])
-                    top = np.lexsort((ids, -s))[:k]
-                    best[r] = ids[top], s[top]
-                    if len(top) == k:
-                        worst[r] = max(worst[r], float(s[top][-1]))
+            under = slice(two.lo[b], two.hi[b])
+            scores = products(q[lo:hi], p[under])
+            own = q_ids[lo:hi, None] == p_ids[None, under]
+            scores[own] = np.iinfo(np.int64).min
+            need = worst[lo:hi]
+            if scores.shape[1] > k:
+                need = np.maximum(need, np.partition(scores, -k, axis=1)[:, -k])
+            row, col = np.nonzero((scores >= need[:, None]) & ~own)
+            if not len(row):
+                continue
+            rows, ids, found = best.get(a, (none, none, none))
+            rows, ids = np.concatenate([rows, row + lo]), np.concatenate([ids, p_ids[under][col]])
+            found = np.concatenate([found, scores[row, col]])
+            order = np.lexsort((ids, -found, rows))
+            rows, ids, found = rows[order], ids[order], found[order]
+            nth = np.arange(len(rows)) - np.searchsorted(rows, rows, side="left")
+            best[a] = rows[nth < k], ids[nth < k], found[nth < k]
+            last = nth == k - 1
+            worst[rows[last]] = np.maximum(worst[rows[last]], found[last])
         elif one.children[a] and (not two.children[b] or one.radii[a] > two.radii[b]):
             todo += [(c, b) for c in one.children[a]]
         else:
             # the most promising child last, so that it is searched first
-            kids = two.children[b]
-            todo += [(a, c) for c in sorted(kids, key=lambda c: one.centres[a] @ two.centres[c])]
-    for r, (ids, scores) in enumerate(best):
-        if len(ids):
-            yield r, ids, scores
+            todo += [(a, c) for c in sorted(two.children[b], key=lambda c: one.centres[a] @ two.centres[c])]
+    rows, ids, found = (np.concatenate([x[n] for x in best.values()]) if best else none for n in range(3))
+    return one.order[rows], ids, found
 
 
 # ---- blocks
@@ -162,12 +171,17 @@ def _pivots(rows: DataFrame, n: int) -> tuple[np.ndarray, int]:
 
 
 def _matrix(vectors, width: int) -> np.ndarray:
+    """Rows of integers as a matrix of doubles, missing components as zeros."""
     out = np.zeros((len(vectors), width))
     for r, v in enumerate(vectors):
         out[r, :len(v)] = v
     return out
 
 
+def _unpacked(column: pd.Series, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column), dtype=np.float64).reshape(-1, width)
+
+
 def _grouped(rows: DataFrame, pivots: np.ndarray, width: int, block: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
     """Rows with pivot and block, the (pivot, block) pairs, and the covering radius of each pivot (-1 without rows)."""
     shared = rows.sparkSession.sparkContext.broadcast(pivots)
@@ -179,9 +193,9 @@ def _grouped(rows: DataFrame, pivots: np.ndarray, width: int, block: int) -> tup
             d = (x ** 2).sum(1)[:, None] - 2 * x @ c.T + (c ** 2).sum(1)[None, :]
             at = d.argmin(1)
             away = np.sqrt(((x - c[at]) ** 2).sum(1))
-            yield part.assign(pivot=at.astype(np.int32), away=away)
+            yield pd.DataFrame({"vec_id": part["vec_id"], "v": [r.tobytes() for r in x], "pivot": at.astype(np.int32), "away": away})
 
-    placed = cut(rows.select("vec_id", "v").mapInPandas(nearest, "vec_id long, v array<long>, pivot int, away double"), "placed")
+    placed = cut(rows.select("vec_id", "v").mapInPandas(nearest, "vec_id long, v binary, pivot int, away double"), "placed")
     groups = placed.groupBy("pivot").agg(F.count("*").alias("n"), F.max("away").alias("radius"))
     groups = groups.withColumn("parts", F.ceil(F.col("n") / block))
     radii, parts = np.full(len(pivots), -1.0), [1] * len(pivots)
@@ -207,12 +221,8 @@ def _compared(queries: DataFrame, data: DataFrame, cells: DataFrame, floors: Dat
     def search(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         floor = a["floor"].astype("float64").fillna(-math.inf).to_numpy()
         q_ids, p_ids = a["vec_id"].to_numpy(np.int64), b["vec_id"].to_numpy(np.int64)
-        found = list(dual_search(q_ids, _matrix(a["v"].tolist(), width), p_ids, _matrix(b["v"].tolist(), width), k, floor))
-        if not found:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-        return pd.DataFrame({"query_id": np.repeat(q_ids[[r for r, _, _ in found]], [len(i) for _, i, _ in found]),
-                             "vec_id": np.concatenate([i for _, i, _ in found]),
-                             "score": np.concatenate([s for _, _, s in found])})
+        row, ids, scores = dual_search(q_ids, _unpacked(a["v"], width), p_ids, _unpacked(b["v"], width), k, floor)
+        return pd.DataFrame({"query_id": q_ids[row], "vec_id": ids, "score": scores})
 
     keys = ["q_block", "p_block"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score long")
@@ -234,7 +244,9 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, block: int = BLOCK, que
     if not n:
         return rows.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0).cast("long").alias("score"))
     data, p_blocks, p_radii = _grouped(data, pivots, width, block)
-    queries, q_blocks, q_radii = _grouped(rows.where("q").select("vec_id", "v"), pivots, width, query_block)
+    # the queries gather around fewer of the same pivots, the ones that were chosen first
+    lead = max(1, min(len(pivots), rows.where("q").count() // query_block))
+    queries, q_blocks, q_radii = _grouped(rows.where("q").select("vec_id", "v"), pivots[:lead], width, query_block)
 
     def cells(pairs: DataFrame) -> DataFrame:
         return (pairs.join(q_blocks.select(F.col("pivot").alias("q_pivot"), F.col("block").alias("q_block")), "q_pivot")
@@ -247,12 +259,12 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, block: int = BLOCK, que
     floors = first.where(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
     worst = queries.join(floors, F.col("vec_id") == F.col("query_id"), "left").groupBy("pivot").agg(
         F.min("floor").alias("floor"), F.bool_or(F.col("floor").isNull()).alias("open"))
-    floor = np.full(len(pivots), -math.inf)
+    floor = np.full(lead, -math.inf)
     for r in worst.collect():       # a row per pivot
         floor[r["pivot"]] = -math.inf if r["open"] else r["floor"]
     # second round: the pairs of pivots whose bound reaches the worst kth score around the query pivot
     norms = np.sqrt((pivots ** 2).sum(1))
-    bound = (pivots @ pivots.T + q_radii[:, None] * norms[None, :] + p_radii[None, :] * norms[:, None]
+    bound = (pivots[:lead] @ pivots.T + q_radii[:, None] * norms[None, :] + p_radii[None, :] * norms[:lead, None]
              + q_radii[:, None] * p_radii[None, :])
     near = (bound + 1e-6 * (1 + np.abs(bound)) >= floor[:, None]) & (q_radii >= 0)[:, None] & (p_radii >= 0)[None, :]
     np.fill_diagonal(near, False)

@@ -61,9 +61,9 @@ def test_pruning_skips_far_nodes(monkeypatch):
     p = np.concatenate([rng.integers(90, 110, (500, 8)), rng.integers(-110, -90, (4000, 8))]).astype(float)
     seen = []
     monkeypatch.setattr(topk, "products", lambda a, b, f=topk.products: seen.append(len(a) * len(b)) or f(a, b))
-    found = list(topk.dual_search(np.arange(64) + 10 ** 6, q, np.arange(len(p)), p, 5, np.full(64, -np.inf)))
+    row, ids, scores = topk.dual_search(np.arange(64) + 10 ** 6, q, np.arange(len(p)), p, 5, np.full(64, -np.inf))
     exact = q @ p.T
-    for r, ids, scores in found:
+    for r in range(64):
         want = np.lexsort((np.arange(len(p)), -exact[r]))[:5]
-        assert ids.tolist() == want.tolist() and scores.tolist() == exact[r][want].astype(int).tolist()
+        assert ids[row == r].tolist() == want.tolist() and scores[row == r].tolist() == exact[r][want].astype(int).tolist()
     assert sum(seen) < 0.3 * q.shape[0] * p.shape[0]
