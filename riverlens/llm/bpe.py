@@ -34,7 +34,7 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-MEMO = 500_000
+MEMO = 120_000
 RUN = 100_000  # pre-tokens encoded at once
 
 
@@ -234,6 +234,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False)
                 flat = np.concatenate(all_ids) if all_ids else np.zeros(0, dtype=np.int32)
                 out["ids"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
             yield pa.RecordBatch.from_pydict(out)
+        pa.default_memory_pool().release_unused()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -75,7 +75,7 @@ def _parts(column: pa.Array) -> Iterator[pa.Array]:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the polynomial's base and of its inverse modulo 2^64, kept for the next call."""
     if len(_POWERS) == 0 or len(_POWERS[0]) < n:
-        size = max(n, 2 * PART)
+        size = max(n, PART + PART // 8)
         up, down = np.full(size, _BASE, dtype=np.uint64), np.full(size, pow(int(_BASE), -1, 1 << 64), dtype=np.uint64)
         up[0] = down[0] = 1
         _POWERS[:] = [np.multiply.accumulate(up), np.multiply.accumulate(down)]
@@ -207,6 +207,7 @@ def bands(docs: DataFrame, idf: np.ndarray) -> DataFrame:
             keys = [band_keys(weights(s, shared.value)) if len(s) else None for s in shingles(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(keys, pa.list_(pa.int64()))],
                                              ["node", "keys"])
+        pa.default_memory_pool().release_unused()
 
     signed = (docs.select(text_key(F.col("text")).alias("node"), "text")
               .mapInArrow(sign, "node string, keys array<long>").where("keys is not null"))
@@ -229,6 +230,7 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, similar: float
                     known = (names[k], next(right))
                 ok.append(max(similarity(bag, known[1])) >= similar)
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+        pa.default_memory_pool().release_unused()
 
     rows = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b"))
@@ -286,6 +288,7 @@ def tile_links(rows: DataFrame, texts: DataFrame, signed: DataFrame, idf: np.nda
             yield _pairs_batch(found)
         if held:
             yield _pairs_batch(_links_of(held, similar))
+        pa.default_memory_pool().release_unused()
 
     full = rows.join(texts, "node").join(signed, "node")
     return (full.repartition("deal").sortWithinPartitions("deal", "tile", "side")

@@ -42,7 +42,7 @@ REJECT = 0.5            # P(grade >= 1) from which a document is rejected
 ROUNDS, RATE, L1, REFIT = 150, 0.5, 0.8, 0.05
 MIN_DOCS = 3            # documents of the sample that a feature must be in
 WORD = re.compile(r"[^\W\d_]+")
-MEMO = 300_000
+MEMO = 60_000
 
 
 def features_of(word: str) -> list[int]:
@@ -196,6 +196,7 @@ def graded(rows: DataFrame, carried: str, schema: str, model: Model) -> DataFram
             yield pa.RecordBatch.from_arrays([batch.column(carried), pa.array(p.sum(1), pa.float64()),
                                               pa.array(likely, pa.int32()), pa.array(toxic, pa.bool_())],
                                              [carried, "severity", "grade", "toxic"])
+        pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, f"{schema}, severity double, grade int, toxic boolean")
 
@@ -211,6 +212,7 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
         for part in texts:
             p = scorer.model.exceeding(np.array([scorer.score(t) for t in part], dtype=np.float64))
             yield pd.Series([bool(t) and p.shape[1] > 0 and bool(r[0] >= REJECT) for t, r in zip(part, p)])
+        pa.default_memory_pool().release_unused()
 
     rows = docs.select(packed(docs).alias("row"), F.col("text").alias("t"))
     return rows.where(~rejected("t")).select(*[F.col(f"row.`{c}`").alias(c) for c in names])
