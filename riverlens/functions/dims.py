@@ -104,23 +104,47 @@ RULE_COLUMNS = ("parameter", "column", "kind", "direction", "limit", "critical",
                 "base_priority", "critical_priority", "unit")
 PRIORITY_ORDER: tuple[str, ...] = ("High", "Medium", "Low")
 
-# FIXED VALUES: alias -> canonical parameter code (case-insensitive match on
-# the trimmed name).  Unknown names pass through unchanged.
+# FIXED VALUES: names of each parameter in raw files and submissions, besides its
+# code, its column and its long header (all matched trimmed, in any case).
+# Unknown names pass through unchanged.
+OTHER_NAMES: dict[str, tuple[str, ...]] = {
+    "pH": ("potential of hydrogen",),
+    "DO": ("dissolved oxygen", "dissolved_oxygen"),
+    "BOD": ("biochemical oxygen demand",),
+    "FC": ("fecal coliform", "faecal coliform", "faecal coliform (mpn/100ml)", "fecal_coliform"),
+    "Log10_FC": ("log10_fc", "log_fc", "log10 fecal coliform", "log10_fecal_coliform"),
+    "Turbidity": (),
+    "EC": ("conductivity", "electrical conductivity", "electric conductivity (μs/cm)"),
+    "TDS": ("solids", "total dissolved solids"),
+    "COD": ("chemical oxygen demand",),
+    "TC": ("total coliform",),
+    "Nitrate": ("nitrate n", "nitrate (mg/l)"),
+    "Ammonia": ("ammonia_n", "ammonia n", "ammonia n (mg/l)", "amonia n (mgn/l)"),
+    "Temperature": ("temp", "temperature (ºc)", "temperature (°c)", "temperature (degc)"),
+}
 ALIASES: dict[str, str] = {
-    "ph": "pH", "potential of hydrogen (ph)": "pH",
-    "do": "DO", "do_mgl": "DO", "dissolved oxygen": "DO", "dissolved oxygen (mg/l)": "DO",
-    "bod": "BOD", "bod_mgl": "BOD", "biochemical oxygen demand (mg/l)": "BOD",
-    "cod": "COD", "cod_mgl": "COD", "chemical oxygen demand (mg/l)": "COD",
-    "ec": "EC", "electric conductivity (us/cm)": "EC", "electric conductivity (μs/cm)": "EC",
-    "tds": "TDS", "total dissolved solids (mg/l)": "TDS",
-    "turbidity": "Turbidity", "turbidity (ntu)": "Turbidity",
-    "tc": "TC", "total coliform (mpn/100ml)": "TC",
-    "fc": "FC", "fecal coliform": "FC", "fecal coliform (mpn/100ml)": "FC",
-    "log10_fc": "Log10_FC", "log_fc": "Log10_FC", "log10 fecal coliform": "Log10_FC",
-    "nitrate": "Nitrate", "nitrate_n": "Nitrate", "nitrate n (mgn/l)": "Nitrate",
-    "ammonia": "Ammonia", "ammonia_n": "Ammonia", "ammonia n (mg/l)": "Ammonia",
-    "temperature": "Temperature", "temperature (ºc)": "Temperature",
-    "temperature (degc)": "Temperature",
+    **{name.lower(): p.code for p in INDEX_PARAMETERS for name in (p.code, p.column, p.full_name)},
+    **{name: code for code, names in OTHER_NAMES.items() for name in (code.lower(), *names)},
+}
+# canonical column of each code
+CODE_COLUMNS: dict[str, str] = {**{p.code: p.column for p in INDEX_PARAMETERS},
+                                "Log10_FC": "log10_fc", "Ammonia": "ammonia_n", "Temperature": "temperature"}
+
+# FIXED VALUES: the standard each rule parameter's limits come from.
+STANDARD_SOURCES: dict[str, str] = {
+    "pH": "CPCB Class A/B/C Criteria / BIS IS 10500:2012",
+    "DO": "CPCB Class B (Bathing) / Class C (Drinking Source)",
+    "BOD": "CPCB Class B Water Quality Criteria (2008 & 2017)",
+    "FC": "CPCB Guidelines for Water Quality Management (2017)",
+    "Log10_FC": "Derived from CPCB FC <= 250 MPN/100mL via monotonic log10 transformation (M4.1)",
+    "Turbidity": "BIS IS 10500:2012 Table 1, Item 3",
+    "EC": "CPCB Guidelines (2008) Class B",
+    "TDS": "BIS IS 10500:2012 Table 1, Item 4",
+    "COD": "CPCB Guidelines (2008) / WHO Guidelines (2011)",
+    "TC": "CPCB Class B Bathing Standard (<= 500 MPN/100mL)",
+    "Nitrate": "BIS IS 10500:2012 Table 2, Item 6 (45 mg/L as NO3-)",
+    "Ammonia": "CPCB Class C Criteria (1.2 mg/L free ammonia) / BIS IS 10500:2012",
+    "Temperature": "CPCB Environmental Standards for Thermal Discharge",
 }
 
 # ---------------------------------------------------------------------------

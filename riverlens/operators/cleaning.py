@@ -11,10 +11,11 @@ import json
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riverlens.functions import dims
+from riverlens.functions.scalars import no_nan
 from riverlens.operators.history import deduplicate
 from riverlens.operators.profile import remove_invalid
 from riverlens.operators.quantiles import exact_quantiles, melt
@@ -35,9 +36,16 @@ class CleaningState:
         return CleaningState(**json.loads(text))
 
 
+def is_missing(df: DataFrame, c: str) -> Column:
+    """Null, or NaN in a floating-point column."""
+    if df.schema[c].dataType.typeName() in ("double", "float"):
+        return F.col(f"`{c}`").isNull() | F.isnan(F.col(f"`{c}`"))
+    return F.col(f"`{c}`").isNull()
+
+
 def missing_shares(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Missing percentage per column, one aggregation (long form)."""
-    one = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_m{i}")
+    one = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(is_missing(df, c)).alias(f"_m{i}")
                                                    for i, c in enumerate(columns)])
     arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_m{i}").alias("missing"))
                     for i, c in enumerate(columns)])
@@ -62,7 +70,7 @@ def fit_cleaning(df: DataFrame, features: Sequence[str] = dims.MODEL_FEATURES, t
         for r in exact_quantiles(melt(df, keep), "value", [0.5], ["feature"]).collect():  # one row per column
             fills[r["feature"]] = r["quantile"]
     elif strategy == "mean" and keep:
-        row = df.agg(*[F.avg(c).alias(c) for c in keep]).first()
+        row = df.agg(*[F.avg(no_nan(F.col(c))).alias(c) for c in keep]).first()
         fills = {c: row[c] for c in keep if row[c] is not None}
     elif strategy == "constant":
         fills = {c: float(constant) for c in keep}
@@ -82,7 +90,7 @@ def apply_cleaning(df: DataFrame, state: CleaningState, features: Sequence[str]
 def imputation_audit(before: DataFrame, state: CleaningState) -> DataFrame:
     """CLN-4: values filled per column and the shape change, one aggregation."""
     cols = [c for c in state.fill_values if c in before.columns]
-    one = before.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    one = before.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(is_missing(before, c)).alias(c) for c in cols])
     arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("imputed")) for c in cols]) if cols \
         else F.array().cast("array<struct<column_name:string,imputed:bigint>>")
     return one.select("rows", F.inline(arr)).select(
@@ -107,8 +115,7 @@ def canonical_names(df: DataFrame, aliases: dict[str, str] = dims.ALIASES) -> Da
     header's value wins and the short code fills its gaps (``coalesce``).
     Unknown names pass through unchanged.
     """
-    code_to_col = {p.code: p.column for p in dims.INDEX_PARAMETERS}
-    code_to_col.update({"Log10_FC": "log10_fc", "Ammonia": "ammonia_n", "Temperature": "temperature"})
+    code_to_col = dims.CODE_COLUMNS
     groups: dict[str, list[str]] = {}
     passthrough = []
     for c in df.columns:

@@ -16,35 +16,55 @@ from pyspark.sql import functions as F
 
 from riverlens.functions import dims
 from riverlens.functions.index import with_index
-from riverlens.functions.scalars import in_bounds
+from riverlens.functions.scalars import in_bounds, no_nan
 from riverlens.operators.quantiles import melt
+from riverlens.session import written
 
 # FIXED VALUES: probe step per model feature for the sensitivity screen.
 PROBE_STEPS: dict[str, float] = {"ph": 0.01, "do_mgl": 0.1, "bod_mgl": 0.1, "fc": 1.0}
 
 
-def input_gate(df: DataFrame, bounds=dims.INPUT_BOUNDS) -> DataFrame:
-    """VAL-5: ``gate_reason`` = missing > outside, null when accepted.
+def input_gate(df: DataFrame, bounds=dims.INPUT_BOUNDS, unexpected: Sequence[str] = ()) -> DataFrame:
+    """VAL-5 on typed columns: ``gate_reason`` = missing > unexpected > outside, null when accepted.
 
-    Values may arrive as text; a value that is not a plain finite number in
-    the inclusive bounds is 'outside'.  Booleans are rejected as well.
+    A null, NaN or empty text is missing; a value in one of the ``unexpected``
+    columns is unexpected; text, a boolean or a number outside the inclusive
+    bounds is outside.
     """
-    missing = F.lit(False)
-    outside = F.lit(False)
+    missing, outside, more = F.lit(False), F.lit(False), F.lit(False)
     for c, (lo, hi) in bounds.items():
-        raw = F.col(c)
-        dt = df.schema[c].dataType.typeName()
-        if dt == "boolean":
-            num = F.lit(None).cast("double")
-            missing = missing | raw.isNull()
-        elif dt == "string":
-            missing = missing | raw.isNull() | (F.trim(raw) == "")
-            num = F.expr(f"try_cast(trim(`{c}`) AS DOUBLE)")
+        raw, kind = F.col(c), df.schema[c].dataType.typeName()
+        if kind in ("string", "boolean"):
+            missing = missing | raw.isNull() | (raw.cast("string") == "")
+            outside = F.lit(True)
         else:
-            missing = missing | raw.isNull()
-            num = raw.cast("double")
-        outside = outside | ~F.coalesce(in_bounds(num, lo, hi), F.lit(False))
-    return df.withColumn("gate_reason", F.when(missing, "missing").when(outside, "outside"))
+            num = no_nan(raw)
+            missing = missing | num.isNull()
+            outside = outside | ~F.coalesce(in_bounds(num, lo, hi), F.lit(False))
+    for c in unexpected:
+        more = more | F.col(c).isNotNull()
+    return df.withColumn("gate_reason", F.when(missing, "missing").when(more, "unexpected").when(outside, "outside"))
+
+
+def gate_payload(df: DataFrame, payload: str = "payload", bounds=dims.INPUT_BOUNDS) -> DataFrame:
+    """VAL-5 on submissions as JSON text: the four columns (null unless numbers) and ``gate_reason``.
+
+    The type decides, not the look: the text "7.2" and a boolean are outside.
+    A field that is absent, null or an empty text is missing; a field that is
+    not among the four is unexpected.  A payload that is no JSON object lacks
+    everything.  The payload is read once as numbers, which
+    leaves text and booleans null, and once as text; all in-row.
+    """
+    number, text = (F.from_json(F.col(payload), ", ".join(f"`{c}` {kind}" for c in bounds)) for kind in ("DOUBLE", "STRING"))
+    names = F.coalesce(F.json_object_keys(F.col(payload)), F.array().cast("array<string>"))
+    rows = df.withColumns({"_number": number, "_text": text, "_names": names})
+    missing, outside = F.lit(False), F.lit(False)
+    for c, (lo, hi) in bounds.items():
+        missing = missing | (F.coalesce(F.col(f"_text.{c}"), F.lit("")) == "")
+        outside = outside | ~F.coalesce(in_bounds(F.col(f"_number.{c}"), lo, hi), F.lit(False))
+    more = F.size(F.array_except("_names", F.array(*[F.lit(c) for c in bounds]))) > 0
+    reason = F.when(missing, "missing").when(more, "unexpected").when(outside, "outside")
+    return rows.withColumns({"gate_reason": reason, **{c: F.col(f"_number.{c}") for c in bounds}}).drop("_number", "_text", "_names")
 
 
 def support_ranges(train: DataFrame, features: Sequence[str] = dims.MODEL_FEATURES) -> DataFrame:
@@ -106,33 +126,34 @@ def uncertain(prob_max, threshold: float = dims.UNCERTAIN_BELOW):
     return prob_max < threshold
 
 
-# FIXED VALUES: acceptable range shown in the review table per core parameter.
-REVIEW_LIMITS: dict[str, tuple[str, float | None, float | None, str]] = {
-    "ph": ("pH", 6.5, 8.5, "pH scale"),
-    "do_mgl": ("DO", 5.0, None, "mg/L"),
-    "bod_mgl": ("BOD", None, 3.0, "mg/L"),
-    "fc": ("FC", None, 250.0, "MPN/100mL"),
-    "log10_fc": ("Log10_FC", None, 2.398, "log10 MPN/100mL"),
-}
+def review_limits(rules=dims.RULES) -> dict[str, tuple[str, float | None, float | None, str, str]]:
+    """Column to (parameter, lowest, highest, unit, source) acceptable, read off the rules."""
+    out: dict[str, tuple] = {}
+    for parameter, column, _, side, limit, *_, unit in rules:
+        _, lo, hi, *_ = out.get(column, (parameter, None, None))
+        lo, hi = (limit, hi) if side == "below" else (lo, limit)
+        out[column] = (parameter, lo, hi, unit, dims.STANDARD_SOURCES[parameter])
+    return out
 
 
-def measurement_review(df: DataFrame, keys: Sequence[str] = ("obs_id",), limits=REVIEW_LIMITS) -> DataFrame:
-    """SCO-8: per observation and parameter: value, unit, acceptable range, abnormal flag.
+def measurement_review(df: DataFrame, keys: Sequence[str] = ("obs_id",), rules=dims.RULES) -> DataFrame:
+    """SCO-8: per observation and measured parameter: value, unit, range, source, abnormal flag.
 
-    Built in-row (array of structs + inline) against the fixed limit table:
-    no join, no shuffle.
+    A value is abnormal when one of its rules finds it so.  Built in-row (array
+    of structs + inline) against the fixed rules: no join, no shuffle.
     """
     items = []
-    for col, (param, lo, hi, unit) in limits.items():
-        v = F.col(col).cast("double")
+    for column, (param, lo, hi, unit, source) in review_limits(rules).items():
+        if column not in df.columns:
+            continue
+        v = no_nan(F.col(column))
         bad = F.lit(False)
-        if lo is not None:
-            bad = bad | (v < lo)
-        if hi is not None:
-            bad = bad | (v > hi)
+        for parameter, _, _, side, limit, *_ in rules:
+            if parameter == param:
+                bad = bad | (v < limit if side == "below" else v > limit)
         items.append(F.struct(F.lit(param).alias("parameter"), v.alias("value"), F.lit(unit).alias("unit"),
                               F.lit(lo).cast("double").alias("lower_limit"),
-                              F.lit(hi).cast("double").alias("upper_limit"),
+                              F.lit(hi).cast("double").alias("upper_limit"), F.lit(source).alias("source"),
                               F.coalesce(bad, F.lit(False)).alias("abnormal")))
     return df.select(*keys, F.inline(F.array(*items)))
 
@@ -152,46 +173,61 @@ def decision_summary_json(findings_df: DataFrame, keys: Sequence[str] = ("obs_id
     return findings_df.select(*keys, F.to_json(doc).alias("document"))
 
 
-MAX_QUERIES = 10_000
-
-
 def nearest_labelled(queries: DataFrame, labelled: DataFrame, stats: DataFrame,
-                     features: Sequence[str], k: int = 3, buckets: int = 64,
-                     group: str = "split", key: str = "obs_id") -> DataFrame:
+                     features: Sequence[str], k: int = 3, group: str = "split", key: str = "obs_id",
+                     query_key: str = "obs_id") -> DataFrame:
     """SCO-10: the k nearest labelled rows per query and group in train-standardised space.
 
-    Queries are a bounded set (checked, then broadcast); every labelled row
-    with complete features is compared with every query.  Top-k is two-level:
-    per (query, group, hash bucket) first, then over the <= buckets * k
-    survivors, so no task holds a whole group.
+    Space is cut into cells of edge h.  A query meets the labelled rows of its
+    cell and the adjacent ones, which hold every row within distance h; a query
+    whose kth distance is at most h is answered, the others go on with h
+    doubled until all are.  Any number of queries; equi-joins on (group, cell),
+    which AQE splits where a cell is hot.  Of equal points only the k smallest
+    keys can be an answer, so they are cut to these before any join.
     """
-    n_q = queries.count()
-    if n_q > MAX_QUERIES:
-        raise ValueError(f"{n_q} queries exceed the broadcast bound {MAX_QUERIES}")
-    wide = stats.agg(*[F.max(F.when(F.col("feature") == f, F.struct("mean", "std_pop"))).alias(f"_s_{f}")
-                       for f in features])
-    def z(df, prefix):
-        cols = {}
-        for f in features:
-            s = F.col(f"_s_{f}")
-            sd = F.when(s["std_pop"] > 0, s["std_pop"]).otherwise(1.0)
-            cols[f"{prefix}{f}"] = (F.col(f) - s["mean"]) / sd
-        return cols
-    one = F.lit(1)
-    q = (queries.withColumn("_k", one).join(F.broadcast(wide.withColumn("_k", one)), "_k")
-                .select(F.col(key).alias("query_id"), *[v.alias(n) for n, v in z(queries, "q_").items()]))
-    complete = F.lit(True)
-    for f in features:
-        complete = complete & F.col(f).isNotNull()
-    rows = (labelled.where(complete).withColumn("_k", one).join(F.broadcast(wide.withColumn("_k", one)), "_k")
-                    .select(key, group, "wqi_class", *[v.alias(n) for n, v in z(labelled, "r_").items()]))
-    pairs = rows.withColumn("_k", one).join(F.broadcast(q.withColumn("_k", one)), "_k") \
-                .where(F.col(key) != F.col("query_id"))
-    dist = F.sqrt(sum(((F.col(f"r_{f}") - F.col(f"q_{f}")) ** 2 for f in features), F.lit(0.0)))
-    pairs = pairs.select("query_id", group, key, "wqi_class", dist.alias("distance"),
-                         (F.abs(F.xxhash64(key)) % buckets).alias("_b"))
-    w1 = Window.partitionBy("query_id", group, "_b").orderBy("distance", key)
-    local = pairs.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= k)
-    w2 = Window.partitionBy("query_id", group).orderBy("distance", key)
-    return (local.withColumn("neighbour_rank", F.row_number().over(w2)).where(F.col("neighbour_rank") <= k)
-                 .select("query_id", group, "neighbour_rank", key, "wqi_class", "distance"))
+    fitted = {r["feature"]: r for r in stats.select("feature", "mean", "std_pop").collect()}   # a row per feature
+    z = {f: (no_nan(F.col(f)) - F.lit(fitted[f]["mean"])) / F.lit(fitted[f]["std_pop"] or 1.0)
+         if f in fitted else F.lit(None).cast("double") for f in features}
+    axes = [f"_z{i}" for i in range(len(features))]
+
+    def placed(df: DataFrame, *cols) -> DataFrame:
+        return df.select(*cols, *[v.alias(a) for a, v in zip(axes, z.values())]).dropna(subset=axes)
+
+    same = Window.partitionBy(group, *axes).orderBy("_r")
+    rows = (placed(labelled, F.col(key).alias("_r"), group, "wqi_class")
+            .withColumn("_nth", F.row_number().over(same)).where(F.col("_nth") <= k))
+    rows = written(rows.select("_r", group, "wqi_class", *[F.col(a).alias(f"r{a}") for a in axes]), "labelled-points")
+    groups = [r[0] for r in labelled.select(group).distinct().collect()]      # the few groups, as train and test
+    open_ = written(placed(queries, F.col(query_key).alias("query_id"))
+                    .withColumn(group, F.explode(F.array(*[F.lit(g) for g in groups]))), "open-queries")
+    n, span = rows.agg(F.count(F.lit(1)), F.max(F.greatest(*[F.abs(f"r{a}") for a in axes], F.lit(0.0)))).first()
+    reach = max(span or 0.0, open_.agg(F.max(F.greatest(*[F.abs(a) for a in axes], F.lit(0.0)))).first()[0] or 0.0)
+    edge = 4.0 / max(1.0, n / 4.0) ** (1.0 / len(axes))
+    answers = []
+    while True:
+        last = edge > 2 * reach     # one step of cells then covers everything
+        cell = lambda prefix, h=edge: [F.floor(F.col(f"{prefix}{a}") / h) for a in axes]
+        steps = F.array(*[F.lit(s) for s in (-1, 0, 1)])
+        probes = open_.withColumn("_c0", F.array(*cell("")))
+        for i in range(len(axes)):
+            probes = probes.withColumn(f"_s{i}", F.explode(steps))
+        probes = probes.withColumn("_cell", F.array(*[F.col("_c0")[i] + F.col(f"_s{i}") for i in range(len(axes))]))
+        probes = probes.drop("_c0", *[f"_s{i}" for i in range(len(axes))])
+        pairs = probes.join(rows.withColumn("_cell", F.array(*cell("r"))), [group, "_cell"])
+        pairs = pairs.where(F.col("_r").cast("string") != F.col("query_id").cast("string"))
+        dist = F.sqrt(sum(((F.col(f"r{a}") - F.col(a)) ** 2 for a in axes), F.lit(0.0)))
+        w = Window.partitionBy("query_id", group).orderBy("distance", "_r")
+        best = (pairs.select("query_id", group, "_r", "wqi_class", dist.alias("distance"))
+                .withColumn("neighbour_rank", F.row_number().over(w)).where(F.col("neighbour_rank") <= k))
+        best = written(best, "nearest")
+        sure = best.groupBy("query_id", group).agg(F.max("neighbour_rank").alias("_n"), F.max("distance").alias("_far"))
+        sure = sure.where(F.lit(last) | ((F.col("_n") == k) & (F.col("_far") <= edge))).select("query_id", group)
+        answers.append(best.join(sure, ["query_id", group], "left_semi"))
+        open_ = written(open_.join(sure, ["query_id", group], "left_anti"), "open-queries")
+        if last or open_.isEmpty():
+            break
+        edge *= 2
+    out = answers[0]
+    for a in answers[1:]:
+        out = out.unionByName(a)
+    return out.select("query_id", group, "neighbour_rank", F.col("_r").alias(key), "wqi_class", "distance")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riverlens.operators import ingest as I
-from riverlens.plans.oracle import EXTRAS, MEASUREMENTS, OBS_ID, obs_cte
+from riverlens.operators import labelling as L
+from riverlens.plans.oracle import EXTRAS, MEASUREMENTS, OBS_ID, obs_cte, scored_cte
 from riverlens.plans.registry import register
 from riverlens.sources.feeds import driver_feeds
 from riverlens.sources.tables import observations
@@ -141,3 +142,11 @@ WITH {obs_cte()}
 """)
 def missing_by_state(spark, sf_dir):
     return I.missing_percentages(observations(spark, sf_dir), ("ph", "do_mgl", "bod_mgl", "fc"), ("state",))
+
+
+@register("missing_by_class", ("AGG-28",), oracle=f"""
+WITH {scored_cte()}
+{_missing_sql('scored', ('ph', 'do_mgl', 'bod_mgl', 'fc'), ('wqi_class',))}
+""")
+def missing_by_class(spark, sf_dir):
+    return I.missing_percentages(L.score(observations(spark, sf_dir)), ("ph", "do_mgl", "bod_mgl", "fc"), ("wqi_class",))

@@ -10,8 +10,8 @@ from riverlens.plans.registry import register
 from riverlens.sources.tables import observations
 
 
-def scored_observations(spark, sf_dir, with_coordinates=False):
-    return L.score(observations(spark, sf_dir, with_coordinates))
+def scored_observations(spark, sf_dir, with_coordinates=False, raw=False):
+    return L.score(observations(spark, sf_dir, with_coordinates, raw))
 
 
 @register("wqi_scores", ("WQI-1", "WQI-2", "WQI-3", "WQI-4", "SCL-3"), oracle=f"""

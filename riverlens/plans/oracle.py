@@ -30,6 +30,15 @@ MEASUREMENTS = {
     "fc": _residue_null(13, f"l_extendedprice / {d(50.0)}"),
 }
 
+RAW_MEASUREMENTS = {
+    "ph": f"CASE WHEN l_orderkey % 41 = 0 THEN {d(15.0)} ELSE {MEASUREMENTS['ph']} END",
+    "do_mgl": (f"CASE WHEN l_orderkey % 43 = 0 THEN {d(16.0)} WHEN l_orderkey % 47 = 0 THEN {d(31.0)} "
+               f"ELSE {MEASUREMENTS['do_mgl']} END"),
+    "bod_mgl": f"CASE WHEN l_orderkey % 53 = 0 THEN {d(-1.0)} ELSE {MEASUREMENTS['bod_mgl']} END",
+    "fc": (f"CASE WHEN l_orderkey % 59 = 0 THEN NULL WHEN l_orderkey % 61 = 0 THEN {d(2.5e8)} "
+           f"ELSE {MEASUREMENTS['fc']} END"),
+}
+
 COORDINATES = {
     "latitude": (f"CASE WHEN l_orderkey % 11 = 0 THEN NULL WHEN l_orderkey % 17 = 0 THEN {d(95.0)} "
                  f"ELSE {d(8.0)} + CAST(l_suppkey % 25 AS DOUBLE) + CAST(l_linenumber AS DOUBLE) / {d(100.0)} END"),
@@ -45,9 +54,9 @@ EXTRAS = {
 }
 
 
-def obs_cte(with_coordinates: bool = False, name: str = "obs") -> str:
+def obs_cte(with_coordinates: bool = False, name: str = "obs", raw: bool = False) -> str:
     cols = [f"{OBS_ID} AS obs_id", "s_name AS station", "n_name AS state", "l_shipdate AS sampled_at"]
-    cols += [f"{v} AS {k}" for k, v in MEASUREMENTS.items()]
+    cols += [f"{v} AS {k}" for k, v in (RAW_MEASUREMENTS if raw else MEASUREMENTS).items()]
     if with_coordinates:
         cols += [f"{v} AS {k}" for k, v in COORDINATES.items()]
     return (f"{name} AS (SELECT {', '.join(cols)} FROM lineitem "
@@ -112,11 +121,11 @@ def potability_sql(score: str) -> str:
             "THEN 1 ELSE 0 END AS INTEGER)")
 
 
-def scored_cte(name: str = "scored", src: str = "obs", with_coordinates: bool = False) -> str:
+def scored_cte(name: str = "scored", src: str = "obs", with_coordinates: bool = False, raw: bool = False) -> str:
     """obs CTE followed by a CTE adding n_params, wqi_score, wqi_class, potability."""
     cols = ["ph", "do_mgl", "bod_mgl", "fc"]
     idx_sql, idx = index_ctes(src, cols)
-    return (f"{obs_cte(with_coordinates)}, {idx_sql}, "
+    return (f"{obs_cte(with_coordinates, raw=raw)}, {idx_sql}, "
             f"{name} AS (SELECT *, {class_sql('wqi_score')} AS wqi_class, "
             f"{potability_sql('wqi_score')} AS potability FROM _idx)")
 

@@ -82,21 +82,21 @@ _ANY_BAD = " OR ".join(_bad(c) for c in RAW)
 
 
 @register("invalid_counts", ("AGG-12",), oracle=f"""
-WITH {scored_cte()}
+WITH {scored_cte(raw=True)}
 {' UNION ALL '.join(f"SELECT '{c}' AS feature, count(*) FILTER (WHERE {_bad(c)}) AS invalid, count(*) AS rows FROM scored" for c in RAW)}
 UNION ALL SELECT 'any' AS feature, count(*) FILTER (WHERE {_ANY_BAD}) AS invalid, count(*) AS rows FROM scored
 """)
 def invalid_counts(spark, sf_dir):
-    return P.invalid_counts(scored_observations(spark, sf_dir))
+    return P.invalid_counts(scored_observations(spark, sf_dir, raw=True))
 
 
 @register("valid_observations", ("FLT-1",), oracle=f"""
-WITH {scored_cte()}
+WITH {scored_cte(raw=True)}
 SELECT obs_id, round(ph, 6) AS ph, round(do_mgl, 6) AS do_mgl, round(bod_mgl, 6) AS bod_mgl, round(fc, 6) AS fc
 FROM scored WHERE NOT ({_ANY_BAD})
 """)
 def valid_observations(spark, sf_dir):
-    df = P.remove_invalid(scored_observations(spark, sf_dir))
+    df = P.remove_invalid(scored_observations(spark, sf_dir, raw=True))
     return df.select("obs_id", *[P.r(F.col(c)).alias(c) for c in RAW])
 
 
@@ -105,7 +105,7 @@ def _class_dim_values():
 
 
 @register("class_loss_after_cleaning", ("AGG-13",), oracle=f"""
-WITH {scored_cte()}, cls(wqi_class, class_order) AS (SELECT * FROM (VALUES {_class_dim_values()})),
+WITH {scored_cte(raw=True)}, cls(wqi_class, class_order) AS (SELECT * FROM (VALUES {_class_dim_values()})),
 b AS (SELECT wqi_class, count(*) AS n FROM scored GROUP BY wqi_class),
 a AS (SELECT wqi_class, count(*) AS n FROM scored WHERE NOT ({_ANY_BAD}) GROUP BY wqi_class)
 SELECT c.wqi_class, c.class_order, CAST(coalesce(b.n, 0) AS BIGINT) AS before, CAST(coalesce(a.n, 0) AS BIGINT) AS after,
@@ -114,7 +114,7 @@ SELECT c.wqi_class, c.class_order, CAST(coalesce(b.n, 0) AS BIGINT) AS before, C
 FROM cls c LEFT JOIN b USING (wqi_class) LEFT JOIN a USING (wqi_class)
 """)
 def class_loss_after_cleaning(spark, sf_dir):
-    s = scored_observations(spark, sf_dir)
+    s = scored_observations(spark, sf_dir, raw=True)
     return P.class_loss(s, ~P.any_invalid(s))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riverlens.functions.dims import PARAMETER_BY_COLUMN
+from riverlens.functions.dims import PARAMETER_BY_COLUMN, STANDARD_SOURCES
 from riverlens.functions.index import with_score
 from riverlens.functions.scalars import log10_floor1
 from riverlens.operators import metrics as M
@@ -15,27 +15,27 @@ from riverlens.plans.registry import register
 from riverlens.plans.rules import obs_with_findings
 
 
+# the oracle's own table of limits: (column, parameter, lowest, highest, unit)
+_REVIEWED = (("ph", "pH", 6.5, 8.5, "pH scale"), ("do_mgl", "DO", 5.0, 14.6, "mg/L"), ("bod_mgl", "BOD", None, 3.0, "mg/L"),
+             ("fc", "FC", None, 250.0, "MPN/100mL"), ("log10_fc", "Log10_FC", None, 2.398, "log10 MPN/100mL"))
+
+
 def _review_sql():
     parts = []
-    for col, (param, lo, hi, unit) in SC.REVIEW_LIMITS.items():
-        conds = []
-        if lo is not None:
-            conds.append(f"{col} < {d(lo)}")
-        if hi is not None:
-            conds.append(f"{col} > {d(hi)}")
+    for col, param, lo, hi, unit in _REVIEWED:
+        conds = ([f"{col} < {d(lo)}"] if lo is not None else []) + [f"{col} > {d(hi)}"]
         parts.append(f"SELECT obs_id, '{param}' AS parameter, round({col}, 6) AS value, '{unit}' AS unit, "
-                     f"{d(lo) if lo is not None else 'CAST(NULL AS DOUBLE)'} AS lower_limit, "
-                     f"{d(hi) if hi is not None else 'CAST(NULL AS DOUBLE)'} AS upper_limit, "
-                     f"coalesce({' OR '.join(conds)}, false) AS abnormal FROM rv")
+                     f"{d(lo) if lo is not None else 'CAST(NULL AS DOUBLE)'} AS lower_limit, {d(hi)} AS upper_limit, "
+                     f"'{STANDARD_SOURCES[param]}' AS source, coalesce({' OR '.join(conds)}, false) AS abnormal FROM rv")
     return " UNION ALL ".join(parts)
 
 
 @register("measurement_review", ("SCO-8",), oracle=f"""
-WITH {scored_cte()}, rv AS (SELECT *, CASE WHEN fc IS NOT NULL THEN log10(greatest(fc, {d(1.0)})) END AS log10_fc FROM scored)
+WITH {scored_cte(raw=True)}, rv AS (SELECT *, CASE WHEN fc IS NOT NULL THEN log10(greatest(fc, {d(1.0)})) END AS log10_fc FROM scored)
 {_review_sql()}
 """)
 def measurement_review(spark, sf_dir):
-    s = scored_observations(spark, sf_dir).withColumn("log10_fc", log10_floor1(F.col("fc")))
+    s = scored_observations(spark, sf_dir, raw=True).withColumn("log10_fc", log10_floor1(F.col("fc")))
     return SC.measurement_review(s).withColumn("value", F.round("value", 6))
 
 

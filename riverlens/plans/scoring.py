@@ -5,39 +5,55 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riverlens.functions import dims
+from riverlens.functions.scalars import log10_floor1
 from riverlens.operators import scoring as SC
+from riverlens.operators import split as S
 from riverlens.plans.labelling import scored_observations
 from riverlens.plans.oracle import class_sql, d, index_ctes, scored_cte
 from riverlens.plans.registry import register
 from riverlens.plans.rules import OBS_PROF, _elevated_sql, obs_with_findings, OBS_RULE_COLS
 from riverlens.plans.training import SPLIT_SQL, split_frame
+from riverlens.session import written
+from riverlens.sources.tables import submissions
 
 FEATURES = dims.MODEL_FEATURES
 
 
-def _gate_sql():
-    miss = " OR ".join(f"{c} IS NULL" for c in dims.INPUT_BOUNDS)
-    out = " OR ".join(f"NOT coalesce({c} IS NOT NULL AND NOT isnan({c}) AND isfinite({c}) AND {c} BETWEEN {d(lo)} AND {d(hi)}, false)"
-                      for c, (lo, hi) in dims.INPUT_BOUNDS.items())
-    return f"CASE WHEN {miss} THEN 'missing' WHEN {out} THEN 'outside' END"
+# the oracle's own account of what each residue of the key does to a submission
+SUBMISSIONS_SQL = f"""subs AS (
+  SELECT c_custkey AS submission_id,
+         CASE WHEN c_custkey % 17 = 0 OR c_custkey % 41 = 6 OR (c_custkey % 37 = 5 AND c_custkey % 19 <> 1) THEN 'missing'
+              WHEN c_custkey % 23 = 2 THEN 'unexpected'
+              WHEN c_custkey % 19 = 1 OR c_custkey % 29 = 3 OR c_custkey % 31 = 4 THEN 'outside' END AS gate_reason,
+         {d(5.2)} + {d(0.07)} * (c_custkey % 50) AS ph, {d(1.0)} + {d(1.7)} * (c_custkey % 9) AS do_mgl,
+         {d(0.9)} * (c_custkey % 11) AS bod_mgl, abs(c_acctbal) / {d(5.0)} AS fc FROM customer)"""
+
+
+def gated_submissions(spark, sf_dir):
+    return SC.gate_payload(submissions(spark, sf_dir))
+
+
+def accepted_submissions(spark, sf_dir):
+    """Accepted submissions as a table of raw measurements, without any label."""
+    return gated_submissions(spark, sf_dir).where(F.col("gate_reason").isNull()).select("submission_id", *FEATURES)
 
 
 @register("input_gate_summary", ("VAL-5",), oracle=f"""
-WITH {scored_cte()}
-SELECT coalesce({_gate_sql()}, 'accepted') AS status, count(*) AS n FROM scored GROUP BY ALL
+WITH {SUBMISSIONS_SQL}
+SELECT coalesce(gate_reason, 'accepted') AS status, count(*) AS n FROM subs GROUP BY ALL
 """)
 def input_gate_summary(spark, sf_dir):
-    g = SC.input_gate(scored_observations(spark, sf_dir))
+    g = gated_submissions(spark, sf_dir)
     return g.groupBy(F.coalesce("gate_reason", F.lit("accepted")).alias("status")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("rejected_submissions", ("VAL-5",), oracle=f"""
-WITH {scored_cte()}, g AS (SELECT obs_id, {_gate_sql()} AS gate_reason FROM scored)
-SELECT obs_id, gate_reason FROM g WHERE gate_reason IS NOT NULL
+WITH {SUBMISSIONS_SQL}
+SELECT submission_id, gate_reason FROM subs WHERE gate_reason IS NOT NULL
 """)
 def rejected_submissions(spark, sf_dir):
-    g = SC.input_gate(scored_observations(spark, sf_dir))
-    return g.where(F.col("gate_reason").isNotNull()).select("obs_id", "gate_reason")
+    g = gated_submissions(spark, sf_dir)
+    return g.where(F.col("gate_reason").isNotNull()).select("submission_id", "gate_reason")
 
 
 _SUPPORT_PARTS = " UNION ALL ".join(
@@ -112,33 +128,28 @@ def _z_sql(prefix, src_alias):
 
 _NN_STATS = " UNION ALL ".join(
     f"SELECT '{f}' AS feature, avg({f}) AS mean, stddev_pop({f}) AS std_pop FROM tr" for f in NN_FEATURES)
-_NN_BOUNDS = " AND ".join(
-    f"({c} IS NOT NULL AND isfinite({c}) AND {c} BETWEEN {d(lo)} AND {d(hi)})" for c, (lo, hi) in dims.INPUT_BOUNDS.items())
 
 
 @register("nearest_labelled", ("SCO-10",), oracle=f"""
 WITH {SPLIT_SQL}, spl AS (SELECT *, CASE WHEN fc IS NOT NULL THEN log10(greatest(fc, {d(1.0)})) END AS log10_fc FROM sp),
-tr AS (SELECT * FROM spl WHERE split = 'train'), st AS ({_NN_STATS}),
-qsrc AS (SELECT * FROM spl WHERE {_NN_BOUNDS} ORDER BY sampled_at, obs_id LIMIT 1),
-q AS (SELECT obs_id AS query_id, {_z_sql('q_', 'qsrc')} FROM qsrc),
+tr AS (SELECT * FROM spl WHERE split = 'train'), st AS ({_NN_STATS}), {SUBMISSIONS_SQL},
+qsrc AS (SELECT *, log10(greatest(fc, {d(1.0)})) AS log10_fc FROM subs WHERE gate_reason IS NULL),
+q AS (SELECT submission_id AS query_id, {_z_sql('q_', 'qsrc')} FROM qsrc),
 r AS (SELECT obs_id, split, wqi_class, {_z_sql('r_', 'spl')} FROM spl
       WHERE {' AND '.join(f'{f} IS NOT NULL' for f in NN_FEATURES)}),
 p AS (SELECT query_id, split, obs_id, wqi_class,
-             sqrt({' + '.join(f'(r_{f} - q_{f}) * (r_{f} - q_{f})' for f in NN_FEATURES)}) AS distance
-      FROM r, q WHERE obs_id <> query_id),
-k AS (SELECT *, row_number() OVER (PARTITION BY query_id, split ORDER BY distance, obs_id) AS neighbour_rank FROM p)
-SELECT query_id, split, CAST(neighbour_rank AS INTEGER) AS neighbour_rank, obs_id, wqi_class,
-       round(distance, 6) AS distance FROM k WHERE neighbour_rank <= 3
+             sqrt({' + '.join(f'(r_{f} - q_{f}) * (r_{f} - q_{f})' for f in NN_FEATURES)}) AS distance FROM r, q),
+k AS (SELECT query_id, split, unnest(min({{'distance': distance, 'obs_id': obs_id, 'wqi_class': wqi_class}}, 3)) AS x,
+             unnest([1, 2, 3][:least(3, count(*))]) AS neighbour_rank FROM p GROUP BY query_id, split)
+SELECT query_id, split, CAST(neighbour_rank AS INTEGER) AS neighbour_rank, x.obs_id AS obs_id, x.wqi_class AS wqi_class,
+       round(x.distance, 6) AS distance FROM k
 """)
 def nearest_labelled(spark, sf_dir):
-    """Three nearest labelled observations per split for the first valid sample (the query)."""
-    from riverlens.functions.scalars import log10_floor1
-    from riverlens.operators import split as S
-    from riverlens.operators.history import first_valid_sample
-    sp = split_frame(spark, sf_dir).withColumn("log10_fc", log10_floor1(F.col("fc")))
+    """Three nearest labelled observations per split for every accepted submission."""
+    sp = written(split_frame(spark, sf_dir).withColumn("log10_fc", log10_floor1(F.col("fc")))
+                 .select("obs_id", "split", "wqi_class", *NN_FEATURES), "split")
     stats = S.fitted_statistics(sp.where(F.col("split") == "train"), NN_FEATURES)
-    query = first_valid_sample(sp.where(F.lit(True)))
-    qrow = sp.join(F.broadcast(query.select("obs_id")), "obs_id", "left_semi")
-    out = SC.nearest_labelled(qrow, sp, stats, NN_FEATURES)
+    queries = accepted_submissions(spark, sf_dir).withColumn("log10_fc", log10_floor1(F.col("fc")))
+    out = SC.nearest_labelled(queries, sp, stats, NN_FEATURES, query_key="submission_id")
     return out.select("query_id", "split", "neighbour_rank", "obs_id", "wqi_class",
                       F.round("distance", 6).alias("distance"))

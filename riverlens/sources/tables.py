@@ -25,6 +25,8 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riverlens.functions.scalars import no_nan
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -78,8 +80,8 @@ def coordinate_columns() -> dict[str, Column]:
     return {"latitude": lat, "longitude": lon}
 
 
-def observations(spark: SparkSession, sf_dir: str, with_coordinates: bool = False) -> DataFrame:
-    """One row per sampling event.
+def observations(spark: SparkSession, sf_dir: str, with_coordinates: bool = False, raw: bool = False) -> DataFrame:
+    """One row per sampling event; with ``raw`` before any cleaning.
 
     Columns: obs_id, station, state, sampled_at, ph, do_mgl, bod_mgl, fc
     (+ latitude, longitude).  Key: obs_id (unique at every scale factor).
@@ -93,7 +95,7 @@ def observations(spark: SparkSession, sf_dir: str, with_coordinates: bool = Fals
         "station": F.col("s_name"),
         "state": F.col("n_name"),
         "sampled_at": F.col("l_shipdate"),
-        **measurement_columns(),
+        **(raw_measurement_columns() if raw else measurement_columns()),
     }
     if with_coordinates:
         cols.update(coordinate_columns())
@@ -102,6 +104,39 @@ def observations(spark: SparkSession, sf_dir: str, with_coordinates: bool = Fals
     return joined.select(*[v.alias(k) for k, v in cols.items()])
 
 
+def raw_measurement_columns() -> dict[str, Column]:
+    """The measurements with what raw feeds also hold: impossible values, supersaturated DO and NaN.
+
+    NaN is read as missing at ingest, so it is null here already.
+    """
+    key, m = F.col("l_orderkey"), measurement_columns()
+    m["ph"] = F.when(key % 41 == 0, F.lit(15.0)).otherwise(m["ph"])
+    m["do_mgl"] = F.when(key % 43 == 0, F.lit(16.0)).when(key % 47 == 0, F.lit(31.0)).otherwise(m["do_mgl"])
+    m["bod_mgl"] = F.when(key % 53 == 0, F.lit(-1.0)).otherwise(m["bod_mgl"])
+    m["fc"] = F.when(key % 59 == 0, F.lit(float("nan"))).when(key % 61 == 0, F.lit(2.5e8)).otherwise(m["fc"])
+    return {c: no_nan(v) for c, v in m.items()}
+
+
+def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One submission per customer (submission_id, payload): JSON with the four measurements and no label.
+
+    By residue of the key some lack a value, hold text or a boolean where a
+    number is due, carry a field too many, or a value out of bounds.
+    """
+    k = F.col("c_custkey")
+    number = lambda x: x.cast("string")
+    ph = number(F.lit(5.2) + F.lit(0.07) * (k % 50))
+    ph = F.when(k % 19 == 1, F.lit('"7.2"')).when(k % 37 == 5, F.lit('""')).otherwise(ph)
+    do = F.when(k % 29 == 3, F.lit("31.5")).otherwise(number(F.lit(1.0) + F.lit(1.7) * (k % 9)))
+    bod = F.when(k % 31 == 4, F.lit("true")).otherwise(number(F.lit(0.9) * (k % 11)))
+    fc = F.when(k % 17 != 0, number(F.abs(F.col("c_acctbal")) / F.lit(5.0)))
+    field = lambda name, v: F.concat(F.lit(f'"{name}": '), v)
+    fields = F.concat_ws(", ", field("ph", ph), field("do_mgl", do), field("bod_mgl", bod), field("fc", fc),
+                         F.when(k % 23 == 2, F.lit('"station": "x"')))
+    payload = F.when(k % 41 == 6, F.lit(None).cast("string")).otherwise(F.concat(F.lit("{"), fields, F.lit("}")))
+    return read_table(spark, sf_dir, "customer").select(k.alias("submission_id"), payload.alias("payload"))
+
+
 def extra_measurements() -> dict[str, Column]:
     """Further parameters carried by the chemical and physical feeds."""
     part = F.col("l_partkey")
