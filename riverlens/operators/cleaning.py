@@ -19,6 +19,7 @@ from riverlens.functions.scalars import no_nan
 from riverlens.operators.history import deduplicate
 from riverlens.operators.profile import remove_invalid
 from riverlens.operators.quantiles import exact_quantiles, melt
+from riverlens.operators.split import order_key
 
 
 @dataclass
@@ -132,5 +133,5 @@ def canonical_names(df: DataFrame, aliases: dict[str, str] = dims.ALIASES) -> Da
 
 
 def seeded_sample(df: DataFrame, n: int, key: str = "obs_id", seed: int = 42) -> DataFrame:
-    """FLT-4: a seeded down-sample of exactly ``n`` rows (top-k by hash, not a full sort)."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    """FLT-4: a seeded down-sample of exactly ``n`` rows (top-k by the split's order key, not a full sort)."""
+    return df.orderBy(order_key(F.col(key), seed), F.col(key)).limit(n)

@@ -33,19 +33,23 @@ def filter_history(records: DataFrame, date_from: str | None = None, date_to: st
     """FLT-2: dated rows only; inclusive text bounds on the day (or the month
     when no record in the whole set has a day); optional state and station.
 
-    The day-precision flag is one global boolean, computed as a one-row
-    aggregate and attached by a constant-key join (no global window).
+    With ``ts_col`` every dated record has a day, so the bounds (``YYYY-MM-DD``
+    or ``YYYY-MM``) also hold as a timestamp range, which reaches the parquet
+    scan (PushedFilters); the exact text test still decides.  Without it the
+    day-precision flag is one boolean, attached by a constant-key join.
     """
     if ts_col:
-        # date/month text derive from ts_col: the same bounds as a timestamp range reach the
-        # parquet scan (PushedFilters); the exact text test below still decides
-        if date_from and len(date_from) == 10:
-            records = records.where(F.col(ts_col) >= F.to_timestamp(F.lit(date_from)))
-        if date_to and len(date_to) == 10:
+        if date_from:
+            records = records.where(F.col(ts_col) >= F.to_timestamp(F.lit(date_from + "-01" * (len(date_from) == 7))))
+        if date_to and len(date_to) == 7:       # day texts of that month sort after the month itself
+            records = records.where(F.col(ts_col) < F.to_timestamp(F.lit(date_to + "-01")))
+        elif date_to:
             records = records.where(F.col(ts_col) < F.date_add(F.to_date(F.lit(date_to)), 1))
-    flag = records.agg(F.max(F.col("date").isNotNull()).alias("_day")).withColumn("_k", F.lit(1))
-    df = records.withColumn("_k", F.lit(1)).join(F.broadcast(flag), "_k").drop("_k")
-    period = F.when(F.coalesce(F.col("_day"), F.lit(False)), F.col("date")).otherwise(F.col("month"))
+        df, period = records, F.col("date")
+    else:
+        flag = records.agg(F.max(F.col("date").isNotNull()).alias("_day")).withColumn("_k", F.lit(1))
+        df = records.withColumn("_k", F.lit(1)).join(flag, "_k").drop("_k")
+        period = F.when(F.coalesce(F.col("_day"), F.lit(False)), F.col("date")).otherwise(F.col("month"))
     cond = period.isNotNull()
     if date_from:
         cond = cond & (period >= F.lit(date_from))
@@ -166,7 +170,7 @@ def deduplicate(df: DataFrame, subset: Sequence[str] | None = None, keep: str =
     * full row: ``dropDuplicates()`` (nulls compare equal, as in pandas);
     * first / last: ``min_by`` / ``max_by`` over the explicit order, which
       combines map-side so a hot key never lands whole in one task;
-    * none: keys seen once, found by a count and a left-semi join.
+    * none: keys seen once; the count and the only row come from one aggregation.
     """
     if not subset:
         return df.dropDuplicates()
@@ -178,8 +182,6 @@ def deduplicate(df: DataFrame, subset: Sequence[str] | None = None, keep: str =
         return (df.groupBy(*subset).agg(pick(F.struct(*others), order_col).alias("_r"))
                   .select(*subset, *[F.col(f"_r.{c}").alias(c) for c in others]))
     if keep == "none":
-        single = df.groupBy(*subset).count().where(F.col("count") == 1).drop("count")
-        single = single.select(*[F.col(c).alias(f"_k_{c}") for c in subset])
-        cond = [df[c].eqNullSafe(single[f"_k_{c}"]) for c in subset]  # null keys are equal
-        return df.join(single, cond, "left_semi")
+        single = df.groupBy(*subset).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*others)).alias("_r"))
+        return single.where("_n = 1").select(*subset, *[F.col(f"_r.{c}").alias(c) for c in others])
     raise ValueError(f"keep must be first, last or none, not {keep!r}")

@@ -63,10 +63,17 @@ class ExactMedianImputer(Estimator):
         return SQLTransformer(statement=f"SELECT *, {fills} FROM __THIS__")
 
 
-def check_features(df: DataFrame, forbidden: Sequence[str] = ("wqi_score",)) -> None:
-    """VAL-2 / XAI-2: required raw features present, leakage columns absent."""
-    cols = {c.lower() for c in df.columns}
-    missing = [c for c in RAW if c not in cols]
+# FIXED VALUES: columns that may never be features (the target and what it is made from).
+FORBIDDEN = ("wqi_score", "wqi_class", "potability")
+
+
+def check_features(df: DataFrame | None, features: Sequence[str] = RAW, forbidden: Sequence[str] = FORBIDDEN) -> None:
+    """VAL-2 / XAI-2: no leakage column among the features; the raw ones present in ``df``, if given."""
+    leaks = [c for c in features if c.lower() in forbidden]
+    if leaks:
+        raise FeatureSchemaError(f"leakage columns among the features: {leaks}")
+    have = {c.lower() for c in df.columns} if df is not None else set(RAW)
+    missing = [c for c in RAW if c not in have]
     if missing:
         raise FeatureSchemaError(f"missing features {missing}")
 
@@ -89,12 +96,14 @@ def classifier(kind: str, weight_col: str | None = "weight", seed: int = 42, max
     raise ValueError(f"unknown model {kind!r}")
 
 
-def build_pipeline(kind: str = "decision_tree", label: str = "wqi_class", **kw) -> Pipeline:
+def build_pipeline(kind: str = "decision_tree", label: str = "wqi_class", features: Sequence[str] = FEATURES,
+                   **kw) -> Pipeline:
     """FEA-7 / SCO-1: unfitted pipeline from raw features to a predicted class label."""
+    check_features(None, features)
     indexer = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc")
     weight = None if kind == "boosted_trees" else kw.pop("weight_col", "weight")
-    return Pipeline(stages=[engineered_feature(), ExactMedianImputer(FEATURES),
-                            VectorAssembler(inputCols=[f"{c}_imp" for c in FEATURES], outputCol="features",
+    return Pipeline(stages=[engineered_feature(), ExactMedianImputer(features),
+                            VectorAssembler(inputCols=[f"{c}_imp" for c in features], outputCol="features",
                                             handleInvalid="keep"),
                             indexer, classifier(kind, weight_col=weight, **kw)])
 
@@ -105,14 +114,24 @@ def label_names(model: PipelineModel) -> list[str]:
 
 def predict(model: PipelineModel, df: DataFrame, keys: Sequence[str] = ("obs_id",),
             label: str = "wqi_class") -> DataFrame:
-    """SCO-2 / SCO-3 / SCO-4: predicted label, class probabilities, top probability, uncertain flag."""
-    out = model.transform(df)
+    """SCO-2 / SCO-3 / SCO-4: predicted label, class probabilities, top probability, uncertain flag.
+
+    ``df`` needs the raw features only; a label column is carried along if there
+    is one, and an engineered column is made anew.  Boosted one-vs-rest models
+    have margins: their logistic probabilities, scaled to sum 1, stand in.
+    """
+    check_features(df)
+    out = model.transform(df.drop(dims.ENGINEERED_FEATURE))
     names = label_names(model)
     to_label = IndexToString(inputCol="prediction", outputCol="predicted", labels=names)
     out = to_label.transform(out)
-    cols = [*keys, label, "predicted", "features"]
-    if "probability" in out.columns:
-        probs = vector_to_array("probability")
+    cols = [*keys, *([label] if label in df.columns else []), "predicted", "features"]
+    if "probability" in out.columns or "rawPrediction" in out.columns:
+        if "probability" in out.columns:
+            probs = vector_to_array("probability")
+        else:
+            each = F.transform(vector_to_array("rawPrediction"), lambda m: 1 / (1 + F.exp(-2 * m)))
+            probs = F.transform(each, lambda p: p / F.aggregate(each, F.lit(0.0), lambda a, b: a + b))
         out = out.withColumn("_p", probs)
         cols += [F.array_max("_p").alias("top_probability"),
                  F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.col("_p")).alias("probabilities"),

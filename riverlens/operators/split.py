@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverlens.functions import dims
+from riverlens.functions.scalars import no_nan
 from riverlens.operators.quantiles import exact_quantiles
 from riverlens.session import written
 
@@ -103,6 +104,51 @@ def overlap(split_df: DataFrame, key: str = "obs_id") -> DataFrame:
     return train.join(test, key, "left_semi")
 
 
+class DataLeakageError(ValueError):
+    """An item of the leakage audit failed."""
+
+
+def leakage_audit(split_df: DataFrame, features: Sequence[str], stats: DataFrame, key: str = "obs_id",
+                  label: str = "wqi_class", seed: int | None = SEED, raise_on_fail: bool = False) -> DataFrame:
+    """SPL-2: eight rows (item, status, violations) over a split, the feature list and the fitted statistics.
+
+    Counts of violations: features that are target columns; features whose
+    fitted count differs from the train rows that have them; features outside
+    the frozen list; keys on both sides; source rows that occur more than once
+    (so one could be on both sides); rows that a second split puts elsewhere
+    (all rows without a seed); features that are no function of their own row;
+    rows whose log10 feature is not log10(max(fc, 1)).
+    """
+    frozen = (*dims.MODEL_FEATURES, dims.ENGINEERED_FEATURE)
+    data = written(split_df.select(key, label, "split", *[f for f in frozen if f in split_df.columns]), "audited-split")
+    again = stratified_split(data.drop("split"), label, key, seed=seed if seed is not None else -1)
+    old = F.col("split") == "train"
+    train = data.where(old)
+    fitted = train.agg(*[F.count(no_nan(F.col(f))).alias(f) for f in dims.MODEL_FEATURES]).first()      # one row
+    seen = {r["feature"]: r["n"] for r in stats.select("feature", "n").collect()}                       # a row per feature
+    per_key = data.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.max(old).alias("a"), F.max(~old).alias("b"))
+    keys = per_key.agg(F.count_if(F.col("a") & F.col("b")).alias("both"), F.count_if(F.col("n") > 1).alias("twice")).first()
+    moved = data.select(key, F.col("split").alias("s")).join(again.select(key, "split"), key).where("s <> split").count()
+    log10 = F.when(no_nan(F.col("fc")).isNotNull(), F.log10(F.greatest(F.col("fc"), F.lit(1.0))))
+    wrong = (data.where(~log10.eqNullSafe(F.col(dims.ENGINEERED_FEATURE))).count()
+             if dims.ENGINEERED_FEATURE in data.columns else data.count())
+    counts = {
+        "target columns among the features": len({f.lower() for f in features} & {"wqi_score", "wqi_class", "potability"}),
+        "statistics fitted beyond the train rows": sum(seen.get(f, fitted[f]) != fitted[f] for f in dims.MODEL_FEATURES),
+        "features outside the frozen list": len(set(features) - set(frozen)),
+        "keys on both sides": keys["both"],
+        "source rows that repeat": keys["twice"],
+        "rows that a second split moves": data.count() if seed is None else moved,
+        "features that are no function of their row": len(set(features) - set(frozen)),
+        "rows with another log10 feature": wrong,
+    }
+    failed = [k for k, n in counts.items() if n]
+    if failed and raise_on_fail:
+        raise DataLeakageError(f"leakage audit failed: {failed}")
+    rows = [(i + 1, k, "FAIL" if n else "PASS", int(n)) for i, (k, n) in enumerate(counts.items())]
+    return split_df.sparkSession.createDataFrame(rows, "item int, check string, status string, violations long")
+
+
 def class_weights(train: DataFrame, label: str = "wqi_class") -> DataFrame:
     """SPL-3: balanced weights n / (k * n_c) over the classes present in train."""
     c = train.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))

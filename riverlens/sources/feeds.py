@@ -13,13 +13,13 @@ category) ``locate_feeds`` and ``read_feed_csv`` do the same with
 
 from __future__ import annotations
 
-import os
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from riverlens.functions.scalars import no_nan
 from riverlens.sources.tables import (extra_measurements, measurement_columns, observation_id,
                                       read_table)
 
@@ -69,24 +69,36 @@ def driver_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-_FEED_NAME = re.compile(r"(?i)(?P<state>[A-Za-z0-9_ ]+?)[_ -]+(?P<category>biological|chemical|physical)")
+def locate_feeds(spark: SparkSession, raw_dir: str, states: tuple[str, ...]) -> dict[tuple[str, str], str]:
+    """SRC-1: one CSV per (state, category): the first path whose name holds both, in any case.
 
-
-def locate_feeds(raw_dir: str, states: tuple[str, ...]) -> dict[tuple[str, str], str]:
-    """SRC-1: find one CSV per (state, category); first match wins; missing pair raises."""
-    found: dict[tuple[str, str], str] = {}
-    for name in sorted(os.listdir(raw_dir)):
-        if not name.lower().endswith(".csv"):
-            continue
-        m = _FEED_NAME.search(name)
-        if not m:
-            continue
-        pair = (m.group("state").strip(), m.group("category").lower())
-        found.setdefault(pair, os.path.join(raw_dir, name))
-    missing = [(s, c) for s in states for c in CATEGORIES if (s, c) not in found]
+    The names come from Spark's own listing, so any store it reads will do; no
+    file content is read.  A missing pair raises.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.[cC][sS][vV]*").load(raw_dir).select("path")
+    paths = sorted(r["path"] for r in listed.collect())      # a few files per state
+    found, missing = {}, []
+    for state in states:
+        for category in CATEGORIES:
+            hits = [p for p in paths if re.search(
+                f"{re.escape(state.lower())}.*{category}", unquote(p).rsplit("/", 1)[-1].lower())]
+            if hits:
+                found[state, category] = hits[0]
+            else:
+                missing.append((state, category))
     if missing:
         raise FileNotFoundError(f"missing raw feeds: {missing}")
-    return {k: v for k, v in found.items() if k[0] in states}
+    return found
+
+
+def coerced(df: DataFrame, numeric: tuple[str, ...] = ()) -> DataFrame:
+    """VAL-4: text columns trimmed, NA tokens null, ``numeric`` ones as doubles (null where no number)."""
+    out = []
+    for c in df.columns:
+        v = F.trim(F.col(f"`{c}`"))
+        v = F.when(~v.isin(*NA_TOKENS), v)
+        out.append((no_nan(v.try_cast("double")) if c in numeric else v).alias(c))
+    return df.select(*out)
 
 
 def read_feed_csv(spark: SparkSession, path: str, numeric: tuple[str, ...] = ()) -> DataFrame:
@@ -98,16 +110,7 @@ def read_feed_csv(spark: SparkSession, path: str, numeric: tuple[str, ...] = ())
     """
     raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
            .option("encoding", "UTF-8").csv(path))
-    df = raw.toDF(*[c.strip() for c in raw.columns])
-    out = []
-    for c in df.columns:
-        v = F.trim(F.col(f"`{c}`"))
-        v = F.when(v.isin(*NA_TOKENS), F.lit(None)).otherwise(v)
-        if c in numeric:
-            v = F.expr(f"try_cast(trim(`{c}`) AS DOUBLE)")
-            v = F.when(F.trim(F.col(f"`{c}`")).isin(*NA_TOKENS), F.lit(None).cast("double")).otherwise(v)
-        out.append(v.alias(c))
-    return df.select(*out)
+    return coerced(raw.toDF(*[c.strip() for c in raw.columns]), numeric)
 
 
 def union_states(frames: list[DataFrame]) -> DataFrame:
@@ -120,14 +123,21 @@ def union_states(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+RULE_SCHEMA = ("parameter string, column string, kind string, direction string, `limit` double, critical double, "
+               "base_priority string, critical_priority string, unit string")
+
+
 def thresholds_frame(spark: SparkSession, rules=None) -> DataFrame:
     """SRC-4: the rule table as a (small, fixed-size) DataFrame."""
     from riverlens.functions import dims
-    schema = T.StructType([
-        T.StructField("parameter", T.StringType()), T.StructField("column", T.StringType()),
-        T.StructField("kind", T.StringType()), T.StructField("direction", T.StringType()),
-        T.StructField("limit", T.DoubleType()), T.StructField("critical", T.DoubleType()),
-        T.StructField("base_priority", T.StringType()),
-        T.StructField("critical_priority", T.StringType()), T.StructField("unit", T.StringType()),
-    ])
-    return spark.createDataFrame(list(rules or dims.RULES), schema)
+    return spark.createDataFrame(list(rules or dims.RULES), RULE_SCHEMA)
+
+
+def read_thresholds(spark: SparkSession, path: str) -> list[tuple]:
+    """SRC-4: rules from a user's JSON-lines file with the columns of ``RULE_SCHEMA``; raises when one is not usable."""
+    rows = spark.read.schema(RULE_SCHEMA).json(path).collect()      # a configuration file
+    bad = [r for r in rows if None in (r["parameter"], r["column"], r["kind"], r["limit"])
+           or r["direction"] not in ("below", "above")]
+    if bad or not rows:
+        raise ValueError(f"unusable rules in {path}: {bad[:3]}" if rows else f"no rules in {path}")
+    return [tuple(r) for r in rows]

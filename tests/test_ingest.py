@@ -37,7 +37,7 @@ def raw_dir():
 
 
 def load(spark, raw_dir):
-    located = FD.locate_feeds(raw_dir, ("Alpha",))
+    located = FD.locate_feeds(spark, raw_dir, ("Alpha",))
     numeric = ("bod_mgl", "do_mgl", "fc", "ph", "chloride", "temperature", "turbidity")
     out = {}
     for (state, cat), path in located.items():
@@ -63,7 +63,7 @@ def test_join_from_csv(spark, raw_dir):
 def test_missing_pair_raises(raw_dir):
     os.remove(os.path.join(raw_dir, "Alpha_physical.csv"))
     with pytest.raises(FileNotFoundError):
-        FD.locate_feeds(raw_dir, ("Alpha",))
+        FD.locate_feeds(spark, raw_dir, ("Alpha",))
 
 
 def test_duplicate_key_raises(spark, raw_dir):
