@@ -60,7 +60,7 @@ def test_join_from_csv(spark, raw_dir):
     assert joined[3]["day"] == 20                 # day-first
 
 
-def test_missing_pair_raises(raw_dir):
+def test_missing_pair_raises(spark, raw_dir):
     os.remove(os.path.join(raw_dir, "Alpha_physical.csv"))
     with pytest.raises(FileNotFoundError):
         FD.locate_feeds(spark, raw_dir, ("Alpha",))
