@@ -14,8 +14,8 @@ connected components of the links; exact copies of a text are one node.
 Which members of a bucket are compared: all with the bucket's first; then, in
 tiles, the members that are in different components by now.  Every pair that
 shares a key is thus compared or already joined, so no link between two
-components is lost; only links leave a tile, and a bucket of any size is cut
-into tiles of a bounded number of members.
+components is lost; a tile returns one link for each two components it joins,
+and a bucket of any size is cut into tiles of a bounded number of members.
 
 Defined cases: a null text is empty; texts without words are alike only if
 equal; equal texts are one class even in repeated rows; the class id is the
@@ -302,7 +302,7 @@ def _pairs_batch(found: list) -> pa.RecordBatch:
 
 
 def _links_of(rows: list, similar: float) -> list[tuple[str, str]]:
-    """Links among the rows (tile, side, node, component, band, keys, bag) of one tile."""
+    """Links that join the components of the rows (tile, side, node, component, band, keys, bag) of one tile."""
     side = np.array([r[1] for r in rows])
     part = np.unique([r[3] for r in rows], return_inverse=True)[1]
     keys, band = np.array([r[5] for r in rows], dtype=np.int64), rows[0][4]
@@ -314,8 +314,11 @@ def _links_of(rows: list, similar: float) -> list[tuple[str, str]]:
         # sizes too different, or already compared in an earlier band
         ratio = np.minimum(mass, mass[i]) / np.maximum(mass, mass[i])
         rest &= (part != part[i]) & (ratio.max(1) >= similar) & ~(keys[:, :band] == keys[i, :band]).any(1)
-        out += [(rows[i][2], rows[j][2]) for j in np.flatnonzero(rest)
-                if max(similarity(rows[i][6], rows[j][6])) >= similar]
+        for j in np.flatnonzero(rest):
+            # what a link has joined needs no other link
+            if part[j] != part[i] and max(similarity(rows[i][6], rows[j][6])) >= similar:
+                out.append((rows[i][2], rows[j][2]))
+                part[part == part[j]] = part[i]
     return out
 
 
@@ -332,10 +335,48 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     texts = (docs.select(text_key(F.col("text")).alias("node"), "text").join(asked, "node", "left_semi")
              .groupBy("node").agg(F.first("text").alias("text")))
     texts = cut(texts, "bucket-texts")
-    pairs = members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
-    links = cut(verified(pairs, texts, idf, similar), "links")
-    open_ = tiles(members.drop("leader"), connected_components(links))
-    return connected_components(links.union(tile_links(open_, texts, signed, idf, similar)))
+    # each text with its first leader: most of a class hangs together after this one comparison a text
+    led = members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
+    asked_first = cut(led.groupBy("a").agg(F.min("b").alias("b")), "first-pairs")
+    labels = roots(cut(verified(asked_first, texts, idf, similar), "first-links"))
+    # the other leaders, only where the components still differ
+    more = between(led.distinct().join(asked_first, ["a", "b"], "left_anti"), labels).select("a", "b")
+    labels = joined_labels(labels, cut(verified(cut(more, "more-pairs"), texts, idf, similar), "more-links"))
+    # and all other members that share a key
+    open_ = tiles(members.drop("leader"), labels)
+    return joined_labels(labels, cut(tile_links(open_, texts, signed, idf, similar), "tile-links"))
+
+
+def roots(parents: DataFrame) -> DataFrame:
+    """(node, component) of a forest of links (a, b) with one parent b < a a node, by pointer jumping."""
+    tops = parents.select(F.col("b").alias("node")).distinct().join(
+        parents.select(F.col("a").alias("node")), "node", "left_anti")
+    labels = cut(parents.select(F.col("a").alias("node"), F.col("b").alias("component"))
+                 .union(tops.select("node", F.col("node").alias("component"))), "labels")
+    while True:
+        up = labels.select(F.col("node").alias("component"), F.col("component").alias("above"))
+        fresh = cut(labels.join(up, "component").select("node", "component", "above"), "labels")
+        labels = fresh.select("node", F.col("above").alias("component"))
+        if fresh.where("above <> component").isEmpty():
+            return labels
+
+
+def between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components, with these as a_part and b_part."""
+    for x in "ab":
+        part = labels.select(F.col("node").alias(x), F.col("component").alias(f"{x}_part"))
+        pairs = pairs.join(part, x, "left").withColumn(f"{x}_part", F.coalesce(f"{x}_part", x))
+    return pairs.where("a_part <> b_part")
+
+
+def joined_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after the links (a, b): only components are joined, not their members."""
+    edges = between(links, labels).select(F.col("a_part").alias("a"), F.col("b_part").alias("b"))
+    merged = connected_components(edges).select(F.col("node").alias("component"), F.col("component").alias("to"))
+    known = labels.join(merged, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    single = (merged.join(labels.select("component").distinct(), "component", "left_anti")
+              .select(F.col("component").alias("node"), F.col("to").alias("component")))
+    return cut(known.union(single), "labels")
 
 
 def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
