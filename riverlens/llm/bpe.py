@@ -13,8 +13,8 @@ repeated results; an empty table gives an empty result.
 
 Scale: a narrow map over the documents, no shuffle.  The vocabulary and its
 hash (about 1 MB at 50,000 tokens, fixed by the rank file) are read on the
-driver and broadcast.  A worker remembers the pieces of up to ``MEMO``
-pre-tokens it met and starts anew beyond that; long texts are encoded in runs
+driver and broadcast.  A worker remembers the pieces of the last one
+or two times ``MEMO`` different pre-tokens it met; long texts are encoded in runs
 of pre-tokens, so no text needs more memory than a few times its own size.
 """
 
@@ -34,7 +34,7 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-MEMO = 120_000
+MEMO = 150_000
 RUN = 100_000  # pre-tokens encoded at once
 
 
@@ -139,7 +139,8 @@ class Coder:
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.vocabulary, self.pattern = vocabulary, regex.compile(pattern)
-        self.memo: dict[str, str] = {}
+        self.memo: dict[str, str] = {}      # met lately
+        self.older: dict[str, str] = {}     # met before that
         self.pieces = {str(k): t for k, t in enumerate(vocabulary.tokens) if t}
 
     def runs(self, text: str) -> Iterator[str]:
@@ -152,10 +153,10 @@ class Coder:
         for words in found:
             memo = self.memo
             for word in set(words).difference(memo):
-                memo[word] = ",".join(map(str, self.vocabulary.merged(word.encode())))
+                memo[word] = self.older.get(word) or ",".join(map(str, self.vocabulary.merged(word.encode())))
             yield ",".join([memo[w] for w in words])
             if len(memo) > MEMO:
-                self.memo = {}
+                self.memo, self.older = {}, memo
 
     def decoded(self, ids: str) -> bytes:
         pieces = self.pieces
