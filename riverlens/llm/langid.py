@@ -185,10 +185,11 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
     turn = F.xxhash64("doc_id", F.lit(5))
     place = F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1 << 40))
     known = docs.where("lang is not null and text is not null")
-    share = known.groupBy(F.col("lang").alias("l")).agg((2.0 * per_lang / F.count("*")).alias("share"))
     # a cut in hash order first, at twice the number, so that no language meets as a whole in one task
-    known = (known.join(share, F.col("lang") == F.col("l"))
-             .where((turn / F.lit(2.0 ** 64) + 0.5 < F.col("share"))))
+    counts = known.groupBy("lang").agg(F.count("*").alias("n")).collect()      # a row per language, as the model has
+    share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(2.0 * per_lang / r["n"]))]
+                         or [F.lit(""), F.lit(0.0)])
+    known = known.where(turn / F.lit(2.0 ** 64) + 0.5 < share[F.col("lang")])
     rows = (known.select("lang", turn.alias("turn"), windows_of(F.col("text"), place).alias("piece"))
             .where(F.col("piece").rlike(r"\p{L}")).distinct())
     few = Window.partitionBy("lang").orderBy("turn", "piece")
