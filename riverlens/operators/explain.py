@@ -12,9 +12,10 @@
    it depends only on the on/off mask, so each leaf carries a table
    ``phi[mask, class, feature]`` (at most 2^d rows, d = distinct features on
    the path).
-4. Rows are scored with ``mapInPandas``: per leaf one vectorised mask
-   computation and a table lookup.  No shuffle; the leaf tables travel with
-   the task closure.
+4. Rows are scored with ``mapInArrow``: each distinct combination of
+   threshold sides in a batch once, per leaf one vectorised mask computation
+   and a table lookup.  One array leaves per row; ranking, directions and the
+   decision document are column expressions on the same row.  No shuffle.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import DecisionTreeClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -115,51 +117,68 @@ def leaf_table(nodes: pd.DataFrame, n_features: int):
     return leaves, np.asarray(base)
 
 
-def _score_batches(leaves, n_features: int, n_classes: int, keys: list[str], names: list[str]):
+def _phi(leaves, thresholds: list[np.ndarray], x: np.ndarray, n_classes: int) -> np.ndarray:
+    """Shapley values (rows, classes * features).
+
+    They depend only on which side of each threshold a row lies, so each
+    distinct combination is evaluated once.
+    """
+    code = np.zeros(len(x), dtype=np.int64)
+    for f, t in enumerate(thresholds):
+        code = code * (len(t) + 1) + np.searchsorted(t, x[:, f], side="left")
+    _, first, back = np.unique(code, return_index=True, return_inverse=True)
+    rows = x[first]
+    out = np.zeros((len(rows), n_classes, x.shape[1]))
+    for leaf in leaves:
+        f = leaf["features"]
+        if len(f):
+            on = (rows[:, f] > leaf["lo"]) & (rows[:, f] <= leaf["hi"])
+            out += leaf["phi"][(on * (1 << np.arange(len(f)))).sum(axis=1)]
+    return out.reshape(len(rows), -1)[back]
+
+
+def attributed(nodes: pd.DataFrame, df: DataFrame, n_features: int,
+               features_col: str = "features") -> tuple[DataFrame, np.ndarray]:
+    """XAI-1: ``df`` with ``x`` (feature values) and ``phi`` (class-major Shapley values) in place of the features.
+
+    One row in, one row out, whatever else ``df`` carries; also the base value of each class.
+    """
+    leaves, base = leaf_table(nodes, n_features)
+    splits = nodes[nodes["leftChild"] >= 0]
+    thresholds = [np.unique([t[0] for t in splits["thr"][splits["feature"] == f]]).astype(float) for f in range(n_features)]
+    x = F.col(features_col)
+    if df.schema[features_col].dataType.typeName() != "array":
+        x = vector_to_array(x)
+    src = df.select(*[c for c in df.columns if c != features_col], x.alias("x"))
+
     def run(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.vstack(pdf["_x"].to_numpy()).astype(float)
-            out = np.zeros((len(pdf), n_classes, n_features))
-            for leaf in leaves:
-                f = leaf["features"]
-                if len(f) == 0:
-                    continue
-                xv = x[:, f]
-                on = (xv > leaf["lo"]) & (xv <= leaf["hi"])
-                mask = (on * (1 << np.arange(len(f)))).sum(axis=1)
-                out += leaf["phi"][mask]
-            n = len(pdf)
-            cls = np.repeat(np.arange(n_classes), n_features)
-            feat = np.tile(np.arange(n_features), n_classes)
-            res = {k: np.repeat(pdf[k].to_numpy(), n_classes * n_features) for k in keys}
-            res["class_index"] = np.tile(cls, n).astype("int32")
-            res["feature_index"] = np.tile(feat, n).astype("int32")
-            res["feature"] = np.array(names, dtype=object)[res["feature_index"]]
-            res["feature_value"] = x[np.repeat(np.arange(n), n_classes * n_features), res["feature_index"]]
-            res["contribution"] = out.reshape(-1)
-            yield pd.DataFrame(res)
-    return run
+        for batch in batches:
+            values = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, n_features)
+            phi = _phi(leaves, thresholds, values, len(base))
+            width = phi.shape[1]
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(phi) + 1) * width, pa.int32()), pa.array(phi.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "phi"])
+
+    schema = T.StructType([*src.schema.fields, T.StructField("phi", T.ArrayType(T.DoubleType()))])
+    return src.mapInArrow(run, schema), base
+
+
+def long_form(rows: DataFrame, feature_names: Sequence[str], keys: Sequence[str] = ("obs_id",)) -> DataFrame:
+    """(keys, class_index, feature_index, feature, feature_value, contribution) of attributed rows."""
+    n = len(feature_names)
+    out = rows.select(*keys, "x", F.posexplode("phi").alias("_i", "contribution"))
+    at = F.col("_i") % n
+    return out.select(*keys, F.floor(F.col("_i") / n).cast("int").alias("class_index"), at.cast("int").alias("feature_index"),
+                      F.get(F.array(*[F.lit(f) for f in feature_names]), at).alias("feature"),
+                      F.get("x", at).alias("feature_value"), "contribution")
 
 
 def tree_shap(model, df: DataFrame, feature_names: Sequence[str], keys: Sequence[str] = ("obs_id",),
               features_col: str = "features") -> tuple[DataFrame, np.ndarray]:
     """XAI-1: long form (keys, class_index, feature, feature_value, contribution) and base values."""
-    tree = tree_from_pipeline(model)
-    spark = df.sparkSession
-    n_features = len(feature_names)
-    leaves, base = leaf_table(node_table(tree, spark), n_features)
-    n_classes = len(base)
-    keys = list(keys)
-    src = df.select(*keys, vector_to_array(F.col(features_col)).alias("_x"))
-    key_fields = [src.schema[k] for k in keys]
-    schema = T.StructType(key_fields + [
-        T.StructField("class_index", T.IntegerType()), T.StructField("feature_index", T.IntegerType()),
-        T.StructField("feature", T.StringType()), T.StructField("feature_value", T.DoubleType()),
-        T.StructField("contribution", T.DoubleType())])
-    out = src.mapInPandas(_score_batches(leaves, n_features, n_classes, keys, list(feature_names)), schema)
-    return out, base
+    nodes = node_table(tree_from_pipeline(model), df.sparkSession)
+    rows, base = attributed(nodes, df.select(*keys, features_col), len(feature_names), features_col)
+    return long_form(rows, feature_names, keys), base
 
 
 def global_importance(contrib: DataFrame, class_names: Sequence[str]) -> DataFrame:
@@ -173,24 +192,34 @@ def global_importance(contrib: DataFrame, class_names: Sequence[str]) -> DataFra
                .withColumn("rank", F.row_number().over(Window.orderBy(F.col("mean_abs").desc(), F.col("feature")))))
 
 
-def local_explanation(contrib: DataFrame, predictions: DataFrame, base: np.ndarray, class_names: Sequence[str],
-                      keys: Sequence[str] = ("obs_id",)) -> DataFrame:
-    """XAI-4 / WIN-4 / SCL-8: contributions toward the predicted class, ranked by |phi|
-    (ties by feature index), with direction, base value and the additivity check."""
-    keys = list(keys)
-    idx = F.array_position(F.array(*[F.lit(n) for n in class_names]), F.col("predicted")) - 1
-    pred = predictions.select(*keys, "predicted", idx.cast("int").alias("_ci"),
-                              F.col("probabilities")[F.col("predicted")].alias("_prob"))
-    base_col = F.element_at(F.array(*[F.lit(float(b)) for b in base]), F.col("_ci") + 1)
-    j = contrib.join(pred, keys).where(F.col("class_index") == F.col("_ci"))
-    w = Window.partitionBy(*keys).orderBy(F.abs("contribution").desc(), F.col("feature_index"))
-    tot = Window.partitionBy(*keys)
-    out = j.select(*keys, "predicted", "feature", "feature_value", "contribution",
-                   direction(F.col("contribution")).alias("direction"),
-                   F.row_number().over(w).alias("rank"), base_col.alias("base_value"),
-                   F.sum("contribution").over(tot).alias("_sum"), "_prob")
-    return out.withColumn("additive_ok", F.abs(F.col("base_value") + F.col("_sum") - F.col("_prob")) <= 1e-5) \
-              .drop("_sum", "_prob")
+CAVEAT = "Contributions explain the model's answer; they are no evidence of cause."
+
+
+def with_explanation(rows: DataFrame, base: np.ndarray, class_names: Sequence[str], feature_names: Sequence[str]) -> DataFrame:
+    """XAI-4 / WIN-4 / SCL-8: attributed predictions with ``ranked``, ``base_value``, ``additive_ok`` and ``caveat``.
+
+    ``ranked`` holds the contributions toward the predicted class by size (ties
+    by feature order), with direction.  All in-row: no join, no shuffle.
+    """
+    n = len(feature_names)
+    at = F.array_position(F.array(*[F.lit(c) for c in class_names]), F.col("predicted")).cast("int") - 1
+    rows = rows.withColumn("_at", at).withColumn("_phi", F.slice("phi", F.col("_at") * n + 1, F.lit(n)))
+    names = F.array(*[F.lit(f) for f in feature_names])
+    items = F.transform("_phi", lambda c, i: F.struct(
+        (-F.round(F.abs(c), 9)).alias("_order"), i.alias("feature_index"), F.get(names, i).alias("feature"),
+        F.get(F.col("x"), i).alias("feature_value"), c.alias("contribution"), direction(c).alias("direction")))
+    ranked = F.transform(F.array_sort(items), lambda s, i: F.struct(
+        (i + 1).alias("rank"), s["feature"].alias("feature"), s["feature_value"].alias("feature_value"),
+        s["contribution"].alias("contribution"), s["direction"].alias("direction")))
+    total = F.aggregate("_phi", F.lit(0.0), lambda a, c: a + c)
+    value = F.get(F.array(*[F.lit(float(b)) for b in base]), F.col("_at"))
+    return rows.withColumns({"ranked": ranked, "base_value": value, "additive_ok": F.abs(
+        value + total - F.col("probabilities")[F.col("predicted")]) <= 1e-5, "caveat": F.lit(CAVEAT)}).drop("_at", "_phi")
+
+
+def local_explanation(rows: DataFrame, keys: Sequence[str] = ("obs_id",)) -> DataFrame:
+    """Long form of explained rows: one row per ranked contribution."""
+    return rows.select(*keys, "predicted", "base_value", "additive_ok", F.inline("ranked"))
 
 
 def compare_with_eda(importance: DataFrame, five_number: DataFrame) -> DataFrame:

@@ -78,8 +78,14 @@ def check_features(df: DataFrame | None, features: Sequence[str] = RAW, forbidde
         raise FeatureSchemaError(f"missing features {missing}")
 
 
-def classifier(kind: str, weight_col: str | None = "weight", seed: int = 42, max_depth: int = 10):
-    """ML-1..4 estimators (balanced through ``weightCol`` except boosting)."""
+def classifier(kind: str, weight_col: str | None = "weight", seed: int = 42, max_depth: int = 10,
+               max_iter: int = 100):
+    """ML-1..4 estimators (balanced through ``weightCol`` except boosting).
+
+    ``max_depth`` bounds the single tree and the forest (MLlib allows 30): the
+    attribution reads the tree's leaves on the driver, at most 2^max_depth.
+    ``max_iter`` is the number of boosting rounds.
+    """
     common = dict(featuresCol="features", labelCol="label_idx")
     if kind == "decision_tree":
         return DecisionTreeClassifier(maxDepth=max_depth, maxBins=256, seed=seed,
@@ -91,7 +97,7 @@ def classifier(kind: str, weight_col: str | None = "weight", seed: int = 42, max
         return LogisticRegression(family="multinomial", maxIter=1000, weightCol=weight_col, **common)
     if kind == "boosted_trees":
         # GBT is binary in MLlib: one-vs-rest, no class weight (as the reference)
-        return OneVsRest(classifier=GBTClassifier(maxIter=100, maxDepth=6, stepSize=0.3, seed=seed),
+        return OneVsRest(classifier=GBTClassifier(maxIter=max_iter, maxDepth=6, stepSize=0.3, seed=seed),
                          **common)
     raise ValueError(f"unknown model {kind!r}")
 

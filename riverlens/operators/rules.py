@@ -145,38 +145,89 @@ def unique_by_parameter(findings: Column) -> Column:
         lambda y: y["parameter"] == x["parameter"]))
 
 
-_SEP = "\u001f"
-
-
 def _action_map(rules) -> Column:
-    """Literal map (parameter|kind|priority) -> encoded "parameter<SEP>priority<SEP>text" actions."""
+    """Literal map (parameter|kind|priority) -> actions (parameter, priority, recommendation)."""
     pairs = []
     for r in rules:
         texts = ACTIONS.get((r[0], r[2]), ("Review the measurement and resample",))
         for prio in PRIORITY_NAMES:
-            pairs += [F.lit(f"{r[0]}|{r[2]}|{prio}"),
-                      F.array(*[F.lit(f"{r[0]}{_SEP}{prio}{_SEP}{t}") for t in texts])]
+            pairs += [F.lit(f"{r[0]}|{r[2]}|{prio}"), F.array(*[F.struct(
+                F.lit(r[0]).alias("parameter"), F.lit(prio).alias("priority"), F.lit(t).alias("recommendation"))
+                for t in texts])]
     return F.create_map(*pairs)
 
 
+def actions(df: DataFrame, rules=dims.RULES) -> Column:
+    """SET-4: ordered, de-duplicated actions (parameter, priority, recommendation) of a row's findings."""
+    amap = _action_map(rules)
+    empty = F.array().cast("array<struct<parameter:string,priority:string,recommendation:string>>")
+    parts = [F.coalesce(F.element_at(amap, F.concat_ws("|", F.col(f"{c}.parameter"), F.col(f"{c}.kind"),
+                                                      F.col(f"{c}.priority"))), empty)
+             for c in finding_columns(df)]
+    return F.array_distinct(F.concat(*parts)) if parts else empty
+
+
 def action_items(df: DataFrame, keys: Sequence[str] = ("obs_id",), rules=dims.RULES) -> DataFrame:
     """SET-4 / RUL-5 level 3: ordered, de-duplicated (parameter, priority, text) actions.
 
     Findings are taken in rule order; each finding's actions come from a
-    literal map keyed by (parameter, kind, priority); ``concat`` +
-    ``array_distinct`` (first occurrence kept) + ``posexplode`` are all
-    code-generated array operations: no lambda, no join, no shuffle.
+    literal map keyed by (parameter, kind, priority).  No join, no shuffle.
     """
-    amap = _action_map(rules)
-    empty = F.array().cast("array<string>")
-    parts = [F.coalesce(F.element_at(amap, F.concat_ws("|", F.col(f"{c}.parameter"), F.col(f"{c}.kind"),
-                                                      F.col(f"{c}.priority"))), empty)
-             for c in finding_columns(df)]
-    items = F.array_distinct(F.concat(*parts)) if parts else empty
-    out = df.select(*keys, F.posexplode(items).alias("pos", "_a"))
-    bits = F.split(F.col("_a"), _SEP)
-    return out.select(*keys, (F.col("pos") + 1).alias("action_rank"), bits[0].alias("parameter"),
-                      bits[1].alias("priority"), bits[2].alias("recommendation"))
+    out = df.select(*keys, F.posexplode(actions(df, rules)).alias("pos", "_a"))
+    return out.select(*keys, (F.col("pos") + 1).alias("action_rank"), "_a.*")
+
+
+# FIXED VALUES: model feature -> rule parameter; FC and its log are one parameter.
+MATCH_KEY = {"ph": "pH", "do_mgl": "DO", "bod_mgl": "BOD", "fc": "FC", "log10_fc": "FC"}
+
+
+def with_document(rows: DataFrame, feature_names: Sequence[str], top_n: int = 2) -> DataFrame:
+    """RUL-5 / RUL-6 / JOIN-5 / JOIN-6: explained rows with the nested decision ``document``.
+
+    Rule inputs are the row's own measurements where it carries them and the
+    attribution's (imputed) feature values otherwise.  The first ``top_n``
+    contributions (0: all) meet the findings by parameter in three groups:
+    abnormal and contributing, normal and contributing, abnormal in addition.
+    All in-row.
+    """
+    own = set(rows.columns)
+    values = {f: F.coalesce(*([F.col(f).cast("double")] if f in own else []), F.get("x", F.lit(i)))
+              for i, f in enumerate(feature_names)}
+    rows = with_findings(rows.withColumns(values), list(feature_names), label="predicted")
+    key = F.create_map(*[x for k, v in MATCH_KEY.items() for x in (F.lit(k), F.lit(v))])
+    named = F.transform("ranked", lambda t: t.withField("match_key", key[t["feature"]]))
+    rows = rows.withColumn("_top", F.slice(named, 1, top_n) if top_n > 0 else named)
+    of = lambda f: F.when(f["parameter"] == "Log10_FC", "FC").otherwise(f["parameter"])
+    abnormal = F.flatten(F.transform("_top", lambda t: F.transform(
+        F.filter("findings", lambda f: of(f) == t["match_key"]),
+        lambda f: F.struct(t["feature"].alias("feature"), f["parameter"].alias("parameter"), t["rank"].alias("rank"),
+                           f["priority"].alias("priority")))))
+    normal = F.transform(F.filter("_top", lambda t: ~F.exists("findings", lambda f: of(f) == t["match_key"])),
+                         lambda t: F.struct(t["feature"].alias("feature"), F.lit(None).cast("string").alias("parameter"),
+                                            t["rank"].alias("rank"), F.lit(None).cast("string").alias("priority")))
+    additional = F.transform(F.filter("findings", lambda f: ~F.exists("_top", lambda t: of(f) == t["match_key"])),
+                             lambda f: F.struct(F.lit(None).cast("string").alias("feature"), f["parameter"].alias("parameter"),
+                                                F.lit(None).cast("int").alias("rank"), f["priority"].alias("priority")))
+    document = F.struct(
+        F.struct("predicted", F.col("probabilities")[F.col("predicted")].alias("probability"), "probabilities").alias("prediction"),
+        F.col("_top").alias("top_contributions"), abnormal.alias("abnormal_contributing"),
+        normal.alias("normal_contributing"), additional.alias("additional_abnormal"),
+        "overall_priority", actions(rows).alias("actions"), "caveat")
+    return rows.withColumn("document", document)
+
+
+SECTIONS = ("abnormal_contributing", "normal_contributing", "additional_abnormal")
+
+
+def document_sections(rows: DataFrame, keys: Sequence[str] = ("obs_id",)) -> DataFrame:
+    """The three groups of a document in long form (keys, section, feature, parameter, rank, priority)."""
+    def tagged(section: str) -> Column:
+        return F.transform(f"document.{section}", lambda x: F.struct(
+            F.lit(section).alias("section"), x["feature"].alias("feature"), x["parameter"].alias("parameter"),
+            x["rank"].alias("rank"), x["priority"].alias("priority")))
+
+    parts = [tagged(s) for s in SECTIONS]
+    return rows.select(*keys, F.inline(F.concat(*parts)))
 
 
 def findings_by_join(df: DataFrame, rules_df: DataFrame, columns: Sequence[str],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riverlens.plans import (cleaning, contracts, evaluation, history, ingest, labelling, models, profile, review,  # noqa: F401
+from riverlens.plans import (cleaning, contracts, evaluation, history, ingest, labelling, literal, models, profile, review,  # noqa: F401
                              rules, scoring, training)
 from riverlens.plans.registry import ORACLES, QUERIES, SURVEY_IDS
 

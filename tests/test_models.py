@@ -81,15 +81,40 @@ def test_tree_shap_matches_brute_force_and_adds_up(spark, fitted):
         assert total[names.index(row["predicted"])] == pytest.approx(row["probabilities"][row["predicted"]], abs=1e-9)
 
 
-def test_local_explanation_is_additive(fitted):
+def test_local_explanation_is_additive(spark, fitted):
     model, pred = fitted
-    contrib, base = X.tree_shap(model, pred, list(MD.FEATURES))
-    loc = X.local_explanation(contrib, pred, base, MD.label_names(model))
+    rows, base = X.attributed(X.node_table(X.tree_from_pipeline(model), spark), pred, len(MD.FEATURES))
+    loc = X.local_explanation(X.with_explanation(rows, base, MD.label_names(model), MD.FEATURES))
     assert loc.where(~F.col("additive_ok")).count() == 0
     ranks = loc.groupBy("obs_id").agg(F.collect_set("rank").alias("r")).collect()
     assert all(sorted(r["r"]) == [1, 2, 3, 4, 5] for r in ranks)
 
 
+def test_saved_model_scores_rows_without_a_label(spark, fitted, tmp_path):
+    from riverlens.sources.sinks import artifact_digest, load_model, save_model
+    model, pred = fitted
+    path = str(tmp_path / "model")
+    save_model(model, path)
+    raw = scored_observations(spark, SF_SMALL).select("obs_id", *MD.RAW)
+    flat = lambda df: df.select("obs_id", "predicted", "top_probability", F.to_json("probabilities"))
+    assert "wqi_class" not in MD.predict(model, raw).columns
+    one, two = flat(MD.predict(model, raw)), flat(MD.predict(load_model(path), raw))
+    assert one.exceptAll(two).count() == 0
+    whole = [r["sha256"] for r in artifact_digest(spark, path).where("path = '*'").collect()]
+    assert len(whole) == 1
+    # an engineered column that is already there is made anew
+    again = flat(MD.predict(model, raw.withColumn("log10_fc", F.lit(99.0))))
+    assert again.exceptAll(one).count() == 0
+
+
+def test_leakage_columns_are_refused(spark):
+    for bad in ("wqi_score", "WQI_class", "potability"):
+        with pytest.raises(MD.FeatureSchemaError):
+            MD.build_pipeline(features=(*MD.FEATURES, bad))
+    with pytest.raises(MD.FeatureSchemaError):
+        MD.check_features(spark.createDataFrame([(1.0,)], "ph double"))
+
+
 def test_non_tree_rejected():
     with pytest.raises(X.NotATreeError):
         X.tree_from_pipeline(object())
@@ -119,3 +144,13 @@ def test_imbalance_experiment_table(spark):
     assert {(r["model_kind"], r["strategy"]) for r in out} == {
         (k, s) for k in ("decision_tree", "logistic_regression") for s in ("balanced_weights", "random_oversampling")}
     assert all(0.0 <= r["f1_macro"] <= 1.0 for r in out)
+
+
+def test_boosted_trees_give_probabilities(spark):
+    df = scored_observations(spark, SF_SMALL).where(F.col("wqi_class").isNotNull()).select("obs_id", "wqi_class", *MD.RAW)
+    model = MD.build_pipeline("boosted_trees", max_iter=3).fit(df)
+    pred = MD.predict(model, df)
+    total = F.aggregate(F.map_values("probabilities"), F.lit(0.0), lambda a, x: a + x)
+    assert pred.where(F.abs(total - 1) > 1e-9).count() == 0
+    assert pred.where(F.col("probabilities")[F.col("predicted")] == F.col("top_probability")).count() >= 0.99 * df.count()
+    assert pred.where("predicted = wqi_class").count() > 0.6 * df.count()
