@@ -175,15 +175,16 @@ def decision_summary_json(findings_df: DataFrame, keys: Sequence[str] = ("obs_id
 
 def nearest_labelled(queries: DataFrame, labelled: DataFrame, stats: DataFrame,
                      features: Sequence[str], k: int = 3, group: str = "split", key: str = "obs_id",
-                     query_key: str = "obs_id") -> DataFrame:
+                     query_key: str = "obs_id", own_group: bool = False) -> DataFrame:
     """SCO-10: the k nearest labelled rows per query and group in train-standardised space.
 
     Space is cut into cells of edge h.  A query meets the labelled rows of its
     cell and the adjacent ones, which hold every row within distance h; a query
     whose kth distance is at most h is answered, the others go on with h
     doubled until all are.  Any number of queries; equi-joins on (group, cell),
-    which AQE splits where a cell is hot.  Of equal points only the k smallest
-    keys can be an answer, so they are cut to these before any join.
+    which AQE splits where a cell is hot.  Of equal points only the k + 1
+    smallest keys can be an answer, so they are cut to these before any join.  With
+    ``own_group`` a query looks in the group it carries, else in every group.
     """
     fitted = {r["feature"]: r for r in stats.select("feature", "mean", "std_pop").collect()}   # a row per feature
     z = {f: (no_nan(F.col(f)) - F.lit(fitted[f]["mean"])) / F.lit(fitted[f]["std_pop"] or 1.0)
@@ -194,12 +195,17 @@ def nearest_labelled(queries: DataFrame, labelled: DataFrame, stats: DataFrame,
         return df.select(*cols, *[v.alias(a) for a, v in zip(axes, z.values())]).dropna(subset=axes)
 
     same = Window.partitionBy(group, *axes).orderBy("_r")
-    rows = (placed(labelled, F.col(key).alias("_r"), group, "wqi_class")
-            .withColumn("_nth", F.row_number().over(same)).where(F.col("_nth") <= k))
-    rows = written(rows.select("_r", group, "wqi_class", *[F.col(a).alias(f"r{a}") for a in axes]), "labelled-points")
-    groups = [r[0] for r in labelled.select(group).distinct().collect()]      # the few groups, as train and test
-    open_ = written(placed(queries, F.col(query_key).alias("query_id"))
-                    .withColumn(group, F.explode(F.array(*[F.lit(g) for g in groups]))), "open-queries")
+    kept = [group, *(["wqi_class"] if group != "wqi_class" else [])]
+    rows = (placed(labelled, F.col(key).alias("_r"), *kept)
+            .withColumn("_nth", F.row_number().over(same)).where(F.col("_nth") <= k + 1))
+    rows = written(rows.select("_r", *kept, *[F.col(a).alias(f"r{a}") for a in axes]), "labelled-points")
+    if own_group:
+        asked = placed(queries, F.col(query_key).alias("query_id"), group)
+    else:
+        groups = [r[0] for r in labelled.select(group).distinct().collect()]      # the few groups, as train and test
+        asked = placed(queries, F.col(query_key).alias("query_id")).withColumn(
+            group, F.explode(F.array(*[F.lit(g) for g in groups])))
+    open_ = written(asked, "open-queries")
     n, span = rows.agg(F.count(F.lit(1)), F.max(F.greatest(*[F.abs(f"r{a}") for a in axes], F.lit(0.0)))).first()
     reach = max(span or 0.0, open_.agg(F.max(F.greatest(*[F.abs(a) for a in axes], F.lit(0.0)))).first()[0] or 0.0)
     edge = 4.0 / max(1.0, n / 4.0) ** (1.0 / len(axes))
@@ -217,7 +223,7 @@ def nearest_labelled(queries: DataFrame, labelled: DataFrame, stats: DataFrame,
         pairs = pairs.where(F.col("_r").cast("string") != F.col("query_id").cast("string"))
         dist = F.sqrt(sum(((F.col(f"r{a}") - F.col(a)) ** 2 for a in axes), F.lit(0.0)))
         w = Window.partitionBy("query_id", group).orderBy("distance", "_r")
-        best = (pairs.select("query_id", group, "_r", "wqi_class", dist.alias("distance"))
+        best = (pairs.select("query_id", *kept, "_r", dist.alias("distance"))
                 .withColumn("neighbour_rank", F.row_number().over(w)).where(F.col("neighbour_rank") <= k))
         best = written(best, "nearest")
         sure = best.groupBy("query_id", group).agg(F.max("neighbour_rank").alias("_n"), F.max("distance").alias("_far"))
@@ -230,4 +236,4 @@ def nearest_labelled(queries: DataFrame, labelled: DataFrame, stats: DataFrame,
     out = answers[0]
     for a in answers[1:]:
         out = out.unionByName(a)
-    return out.select("query_id", group, "neighbour_rank", F.col("_r").alias(key), "wqi_class", "distance")
+    return out.select("query_id", *kept, "neighbour_rank", F.col("_r").alias(key), "distance")

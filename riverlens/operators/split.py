@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from riverlens.functions import dims
 from riverlens.functions.scalars import no_nan
-from riverlens.operators.quantiles import exact_quantiles
+from riverlens.operators.quantiles import exact_quantiles, melt
 from riverlens.session import written
 
 TEST_SIZE = 0.2
@@ -166,30 +166,89 @@ def oversample(train: DataFrame, label: str = "wqi_class", key: str = "obs_id",
     """SPL-4: deterministic random oversampling of every class to the majority size.
 
     Each row is repeated q or q + 1 times (q = M div n_c); the r = M mod n_c
-    extra copies go to the rows first in (hash, key) order.  Up to ``CHUNK``
-    copies are exploded in-row; a row with more is first exploded into chunks,
-    which are dealt out before they are exploded, so a rare class spreads over
-    all tasks.  No row is dropped; ``copy`` counts from 1.
+    extra copies go to the rows first in (hash, key) order.  No row is dropped;
+    ``copy`` counts from 1; a rare class spreads over all tasks.
     """
     sizes = train.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     plan = sizes.withColumn("_m", F.max("n").over(Window.partitionBy()))     # one row per class
     plan = plan.select(label, F.expr("_m div n").alias("_q"), (F.col("_m") % F.col("n")).alias("need"))
     out = with_first(train, plan.select(label, "need"), label, key, seed + 1, "_extra").join(plan.drop("need"), label)
     out = out.withColumn("_copies", F.col("_q") + F.col("_extra").cast("long")).drop("_q", "_extra")
-    few = out.where(F.col("_copies") <= CHUNK).withColumn(
-        "copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    chunks = out.where(F.col("_copies") > CHUNK).withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_copies - 1) div {CHUNK}"))))
+    return repeated(out, "_copies", key).drop("_copies")
+
+
+def repeated(rows: DataFrame, copies: str, key: str) -> DataFrame:
+    """``rows`` as often as their column ``copies`` says, with ``copy`` counting from 1.
+
+    Up to ``CHUNK`` copies are exploded in-row; a row with more is first exploded
+    into chunks, which are dealt out before they are exploded.
+    """
+    few = rows.where(F.col(copies).between(1, CHUNK)).withColumn(
+        "copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
+    chunks = rows.where(F.col(copies) > CHUNK).withColumn(
+        "_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({copies} - 1) div {CHUNK}"))))
     first = F.col("_chunk") * CHUNK + 1
     many = chunks.repartition(F.col(key), F.col("_chunk")).withColumn(
-        "copy", F.explode(F.sequence(first, F.least(F.col("_copies"), first + (CHUNK - 1))))).drop("_chunk")
-    return few.unionByName(many).drop("_copies")
+        "copy", F.explode(F.sequence(first, F.least(F.col(copies), first + (CHUNK - 1))))).drop("_chunk")
+    return few.unionByName(many)
+
+
+def smote(train: DataFrame, features: Sequence[str] = dims.MODEL_FEATURES, label: str = "wqi_class", key: str = "obs_id",
+          k: int = 3, seed: int = SEED) -> DataFrame:
+    """SPL-5: every class brought to the majority's size with rows between a row and a near one of its class.
+
+    ``train`` has complete features; the result has (key, label, features,
+    synthetic).  A class lacks M - n rows: each of its rows gives q or q + 1 of
+    them (the rest to the first in hash order), on the segment to one of its k
+    nearest rows of the class in standardised space, both drawn by hash.  The
+    neighbours are exact for every row (grid cells, widened until certain); a
+    row without a neighbour (a class of one) is repeated as it is.
+    """
+    from riverlens.operators.scoring import nearest_labelled
+    rows = written(train.select(key, label, *features), "smote-train")
+    stats = melt(rows, features).groupBy("feature").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std_pop"))
+    sizes = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    plan = sizes.withColumn("_lack", F.max("n").over(Window.partitionBy()) - F.col("n")).where("_lack > 0")  # one row per class
+    plan = plan.select(label, F.expr("_lack div n").alias("_q"), F.expr("_lack % n").alias("need"))
+    minor = rows.join(plan.select(label), label, "left_semi")
+    near = nearest_labelled(minor, minor, stats, features, k, label, key, key, own_group=True)
+    points = rows.select(F.col(key).alias("_to"), F.struct(*features).alias("_point"))
+    near = (near.select("query_id", "neighbour_rank", F.col(key).alias("_to")).join(points, "_to")
+            .groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("neighbour_rank", "_point"))).alias("_near")))  # k at most
+    base = with_first(minor, plan.select(label, "need"), label, key, seed + 2, "_extra").join(plan.drop("need"), label)
+    base = base.withColumn("_copies", F.col("_q") + F.col("_extra").cast("long")).drop("_q", "_extra")
+    base = base.join(near, F.col(key) == F.col("query_id"), "left").drop("query_id")
+    made = repeated(base, "_copies", key)
+    name = F.concat(F.col(key).cast("string"), F.lit("#"), F.col("copy").cast("string"))
+    pick = F.pmod(order_key(name, seed + 3).cast("long"), F.size("_near")).cast("int")
+    part = order_key(name, seed + 4) / F.lit(2.0 ** 52)
+    made = made.withColumns({"_other": F.when(F.size("_near") > 0, F.get("_near", pick)["_point"]), "_part": part, "_name": name})
+    values = [F.when(F.col("_other").isNull(), F.col(f)).otherwise(
+        F.col(f) + F.col("_part") * (F.col(f"_other.{f}") - F.col(f))).alias(f) for f in features]
+    made = made.select(F.col("_name").alias(key), label, *values, F.lit(True).alias("synthetic"))
+    real = rows.select(F.col(key).cast("string").alias(key), label, *features, F.lit(False).alias("synthetic"))
+    return real.unionByName(made)
+
+
+# FIXED VALUES: names of the resampling methods.
+RESAMPLING = {"none": "none", "none_class_weight": "none", "passthrough": "none", "": "none", "smote": "smote",
+              "random_oversampler": "oversample", "ros": "oversample", "oversample": "oversample"}
+
+
+def resample(train: DataFrame, method: str = "none", features: Sequence[str] = dims.MODEL_FEATURES,
+             label: str = "wqi_class", key: str = "obs_id", seed: int = SEED, k: int = 3) -> DataFrame:
+    """SPL-6: ``train`` resampled by a named method; an unknown name raises.  For training rows only."""
+    kind = RESAMPLING.get(str(method).strip().lower())
+    if kind is None:
+        raise ValueError(f"unknown resampling method {method!r}; one of none, smote, random_oversampler")
+    if kind == "smote":
+        return smote(train, features, label, key, k, seed).drop("synthetic")
+    return oversample(train, label, key, seed).drop("copy") if kind == "oversample" else train
 
 
 def fitted_statistics(train: DataFrame, features: Sequence[str] = dims.MODEL_FEATURES) -> DataFrame:
     """CLN-2 / FEA-3..5 / AGG-30: train-only medians, mean, population std,
     quartiles and P10/P90, one row per feature (the fitted state)."""
-    from riverlens.operators.quantiles import melt
     long = melt(train, features).where(F.col("value").isNotNull() & ~F.isnan("value"))
     mom = long.groupBy("feature").agg(F.count("value").alias("n"), F.avg("value").alias("mean"),
                                       F.stddev_pop("value").alias("std_pop"))

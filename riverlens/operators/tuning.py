@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riverlens.operators.split import order_key
+from riverlens.session import written
 
 # FIXED VALUES: search spaces (MLlib names; "no depth limit" becomes MLlib's maximum 30).
 GRIDS: dict[str, dict[str, Sequence]] = {
@@ -77,10 +78,8 @@ def tune(pipeline, train: DataFrame, kind: str, key: str = "obs_id", n_iter: int
     """ML-6: random search with k folds; returns (best pipeline model, [(params, mean macro F1)])."""
     est = pipeline.getStages()[-1]
     maps = sample_param_maps(est, GRIDS[kind], n_iter, seed)
-    from riverlens.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(train.sparkSession)
-    # every candidate x fold fit re-reads the data: cut the lineage once (shared checkpoint folder)
-    data = train.withColumn("fold", (order_key(F.col(key), seed + 7) % folds).cast("int")).checkpoint(eager=True)
+    # every candidate x fold fit re-reads the data: written once to the shared folder
+    data = written(train.withColumn("fold", (order_key(F.col(key), seed + 7) % folds).cast("int")), "tuning")
     cv = CrossValidator(estimator=pipeline, estimatorParamMaps=maps, evaluator=MacroF1Evaluator(),
                         foldCol="fold", numFolds=folds, parallelism=parallelism, seed=seed)
     model = cv.fit(data)
@@ -90,7 +89,7 @@ def tune(pipeline, train: DataFrame, kind: str, key: str = "obs_id", n_iter: int
 
 def imbalance_experiment(train: DataFrame, test: DataFrame, kinds: Sequence[str] = ("decision_tree",
                          "random_forest", "logistic_regression", "boosted_trees"),
-                         strategies: Sequence[str] = ("balanced_weights", "random_oversampling"),
+                         strategies: Sequence[str] = ("balanced_weights", "random_oversampling", "smote"),
                          label: str = "wqi_class") -> DataFrame:
     """ML-13: macro F1 per (model, imbalance strategy) on the same test split.
 
@@ -100,16 +99,18 @@ def imbalance_experiment(train: DataFrame, test: DataFrame, kinds: Sequence[str]
     """
     from riverlens.operators import metrics as M
     from riverlens.operators import models as MD
-    from riverlens.operators.split import oversample, with_weights
+    from riverlens.operators.split import resample, with_weights
     conf = None
     for strategy in strategies:
         if strategy == "balanced_weights":
             data = with_weights(train, label)
-        elif strategy == "random_oversampling":
-            data = oversample(train, label).drop("copy").withColumn("weight", F.lit(1.0))
+        elif strategy in ("random_oversampling", "smote"):
+            rows = train.dropna(subset=list(MD.RAW)) if strategy == "smote" else train
+            data = resample(rows, "ros" if strategy == "random_oversampling" else strategy, MD.RAW, label)
+            data = data.withColumn("weight", F.lit(1.0))
         else:
             raise ValueError(f"unknown strategy {strategy!r}")
-        data = data.cache()
+        data = written(data, "resampled")
         for kind in kinds:
             model = MD.build_pipeline(kind).fit(data)
             pred = MD.predict(model, test).select(F.col(label).alias("label"), F.col("predicted").alias("prediction"))
@@ -118,3 +119,30 @@ def imbalance_experiment(train: DataFrame, test: DataFrame, kinds: Sequence[str]
     ov = M.overall(conf, ["model"])
     parts = F.split(F.col("model"), "[|]")
     return ov.select(parts[0].alias("model_kind"), parts[1].alias("strategy"), "f1_macro", "f1_weighted", "accuracy")
+
+
+def tune_candidates(train: DataFrame, test: DataFrame, baseline: DataFrame, kinds: Sequence[str] = ("decision_tree", "random_forest"),
+                    label: str = "wqi_class", **search) -> DataFrame:
+    """ML-7 / SNK-7: tune the named candidates and update the comparison table.
+
+    ``baseline`` has (model, f1_macro).  Each candidate is tuned on ``train``
+    (weighted by class) and evaluated on ``test`` once.  Returns the baseline
+    rows and a "(Tuned)" row per candidate with its change and its direction.
+    """
+    from riverlens.operators import metrics as M
+    from riverlens.operators import models as MD
+    from riverlens.operators.split import with_weights
+    from riverlens.sources.sinks import update_comparison
+    weighted = written(with_weights(train, label), "tuning-train")
+    conf = None
+    for kind in kinds:
+        best, _ = tune(MD.build_pipeline(kind), weighted, kind, **search)
+        pred = MD.predict(best, test).select(F.col(label).alias("label"), F.col("predicted").alias("prediction"))
+        c = M.confusion(pred, model=kind)
+        conf = c if conf is None else conf.unionByName(c)
+    tuned = M.overall(conf, ["model"]).select(F.col("model").alias("_kind"), F.col("f1_macro").alias("_f1"))
+    fresh = tuned.join(baseline.select(F.col("model").alias("_kind"), F.col("f1_macro").alias("_old")), "_kind", "left")
+    delta = F.col("_f1") - F.col("_old")
+    fresh = fresh.select(F.concat("_kind", F.lit(" (Tuned)")).alias("model"), F.col("_f1").alias("f1_macro"), delta.alias("delta"),
+                         F.when(delta > 0, "improved").when(delta < 0, "worse").when(delta == 0, "unchanged").alias("direction"))
+    return update_comparison(baseline, fresh)

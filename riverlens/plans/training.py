@@ -164,3 +164,15 @@ FROM b GROUP BY ALL
 def station_holdout_counts(spark, sf_dir):
     return (S.station_split(labelled(spark, sf_dir)).groupBy("split")
              .agg(F.count(F.lit(1)).alias("n"), F.countDistinct("station").alias("stations")))
+
+
+@register("smote_class_counts", ("SPL-5", "SPL-6"), oracle=f"""
+WITH {SPLIT_SQL}, c AS (SELECT wqi_class, count(*) AS n FROM sp WHERE split = 'train'
+  AND {' AND '.join(f'{f} IS NOT NULL' for f in FEATURES)} GROUP BY wqi_class)
+SELECT wqi_class, CAST(max(n) OVER () AS BIGINT) AS rows, CAST(max(n) OVER () - n AS BIGINT) AS synthetic FROM c
+""")
+def smote_class_counts(spark, sf_dir):
+    """Complete training rows brought to equal class sizes by synthetic ones."""
+    train = split_frame(spark, sf_dir).where(F.col("split") == "train").dropna(subset=list(FEATURES))
+    return (S.smote(train).groupBy("wqi_class")
+             .agg(F.count(F.lit(1)).alias("rows"), F.count_if("synthetic").alias("synthetic")))

@@ -38,14 +38,23 @@ def deduplicate_events(df: DataFrame, keys: Sequence[str], event_time: str, dela
 
 
 def monthly_running(df: DataFrame, event_time: str = "sampled_at",
-                    features: Sequence[str] = dims.MODEL_FEATURES) -> DataFrame:
-    """STR-3: running monthly sums / counts per feature and class counts (update mode)."""
+                    features: Sequence[str] = dims.MODEL_FEATURES, delay: str | None = None) -> DataFrame:
+    """STR-3: running monthly sums / counts per feature and class counts.
+
+    Without ``delay`` for batch or update mode.  With it, a watermark: groups
+    are (month, day window), a window leaves the state once it is ``delay``
+    old, and append mode emits it then; months are sums over their windows.
+    """
     month = F.date_format(F.col(event_time), "yyyy-MM").alias("month")
+    groups = [month]
+    if delay:
+        df = df.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(event_time, delay)
+        groups.append(F.window(event_time, "1 day").alias("window"))
     aggs = []
     for f in features:
         aggs += [F.sum(f).alias(f"{f}_sum"), F.count(f).alias(f"{f}_n")]
     aggs += [F.count_if(F.col("wqi_class") == c).alias(f"n_{c.replace(' ', '_').lower()}") for c in dims.CLASS_ORDER]
-    return with_index(df).groupBy(month).agg(F.count(F.lit(1)).alias("observations"), *aggs)
+    return with_index(df).groupBy(*groups).agg(F.count(F.lit(1)).alias("observations"), *aggs)
 
 
 def start_assessment_stream(spark, source_dir: str, schema, sink_dir: str, checkpoint_dir: str,

@@ -142,7 +142,7 @@ def test_imbalance_experiment_table(spark):
     train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
     out = imbalance_experiment(train, test, kinds=("decision_tree", "logistic_regression")).collect()
     assert {(r["model_kind"], r["strategy"]) for r in out} == {
-        (k, s) for k in ("decision_tree", "logistic_regression") for s in ("balanced_weights", "random_oversampling")}
+        (k, s) for k in ("decision_tree", "logistic_regression") for s in ("balanced_weights", "random_oversampling", "smote")}
     assert all(0.0 <= r["f1_macro"] <= 1.0 for r in out)
 
 
@@ -154,3 +154,16 @@ def test_boosted_trees_give_probabilities(spark):
     assert pred.where(F.abs(total - 1) > 1e-9).count() == 0
     assert pred.where(F.col("probabilities")[F.col("predicted")] == F.col("top_probability")).count() >= 0.99 * df.count()
     assert pred.where("predicted = wqi_class").count() > 0.6 * df.count()
+
+
+def test_tuned_candidates_update_the_comparison(spark):
+    from riverlens.operators.tuning import tune_candidates
+    df = scored_observations(spark, SF_SMALL).where(F.col("wqi_class").isNotNull())
+    sp = S.stratified_split(df, materialize=True).select("obs_id", "wqi_class", *MD.RAW, "split")
+    baseline = spark.createDataFrame([("decision_tree", 0.1), ("logistic_regression", 0.5), ("decision_tree (Tuned)", 0.3)],
+                                     "model string, f1_macro double")
+    out = {r["model"]: r for r in tune_candidates(sp.where("split = 'train'"), sp.where("split = 'test'"), baseline,
+                                                  ("decision_tree",), n_iter=2, folds=2, parallelism=2).collect()}
+    assert set(out) == {"decision_tree", "logistic_regression", "decision_tree (Tuned)"}
+    tuned = out["decision_tree (Tuned)"]
+    assert tuned["direction"] == "improved" and tuned["delta"] == pytest.approx(tuned["f1_macro"] - 0.1)
