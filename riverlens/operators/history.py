@@ -86,16 +86,17 @@ def monthly_classes(records: DataFrame, label: str = "category") -> DataFrame:
         F.round(F.col("n") / F.col("_t"), 6).alias("share"))
 
 
-def coverage(records: DataFrame, feature: str) -> DataFrame:
-    """AGG-26: observations, sampled months, missing values of one feature, first/last month."""
-    return records.agg(
-        F.count(F.lit(1)).alias("observations"),
-        F.countDistinct("month").alias("sampled_months"),
-        F.count_if(F.col(feature).isNull()).alias("missing_values"),
+def coverage(records: DataFrame, features: str | Sequence[str]) -> DataFrame:
+    """AGG-26: observations, sampled months, missing values per feature, first/last month; one aggregation."""
+    features = [features] if isinstance(features, str) else list(features)
+    one = records.agg(
+        F.count(F.lit(1)).alias("observations"), F.countDistinct("month").alias("sampled_months"),
         F.min("month").alias("first_period"), F.max("month").alias("last_period"),
-    ).select(F.lit(feature).alias("feature"), F.col("observations").cast("long"),
-             F.col("sampled_months").cast("long"), F.col("missing_values").cast("long"),
-             "first_period", "last_period")
+        *[F.count_if(F.col(f).isNull()).alias(f"_m{i}") for i, f in enumerate(features)])
+    arr = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"_m{i}").alias("missing_values")) for i, f in enumerate(features)])
+    return one.select("observations", "sampled_months", "first_period", "last_period", F.inline(arr)).select(
+        "feature", F.col("observations").cast("long"), F.col("sampled_months").cast("long"),
+        F.col("missing_values").cast("long"), "first_period", "last_period")
 
 
 def overview_metrics(records: DataFrame, features: Sequence[str] = dims.MODEL_FEATURES) -> DataFrame:

@@ -69,12 +69,12 @@ def history_monthly_classes(spark, sf_dir):
 
 @register("history_coverage", ("AGG-26",), oracle=f"""
 WITH {REC_CTE}
-SELECT 'bod_mgl' AS feature, count(*) AS observations, count(DISTINCT month) AS sampled_months,
-       count(*) FILTER (WHERE bod_mgl IS NULL) AS missing_values, min(month) AS first_period,
-       max(month) AS last_period FROM rec
+{' UNION ALL '.join(f"""SELECT '{f}' AS feature, count(*) AS observations, count(DISTINCT month) AS sampled_months,
+       count(*) FILTER (WHERE {f} IS NULL) AS missing_values, min(month) AS first_period, max(month) AS last_period FROM rec"""
+       for f in FEATURES)}
 """)
 def history_coverage(spark, sf_dir):
-    return H.coverage(records(spark, sf_dir), "bod_mgl")
+    return H.coverage(records(spark, sf_dir), FEATURES)
 
 
 def _overview_sql():

@@ -45,3 +45,15 @@ def test_dedupe_and_monthly_running(spark):
     batch = {r["month"]: r["c"] for r in spark.read.parquet(src)
              .groupBy(F.date_format("sampled_at", "yyyy-MM").alias("month")).agg(F.count("*").alias("c")).collect()}
     assert got == batch
+
+
+def test_monthly_state_leaves_after_the_watermark(spark):
+    d, src = _write_source(spark)
+    schema = spark.read.parquet(src).schema
+    stream = ST.monthly_running(spark.readStream.schema(schema).parquet(src), delay="1 day")
+    q = stream.writeStream.format("memory").queryName("monthly_append").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    got = {(r["month"], str(r["window"]["start"])[:10]): r["observations"] for r in spark.table("monthly_append").collect()}
+    batch = {(r["m"], r["d"]): r["n"] for r in spark.read.parquet(src).groupBy(
+        F.date_format("sampled_at", "yyyy-MM").alias("m"), F.date_format("sampled_at", "yyyy-MM-dd").alias("d")).agg(F.count("*").alias("n")).collect()}
+    assert got and all(batch[k] == n for k, n in got.items())      # closed windows only, each once and whole
