@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from riverlens.llm.common import connected_components, cut, packed
 
 WORDS, SIMILAR = 5, 0.8
-BANDS, ROWS = 12, 3
+BANDS, ROWS = 16, 3
 BUCKETS, RARE = 1 << 18, 1e-3
 PART = 1_000_000        # bytes of text worked on at once
 TILE = 256              # members of a bucket, about, on a side of a tile
