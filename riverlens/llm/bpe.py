@@ -14,7 +14,7 @@ repeated results; an empty table gives an empty result.
 Scale: a narrow map over the documents, no shuffle.  The vocabulary and its
 hash (about 1 MB at 50,000 tokens, fixed by the rank file) are read on the
 driver and broadcast.  A worker remembers the pieces of the last one
-or two times ``MEMO`` different pre-tokens it met; long texts are encoded in runs
+or two times ``memory`` different pre-tokens it met; long texts are encoded in runs
 of pre-tokens, so no text needs more memory than a few times its own size.
 """
 
@@ -137,8 +137,8 @@ def vocabulary(path: str) -> Vocabulary:
 class Coder:
     """Encoder and decoder of a worker, with its memory of pre-tokens."""
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str):
-        self.vocabulary, self.pattern = vocabulary, regex.compile(pattern)
+    def __init__(self, vocabulary: Vocabulary, pattern: str, memory: int = MEMO):
+        self.vocabulary, self.pattern, self.memory = vocabulary, regex.compile(pattern), memory
         self.memo: dict[str, str] = {}      # met lately
         self.older: dict[str, str] = {}     # met before that
         self.pieces = {str(k): t for k, t in enumerate(vocabulary.tokens) if t}
@@ -155,7 +155,7 @@ class Coder:
             for word in set(words).difference(memo):
                 memo[word] = self.older.get(word) or ",".join(map(str, self.vocabulary.merged(word.encode())))
             yield ",".join([memo[w] for w in words])
-            if len(memo) > MEMO:
+            if len(memo) > self.memory:
                 self.memo, self.older = {}, memo
 
     def decoded(self, ids: str) -> bytes:
@@ -163,15 +163,15 @@ class Coder:
         return b"".join([pieces[k] for k in ids.split(",")])
 
 
-_CODERS: dict[tuple[int, str], Coder] = {}
+_CODERS: dict[tuple[int, str, int], Coder] = {}
 
 
-def coder_of(shared: Broadcast, pattern: str) -> Coder:
+def coder_of(shared: Broadcast, pattern: str, memory: int = MEMO) -> Coder:
     """The worker's coder for a broadcast token list; made once per worker process."""
-    key = (shared.value.print, pattern)
+    key = (shared.value.print, pattern, memory)
     if key not in _CODERS:
         _CODERS.clear()
-        _CODERS[key] = Coder(shared.value, pattern)
+        _CODERS[key] = Coder(shared.value, pattern, memory)
     return _CODERS[key]
 
 
@@ -210,12 +210,16 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
     return rows.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids]): encodes every text and decodes the ids, in one pass."""
+def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False, memory: int = MEMO) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids]): encodes every text and decodes the ids, in one pass.
+
+    ``memory`` is how many pre-tokens a worker remembers once or twice: it costs
+    memory that the worker keeps, and saves merges.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = coder_of(shared, pattern)
+        coder = coder_of(shared, pattern, memory)
         for batch in batches:
             counts, hashes, backs, all_ids = [], [], [], []
             for text in _texts(batch, "text"):
