@@ -34,7 +34,7 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-MEMO = 150_000
+MEMO = 220_000
 RUN = 100_000  # pre-tokens encoded at once
 
 
@@ -90,7 +90,7 @@ class Vocabulary:
         self.tokens, self.ids = tokens, [k for _, k in held]
         self.print = xxhash.xxh64_intdigest(b"\n".join(tokens))
         self.find = PerfectHash([t for t, _ in held])
-        self.pairs = {t: k for t, k in held if len(t) > 1}  # for the merges: a pair by its joined bytes
+        self.parts = dict(held)     # for the merges: a part, or a pair by its joined bytes
 
     def rank(self, piece: bytes) -> int:
         """The id of ``piece``, -1 if it is no token."""
@@ -101,13 +101,14 @@ class Vocabulary:
         """Ids of a pre-token: itself if it is a token, else by merges of lowest rank, leftmost first."""
         if (whole := self.rank(piece)) >= 0:
             return [whole]
-        n, pairs = len(piece), self.pairs
+        n, parts = len(piece), self.parts
+        rank, push, pop = parts.get, heapq.heappush, heapq.heappop
         # the parts as a linked list by their first byte; ends[i] < 0: merged into the part before it
         before, ends = list(range(-1, n - 1)), list(range(1, n + 1))
-        heap = [(r, i, i + 2) for i in range(n - 1) if (r := pairs.get(piece[i:i + 2])) is not None]
+        heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank(piece[i:i + 2])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, end = heapq.heappop(heap)
+            _, i, end = pop(heap)
             # a pair is stale once its left part is gone or either part has grown
             j = ends[i]
             if j < 0 or j >= n or ends[j] != end:
@@ -115,17 +116,14 @@ class Vocabulary:
             ends[i], ends[j] = end, -1
             if end < n:
                 before[end] = i
-                if (r := pairs.get(piece[i:ends[end]])) is not None:
-                    heapq.heappush(heap, (r, i, ends[end]))
-            if (p := before[i]) >= 0 and (r := pairs.get(piece[p:end])) is not None:
-                heapq.heappush(heap, (r, p, end))
+                if (r := rank(piece[i:ends[end]])) is not None:
+                    push(heap, (r, i, ends[end]))
+            if (p := before[i]) >= 0 and (r := rank(piece[p:end])) is not None:
+                push(heap, (r, p, end))
         out, i = [], 0
         while i < n:
-            part = piece[i:ends[i]]
-            out.append(pairs[part] if len(part) > 1 else self.rank(part))
+            out.append(parts[piece[i:ends[i]]])     # a vocabulary that lacks a single byte raises here
             i = ends[i]
-        if min(out) < 0:
-            raise ValueError("the vocabulary lacks a single byte")
         return out
 
 
