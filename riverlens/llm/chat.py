@@ -14,8 +14,8 @@ number of ``%``, ``|`` gains one ``%``, so no text can open or close a turn;
 ``unescaped`` takes it back.  In a role, ``\`` and newline are escaped too.
 
 Defined cases: a null text or role is empty; a null or unparsable record, and
-one whose fingerprint no mapping has, gives null turns (``unmapped`` selects
-them); an empty list of turns gives an empty output; rows of one conversation
+one whose fingerprint no mapping has, gives null turns and a null layout; an
+empty list of turns gives an empty output; rows of one conversation
 are ordered by turn, role and text, nulls first, repeated rows each count; a
 null conv_id is a conversation of its own; columns of other names are ignored
 by ``conversation_records``.
