@@ -18,7 +18,10 @@ from pyspark.sql import functions as F
 from riverlens.functions import dims
 from riverlens.functions.index import with_index
 from riverlens.functions.scalars import log10_floor1
-from riverlens.operators.rules import with_findings
+from riverlens.operators import explain as X
+from riverlens.operators import models as MD
+from riverlens.operators.rules import with_document, with_findings
+from riverlens.operators.scoring import gate_payload
 
 RULE_COLS = (*dims.MODEL_FEATURES, dims.ENGINEERED_FEATURE)
 
@@ -31,6 +34,25 @@ def assess(df: DataFrame, keys: Sequence[str] = ("obs_id",)) -> DataFrame:
                     "n_params", "wqi_score", "wqi_class", "potability", "n_abnormal", "overall_priority")
 
 
+def assess_submissions(df: DataFrame, model, payload: str = "payload", keys: Sequence[str] = ("submission_id",)) -> DataFrame:
+    """STR-1: submissions (keys, payload) from gate to decision document, batch or stream.
+
+    ``model`` is a fitted tree pipeline.  Rejected rows carry their reason and no
+    document.  Every step is on the row itself, so a stream keeps no state.
+    """
+    gated = gate_payload(df.select(*keys, payload), payload)
+    out = [gated.where(F.col("gate_reason").isNotNull()).select(
+        *keys, "gate_reason", F.lit(None).cast("string").alias("predicted"), F.lit(None).cast("boolean").alias("uncertain"),
+        F.lit(None).cast("string").alias("document"))]
+    accepted = gated.where(F.col("gate_reason").isNull()).select(*keys, *MD.RAW)
+    nodes = X.node_table(X.tree_from_pipeline(model), df.sparkSession)
+    rows, base = X.attributed(nodes, MD.predict(model, accepted, keys), len(MD.FEATURES))
+    rows = with_document(X.with_explanation(rows, base, MD.label_names(model), MD.FEATURES), MD.FEATURES)
+    out.append(rows.select(*keys, F.lit(None).cast("string").alias("gate_reason"), "predicted", "uncertain",
+                           F.to_json("document").alias("document")))
+    return out[0].unionByName(out[1])
+
+
 def deduplicate_events(df: DataFrame, keys: Sequence[str], event_time: str, delay: str = "1 day") -> DataFrame:
     """STR-2: drop repeated events by key within the watermark delay."""
     ts = df.withColumn(event_time, F.col(event_time).cast("timestamp"))  # watermarks need TIMESTAMP (not NTZ)

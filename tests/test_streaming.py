@@ -57,3 +57,22 @@ def test_monthly_state_leaves_after_the_watermark(spark):
     batch = {(r["m"], r["d"]): r["n"] for r in spark.read.parquet(src).groupBy(
         F.date_format("sampled_at", "yyyy-MM").alias("m"), F.date_format("sampled_at", "yyyy-MM-dd").alias("d")).agg(F.count("*").alias("n")).collect()}
     assert got and all(batch[k] == n for k, n in got.items())      # closed windows only, each once and whole
+
+
+def test_submissions_from_gate_to_document(spark, tmp_path):
+    from riverlens.operators import models as MD
+    from riverlens.operators.split import with_weights
+    from riverlens.plans.labelling import scored_observations
+    from riverlens.sources.tables import submissions
+    train = scored_observations(spark, SF_SMALL).where("wqi_class is not null").select("obs_id", "wqi_class", *MD.RAW)
+    model = MD.build_pipeline("decision_tree", max_depth=4).fit(with_weights(train))
+    src = str(tmp_path / "in")
+    submissions(spark, SF_SMALL).repartition(3).write.parquet(src)
+    batch = ST.assess_submissions(spark.read.parquet(src), model)
+    stream = ST.assess_submissions(spark.readStream.schema(spark.read.parquet(src).schema).parquet(src), model)
+    q = stream.writeStream.format("memory").queryName("submission_out").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    got = spark.table("submission_out").collect()
+    assert sorted(map(str, got)) == sorted(map(str, batch.collect())) and len(got) == spark.read.parquet(src).count()
+    assert {r["gate_reason"] for r in got} >= {None, "missing", "outside"}
+    assert all((r["document"] is None) == (r["gate_reason"] is not None) for r in got)
