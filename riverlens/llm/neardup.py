@@ -5,11 +5,14 @@ white space; a shorter text is one shingle).  A shingle weighs its count in the
 times its idf, which is estimated over all documents by one hashed count per
 bucket: the load of the shingle's bucket above the mean load.  Shingles in
 less than ``RARE`` of all documents share the highest idf, so only frequent
-shingles matter there, and they are few at any size.  ``BANDS`` x ``ROWS``
-consistent weighted samples (Ioffe's ICWS) make the bands' keys.  Texts that
-share a key are compared: a link needs a weighted Jaccard similarity, or a
-plain one of the shingle sets, of ``SIMILAR`` or more.  Classes are the
-connected components of the links; exact copies of a text are one node.
+shingles matter there, and they are few at any size.  Texts that share a key
+are compared: a link needs a weighted Jaccard similarity, or a plain one of the
+shingle sets, of ``SIMILAR`` or more.  Each of the two has its own family of
+``BANDS`` x ``ROWS`` samples that make its bands' keys: consistent weighted
+samples (Ioffe's ICWS) and least hashes of the shingle set.  So a pair at the
+threshold by either similarity shares no key with a probability of
+(1 - SIMILAR^ROWS)^BANDS, 1 in 100,000.  Classes are the connected components
+of the links; exact copies of a text are one node.
 
 Which members of a bucket are compared: all with the bucket's first; then, in
 tiles, the members that are in different components by now.  Every pair that
@@ -50,7 +53,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _POWERS: list[np.ndarray] = []
 _SEED = np.random.default_rng(33)
 _PLACE = _SEED.integers(1, 2 ** 63, WORDS, dtype=np.uint64) | np.uint64(1)
-_DRAW = (_SEED.integers(1, 2 ** 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1))[:, None]
+_DRAW, _PLAIN = ((_SEED.integers(1, 2 ** 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1))[:, None] for _ in range(2))
 
 
 def text_key(text: Column) -> Column:
@@ -194,17 +197,34 @@ def band_keys(bag: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
         chosen[better] = names[lo:lo + 4096][best[better]]
         level[better] = t[at, best][better].astype(np.int64)
     signature = _mixed(chosen * _PLACE[0] + level.astype(np.uint64) * _PLACE[1]).reshape(BANDS, ROWS)
-    keys = sum(signature[:, j] * _PLACE[j] for j in range(ROWS)) + np.arange(BANDS, dtype=np.uint64) * _PLACE[4]
-    return _mixed(keys).view(np.int64)
+    return _band_hashes(signature, 0)
+
+
+def plain_band_keys(names: np.ndarray) -> np.ndarray:
+    """The BANDS keys of a set of shingles by its least hashes."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for lo in range(0, len(names), 4096):
+        least = np.minimum(least, _mixed(_mixed(names[None, lo:lo + 4096] * _PLAIN)).min(1))
+    return _band_hashes(least.reshape(BANDS, ROWS), BANDS)
+
+
+def _band_hashes(signature: np.ndarray, first: int) -> np.ndarray:
+    """One key a row of samples; ``first`` is the number of the first band."""
+    band = np.arange(first, first + BANDS, dtype=np.uint64)
+    return _mixed(sum(signature[:, j] * _PLACE[j] for j in range(ROWS)) + band * _PLACE[4]).view(np.int64)
 
 
 def bands(docs: DataFrame, idf: np.ndarray) -> DataFrame:
-    """(node, key): each distinct text that has words, with its band keys."""
+    """(node, keys): each distinct text that has words, with the band keys of both families."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
+    def both(shingle: np.ndarray) -> np.ndarray:
+        bag = weights(shingle, shared.value)
+        return np.concatenate([band_keys(bag), plain_band_keys(bag[0])])
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [band_keys(weights(s, shared.value)) if len(s) else None for s in shingles(batch.column("text"))]
+            keys = [both(s) if len(s) else None for s in shingles(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(keys, pa.list_(pa.int64()))],
                                              ["node", "keys"])
         pa.default_memory_pool().release_unused()

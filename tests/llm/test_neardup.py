@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 from helpers import docs_frame, prose
 
@@ -135,3 +137,31 @@ def test_connected_components(spark):
         got.setdefault(r["component"], set()).add(r["node"])
     assert len(got) == 6 and got["0000"] == {f"{k:04}" for k in range(50)} | {"hub"}
     assert connected_components(spark.createDataFrame([], "a string, b string")).count() == 0
+
+
+def hot_passage_pairs():
+    """12 pairs of a plain similarity of 0.806, each around a passage that stands in a third of all rows."""
+    rng = random.Random(7)
+    words = lambda name, n: [f"{name}w{k}" for k in range(n)]
+    own = lambda name: [*words(name, 7), *[name] * 40]
+    passages = [words(f"p{p}", 104) for p in range(12)]
+    texts = [x for p, passage in enumerate(passages) for x in (passage + own(f"a{p}"), own(f"b{p}") + passage)]
+    for k in range(60):
+        texts.append(words(f"own{k}", 400) + [w for p in rng.sample(range(12), 5) for w in [f"gap{k}x{p}", *passages[p]]])
+    return [(k, " ".join(t), "en", "s") for k, t in enumerate(texts)]
+
+
+def test_pairs_around_a_common_passage_are_found(spark):
+    rows = hot_passage_pairs()
+    sets = [grams(t) for _, t, _, _ in rows]
+    assert all(len(sets[k] & sets[k + 1]) >= 0.8 * len(sets[k] | sets[k + 1]) for k in range(0, 24, 2))
+    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(docs_frame(spark, rows)).collect()}
+    assert [p for p in range(12) if got[2 * p + 1] != 2 * p] == []
+
+
+def test_plain_keys_follow_plain_jaccard():
+    rng, agree = np.random.default_rng(5), []
+    for _ in range(300):
+        names = rng.integers(0, 2 ** 63, 300, dtype=np.uint64)
+        agree.append((neardup.plain_band_keys(names[:270]) == neardup.plain_band_keys(names[30:])).mean())
+    assert abs(np.mean(agree) - 0.8 ** neardup.ROWS) < 0.03
