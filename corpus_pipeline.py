@@ -42,9 +42,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document of the stream, with digests of the ids and of their decoding.
 
+    ``docs`` is the written stream; ``position`` is a row's place in it, and the rows are sorted by it.
     Workers outlive the stage, so they remember less here than in a job of its own.
     """
-    return bpe.round_trip(docs, *queries.tokenizer(), with_ids=True, memory=40_000)
+    return bpe.round_trip(mixing.stream_order(docs), *queries.tokenizer(), with_ids=True, memory=40_000,
+                          carried=["position"])
 
 
 STAGES = [

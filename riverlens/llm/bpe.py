@@ -23,7 +23,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 from itertools import islice
 
@@ -208,11 +208,13 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
     return rows.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False, memory: int = MEMO) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False, memory: int = MEMO,
+               carried: Sequence[str] = ()) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids]): encodes every text and decodes the ids, in one pass.
 
     ``memory`` is how many pre-tokens a worker remembers once or twice: it costs
-    memory that the worker keeps, and saves merges.
+    memory that the worker keeps, and saves merges.  ``carried`` columns follow
+    doc_id; the rows stay in their order.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
 
@@ -230,7 +232,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False,
                     n += part.count(",") + 1
                 counts.append(n), hashes.append(ids.hexdigest()), backs.append(back.hexdigest())
                 all_ids.append(np.concatenate(parts) if parts else np.zeros(0, dtype=np.int32))
-            out = {"doc_id": batch.column("doc_id"), "n_tokens": pa.array(counts, pa.int64()),
+            out = {"doc_id": batch.column("doc_id"), **{c: batch.column(c) for c in carried}, "n_tokens": pa.array(counts, pa.int64()),
                    "ids_sha256": pa.array(hashes, pa.string()), "decoded_sha256": pa.array(backs, pa.string())}
             if with_ids:
                 ends = np.cumsum([0, *(len(x) for x in all_ids)])
@@ -240,5 +242,6 @@ def round_trip(docs: DataFrame, path: str, pattern: str, with_ids: bool = False,
         pa.default_memory_pool().release_unused()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select("doc_id", "text").mapInArrow(run, schema + ", ids array<int>" * with_ids)
+    extra = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in carried)
+    schema = f"doc_id {kind}, {extra}n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return docs.select("doc_id", *carried, "text").mapInArrow(run, schema + ", ids array<int>" * with_ids)

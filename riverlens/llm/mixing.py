@@ -125,13 +125,37 @@ def mix_plan(rows: DataFrame, weights: Sequence[int] = WEIGHTS, schedules: Seque
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The training stream: a row of ``docs`` per taken copy, range-sorted by its training position."""
+    """The training stream: a row of ``docs`` per taken copy, range-sorted by its training position.
+
+    Once written, ``stream_order`` reads the order off the files.
+    """
     rows = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"), packed(docs).alias("row"))
     copies = mix_plan(rows, **options).select("row", F.explode("positions").alias("position"))
-    return (copies.repartitionByRange("position").sortWithinPartitions("position")
+    return (copies.repartitionByRange("position").sortWithinPartitions("position", "row.doc_id")
             .select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns]))
 
 
+def stream_order(written: DataFrame) -> DataFrame:
+    """(doc_id, text, position) of a written stream, range-sorted by the row's place in it, 0 for the first.
+
+    A reread packs files by size, so the place comes from the number of the
+    range part, which is in the file's name, and the row's place in the file.
+    The driver sees one count per file.
+    """
+    file = F.col("_metadata.file_name")
+    rows = written.select("doc_id", "text", F.regexp_extract(file, r"^part-(\d+)", 1).cast("long").alias("part"),
+                          F.coalesce(F.regexp_extract(file, r"-c(\d+)\.", 1).try_cast("long"), F.lit(0)).alias("piece"),
+                          F.col("_metadata.row_index").alias("at"))
+    ahead, bases = 0, []
+    for part, piece, n in sorted(map(tuple, rows.groupBy("part", "piece").count().collect())):
+        bases.append((part, piece, ahead))
+        ahead += n
+    bases = written.sparkSession.createDataFrame(bases, "part long, piece long, base long")
+    return (rows.join(F.broadcast(bases), ["part", "piece"])
+            .select("doc_id", "text", (F.col("base") + F.col("at")).alias("position"))
+            .repartitionByRange("position").sortWithinPartitions("position"))
+
+
 ORACLE = r"""
 WITH s AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size

@@ -3,6 +3,7 @@ from hashlib import sha256
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parents[2]))
 
@@ -10,6 +11,7 @@ import corpus_pipeline as cp  # noqa: E402
 from test_linededup import brute as brute_lines  # noqa: E402
 from test_neardup import brute_classes  # noqa: E402
 
+from riverlens.llm import mixing  # noqa: E402
 from riverlens.llm.common import cut  # noqa: E402
 from riverlens.sources.tables import read_table  # noqa: E402
 
@@ -81,3 +83,18 @@ def test_bpe(steps):
 def test_run_is_the_stages(spark, steps):
     out = sorted(map(str, cp.run(spark, SF).collect()))
     assert out == sorted(map(str, steps["bpe"][1].collect()))
+
+
+def test_token_ids_come_in_training_order(spark, steps):
+    docs, _ = steps["mix"]
+    sizes = docs.select("doc_id", "source", mixing.size_of(F.col("text")).alias("size"))
+    want = sorted((p, r["doc_id"]) for r in mixing.mix_plan(sizes).collect() for p in r["positions"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        stream = cut(mixing.mix(docs), "stream")
+        assert len(stream.inputFiles()) > 3
+        out = cp.encode_texts(spark, stream, SF).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [r["position"] for r in out] == list(range(len(want)))
+    assert [r["doc_id"] for r in out] == [d for _, d in want]
