@@ -1,7 +1,7 @@
 r"""Chat formatting: heterogeneous records to canonical turns to one template.
 
-Records are JSON texts of any known layout: prompt and response, instruction
-with input, lists of messages.  The layout of a record is told by its schema
+Records are JSON texts, or structs with null for an absent field, of any known
+layout: prompt and response, instruction with input, lists of messages.  The layout of a record is told by its schema
 fingerprint, a hash of its sorted nested field paths; the fingerprint selects
 a declarative mapping (an SQL expression) that yields canonical turns
 (role, text).  The template writes a turn as
@@ -15,6 +15,9 @@ number of ``%``, ``|`` gains one ``%``, so no text can open or close a turn;
 
 Defined cases: a null text or role is empty; a null or unparsable record, and
 one whose fingerprint no mapping has, gives null turns and a null layout; an
+unparsable JSON text of over ``JSON_CHARS`` characters raises, since Spark's
+JSON functions give null for valid longer strings too (structs, and so the
+query, have no such bound); an
 empty list of turns gives an empty output; rows of one conversation
 are ordered by turn, role and text, nulls first, repeated rows each count; a
 null conv_id is a conversation of its own; columns of other names are ignored
@@ -27,12 +30,15 @@ nothing larger than a conversation does.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 START, END = "<|im_start|>", "<|im_end|>"
+JSON_CHARS = 20_000_000     # the longest string that Spark's JSON parser takes
 TURNS = "array<struct<role:string,text:string>>"
 NAMES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
@@ -41,14 +47,37 @@ NAMES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assi
 
 def field_paths(record: Column) -> Column:
     """The sorted nested field paths of a JSON text, array levels marked [], as one string."""
-    shape = F.schema_of_variant(F.try_parse_json(record))
+    parsed = F.try_parse_json(record)
+    shape = F.when(parsed.isNull() & (F.length(record) > JSON_CHARS), F.raise_error(
+        F.lit("a JSON record is too long to be parsed; pass it as a struct")).cast("string")).otherwise(F.schema_of_variant(parsed))
     # the variant's schema lists the fields in order; what is left without the types are the paths
     shape = F.regexp_replace(shape, r"\b(STRING|VOID|BIGINT|DOUBLE|BOOLEAN|DECIMAL\(\d+,\s?\d+\)|VARIANT)\b", "")
     return F.regexp_replace(F.regexp_replace(shape, r"\s+", ""), "OBJECT|ARRAY", "")
 
 
-def fingerprint(record: Column) -> Column:
-    return F.xxhash64(field_paths(record))
+def struct_paths(record: Column, kind: T.StructType) -> Column:
+    """``field_paths`` of a struct, in which a null field is absent."""
+    def inner(value: Column, of: T.DataType) -> Column:
+        if isinstance(of, T.StructType):
+            return struct_paths(value, of)
+        if isinstance(of, T.ArrayType):
+            return F.when(F.size(value) == 0, "<>").otherwise(F.lit(f"<{element_paths(of.elementType)}>"))
+        return F.lit("")
+
+    def element_paths(of: T.DataType) -> str:
+        if isinstance(of, T.ArrayType):
+            return f"<{element_paths(of.elementType)}>"
+        if isinstance(of, T.StructType):
+            return "<" + ",".join(f"{f.name}:{element_paths(f.dataType)}" for f in sorted(of, key=lambda f: f.name)) + ">"
+        return ""
+
+    fields = [F.when(record[f.name].isNotNull(), F.concat(F.lit(f"{f.name}:"), inner(record[f.name], f.dataType)))
+              for f in sorted(kind, key=lambda f: f.name)]
+    return F.concat(F.lit("<"), F.concat_ws(",", *fields), F.lit(">"))
+
+
+def fingerprint(record: Column, kind: T.DataType | None = None) -> Column:
+    return F.xxhash64(struct_paths(record, kind) if isinstance(kind, T.StructType) else field_paths(record))
 
 
 def _turn(role: str, path: str) -> str:
@@ -80,6 +109,19 @@ LAYOUTS: Mapping[str, tuple[str, str]] = {
 }
 
 
+#: The mappings of the layouts that also come as structs.
+FIELDS: Mapping[str, str] = {
+    "prompt": ("array(named_struct('role', 'user', 'text', record.prompt), "
+               "named_struct('role', 'assistant', 'text', record.response))"),
+    "system prompt": ("array(named_struct('role', 'system', 'text', record.system), "
+                      "named_struct('role', 'user', 'text', record.prompt), "
+                      "named_struct('role', 'assistant', 'text', record.response))"),
+    "messages": ("transform(record.messages, x -> named_struct('role', coalesce(x.role, ''), "
+                 "'text', coalesce(x.content, '')))"),
+    "no turns": f"cast(array() as {TURNS})",
+}
+
+
 def with_turns(records: DataFrame, layouts: Mapping[str, tuple[str, str]] = LAYOUTS) -> DataFrame:
     """``records`` (record, ...) with ``layout`` and canonical ``turns``, both null where no mapping fits."""
     spark = records.sparkSession
@@ -87,10 +129,14 @@ def with_turns(records: DataFrame, layouts: Mapping[str, tuple[str, str]] = LAYO
     known = spark.createDataFrame([(k, example) for k, (example, _) in layouts.items()], "layout string, example string")
     prints = {r["layout"]: r["print"] for r in known.select("layout", fingerprint(F.col("example")).alias("print")).collect()}
     mark, layout, turns = F.col("schema_print"), F.lit(None).cast("string"), F.lit(None).cast(TURNS)
+    kind = records.schema["record"].dataType
+    if isinstance(kind, T.StructType):
+        layouts = {k: (example, FIELDS[k]) for k, (example, _) in layouts.items()
+                   if k in FIELDS and set(json.loads(example)) <= set(kind.names)}
     for name, (_, expression) in layouts.items():
         layout = F.when(mark == prints[name], name).otherwise(layout)
         turns = F.when(mark == prints[name], F.expr(expression).cast(TURNS)).otherwise(turns)
-    out = records.withColumn("schema_print", fingerprint(F.col("record")))
+    out = records.withColumn("schema_print", fingerprint(F.col("record"), kind))
     return out.withColumn("layout", layout).withColumn("turns", canonical(turns)).drop("schema_print")
 
 
@@ -152,17 +198,18 @@ def conversation_records(rows: DataFrame) -> DataFrame:
     """One record (conv_id, record) per conversation of the turn table, in the layout its turns fit.
 
     A user and an assistant turn: prompt and response; a system turn before
-    them: with system; else a list of messages.
+    them: with system; else a list of messages.  A record is a struct, so no
+    text passes through Spark's JSON parser and its bound on a string.
     """
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     convs = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("t"))
     roles = F.array_join(F.transform("t", lambda x: F.replace(x["role"], F.lit(" "), F.lit("_"))), " ")
-    at = lambda i: F.col("t")[i]["text"]
+    at = lambda i: F.get("t", F.lit(i))["text"]
     messages = F.transform("t", lambda x: F.struct(x["text"].alias("content"), x["role"].alias("role")))
-    record = (F.when((roles == "user assistant"), F.to_json(F.struct(at(0).alias("prompt"), at(1).alias("response"))))
-              .when(roles == "system user assistant", F.to_json(F.struct(
-                  at(1).alias("prompt"), at(2).alias("response"), at(0).alias("system"))))
-              .otherwise(F.to_json(F.struct(messages.alias("messages")))))
+    two, three = roles == "user assistant", roles == "system user assistant"
+    record = F.struct(F.when(two, at(0)).when(three, at(1)).alias("prompt"),
+                      F.when(two, at(1)).when(three, at(2)).alias("response"),
+                      F.when(three, at(0)).alias("system"), F.when(~(two | three), messages).alias("messages"))
     return convs.select("conv_id", record.alias("record"))
 
 

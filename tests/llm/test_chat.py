@@ -1,6 +1,7 @@
 import json
 from hashlib import sha256
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -77,3 +78,18 @@ def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string")
     plan = chat.digest(chat.formatted(chat.with_turns(chat.conversation_records(df))))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_texts_above_the_json_parser_s_bound(spark):
+    rows = spark.createDataFrame([(1, 0, "user", 1), (1, 1, "assistant", 4_200_000), (2, 0, "assistant", 4_100_000),
+                                  (3, 0, "system", 4_100_000), (3, 1, "user", 1), (3, 2, "assistant", 1)],
+                                 "conv_id long, turn long, role string, n int")
+    df = rows.select("conv_id", "turn", "role", F.expr("repeat('long ', n)").alias("text"))
+    got = {r["conv_id"]: r for r in chat.digest(chat.formatted(chat.with_turns(chat.conversation_records(df)))).collect()}
+    for c in (1, 2, 3):
+        turns = [(r["role"], "long " * r["n"]) for r in rows.where(F.col("conv_id") == c).orderBy("turn").collect()]
+        assert tuple(got[c])[1:5] == digests(turns), c
+    text = spark.range(1).select(F.concat(F.lit('{"prompt": "a", "response": "'), F.expr("repeat('long ', 4100000)"),
+                                          F.lit('"}')).alias("record"))
+    with pytest.raises(Exception, match="too long"):
+        chat.with_turns(text).collect()
