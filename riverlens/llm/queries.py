@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverlens.llm import bpe, chat, fingerprint, langid, linededup, mixing, neardup, topk, toxicity, urlfilter
+from riverlens.llm import (bpe, chat, fingerprint, hardneg, langid, linededup, mixing, neardup, tokencount, topk, toxicity,
+                           urlfilter, whitening)
 from riverlens.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +117,29 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op10_top_k"] = topk.ORACLE
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three hard negatives for each of the five positives of every fiftieth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), topk.quantised(F.col("embedding")).alias("v"))
+    return hardneg.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op11_hard_negatives"] = hardneg.ORACLE
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the first eight whitened components."""
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", whitening.shifted(F.col("embedding")).alias("x"))
+    return whitening.whitened_rows(rows)
+
+
+@query
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it exceeds a window of 1,024 tokens."""
+    import public_tokenizers
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokencount.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
