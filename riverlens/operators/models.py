@@ -1,33 +1,37 @@
 """MLlib model pipeline: engineered feature, train-only imputation, weighted classifiers.
 
-Stages (all persistable with ``PipelineModel.save``):
+Stages (all persistable, fitted or not, with ``write().save`` / ``load``):
 
-1. ``SQLTransformer`` adding ``log10_fc`` (FEA-1 / FEA-2);
-2. ``ExactMedianImputer`` - an Estimator whose fitted model is again a
-   ``SQLTransformer`` with the train-only medians as literals (FEA-3 /
-   CLN-2; ``ml.feature.Imputer`` takes the lower middle element instead of
-   the interpolated median);
+1. ``Log10Feature`` - a Transformer adding ``log10_fc`` (FEA-1 / FEA-2);
+2. ``ExactMedianImputer`` - an Estimator; its model holds the train-only
+   medians (FEA-3 / CLN-2; ``ml.feature.Imputer`` takes the lower middle
+   element instead of the interpolated median);
 3. ``VectorAssembler`` in the frozen feature order (PRJ-7);
 4. ``StringIndexer`` for the label, and the classifier with a balanced
    ``weightCol`` (SPL-3).
 
-Fits are distributed MLlib jobs; only the fitted tree (size bounded by
-``maxDepth``) is read back to the driver, for attribution.
+The own stages are column expressions, so they run in the JVM.  Fits are
+distributed MLlib jobs; of the data only the fitted model reaches the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark import keyword_only
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression, OneVsRest,
                                        RandomForestClassifier)
-from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasOutputCol
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riverlens.functions import dims
+from riverlens.functions.scalars import log10_floor1, no_nan
 from riverlens.operators.quantiles import exact_quantiles, melt
 
 RAW = dims.MODEL_FEATURES
@@ -38,29 +42,60 @@ class FeatureSchemaError(ValueError):
     """Input lacks a required raw feature or carries a forbidden column."""
 
 
-def engineered_feature() -> SQLTransformer:
-    """FEA-1 / FEA-2 / SCL-2: log10(max(fc, 1)), null stays null."""
-    return SQLTransformer(statement="SELECT *, CASE WHEN fc IS NOT NULL THEN log10(greatest(fc, 1.0)) "
-                                    "END AS log10_fc FROM __THIS__")
+class Log10Feature(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """FEA-1 / FEA-2 / SCL-2: log10(max(x, 1)) of the input column; null and NaN give null."""
+
+    @keyword_only
+    def __init__(self, *, inputCol: str = "fc", outputCol: str = dims.ENGINEERED_FEATURE):
+        super().__init__()
+        self._setDefault(inputCol="fc", outputCol=dims.ENGINEERED_FEATURE)
+        self._set(**self._input_kwargs)
+
+    def feature_names_in(self) -> list[str]:
+        return [self.getInputCol()]
+
+    def feature_names_out(self) -> list[str]:
+        return [self.getOutputCol()]
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return dataset.withColumn(self.getOutputCol(), log10_floor1(no_nan(F.col(self.getInputCol()).cast("double"))))
 
 
-class ExactMedianImputer(Estimator):
-    """FEA-3: fit exact medians on the training frame only; transform never refits.
+class MedianImputerModel(Model, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """Writes ``<column>_imp`` next to each raw column: the value, or the fitted median where it is null or NaN.
 
-    The fitted model writes ``<column>_imp`` next to the raw column.
+    A column that had no value when fitted has no median and stays as it is.
     """
 
-    def __init__(self, columns: Sequence[str] = RAW):
+    medians = Param(Params._dummy(), "medians", "fitted median of each input column", TypeConverters.toList)
+
+    @keyword_only
+    def __init__(self, *, inputCols: Sequence[str] | None = None, medians: Sequence[float | None] | None = None):
         super().__init__()
-        self.columns = tuple(columns)
+        self._set(**{k: list(v) for k, v in self._input_kwargs.items() if v is not None})
+
+    def getMedians(self) -> dict[str, float | None]:
+        return dict(zip(self.getInputCols(), self.getOrDefault(self.medians)))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return dataset.withColumns({f"{c}_imp": F.coalesce(no_nan(F.col(c).cast("double")), F.lit(m).cast("double"))
+                                    for c, m in self.getMedians().items()})
+
+
+class ExactMedianImputer(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """FEA-3: fit exact medians on the training frame only; transform never refits."""
 
-    def _fit(self, df: DataFrame) -> SQLTransformer:
-        q = exact_quantiles(melt(df, self.columns), "value", [0.5], ["feature"]).collect()  # one row per column
+    @keyword_only
+    def __init__(self, *, inputCols: Sequence[str] = RAW):
+        super().__init__()
+        self._setDefault(inputCols=list(RAW))
+        self._set(**{k: list(v) for k, v in self._input_kwargs.items()})
+
+    def _fit(self, dataset: DataFrame) -> MedianImputerModel:
+        names = self.getInputCols()
+        q = exact_quantiles(melt(dataset, names), "value", [0.5], ["feature"]).collect()  # one row per column
         med = {r["feature"]: r["quantile"] for r in q}
-        fills = ", ".join(
-            f"coalesce(`{c}`, CAST({med[c]!r} AS DOUBLE)) AS `{c}_imp`" if med.get(c) is not None
-            else f"`{c}` AS `{c}_imp`" for c in self.columns)
-        return SQLTransformer(statement=f"SELECT *, {fills} FROM __THIS__")
+        return MedianImputerModel(inputCols=names, medians=[med.get(c) for c in names])
 
 
 # FIXED VALUES: columns that may never be features (the target and what it is made from).
@@ -78,27 +113,31 @@ def check_features(df: DataFrame | None, features: Sequence[str] = RAW, forbidde
         raise FeatureSchemaError(f"missing features {missing}")
 
 
-def classifier(kind: str, weight_col: str | None = "weight", seed: int = 42, max_depth: int = 10,
+#: MLlib's largest depth, in place of "no limit".
+NO_LIMIT = 30
+KINDS = ("decision_tree", "random_forest", "logistic_regression", "boosted_trees")
+
+
+def classifier(kind: str, weight_col: str | None = "weight", seed: int = 42, max_depth: int = NO_LIMIT,
                max_iter: int = 100):
     """ML-1..4 estimators (balanced through ``weightCol`` except boosting).
 
-    ``max_depth`` bounds the single tree and the forest (MLlib allows 30): the
-    attribution reads the tree's leaves on the driver, at most 2^max_depth.
-    ``max_iter`` is the number of boosting rounds.
+    ``max_depth`` bounds the single tree and the forest, ``max_iter`` is the
+    number of boosting rounds.  Node ids are cached and checkpointed, since deep
+    trees and many rounds otherwise walk an ever longer lineage.
     """
     common = dict(featuresCol="features", labelCol="label_idx")
+    deep = dict(maxBins=256, seed=seed, maxMemoryInMB=512, cacheNodeIds=True, checkpointInterval=10)
     if kind == "decision_tree":
-        return DecisionTreeClassifier(maxDepth=max_depth, maxBins=256, seed=seed,
-                                      weightCol=weight_col, **common)
+        return DecisionTreeClassifier(maxDepth=max_depth, weightCol=weight_col, **deep, **common)
     if kind == "random_forest":
-        return RandomForestClassifier(numTrees=100, maxDepth=max_depth, maxBins=256, seed=seed,
-                                      weightCol=weight_col, **common)
+        return RandomForestClassifier(numTrees=100, maxDepth=max_depth, weightCol=weight_col, **deep, **common)
     if kind == "logistic_regression":
         return LogisticRegression(family="multinomial", maxIter=1000, weightCol=weight_col, **common)
     if kind == "boosted_trees":
-        # GBT is binary in MLlib: one-vs-rest, no class weight (as the reference)
-        return OneVsRest(classifier=GBTClassifier(maxIter=max_iter, maxDepth=6, stepSize=0.3, seed=seed),
-                         **common)
+        # GBT is binary in MLlib: one-vs-rest, one model a class side by side, no class weight (as the reference)
+        return OneVsRest(classifier=GBTClassifier(maxIter=max_iter, maxDepth=6, stepSize=0.3, seed=seed, checkpointInterval=10),
+                         parallelism=len(dims.CLASS_ORDER), **common)
     raise ValueError(f"unknown model {kind!r}")
 
 
@@ -108,7 +147,7 @@ def build_pipeline(kind: str = "decision_tree", label: str = "wqi_class", featur
     check_features(None, features)
     indexer = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc")
     weight = None if kind == "boosted_trees" else kw.pop("weight_col", "weight")
-    return Pipeline(stages=[engineered_feature(), ExactMedianImputer(features),
+    return Pipeline(stages=[Log10Feature(), ExactMedianImputer(inputCols=features),
                             VectorAssembler(inputCols=[f"{c}_imp" for c in features], outputCol="features",
                                             handleInvalid="keep"),
                             indexer, classifier(kind, weight_col=weight, **kw)])
@@ -145,6 +184,20 @@ def predict(model: PipelineModel, df: DataFrame, keys: Sequence[str] = ("obs_id"
     return out.select(*cols)
 
 
+def preprocess(model: PipelineModel, df: DataFrame, keys: Sequence[str] = ("submission_id",)) -> DataFrame:
+    """SCO-7: (keys, input_count, processed_feature_count, processed) of validated rows.
+
+    The stages before the label's indexer, which a row without a label does not
+    need; ``processed`` is the feature vector that the classifier would see.
+    """
+    check_features(df)
+    out = df.drop(dims.ENGINEERED_FEATURE)
+    for stage in model.stages[:3]:
+        out = stage.transform(out)
+    x = vector_to_array("features")
+    return out.select(*keys, F.lit(len(RAW)).alias("input_count"), F.size(x).alias("processed_feature_count"), x.alias("processed"))
+
+
 def one_hot(df: DataFrame, columns: Sequence[str]):
     """FEA-6: one-hot for text features; a value unseen at fit time encodes as all zeros.
 

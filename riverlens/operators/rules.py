@@ -253,3 +253,35 @@ def fleet_summary(findings: DataFrame, keys: Sequence[str] = ("state", "month",
     """RUL-9: findings and affected observations per state, month and priority."""
     return findings.groupBy(*keys).agg(F.count(F.lit(1)).alias("findings"),
                                        F.countDistinct("obs_id").alias("observations"))
+
+
+# FIXED VALUES: phrases that claim a cause, which no output may contain.
+CAUSAL_PHRASES = ("caused by", "proven source", "culprit", "guilty factory", "proves contamination origin")
+
+
+class CausalWordingError(ValueError):
+    """A text claims a cause."""
+
+
+def rule_texts(rules=dims.RULES) -> list[tuple[str, str, str]]:
+    """(parameter, kind, text) of every text that the rules can put out."""
+    return [(r[0], r[2], t) for r in rules for t in ACTIONS.get((r[0], r[2]), ("Review the measurement and resample",))]
+
+
+def causal_wording(texts: DataFrame, column: str, source: str, phrases: Sequence[str] = CAUSAL_PHRASES) -> DataFrame:
+    """RUL-8: (source, phrase, texts, hits) of a column of texts, a row per phrase: one aggregation, in any case of letters.
+
+    A phrase counts where it stands as words of its own, with any white space between them.
+    """
+    low = F.lower(F.col(column))
+    pattern = lambda p: r"(?<![\p{L}\p{N}])" + r"\s+".join(p.split()) + r"(?![\p{L}\p{N}])"
+    one = texts.agg(F.count(column).alias("texts"), *[F.count_if(low.rlike(pattern(p))).alias(f"h{i}") for i, p in enumerate(phrases)])
+    return one.select(F.lit(source).alias("source"), F.inline(F.array(*[
+        F.struct(F.lit(p).alias("phrase"), F.col("texts"), F.col(f"h{i}").alias("hits")) for i, p in enumerate(phrases)])))
+
+
+def check_wording(texts: DataFrame, column: str, source: str) -> None:
+    """RUL-8: raise when a text claims a cause."""
+    hits = causal_wording(texts, column, source).where("hits > 0").collect()    # a row per phrase
+    if hits:
+        raise CausalWordingError(f"{source}: {[(r['phrase'], r['hits']) for r in hits]}")

@@ -2,14 +2,14 @@
 
 The reference scores one HTTP request at a time; here a table of
 submissions is scored in one job.  Everything is row-wise except the
-"first changed probe" pick, which aggregates the few probe rows of one
-submission (adjacent in the same task, so partial aggregation collapses
-them before any shuffle).
+"first changed probe" pick, which brings the few probe rows of one
+submission together (they lie next to each other in the same task, so
+partial aggregation merges them before any shuffle).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -81,36 +81,54 @@ def outside_support(df: DataFrame, ranges: DataFrame, features: Sequence[str] =
     return j.where((F.col("value") < F.col("support_min")) | (F.col("value") > F.col("support_max")))
 
 
-def sensitivity_probes(df: DataFrame, steps: dict[str, float] = PROBE_STEPS, bounds=dims.INPUT_BOUNDS,
-                       keys: Sequence[str] = ("obs_id",)) -> DataFrame:
-    """SCO-6 with the index label as classifier: first probe (feature order,
-    minus before plus) whose label differs from the row's label.
+def probe_rows(df: DataFrame, steps: dict[str, float], bounds, keys: Sequence[str]) -> DataFrame:
+    """Each row as it is (``probe_no`` -1) and with one feature a step lower or higher, as far as inside the bounds.
 
-    Probes are exploded in-row (at most 8 per row), scored with the same
-    expressions, and the first change is picked with ``min_by``.
+    Exploded in-row, two rows a feature at most; ``feature`` and ``probe_value``
+    name the change, the feature columns hold it.
     """
-    feats = list(steps)
-    base = with_index(df.select(*keys, *feats)).select(*keys, *feats, F.col("wqi_class").alias("_label"))
-    base = base.where(F.col("_label").isNotNull())
-    probes = []
-    no = 0
-    for f in feats:
+    struct = lambda no, f, v: F.struct(F.lit(no).alias("probe_no"), F.lit(f).cast("string").alias("feature"),
+                                       v.cast("double").alias("probe_value"))
+    probes = [struct(-1, None, F.lit(None))]
+    for f in steps:
         lo, hi = bounds[f]
         for sign in (-1.0, 1.0):
             v = F.col(f) + F.lit(sign * steps[f])
-            probes.append(F.when(v.between(lo, hi), F.struct(F.lit(no).alias("probe_no"), F.lit(f).alias("feature"),
-                                                             v.alias("probe_value"))))
-            no += 1
-    exploded = (base.select(*keys, *feats, "_label", F.explode(F.array(*probes)).alias("_p"))
-                    .where(F.col("_p").isNotNull()))
-    cols = {f: F.when(F.col("_p.feature") == f, F.col("_p.probe_value")).otherwise(F.col(f)) for f in feats}
-    scored = with_index(exploded.withColumns(cols))
-    changed = scored.where(F.col("wqi_class") != F.col("_label"))
-    first = changed.groupBy(*keys).agg(F.min_by(F.struct(
-        F.col("_p.probe_no").alias("probe_no"), F.col("_p.feature").alias("feature"),
-        F.col("_p.probe_value").alias("probe_value"), F.col("wqi_class").alias("probe_class"),
-        F.col("_label").alias("label")), F.col("_p.probe_no")).alias("_f"))
-    return first.select(*keys, "_f.*")
+            probes.append(F.when(v.between(lo, hi), struct(len(probes) - 1, f, v)))
+    rows = df.select(*keys, *steps, F.explode(F.array_compact(F.array(*probes))).alias("_p"))
+    moved = {f: F.when(F.col("_p.feature") == f, F.col("_p.probe_value")).otherwise(F.col(f)) for f in steps}
+    return rows.select(*keys, *[v.alias(f) for f, v in moved.items()], "_p.*")
+
+
+def first_changes(scored: DataFrame, label: str, keys: Sequence[str]) -> DataFrame:
+    """WIN-7: of scored probe rows the first probe (feature order, minus before plus) with another label than the row itself.
+
+    A row and its probes, a bounded handful, come together in one array, merged
+    map-side where they still lie next to each other.  Rows without a label,
+    or without a change, give nothing.
+    """
+    probes = F.array_sort(F.collect_list(F.struct("probe_no", "feature", "probe_value", F.col(label).alias("probe_class"))))
+    rows = scored.groupBy(*keys).agg(probes.alias("_all")).withColumn("label", F.get("_all", F.lit(0))["probe_class"])
+    first = F.get(F.filter("_all", lambda p: (p["probe_no"] >= 0) & (p["probe_class"] != F.col("label"))), F.lit(0))
+    return (rows.withColumn("_f", first).where(F.col("_f").isNotNull())
+            .select(*keys, "_f.probe_no", "_f.feature", "_f.probe_value", "_f.probe_class", "label"))
+
+
+def sensitivity_probes(df: DataFrame, steps: dict[str, float] = PROBE_STEPS, bounds=dims.INPUT_BOUNDS,
+                       keys: Sequence[str] = ("obs_id",)) -> DataFrame:
+    """SCO-6 with the index label as classifier."""
+    return first_changes(with_index(probe_rows(df, steps, bounds, keys)), "wqi_class", keys)
+
+
+def model_sensitivity(df: DataFrame, predict: Callable[[DataFrame, Sequence[str]], DataFrame], steps: dict[str, float] = PROBE_STEPS,
+                      bounds=dims.INPUT_BOUNDS, keys: Sequence[str] = ("submission_id",)) -> DataFrame:
+    """SCO-6 with a fitted classifier: ``predict(rows, keys)`` gives the keys and ``predicted``.
+
+    The rows and all their probes go through one ``transform`` of the model.
+    """
+    rows = probe_rows(df, steps, bounds, keys)
+    carried = [*keys, "probe_no", "feature", "probe_value"]
+    return first_changes(predict(rows, carried), "predicted", keys)
 
 
 def rule_label_disagreement(findings_df: DataFrame, params: Sequence[str] = ("pH", "DO", "BOD", "FC"),

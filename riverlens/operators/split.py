@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverlens.functions import dims
-from riverlens.functions.scalars import no_nan
+from riverlens.functions.scalars import log10_floor1, no_nan
 from riverlens.operators.quantiles import exact_quantiles, melt
 from riverlens.session import written
 
@@ -108,45 +108,75 @@ class DataLeakageError(ValueError):
     """An item of the leakage audit failed."""
 
 
-def leakage_audit(split_df: DataFrame, features: Sequence[str], stats: DataFrame, key: str = "obs_id",
+STATISTICS = ("n", "mean", "std_pop", "p10", "q25", "median", "q75", "p90")
+
+
+def other_statistics(stats: DataFrame, fresh: DataFrame, tolerance: float = 1e-9) -> DataFrame:
+    """SPL-2 item 2: the features of ``fresh`` whose row in ``stats`` is missing or has another value."""
+    off = F.lit(False)
+    for c in STATISTICS:
+        if c not in stats.columns:
+            return fresh.select("feature")
+        a, b = F.col(f"a.{c}").cast("double"), F.col(f"b.{c}").cast("double")
+        near = F.abs(a - b) <= tolerance * F.greatest(F.abs(a), F.abs(b), F.lit(1.0))
+        off = off | ~F.coalesce(near, a.isNull() & b.isNull())
+    both = fresh.alias("a").join(stats.alias("b"), F.col("a.feature") == F.col("b.feature"), "left")
+    return both.where(off | F.col("b.feature").isNull()).select("a.feature")
+
+
+def foreign_features(data: DataFrame, raw: DataFrame, key: str) -> DataFrame:
+    """SPL-2 item 7: (key, feature) of ``data`` where the feature is not what its own raw row gives.
+
+    Every feature is made again from the raw measurements of the row with the
+    same key; a row without one has no feature of its own.
+    """
+    made = {f: no_nan(F.col(f)) for f in dims.MODEL_FEATURES} | {dims.ENGINEERED_FEATURE: log10_floor1(no_nan(F.col("fc")))}
+    have = [f for f in made if f in data.columns]
+    own = raw.select(F.col(key).alias("_key"), *[made[f].alias(f"_{f}") for f in have]).dropDuplicates(["_key"])
+    both = data.select(key, *[no_nan(F.col(f)).alias(f) for f in have]).join(own, F.col(key) == F.col("_key"), "left")
+    off = F.array_compact(F.array(*[F.when(F.col("_key").isNull() | ~F.col(f).eqNullSafe(F.col(f"_{f}")), F.lit(f)) for f in have]))
+    return both.select(key, F.explode(off).alias("feature"))
+
+
+def leakage_audit(split_df: DataFrame, features: Sequence[str], stats: DataFrame, raw: DataFrame, key: str = "obs_id",
                   label: str = "wqi_class", seed: int | None = SEED, raise_on_fail: bool = False) -> DataFrame:
     """SPL-2: eight rows (item, status, violations) over a split, the feature list and the fitted statistics.
 
     Counts of violations: features that are target columns; features whose
-    fitted count differs from the train rows that have them; features outside
-    the frozen list; keys on both sides; source rows that occur more than once
-    (so one could be on both sides); rows that a second split puts elsewhere
-    (all rows without a seed); features that are no function of their own row;
-    rows whose log10 feature is not log10(max(fc, 1)).
+    statistics are missing or are not those of the train rows, which are fitted
+    again and compared value by value; features outside the frozen list; keys on
+    both sides; source rows that occur more than once (so one could be on both
+    sides); rows that a second split puts elsewhere (all rows without a seed);
+    values that are not made from their own row of ``raw``, the measurements
+    before any fitting; rows whose log10 feature is not log10(max(fc, 1)).
     """
     frozen = (*dims.MODEL_FEATURES, dims.ENGINEERED_FEATURE)
     data = written(split_df.select(key, label, "split", *[f for f in frozen if f in split_df.columns]), "audited-split")
     again = stratified_split(data.drop("split"), label, key, seed=seed if seed is not None else -1)
     old = F.col("split") == "train"
-    train = data.where(old)
-    fitted = train.agg(*[F.count(no_nan(F.col(f))).alias(f) for f in dims.MODEL_FEATURES]).first()      # one row
-    seen = {r["feature"]: r["n"] for r in stats.select("feature", "n").collect()}                       # a row per feature
+    fresh = fitted_statistics(data.where(old))
     per_key = data.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.max(old).alias("a"), F.max(~old).alias("b"))
     keys = per_key.agg(F.count_if(F.col("a") & F.col("b")).alias("both"), F.count_if(F.col("n") > 1).alias("twice")).first()
-    moved = data.select(key, F.col("split").alias("s")).join(again.select(key, "split"), key).where("s <> split").count()
     log10 = F.when(no_nan(F.col("fc")).isNotNull(), F.log10(F.greatest(F.col("fc"), F.lit(1.0))))
-    wrong = (data.where(~log10.eqNullSafe(F.col(dims.ENGINEERED_FEATURE))).count()
-             if dims.ENGINEERED_FEATURE in data.columns else data.count())
+    wrong = F.count_if(~log10.eqNullSafe(F.col(dims.ENGINEERED_FEATURE))) if dims.ENGINEERED_FEATURE in data.columns else F.count("*")
+    rows = data.agg(F.count("*").alias("n"), wrong.alias("wrong")).first()
+    moved = (rows["n"] if seed is None else
+             data.select(key, F.col("split").alias("s")).join(again.select(key, "split"), key).where("s <> split").count())
     counts = {
         "target columns among the features": len({f.lower() for f in features} & {"wqi_score", "wqi_class", "potability"}),
-        "statistics fitted beyond the train rows": sum(seen.get(f, fitted[f]) != fitted[f] for f in dims.MODEL_FEATURES),
+        "statistics fitted beyond the train rows": other_statistics(stats, fresh).count(),
         "features outside the frozen list": len(set(features) - set(frozen)),
         "keys on both sides": keys["both"],
         "source rows that repeat": keys["twice"],
-        "rows that a second split moves": data.count() if seed is None else moved,
-        "features that are no function of their row": len(set(features) - set(frozen)),
-        "rows with another log10 feature": wrong,
+        "rows that a second split moves": moved,
+        "features that are no function of their row": foreign_features(data, raw, key).count(),
+        "rows with another log10 feature": rows["wrong"],
     }
     failed = [k for k, n in counts.items() if n]
     if failed and raise_on_fail:
         raise DataLeakageError(f"leakage audit failed: {failed}")
-    rows = [(i + 1, k, "FAIL" if n else "PASS", int(n)) for i, (k, n) in enumerate(counts.items())]
-    return split_df.sparkSession.createDataFrame(rows, "item int, check string, status string, violations long")
+    out = [(i + 1, k, "FAIL" if n else "PASS", int(n)) for i, (k, n) in enumerate(counts.items())]
+    return split_df.sparkSession.createDataFrame(out, "item int, check string, status string, violations long")
 
 
 def class_weights(train: DataFrame, label: str = "wqi_class") -> DataFrame:
@@ -259,6 +289,32 @@ def fitted_statistics(train: DataFrame, features: Sequence[str] = dims.MODEL_FEA
     return mom.join(qw, "feature")
 
 
+FALLBACK = "Empirical Statistical Fallback ({} of Training Baseline)"     # FIXED VALUE: the label of such a limit
+
+
+def fallback_limits(train: DataFrame, columns: Sequence[str], standards: Sequence[str], depletion: Sequence[str] = ()) -> DataFrame:
+    """AGG-30: a limit for each of ``columns`` that is not among the ``standards``, from the training rows only.
+
+    P90 and "above" for a load, P10 and "below" for the ``depletion`` columns,
+    exact quantiles with linear interpolation, always labelled as empirical and
+    not regulatory.  A column without a value has no limit.
+    """
+    open_ = [c for c in columns if c not in standards]
+    q = exact_quantiles(melt(train, open_), "value", [0.1, 0.9], ["feature"])
+    low = F.col("feature").isin(*depletion)
+    mine = q.where(F.when(low, F.col("prob") == 0.1).otherwise(F.col("prob") == 0.9))
+    return mine.select("feature", F.when(low, "below").otherwise("above").alias("direction"), F.col("quantile").alias("limit"),
+                       F.when(low, FALLBACK.format("P10")).otherwise(FALLBACK.format("P90")).alias("standard_type"),
+                       F.lit(False).alias("regulatory"))
+
+
+def beyond_fallback(df: DataFrame, limits: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("obs_id",)) -> DataFrame:
+    """AGG-30: (keys, feature, value, limit, standard_type) of the values beyond an empirical limit."""
+    long = melt(df, columns, keys).where("value is not null").join(F.broadcast(limits), "feature")     # a row per column
+    beyond = F.when(F.col("direction") == "below", F.col("value") < F.col("limit")).otherwise(F.col("value") > F.col("limit"))
+    return long.where(beyond).select(*keys, "feature", "value", "limit", "standard_type")
+
+
 def apply_fitted(df: DataFrame, stats: DataFrame, features: Sequence[str] = dims.MODEL_FEATURES,
                  mode: str = "standard") -> DataFrame:
     """FEA-3/4/5: impute with the fitted median, then scale with fitted numbers.

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from riverlens.plans import (cleaning, contracts, evaluation, history, ingest, labelling, literal, models, profile, review,  # noqa: F401
-                             rules, scoring, training)
+from riverlens.plans import (cleaning, contracts, evaluation, files, history, ingest, labelling, literal, models, profile,  # noqa: F401
+                             regression, review, rules, scoring, training)
 from riverlens.plans.registry import ORACLES, QUERIES, SURVEY_IDS
 
 __all__ = ["QUERIES", "ORACLES", "SURVEY_IDS"]

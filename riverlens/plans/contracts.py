@@ -14,7 +14,8 @@ from riverlens.operators import split as S
 from riverlens.plans.labelling import scored_observations
 from riverlens.plans.oracle import d, index_ctes, obs_cte, scored_cte
 from riverlens.plans.registry import register
-from riverlens.plans.training import split_frame
+from riverlens.plans.training import SPLIT_SQL, split_frame
+from riverlens.session import written
 from riverlens.sources import feeds as FD
 from riverlens.sources import sinks as SK
 from riverlens.sources.tables import observations, read_table
@@ -163,4 +164,30 @@ FROM (VALUES {', '.join(f"({i + 1}, '{c}')" for i, c in enumerate(_AUDIT))}) AS
 def leakage_audit(spark, sf_dir):
     sp = split_frame(spark, sf_dir).withColumn("log10_fc", log10_floor1(F.col("fc")))
     stats = S.fitted_statistics(sp.where(F.col("split") == "train"))
-    return S.leakage_audit(sp, MD.FEATURES, stats)
+    return S.leakage_audit(sp, MD.FEATURES, stats, observations(spark, sf_dir))
+
+
+_ORDER = "CAST(split_part(obs_id, '-', 1) AS BIGINT)"
+
+
+@register("planted_leakage_audit", ("SPL-2", "VAL-2"), oracle=f"""
+WITH {SPLIT_SQL}, k AS (SELECT obs_id, split, fc, {_ORDER} AS o FROM sp),
+data AS (SELECT * FROM k UNION ALL SELECT obs_id, 'train', fc, o FROM k WHERE split = 'test' AND o % 97 = 0),
+per AS (SELECT obs_id, count(*) AS n, bool_or(split = 'train') AND bool_or(split = 'test') AS twosided FROM data GROUP BY obs_id),
+v(item, violations) AS (VALUES (1, 1), (2, {len(FEATURES)}), (3, 1), (4, (SELECT count(*) FILTER (WHERE twosided) FROM per)),
+  (5, (SELECT count(*) FILTER (WHERE n > 1) FROM per)), (6, (SELECT count(*) FROM data)),
+  (7, (SELECT count(*) FILTER (WHERE o % 89 = 0) + count(*) FILTER (WHERE o % 83 = 0 AND fc IS NOT NULL) FROM data)),
+  (8, (SELECT count(*) FILTER (WHERE o % 83 = 0 AND fc IS NOT NULL) FROM data)))
+SELECT CAST(item AS INTEGER) AS item, "check", CASE WHEN violations > 0 THEN 'FAIL' ELSE 'PASS' END AS status, violations
+FROM v JOIN (VALUES {', '.join(f"({i + 1}, '{c}')" for i, c in enumerate(_AUDIT))}) AS t(item, "check") USING (item)
+""")
+def planted_leakage_audit(spark, sf_dir):
+    """A leak of every kind: a target feature, statistics of all rows, test rows among the train rows, no seed, foreign values."""
+    raw = observations(spark, sf_dir)
+    sp = split_frame(spark, sf_dir).select("obs_id", "wqi_class", "split", *FEATURES)
+    sp = written(sp.withColumn("log10_fc", log10_floor1(F.col("fc"))), "clean-split")
+    order = F.split("obs_id", "-")[0].cast("long")
+    data = sp.unionByName(sp.where((F.col("split") == "test") & (order % 97 == 0)).withColumn("split", F.lit("train")))
+    data = data.withColumns({"ph": F.when(order % 89 == 0, F.col("ph") + 1).otherwise(F.col("ph")),
+                             "log10_fc": F.when(order % 83 == 0, F.col("log10_fc") + 1).otherwise(F.col("log10_fc"))})
+    return S.leakage_audit(data, (*MD.FEATURES, "wqi_score"), S.fitted_statistics(sp), raw, seed=None)

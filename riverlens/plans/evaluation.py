@@ -122,7 +122,7 @@ WITH {_with_preds()},
 rows_ AS ({' UNION ALL '.join(_model_row_sql(m) for m in STAND_INS)}),
 b AS (SELECT *, f1_macro >= max(f1_macro) OVER () - {d(0.015)} AS near FROM rows_)
 SELECT model, f1_macro, round(worst_two_recall, 6) AS worst_two_recall, accuracy, f1_weighted,
-       CAST(row_number() OVER (ORDER BY near DESC, CASE WHEN near THEN worst_two_recall END DESC NULLS LAST,
+       CAST(row_number() OVER (ORDER BY near DESC, CASE WHEN near THEN round(worst_two_recall, 6) END DESC NULLS LAST,
                                f1_macro DESC, model) AS INTEGER) AS selection_rank
 FROM b
 """)

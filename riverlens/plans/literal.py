@@ -20,16 +20,19 @@ from riverlens.operators import explain as X
 from riverlens.operators import models as MD
 from riverlens.operators import profile as P
 from riverlens.operators import rules as RU
+from riverlens.operators import scoring as SC
 from riverlens.plans.labelling import scored_observations
 from riverlens.plans.oracle import d, scored_cte
 from riverlens.plans.registry import register
 from riverlens.plans.rules import OBS_RULE_COLS, _elevated_sql
+from riverlens.plans.scoring import SUBMISSIONS_SQL, accepted_submissions
 
 NAMES = tuple(sorted(dims.CLASS_ORDER))     # Excellent, Good, Poor, Unsuitable, Very Poor
 FEATURES = MD.FEATURES                      # ph, do_mgl, bod_mgl, fc, log10_fc
-# node: (feature number, threshold, left, right) or the class weights of a leaf
-TREE = {0: (1, 5.0, 1, 4), 1: (2, 3.0, 2, 3), 2: (0, 5, 20, 10, 25), 3: (0, 0, 5, 60, 15), 4: (3, 250.0, 5, 6),
-        5: (10, 30, 10, 2, 8), 6: (0, 7.5, 7, 8), 7: (1, 4, 12, 30, 13), 8: (0, 1, 2, 50, 7)}
+# node: (feature number, threshold, left, right) or the class weights of a leaf; the totals of the leaves are
+# primes, so that no exact value ends on a 5 behind the sixth digit, where two engines could round differently
+TREE = {0: (1, 5.0, 1, 4), 1: (2, 3.0, 2, 3), 2: (0, 5, 20, 10, 26), 3: (0, 0, 5, 60, 18), 4: (3, 250.0, 5, 6),
+        5: (13, 31, 11, 3, 9), 6: (0, 7.5, 7, 8), 7: (1, 4, 12, 31, 11), 8: (0, 1, 2, 53, 15)}
 
 
 def weights(k):
@@ -56,12 +59,17 @@ def _leaf(k=0):
 def predictions(spark, sf_dir):
     """Complete labelled rows with the tree's label, probabilities and feature values."""
     s = scored_observations(spark, sf_dir).where(F.col("wqi_class").isNotNull()).dropna(subset=list(dims.MODEL_FEATURES))
-    s = s.withColumn("log10_fc", log10_floor1(F.col("fc"))).withColumn("_leaf", _leaf())
+    return predict(s, ("obs_id", "wqi_class"))
+
+
+def predict(df, keys):
+    """(keys, predicted, probabilities, top_probability, uncertain, features) of rows with the raw features."""
+    s = df.withColumn("log10_fc", log10_floor1(F.col("fc"))).withColumn("_leaf", _leaf())
     share = F.create_map(*[x for k, n in TREE.items() if len(n) == 5 for x in (
         F.lit(k), F.array(*[F.lit(v / sum(n)) for v in n]))])
     s = s.withColumn("_p", share[F.col("_leaf")])
     names = F.array(*[F.lit(n) for n in NAMES])
-    return s.select("obs_id", "wqi_class", F.get(names, F.array_position("_p", F.array_max("_p")).cast("int") - 1).alias("predicted"),
+    return s.select(*keys, F.get(names, F.array_position("_p", F.array_max("_p")).cast("int") - 1).alias("predicted"),
                     F.map_from_arrays(names, F.col("_p")).alias("probabilities"), F.array_max("_p").alias("top_probability"),
                     (F.array_max("_p") < dims.UNCERTAIN_BELOW).alias("uncertain"),
                     F.array(*FEATURES).alias("features"))
@@ -206,3 +214,40 @@ def literal_vs_separation(spark, sf_dir):
     s = scored_observations(spark, sf_dir).where(F.col("wqi_class").isNotNull()).dropna(subset=list(dims.MODEL_FEATURES))
     eda = P.five_number_by_class(s.withColumn("log10_fc", log10_floor1(F.col("fc"))), list(FEATURES))
     return X.compare_with_eda(imp, eda).select("feature", "shap_rank", "eda_rank", "rank_agrees")
+
+
+def _class_sql(k=0):
+    """The tree's label of a row as nested conditions."""
+    n = TREE[k]
+    if len(n) == 5:
+        return f"'{NAMES[n.index(max(n))]}'"
+    return f"CASE WHEN {FEATURES[n[0]]} <= {d(n[1])} THEN {_class_sql(n[2])} ELSE {_class_sql(n[3])} END"
+
+
+# ten times the usual steps: the tree has few thresholds
+WIDE_STEPS = {f: 10 * step for f, step in SC.PROBE_STEPS.items()}
+
+
+def _probes_sql():
+    parts = [f"SELECT submission_id, -1 AS probe_no, NULL AS feature, NULL AS probe_value, {', '.join(SC.PROBE_STEPS)} FROM acc"]
+    for f, step in WIDE_STEPS.items():
+        lo, hi = dims.INPUT_BOUNDS[f]
+        for sign in (-1.0, 1.0):
+            v = f"({f} + {d(sign * step)})"
+            cols = ", ".join(f"{v} AS {g}" if g == f else g for g in SC.PROBE_STEPS)
+            parts.append(f"SELECT submission_id, {len(parts) - 1}, '{f}', {v}, {cols} FROM acc WHERE {v} BETWEEN {d(lo)} AND {d(hi)}")
+    return " UNION ALL ".join(parts)
+
+
+@register("literal_submission_sensitivity", ("SCO-6", "WIN-7"), oracle=f"""
+WITH {SUBMISSIONS_SQL}, acc AS (SELECT * FROM subs WHERE gate_reason IS NULL), probes AS ({_probes_sql()}),
+pl AS (SELECT *, {_class_sql()} AS probe_class FROM (SELECT *, log10(greatest(fc, {d(1.0)})) AS log10_fc FROM probes)),
+base AS (SELECT submission_id, probe_class AS label FROM pl WHERE probe_no = -1),
+ch AS (SELECT pl.*, label, row_number() OVER (PARTITION BY submission_id ORDER BY probe_no) AS rn
+       FROM pl JOIN base USING (submission_id) WHERE probe_class <> label)
+SELECT submission_id, probe_no, feature, round(probe_value, 6) AS probe_value, probe_class, label FROM ch WHERE rn = 1
+""")
+def literal_submission_sensitivity(spark, sf_dir):
+    """The first small change of each accepted submission that changes the literal tree's answer."""
+    out = SC.model_sensitivity(accepted_submissions(spark, sf_dir), predict, WIDE_STEPS)
+    return out.select("submission_id", "probe_no", "feature", F.round("probe_value", 6).alias("probe_value"), "probe_class", "label")

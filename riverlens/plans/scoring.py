@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from riverlens.functions import dims
@@ -56,6 +57,34 @@ def rejected_submissions(spark, sf_dir):
     return g.where(F.col("gate_reason").isNotNull()).select("submission_id", "gate_reason")
 
 
+_MEDIANS = " UNION ALL ".join(f"SELECT '{f}' AS feature, quantile_cont({f}, 0.5) AS median FROM tr" for f in FEATURES)
+
+
+@register("processed_submissions", ("SCO-7", "FEA-2", "FEA-3", "FEA-7", "PRJ-7"), oracle=f"""
+WITH {SPLIT_SQL}, tr AS (SELECT * FROM sp WHERE split = 'train'), md AS ({_MEDIANS}), {SUBMISSIONS_SQL},
+part AS (SELECT submission_id, {', '.join(f"coalesce(CASE WHEN submission_id % {11 + i} <> 0 THEN {f} END, "
+                                           f"(SELECT median FROM md WHERE feature = '{f}')) AS {f}, "
+                                           f"CASE WHEN submission_id % {11 + i} <> 0 THEN {f} END AS raw_{f}"
+                                           for i, f in enumerate(FEATURES))} FROM subs WHERE gate_reason IS NULL),
+med AS (SELECT quantile_cont(log10(greatest(fc, {d(1.0)})), 0.5) AS m FROM tr WHERE fc IS NOT NULL)
+SELECT submission_id, {len(FEATURES)} AS input_count, {len(FEATURES) + 1} AS processed_feature_count,
+       {', '.join(f'round({f}, 6) AS {f}' for f in FEATURES)},
+       round(coalesce(CASE WHEN raw_fc IS NOT NULL THEN log10(greatest(raw_fc, {d(1.0)})) END, (SELECT m FROM med)), 6) AS log10_fc
+FROM part
+""")
+def processed_submissions(spark, sf_dir):
+    """Accepted submissions, some values blanked, through the fitted preprocessing stages: the vector the classifier sees."""
+    from riverlens.operators import models as MD
+    train = written(split_frame(spark, sf_dir).where(F.col("split") == "train").select(*FEATURES), "train")
+    stages = MD.build_pipeline("decision_tree").getStages()[:3]
+    model = Pipeline(stages=stages).fit(train)
+    sparse = accepted_submissions(spark, sf_dir).withColumns(
+        {f: F.when(F.col("submission_id") % (11 + i) != 0, F.col(f)) for i, f in enumerate(FEATURES)})
+    out = MD.preprocess(model, sparse)
+    return out.select("submission_id", "input_count", "processed_feature_count",
+                      *[F.round(F.get("processed", F.lit(i)), 6).alias(f) for i, f in enumerate(MD.FEATURES)])
+
+
 _SUPPORT_PARTS = " UNION ALL ".join(
     f"SELECT obs_id, '{f}' AS feature, {f} AS value FROM sp WHERE split = 'test' AND {f} IS NOT NULL" for f in FEATURES)
 _RANGE_PARTS = " UNION ALL ".join(

@@ -16,10 +16,12 @@ from __future__ import annotations
 import re
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverlens.functions.scalars import no_nan
+from riverlens.session import written
 from riverlens.sources.tables import (extra_measurements, measurement_columns, observation_id,
                                       read_table)
 
@@ -101,16 +103,107 @@ def coerced(df: DataFrame, numeric: tuple[str, ...] = ()) -> DataFrame:
     return df.select(*out)
 
 
-def read_feed_csv(spark: SparkSession, path: str, numeric: tuple[str, ...] = ()) -> DataFrame:
+# what is wrong with a line: fewer cells than columns, more, or a quoted cell that is not closed
+LINE_KINDS = ("short", "long", "quote")
+_QUOTED = r'(^|,)\s*"[^"]*(?:""[^"]*)*"(?=\s*(?:,|$))'
+
+
+def read_feed_lines(spark: SparkSession, path: str, columns: tuple[str, ...] | None = None) -> DataFrame:
+    """SRC-2: the cells of a CSV as text, with ``line_kind`` (null for a good line), ``line`` (as it stands in the file) and ``file``.
+
+    ``columns`` names the columns of files without a header; else the first
+    line of every file is one.  A line is a row (cells with line breaks are not
+    supported, so that large files can be split); blank lines are none.  The
+    reader's own PERMISSIVE mode keeps a bad line only where it has too few or
+    too many cells and loses an open quote at the end, so the lines are read as
+    text, judged, and parsed by ``from_csv``.  Written once.
+    """
+    options = {"escape": '"', "mode": "PERMISSIVE"}
+    names = list(columns or spark.read.options(header=True, encoding="UTF-8", **options).csv(path).columns)
+    places = [f"_c{i}" for i in range(len(names))]
+    line = F.col("value")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file")).where(F.trim(line) != "")
+    lines = lines.withColumn("_cells", F.from_csv(line, ", ".join(f"{c} STRING" for c in places), options))
+    if not columns:
+        header = F.array(*[F.coalesce(F.col(f"_cells.{c}"), F.lit("")) for c in places])
+        lines = lines.where(header != F.array(*[F.lit(n) for n in names]))
+    bare = F.regexp_replace(line, _QUOTED, "$1")
+    cells = F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
+    kind = (F.when(bare.rlike(r'(^|,)\s*"'), "quote").when(cells < len(names), "short").when(cells > len(names), "long"))
+    return written(lines.select(*[F.col(f"_cells.{c}").alias(n.strip()) for c, n in zip(places, names)], kind.alias("line_kind"),
+                                line.alias("line"), "file"), "feed-lines")
+
+
+def read_feed_csv(spark: SparkSession, path: str, numeric: tuple[str, ...] = (), columns: tuple[str, ...] | None = None,
+                  quarantine: str | None = None) -> DataFrame:
     """SRC-2 / PRJ-1 / VAL-4: header CSV, trimmed names and keys, NA tokens null.
 
     Everything is read as text (no schema inference pass), then numeric
     columns are converted with ``try_cast`` so a bad cell becomes null
-    instead of failing the job.
+    instead of failing the job.  A short line is a row whose last cells are
+    missing; a long line, or one with an open quote, is no row.  Such lines are
+    counted, and with ``quarantine`` kept there (file, line_kind, line), the short
+    ones too.
+    """
+    lines = read_feed_lines(spark, path, columns)
+    if quarantine:
+        lines.where("line_kind is not null").select("file", "line_kind", "line").write.mode("overwrite").parquet(quarantine)
+    rows = lines.where("line_kind is null or line_kind = 'short'").drop("line_kind", "line", "file")
+    return coerced(rows, numeric)
+
+
+def line_audit(lines: DataFrame) -> DataFrame:
+    """SRC-2: (line_kind, n) with 'good' for the lines that parsed; kinds without a line count zero."""
+    kinds = ("good", *LINE_KINDS)
+    kind = F.coalesce("line_kind", F.lit("good"))
+    one = lines.agg(*[F.count_if(kind == k).alias(k) for k in kinds])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(k).alias("line_kind"), F.col(k).alias("n")) for k in kinds])))
+
+
+# ---- SRC-3: the labelled table by configuration
+
+#: Where the labelled table lies unless a path or a configuration says otherwise.
+LABELLED = "data/labelled"
+
+
+class DataNotFoundError(FileNotFoundError):
+    """There is no table at the path."""
+
+
+def read_config(spark: SparkSession, path: str) -> dict[str, str]:
+    """SRC-3: a configuration file of one JSON object, wherever Spark can read it."""
+    rows = spark.read.json(path, multiLine=True).collect()      # a configuration file
+    if len(rows) != 1:
+        raise ValueError(f"{path} is no JSON object")
+    return rows[0].asDict()
+
+
+def load_labelled(spark: SparkSession, path: str | None = None, config: dict | str | None = None, validate: bool = True,
+                  base: str = ".") -> DataFrame:
+    """SRC-3: the labelled table, by default from the configured path, checked against the contract (VAL-1).
+
+    The path is the first of ``path``, ``dataset_path`` in ``config`` (an object
+    or the path of its file), ``dataset_path`` of the session (key
+    ``riverlens.dataset_path``) and ``LABELLED``; one without a scheme or a
+    leading slash lies under ``base``.  A name that ends in .csv is read as a feed
+    with numbers where the contract has them, anything else as Parquet.
     """
-    raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-           .option("encoding", "UTF-8").csv(path))
-    return coerced(raw.toDF(*[c.strip() for c in raw.columns]), numeric)
+    from riverlens.functions import dims
+    from riverlens.sources.sinks import validate_schema
+    found = read_config(spark, config) if isinstance(config, str) else dict(config or {})
+    path = path or found.get("dataset_path") or spark.conf.get("riverlens.dataset_path", LABELLED)
+    if not re.match(r"^(/|[a-zA-Z][a-zA-Z0-9+.-]*:)", path):
+        path = f"{base.rstrip('/')}/{path}"
+    try:
+        df = (read_feed_csv(spark, path, (*dims.MODEL_FEATURES, "wqi_score")) if path.lower().endswith(".csv")
+              else spark.read.parquet(path))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise DataNotFoundError(f"no labelled table at {path}") from e
+        raise
+    if validate:
+        validate_schema(df)
+    return df
 
 
 def union_states(frames: list[DataFrame]) -> DataFrame:

@@ -84,3 +84,60 @@ def test_union_states(spark):
     b = spark.createDataFrame([(2, 3.0)], "k int, y double")
     out = FD.union_states([a, b]).orderBy("k").collect()
     assert out[0]["y"] is None and out[1]["x"] is None
+
+
+def unique_feeds(spark, copies=0):
+    key = "state string, station string, event_key string, "
+    bio = [("A", f"s{k % 3}", f"e{k}", "c", "01/01/2023 10:00", float(k)) for k in range(30)]
+    chem = [(*r[:5], 7.0) for r in bio[:25]] + [("A", "s9", "x", "c", "01/01/2023 10:00", 7.0)]
+    phys = [(*r[:5], 20.0) for r in bio[:10]]
+    chem += chem[:1] * copies
+    make = lambda rows, c: spark.createDataFrame(rows, key + f"station_code string, acquired_text string, {c} double")
+    return {"biological": make(bio, "bod_mgl"), "chemical": make(chem, "ph"), "physical": make(phys, "temperature")}
+
+
+def test_join_is_audited_while_it_runs(spark, tmp_path):
+    from riverlens.sources import sinks as SK
+    feeds, base = unique_feeds(spark), str(tmp_path / "joined")
+    joined, audit = I.audited_join(feeds, base)
+    rows = {r["feed"]: tuple(r)[1:] for r in audit.collect()}
+    assert rows.pop("joined") == (25, 25, 0, 0)
+    assert rows == {r["feed"]: tuple(r)[1:] for r in I.key_audit(feeds).collect()}
+    same = I.join_feeds(feeds)
+    assert joined.select(same.columns).exceptAll(same).count() == 0 and joined.count() == same.count()
+    with pytest.raises(I.DuplicateKeyError, match="chemical"):
+        I.audited_join(unique_feeds(spark, copies=1), base)
+    # nothing was published, and the inflated version is gone
+    assert SK.read_current(spark, base).count() == 25
+    assert len([n for n in os.listdir(base) if n.startswith("version=")]) == 1
+
+
+def test_audited_join_adds_no_exchange(spark):
+    feeds = unique_feeds(spark)
+    single = {n: f.groupBy(*I.EVENT_KEY).agg(F.first(F.struct(*[c for c in f.columns if c not in I.EVENT_KEY])).alias("r"))
+              .select(*I.EVENT_KEY, "r.*") for n, f in feeds.items()}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = I.join_feeds(single)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("Exchange hashpartitioning") == 3
+
+
+def test_bad_lines_are_judged_kept_and_counted(spark, tmp_path):
+    lines = ["a, b ,c", "1,2,3", "4,5", "6,7,8,9", '"x,2,3', 'x"y,2,3', '"q,1",2,3', '1,2,"open', ",,", "", '"a""b",1,2', "9,9,9"]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "one.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "in" / "two.csv").write_text("a, b ,c\r\n10,11,12\r\n")
+    path, bad = str(tmp_path / "in"), str(tmp_path / "bad")
+    got = FD.read_feed_lines(spark, path)
+    assert got.columns == ["a", "b", "c", "line_kind", "line", "file"]
+    assert {r["line"]: r["line_kind"] for r in got.where("line_kind is not null").collect()} == {
+        "4,5": "short", "6,7,8,9": "long", '"x,2,3': "quote", '1,2,"open': "quote"}
+    assert {r["line_kind"]: r["n"] for r in FD.line_audit(got).collect()} == {"good": 7, "short": 1, "long": 1, "quote": 2}
+    rows = {tuple(r) for r in FD.read_feed_csv(spark, path, ("b",), quarantine=bad).collect()}
+    assert rows == {("1", 2.0, "3"), ("4", 5.0, None), ('x"y', 2.0, "3"), ("q,1", 2.0, "3"), (None, None, None), ('a"b', 1.0, "2"),
+                    ("9", 9.0, "9"), ("10", 11.0, "12")}
+    kept = {(r["file"], r["line_kind"], r["line"]) for r in spark.read.parquet(bad).collect()}
+    assert ("one.csv", "long", "6,7,8,9") in kept and len(kept) == 4

@@ -34,10 +34,119 @@ def test_probabilities_sum_to_one(fitted):
 
 def test_imputer_uses_interpolated_median(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,), (None,)], "ph double")
-    out = MD.ExactMedianImputer(["ph"]).fit(df).transform(df).collect()
+    out = MD.ExactMedianImputer(inputCols=["ph"]).fit(df).transform(df).collect()
     assert out[-1]["ph_imp"] == 2.5
 
 
+def test_unfitted_pipeline_saves_loads_and_fits_to_the_same_model(spark, tmp_path):
+    from pyspark.ml import Pipeline
+    df = scored_observations(spark, SF_SMALL).where(F.col("wqi_class").isNotNull()).select("obs_id", "wqi_class", *MD.RAW)
+    train = S.with_weights(df)
+    pipe = MD.build_pipeline("decision_tree", max_depth=5)
+    pipe.write().overwrite().save(str(tmp_path / "unfitted"))
+    again = Pipeline.load(str(tmp_path / "unfitted"))
+    imputer = again.getStages()[1]
+    assert isinstance(imputer, MD.ExactMedianImputer) and imputer.getInputCols() == list(MD.FEATURES)
+    one, two = pipe.fit(train), again.fit(train)
+    assert one.stages[1].getMedians() == two.stages[1].getMedians()
+    assert one.stages[-1].toDebugString.split("\n")[1:] == two.stages[-1].toDebugString.split("\n")[1:]
+    two.write().overwrite().save(str(tmp_path / "fitted"))
+    loaded = MD.PipelineModel.load(str(tmp_path / "fitted"))
+    assert loaded.stages[1].getMedians() == one.stages[1].getMedians()
+    flat = lambda m: MD.predict(m, df).select("obs_id", "predicted", "top_probability")
+    assert flat(one).exceptAll(flat(loaded)).count() == 0
+
+
+def test_log10_feature_names_nan_and_null(spark):
+    stage = MD.Log10Feature(inputCol="x", outputCol="y")
+    assert stage.feature_names_in() == ["x"] and stage.feature_names_out() == ["y"]
+    df = spark.createDataFrame([(100.0,), (0.5,), (float("nan"),), (None,)], "x double")
+    assert [r["y"] for r in stage.transform(df).collect()] == [2.0, 0.0, None, None]
+
+
+def test_a_column_without_values_stays_empty(spark):
+    df = spark.createDataFrame([(1.0, None), (3.0, None)], "a double, b double")
+    out = MD.ExactMedianImputer(inputCols=["a", "b"]).fit(df).transform(df.union(spark.createDataFrame([(None, 7.0)], df.schema)))
+    assert [(r["a_imp"], r["b_imp"]) for r in out.collect()] == [(1.0, None), (3.0, None), (2.0, 7.0)]
+
+
+def test_one_protocol_for_every_model(spark, tmp_path):
+    from riverlens.operators import training as TR
+    df = scored_observations(spark, SF_SMALL).where(F.col("wqi_class").isNotNull())
+    sp = S.stratified_split(df, materialize=True).select("obs_id", "wqi_class", *MD.RAW, "split")
+    train, test = sp.where("split = 'train'").drop("split"), sp.where("split = 'test'").drop("split")
+    models, pred, report = TR.train_models(train, test, save_dir=str(tmp_path), random_forest={"max_depth": 5},
+                                           boosted_trees={"max_iter": 2}, decision_tree={"max_depth": 30})
+    rows = {r["model"]: r for r in report.collect()}
+    assert set(rows) == set(MD.KINDS) == set(models)
+    assert all(r["predictions"] == r["test_rows"] == test.count() and r["fit_seconds"] > 0 for r in rows.values())
+    assert rows["decision_tree"]["depth"] > 5 >= rows["random_forest"]["depth"] and rows["logistic_regression"]["depth"] is None
+    assert pred.groupBy("model").count().where(F.col("count") == test.count()).count() == 4
+    out = TR.compare_models(pred, report, MD.KINDS).orderBy("selection_rank").collect()
+    assert [r["selection_rank"] for r in out] == [1, 2, 3, 4]
+    with pytest.raises(TR.PredictionCheckError):
+        TR.checked_predictions(models["decision_tree"], test, test.count() + 1, "decision_tree", "wqi_class", "obs_id")
+
+
+def test_ties_go_to_explainability_then_latency(spark):
+    from riverlens.operators import metrics as M
+    pairs = spark.createDataFrame([("Good", "Good"), ("Poor", "Poor"), ("Poor", "Good")], "label string, prediction string")
+    conf = None
+    for name in ("a", "b", "c", "d"):
+        c = M.confusion(pairs, model=name)
+        conf = c if conf is None else conf.unionByName(c)
+    traits = spark.createDataFrame([("a", False, 0.1), ("b", True, 0.9), ("c", True, 0.2)], "model string, explainable boolean, latency double")
+    ranked = [r["model"] for r in M.select_model(conf, traits=traits).orderBy("selection_rank").collect()]
+    assert ranked == ["c", "b", "a", "d"]
+    assert [r["model"] for r in M.select_model(conf).orderBy("selection_rank").collect()] == ["a", "b", "c", "d"]
+
+
+def test_sensitivity_of_a_loaded_model(spark, fitted, tmp_path):
+    from riverlens.operators import scoring as SC
+    from riverlens.sources.sinks import load_model, save_model
+    model, _ = fitted
+    save_model(model, str(tmp_path / "m"))
+    loaded = load_model(str(tmp_path / "m"))
+    tree = X.tree_from_pipeline(model)
+    nodes = X.node_table(tree, spark)
+    cut = float(nodes[(nodes["feature"] == 1) & (nodes["leftChild"] >= 0)]["thr"].iloc[0][0])      # a threshold of DO
+    rows = [(k, 7.0 + k / 50, cut + (k % 5 - 2) * 0.06, 3.0 + k / 9, 40.0 * k) for k in range(40)] + [(99, 7.0, None, 2.0, 10.0)]
+    df = spark.createDataFrame(rows, "submission_id long, ph double, do_mgl double, bod_mgl double, fc double")
+    one = lambda *v: MD.predict(loaded, spark.createDataFrame([(0, *v)], df.schema), keys=("submission_id",))
+    got = {r["submission_id"]: r for r in SC.model_sensitivity(
+        df, lambda x, keys: MD.predict(loaded, x, keys=keys)).collect()}
+    probes, names = [], list(SC.PROBE_STEPS)
+    for r in rows:
+        probes.append((r[0], -1, None, None, *r[1:]))
+        for i, f in enumerate(names):
+            for j, sign in enumerate((-1.0, 1.0)):
+                v = None if r[1 + i] is None else r[1 + i] + sign * SC.PROBE_STEPS[f]
+                lo, hi = SC.dims.INPUT_BOUNDS[f]
+                if v is not None and lo <= v <= hi:
+                    probes.append((r[0], 2 * i + j, f, v, *[v if g == i else x for g, x in enumerate(r[1:])]))
+    table = spark.createDataFrame(probes, "submission_id long, probe_no int, feature string, v double, ph double, do_mgl double, bod_mgl double, fc double")
+    labels = {(r["submission_id"], r["probe_no"]): (r["predicted"], r["feature"], r["v"])
+              for r in MD.predict(loaded, table, keys=("submission_id", "probe_no", "feature", "v")).collect()}
+    want = {}
+    for (i, no), (label, f, v) in sorted(labels.items()):
+        if no >= 0 and i not in want and label != labels[i, -1][0]:
+            want[i] = (no, f, v, label, labels[i, -1][0])
+    assert want and {i: tuple(r)[1:] for i, r in got.items()} == want
+    assert one(7.0, cut, 3.0, 40.0).count() == 1
+
+
+def test_regressors(spark):
+    from riverlens.operators import regression as R
+    df = scored_observations(spark, SF_SMALL)
+    sp = S.stratified_split(df.where(F.col("wqi_class").isNotNull()), materialize=True).select("obs_id", "wqi_score", *MD.RAW, "split")
+    out = {r["model"]: r for r in R.compare_regressors(sp.where("split = 'train'"), sp.where("split = 'test'"),
+                                                       boosted_trees={"max_iter": 10}).collect()}
+    assert set(out) == set(R.REGRESSORS) and all(r["caveat"] == R.CAVEAT and r["n"] > 1000 for r in out.values())
+    assert out["linear"]["r2"] > 0 and out["boosted_trees"]["rmse"] < out["linear"]["rmse"]
+    with pytest.raises(MD.FeatureSchemaError):
+        R.build_regression(features=("ph", "wqi_score"))
+
+
 def _expected(nodes, x, subset):
     by_id = {int(r.id): r for r in nodes.itertuples()}
 
