@@ -9,15 +9,16 @@ is removed.
 
 Defined cases: a null or empty text has no lines and stays as it is; a null
 site counts for no site; a line is compared without the white space around
-it; lines of fewer than ``min_words`` words are never boilerplate; rows that
+it; a blank line is no line; rows that
 repeat one doc_id and text count as one document, so both keep a first
 occurrence; an empty table gives an empty result; other columns, whatever
 their names, pass through.
 
 Scale: what moves per line is a 16-byte hash, never the line.  Sketches merge
 map-side, so a line on a third of all rows is one partial sketch per task.
-The exact counts are a two-step distinct.  No window, no group is collected
-but the line numbers that leave one document.
+The exact counts are a two-step distinct.  A line on more than one in 1,000
+of all lines meets its copies by broadcast, the others in a shuffle.  No window,
+no group is collected but the line numbers that leave one document.
 """
 
 from __future__ import annotations
@@ -29,13 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from riverlens.llm.common import cut, packed
+from riverlens.llm.common import cut, join_known, packed
 
 BLANK = r"^[ \t\r]+|[ \t\r]+$"
 WORD = r"[^ \t\r]+"
 
 
-def line_hashes(docs: DataFrame, min_words: int) -> DataFrame:
+def line_hashes(docs: DataFrame, min_words: int = 1) -> DataFrame:
     """(h1, h2, site, doc_id, t, line_no) for each line that may be boilerplate."""
     lines = docs.select("doc_id", F.col("source").alias("site"), F.xxhash64("text").alias("t"),
                         F.posexplode(F.split("text", "\n", -1)).alias("line_no", "raw"))
@@ -46,22 +47,22 @@ def line_hashes(docs: DataFrame, min_words: int) -> DataFrame:
 
 
 def boilerplate_lines(lines: DataFrame, min_sites: int = 2, lg_k: int = 12) -> DataFrame:
-    """(h1, h2, first) of the lines on at least ``min_sites`` distinct sites."""
+    """(h1, h2, n, first) of the lines on at least ``min_sites`` distinct sites, n of them in all."""
     spread = (lines.groupBy("h1", "h2")
               .agg(F.count("*").alias("n"), F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"),
                    F.min(F.struct("doc_id", "line_no")).alias("first"))
               .where(F.col("n") >= min_sites)
-              .select("h1", "h2", "first", F.hll_sketch_estimate("sketch").alias("sites")))
+              .select("h1", "h2", "n", "first", F.hll_sketch_estimate("sketch").alias("sites")))
     spread = cut(spread, "line-spread")
     # three standard errors of the sketch, one site at least
     band = max(1.0, 3 * 1.04 / (2 ** lg_k) ** 0.5 * min_sites)
     near = spread.where(F.abs(F.col("sites") - min_sites) <= band)
-    exact = (lines.join(near.select("h1", "h2"), ["h1", "h2"], "left_semi")
-             .where("site is not null").select("h1", "h2", "site").distinct()
+    exact = (join_known(lines.where("site is not null").select("h1", "h2", "site"), near.select("h1", "h2", "n"),
+                        ["h1", "h2"], "n", lines.count()).distinct()
              .groupBy("h1", "h2").count().where(F.col("count") >= min_sites))
     clear = spread.where(F.col("sites") > min_sites + band)
-    return (clear.select("h1", "h2", "first")
-            .union(near.join(exact, ["h1", "h2"], "left_semi").select("h1", "h2", "first")))
+    return (clear.select("h1", "h2", "n", "first")
+            .union(near.join(exact, ["h1", "h2"], "left_semi").select("h1", "h2", "n", "first")))
 
 
 @F.pandas_udf(StringType())
@@ -72,16 +73,17 @@ def without_lines(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd
             for t, gone in ((t, None if t is None else set(d)) for t, d in zip(texts, drops))], dtype=object)
 
 
-def remove_boilerplate(docs: DataFrame, min_sites: int = 2, min_words: int = 3, lg_k: int = 12,
+def remove_boilerplate(docs: DataFrame, min_sites: int = 2, min_words: int = 1, lg_k: int = 12,
                        removed: str | None = None) -> DataFrame:
     """``docs`` (doc_id, text, source, ...) with the boilerplate lines taken out.
 
-    ``removed`` names a column for the number of removed lines, if wanted.
+    Lines of fewer than ``min_words`` words are left alone: by default only blank
+    ones.  ``removed`` names a column for the number of removed lines, if wanted.
     ``n_chars``, where there is one, follows the new text.
     """
     lines = cut(line_hashes(docs, min_words), "line-hashes")
     known = cut(boilerplate_lines(lines, min_sites, lg_k), "boilerplate")
-    gone = (lines.join(known, ["h1", "h2"])
+    gone = (join_known(lines.select("h1", "h2", "doc_id", "t", "line_no"), known, ["h1", "h2"], "n", lines.count())
             .where(~F.struct("doc_id", "line_no").eqNullSafe(F.col("first")))
             .groupBy("doc_id", "t").agg(F.collect_set("line_no").alias("drop")))
     gone = gone.select(F.col("doc_id").alias("g_id"), F.col("t").alias("g_t"), "drop")
@@ -108,7 +110,7 @@ lines AS (
          regexp_replace(raw, '^[ \t\r]+|[ \t\r]+$', '', 'g') AS line FROM raw),
 spread AS (
   SELECT line, min({'a': doc_id, 'b': line_no}) AS first FROM lines
-  WHERE len(regexp_extract_all(line, '[^ \t\r]+')) >= 3
+  WHERE len(regexp_extract_all(line, '[^ \t\r]+')) >= 1
   GROUP BY line HAVING count(DISTINCT source) >= 2),
 kept AS (
   SELECT l.doc_id, l.raw, l.line_no,

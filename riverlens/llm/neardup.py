@@ -9,7 +9,7 @@ shingles matter there, and they are few at any size.  Texts that share a key
 are compared: a link needs a weighted Jaccard similarity, or a plain one of the
 shingle sets, of ``SIMILAR`` or more.  Each of the two has its own family of
 ``BANDS`` x ``ROWS`` samples that make its bands' keys: consistent weighted
-samples (Ioffe's ICWS) and least hashes of the shingle set.  So a pair at the
+samples (Ioffe's ICWS, with draws by table from one hash for each sample) and least hashes of the shingle set.  So a pair at the
 threshold by either similarity shares no key with a probability of
 (1 - SIMILAR^ROWS)^BANDS, 1 in 100,000.  Classes are the connected components
 of the links; exact copies of a text are one node.
@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riverlens.llm.common import connected_components, cut, packed
+from riverlens.llm.common import connected_components, cut, join_known, packed
 
 WORDS, SIMILAR = 5, 0.8
 BANDS, ROWS = 16, 3
@@ -53,7 +53,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _POWERS: list[np.ndarray] = []
 _SEED = np.random.default_rng(33)
 _PLACE = _SEED.integers(1, 2 ** 63, WORDS, dtype=np.uint64) | np.uint64(1)
-_DRAW, _PLAIN = ((_SEED.integers(1, 2 ** 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1))[:, None] for _ in range(2))
+_DRAW = (_SEED.integers(1, 2 ** 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1))[:, None]
 
 
 def text_key(text: Column) -> Column:
@@ -171,41 +171,53 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return least / (total - least), len(x) / (len(a[0]) + len(b[0]) - len(x))
 
 
+def _gamma_quantiles(u: np.ndarray) -> np.ndarray:
+    """Quantiles of the gamma distribution of shape 2, for 0 < u < 1, by Newton's method."""
+    c = np.sqrt(2 * u) - np.log1p(-u)
+    for _ in range(60):
+        tail = np.where(c < 1e-3, c * c / 2 - c ** 3 / 3, -np.expm1(-c) - c * np.exp(-c))
+        c = np.maximum(c - (tail - u) / (c * np.exp(-c)), c / 4)
+    return c
+
+
+# Draws by table.  r and beta take 16 bits of a hash each.  c takes 31: its table goes by the upper half of the bits
+# of the float u, 128 steps for each halving of u, since the least c of a long text lies far out in the tail.
+_STEPS = (np.arange(1 << 16) + 0.5) / (1 << 16)
+_R, _BETA = _gamma_quantiles(_STEPS).astype(np.float32), _STEPS.astype(np.float32)
+_INVERSE_R = 1 / _R
+_U = ((np.arange(0x3F80, dtype=np.uint32) << np.uint32(16)) + np.uint32(1 << 15)).view(np.float32).astype(np.float64)
+_LOG_C = np.log(_gamma_quantiles(np.maximum(_U, 2.0 ** -33))).astype(np.float32)
+
+
 def band_keys(bag: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The BANDS keys of a bag by improved consistent weighted sampling."""
+    """The keys of a bag, ``BANDS`` by improved consistent weighted sampling, then ``BANDS`` by least hashes of its set.
+
+    One 64-bit hash of a shingle for each sample gives the draws of both.
+    """
     names, log_w = bag[0], np.log(bag[1])
-    chosen, level = np.empty(BANDS * ROWS, dtype=np.uint64), np.empty(BANDS * ROWS, dtype=np.int64)
-    lowest = np.full(BANDS * ROWS, np.inf, dtype=np.float32)
-    at = np.arange(BANDS * ROWS)
-    for lo in range(0, len(names), 4096):
-        x = _mixed(names[None, lo:lo + 4096] * _DRAW)
-        y = _mixed(x + np.uint64(0x632BE59BD9B4E019))
-        tiny = np.float32(2.0 ** -33)
-        r = -np.log(((x >> np.uint64(32)).astype(np.float32) * np.float32(2.0 ** -32) + tiny)
-                    * ((x & np.uint64(0xFFFFFFFF)).astype(np.float32) * np.float32(2.0 ** -32) + tiny))
-        r = np.maximum(r, np.float32(1e-6))
-        c = -np.log(((y >> np.uint64(40)).astype(np.float32) * np.float32(2.0 ** -24) + np.float32(2.0 ** -25))
-                    * (((y >> np.uint64(16)) & np.uint64(0xFFFFFF)).astype(np.float32) * np.float32(2.0 ** -24)
-                       + np.float32(2.0 ** -25)))
-        beta = (y & np.uint64(0xFFFF)).astype(np.float32) * np.float32(2.0 ** -16)
-        t = np.floor(log_w[None, lo:lo + 4096] / r + beta)
-        a = np.log(np.maximum(c, np.float32(1e-12))) - r * (t - beta + 1)
+    samples = BANDS * ROWS
+    chosen, level = np.empty(samples, dtype=np.uint64), np.empty(samples, dtype=np.int64)
+    lowest = np.full(samples, np.inf, dtype=np.float32)
+    least = np.full(samples, np.iinfo(np.uint64).max, dtype=np.uint64)
+    at = np.arange(samples)
+    for lo in range(0, len(names), 512):
+        part = names[lo:lo + 512]
+        x = _mixed(part[None, :] * _DRAW)
+        np.minimum(least, x.min(1), out=least)
+        lanes = x.view(np.uint16).reshape(samples, -1, 4)
+        draw, beta = lanes[:, :, 0], _BETA.take(lanes[:, :, 1])
+        t = np.floor(log_w[None, lo:lo + 512] * _INVERSE_R.take(draw) + beta)
+        u = ((x >> np.uint64(33)).astype(np.int32).astype(np.float32) + np.float32(0.5)) * np.float32(2.0 ** -31)
+        u = np.minimum(u, np.float32(1 - 2.0 ** -8))
+        a = _LOG_C.take(u.view(np.uint32) >> np.uint32(16)) - _R.take(draw) * (t - beta + 1)
         best = a.argmin(1)
         low = a[at, best]
         better = low < lowest
         lowest[better] = low[better]
-        chosen[better] = names[lo:lo + 4096][best[better]]
+        chosen[better] = part[best[better]]
         level[better] = t[at, best][better].astype(np.int64)
-    signature = _mixed(chosen * _PLACE[0] + level.astype(np.uint64) * _PLACE[1]).reshape(BANDS, ROWS)
-    return _band_hashes(signature, 0)
-
-
-def plain_band_keys(names: np.ndarray) -> np.ndarray:
-    """The BANDS keys of a set of shingles by its least hashes."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for lo in range(0, len(names), 4096):
-        least = np.minimum(least, _mixed(_mixed(names[None, lo:lo + 4096] * _PLAIN)).min(1))
-    return _band_hashes(least.reshape(BANDS, ROWS), BANDS)
+    weighted = _mixed(chosen * _PLACE[0] + level.astype(np.uint64) * _PLACE[1]).reshape(BANDS, ROWS)
+    return np.concatenate([_band_hashes(weighted, 0), _band_hashes(_mixed(least).reshape(BANDS, ROWS), BANDS)])
 
 
 def _band_hashes(signature: np.ndarray, first: int) -> np.ndarray:
@@ -218,13 +230,9 @@ def bands(docs: DataFrame, idf: np.ndarray) -> DataFrame:
     """(node, keys): each distinct text that has words, with the band keys of both families."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
-    def both(shingle: np.ndarray) -> np.ndarray:
-        bag = weights(shingle, shared.value)
-        return np.concatenate([band_keys(bag), plain_band_keys(bag[0])])
-
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [both(s) if len(s) else None for s in shingles(batch.column("text"))]
+            keys = [band_keys(weights(s, shared.value)) if len(s) else None for s in shingles(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(keys, pa.list_(pa.int64()))],
                                              ["node", "keys"])
         pa.default_memory_pool().release_unused()
@@ -401,26 +409,35 @@ def joined_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """(doc_id, class_id, class_size): a row per document; class_size counts documents."""
-    rows = named_rows(docs, similar)
-    return rows.select("doc_id", F.col("first.doc_id").alias("class_id"), "class_size")
+    rows, texts = by_text(docs, similar)
+    sizes = class_sizes(texts)
+    named = join_known(texts.select("node", "component", "copies"), sizes, ["component"], "texts", texts.count())
+    out = join_known(rows, named.select("node", "copies", "class_size", F.col("first.doc_id").alias("class_id")), ["node"],
+                     "copies", rows.count())
+    return out.select("doc_id", "class_id", "class_size")
 
 
-def named_rows(docs: DataFrame, similar: float) -> DataFrame:
-    """(doc_id, node, first, class_size): first is the struct (unknown, doc_id, node) of the class's first document."""
+def by_text(docs: DataFrame, similar: float) -> tuple[DataFrame, DataFrame]:
+    """Written (doc_id, node) of every row, and (node, component, copies, first) of every distinct text."""
     labels = classes(docs, similar)
-    nodes = cut(docs.select("doc_id", text_key(F.col("text")).alias("node")).join(labels, "node", "left")
-                .select("doc_id", "node", F.coalesce("component", "node").alias("component")), "class-members")
-    sizes = nodes.groupBy("component").agg(
-        F.count("*").alias("class_size"),
-        F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "node")).alias("first"))
-    return nodes.join(sizes, "component")
+    rows = cut(docs.select("doc_id", text_key(F.col("text")).alias("node")), "class-members")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "node"))
+    texts = rows.groupBy("node").agg(F.count("*").alias("copies"), first.alias("first"))
+    return rows, cut(texts.join(labels, "node", "left").select(
+        "node", F.coalesce("component", "node").alias("component"), "copies", "first"), "class-texts")
+
+
+def class_sizes(texts: DataFrame) -> DataFrame:
+    """(component, texts, class_size, first): first is the struct (unknown, doc_id, node) of the class's first document."""
+    return texts.groupBy("component").agg(F.count("*").alias("texts"), F.sum("copies").alias("class_size"), F.min("first").alias("first"))
 
 
 def keep_one(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """The rows of ``docs`` that are the first document of their class; repeated rows count once."""
     names = docs.columns
-    firsts = named_rows(docs, similar).select("first").distinct()
-    firsts = firsts.select(F.col("first.doc_id").alias("f_id"), F.col("first.node").alias("node"))
-    rows = docs.select(text_key(F.col("text")).alias("node"), packed(docs).alias("row"))
-    kept = rows.join(firsts, "node").where(F.col("row.doc_id").eqNullSafe(F.col("f_id")))
+    _, texts = by_text(docs, similar)
+    firsts = class_sizes(texts).select(F.col("first.doc_id").alias("f_id"), F.col("first.node").alias("f_node"))
+    rows = docs.select(text_key(F.col("text")).alias("node"), F.col("doc_id").alias("r_id"), packed(docs).alias("row"))
+    # by text and doc_id, so the copies of a text are spread and only the first one meets its class
+    kept = rows.join(firsts, (F.col("node") == F.col("f_node")) & F.col("r_id").eqNullSafe(F.col("f_id")))
     return kept.dropDuplicates(["node"]).select(*[F.col(f"row.`{c}`").alias(c) for c in names])

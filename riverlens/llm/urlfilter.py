@@ -14,8 +14,9 @@ add, remove, and repeated events count once; a removal without an addition
 does nothing; repeated captures are evaluated once and each gets the result;
 an empty list blocks nothing; other columns pass through.
 
-Scale: a capture becomes its few possible entry keys (its host's suffixes and
-as many leading path segments as the deepest entry has), so the as-of join is
+Scale: a capture becomes its few possible entry keys (the suffixes of its host
+and the leading path segments up to the labels and segments that the deepest
+entry has), so the as-of join is
 an equi-join on (key, period) that AQE can split where a host is hot; an
 interval is repeated for each period it touches, which keeps the candidates of
 one key few however often the list flips it.
@@ -23,6 +24,8 @@ one key few however often the list flips it.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +39,7 @@ LAST = "9999-12-31"
 
 def host_of(url: Column) -> Column:
     host = F.regexp_replace(F.lower(F.regexp_extract(url, HOST, 1)), r"\.$", "")
-    return F.when((F.length(host) > 0) & (F.length(host) <= 253), host)
+    return F.when(F.length(host) > 0, host)
 
 
 def validity(entries: DataFrame) -> DataFrame:
@@ -54,19 +57,23 @@ def _period(day: Column) -> Column:
     return F.floor(F.unix_date(day) / PERIOD_DAYS)
 
 
-def candidate_keys(captures: DataFrame, depth: int) -> DataFrame:
-    """(url, day, tag, period): every entry key that could cover each capture; path keys up to ``depth`` segments."""
+def candidate_keys(captures: DataFrame, levels: int, depth: int) -> DataFrame:
+    """(url, day, tag, period): every entry key that could cover each capture.
+
+    Domain keys of up to ``levels`` labels, path keys of up to ``depth`` segments.
+    """
     labels = F.split("host", r"\.")
-    n = F.size("labels")
-    domains = F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(
-        F.lit("domain "), F.array_join(F.slice("labels", i, n), ".")))
+    k = F.least(F.size("labels"), F.lit(levels))
+    domains = F.when(k > 0, F.transform(F.sequence(F.lit(1), k), lambda i: F.concat(
+        F.lit("domain "), F.array_join(F.slice("labels", -i, i), "."))))
+    none = F.array().cast("array<string>")
     # empty segments do not count; the limit leaves what lies deeper than any entry in one piece
     path = F.regexp_replace(F.regexp_extract("url", PATH, 1), "^/+|/+$|/+(?=/)", "")
-    parts = F.when(path != "", F.split(path, "/", depth + 1)).otherwise(F.array().cast("array<string>"))
+    parts = F.when(path != "", F.split(path, "/", depth + 1)).otherwise(none)
     m = F.least(F.size("parts"), F.lit(depth))
     paths = F.when(m > 0, F.transform(F.sequence(F.lit(1), m), lambda i: F.concat(
         F.lit("path "), "host", F.lit("/"), F.array_join(F.slice("parts", F.lit(1), i), "/"))))
-    keys = F.concat(domains, F.coalesce(paths, F.array().cast("array<string>")))
+    keys = F.concat(F.coalesce(domains, none), F.coalesce(paths, none))
     return (captures.withColumn("host", host_of(F.col("url"))).where("host is not null and day is not null")
             .withColumn("labels", labels).withColumn("parts", parts)
             .select("url", "day", F.explode(keys).alias("tag"))
@@ -76,10 +83,13 @@ def candidate_keys(captures: DataFrame, depth: int) -> DataFrame:
 def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", day: str = "fetched_on") -> DataFrame:
     """``captures`` with blocked (boolean), n_active (long) and entry (the first active key, null if none)."""
     spans = cut(validity(entries), "list-intervals")
-    depth = spans.where("kind = 'path'").agg(F.max(F.size(F.split("key", "/")) - 1)).first()[0] or 0
+    deep = lambda kind, n: spans.where(F.col("kind") == kind).agg(F.max(n)).first()[0] or 0
+    levels, depth = deep("domain", F.size(F.split("key", r"\."))), deep("path", F.size(F.split("key", "/")) - 1)
     asked = captures.select(F.col(f"`{url}`").alias("url"), F.col(f"`{day}`").alias("day")).distinct()
-    keys = candidate_keys(asked, depth)
-    last = F.least(F.date_sub("valid_to", 1), F.lit(keys.agg(F.max("day")).first()[0]).cast("date"))
+    keys = candidate_keys(asked, levels, depth)
+    # no interval matters beyond the last capture, and none at all without one
+    latest = keys.agg(F.max("day")).first()[0] or date.min
+    last = F.least(F.date_sub("valid_to", 1), F.lit(str(latest)).cast("date"))
     tiles = (spans.withColumn("last", last).where("last >= valid_from")
              .select(F.concat("kind", F.lit(" "), "key").alias("tag"), "verdict", "valid_from", "valid_to",
                      F.explode(F.sequence(_period(F.col("valid_from")), _period(F.col("last")))).alias("period")))

@@ -5,7 +5,7 @@ from riverlens.llm import linededup
 A, B, C = "a line of words", "another line of words", "x y"
 
 
-def brute(rows, min_sites=2, min_words=3):
+def brute(rows, min_sites=2, min_words=1):
     import collections
     sites, first = collections.defaultdict(set), {}
     for i, text, _, source in rows:
@@ -55,6 +55,14 @@ def test_higher_threshold_uses_estimates_and_exact_counts(spark):
     assert sorted_rows(out.select("doc_id", "text")) == brute(rows, min_sites=12)
 
 
+def test_short_lines_count_and_a_minimum_can_be_asked_for(spark):
+    rows = [(k, "Les.\n\nAnd ornd.\nown words of two", "en", f"s{k}") for k in range(1, 4)]
+    got = {min_words: sorted_rows(linededup.remove_boilerplate(docs_frame(spark, rows), min_words=min_words).select("doc_id", "text"))
+           for min_words in (1, 3)}
+    assert got[1] == brute(rows) and got[1][1] == (2, "")
+    assert got[3] == brute(rows, min_words=3) and got[3][1] == (2, "Les.\n\nAnd ornd.")
+
+
 def test_clashing_columns_pass_and_empty_table(spark):
     df = docs_frame(spark, ROWS[:3], extra=True)
     out = linededup.remove_boilerplate(df)

@@ -1,5 +1,7 @@
 from datetime import date
 
+from pyspark.sql import functions as F
+
 from riverlens.llm import urlfilter
 
 D = lambda n: date(2024, 1, n)
@@ -17,7 +19,7 @@ CAPTURES = [
     (9, "http://ok.com/x/y/z", D(2), True), (10, "http://ok.com/x/yz", D(2), False), (11, "http://ok.com/x", D(2), False),
     (12, "http://ok.com//x//y?z", D(2), True), (13, None, D(2), False), (14, "junk", D(2), False), (15, "http://bad.com/", None, False),
     (16, "http://late.com/", D(9), False), (17, "http://same.com/", D(9), False), (2, "http://BAD.com", D(5), True),
-    (18, "http://" + "a." * 200 + "bad.com/", D(6), False), (19, "http://bad.com/" + "p/" * 20000, D(6), True),
+    (18, "http://" + "a." * 200 + "bad.com/", D(6), True), (20, "http://" + "a." * 30000 + "ok.com/x/y", D(6), False), (19, "http://bad.com/" + "p/" * 20000, D(6), True),
     (None, "http://bad.com./", D(6), True),
 ]
 
@@ -40,6 +42,8 @@ def test_validity_and_as_of(spark):
 def test_empty_sides(spark):
     captures, entries = frames(spark)
     assert urlfilter.evaluate(captures.limit(0), entries).count() == 0
+    undated = captures.withColumn("fetched_on", F.lit(None).cast("date"))
+    assert not any(r["blocked"] for r in urlfilter.evaluate(undated, entries).collect())
     assert not any(r["blocked"] for r in urlfilter.evaluate(captures, entries.limit(0)).collect())
 
 
