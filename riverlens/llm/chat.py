@@ -113,6 +113,11 @@ LAYOUTS: Mapping[str, tuple[str, str]] = {
 FIELDS: Mapping[str, str] = {
     "prompt": ("array(named_struct('role', 'user', 'text', record.prompt), "
                "named_struct('role', 'assistant', 'text', record.response))"),
+    "instruction": ("array(named_struct('role', 'user', 'text', record.instruction), "
+                    "named_struct('role', 'assistant', 'text', record.output))"),
+    "instruction with input": (
+        "array(named_struct('role', 'user', 'text', concat_ws('\\n', record.instruction, nullif(record.input, ''))), "
+        "named_struct('role', 'assistant', 'text', record.output))"),
     "system prompt": ("array(named_struct('role', 'system', 'text', record.system), "
                       "named_struct('role', 'user', 'text', record.prompt), "
                       "named_struct('role', 'assistant', 'text', record.response))"),
@@ -122,12 +127,16 @@ FIELDS: Mapping[str, str] = {
 }
 
 
-def with_turns(records: DataFrame, layouts: Mapping[str, tuple[str, str]] = LAYOUTS) -> DataFrame:
-    """``records`` (record, ...) with ``layout`` and canonical ``turns``, both null where no mapping fits."""
+def with_turns(records: DataFrame, layouts: Mapping[str, tuple[str, str]] = LAYOUTS, rename: bool | None = None) -> DataFrame:
+    """``records`` (record, ...) with ``layout`` and canonical ``turns``, both null where no mapping fits.
+
+    With ``rename`` the other names of the usual roles become user and
+    assistant; by default so for JSON texts, while the turns of structs keep the
+    roles that they were given.
+    """
     spark = records.sparkSession
-    # the fingerprints of the few known layouts: a fixed table, made from their examples
-    known = spark.createDataFrame([(k, example) for k, (example, _) in layouts.items()], "layout string, example string")
-    prints = {r["layout"]: r["print"] for r in known.select("layout", fingerprint(F.col("example")).alias("print")).collect()}
+    # the fingerprints of the few known layouts, made from their examples
+    prints = spark.range(1).select(*[fingerprint(F.lit(example)).alias(k) for k, (example, _) in layouts.items()]).first()
     mark, layout, turns = F.col("schema_print"), F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     kind = records.schema["record"].dataType
     if isinstance(kind, T.StructType):
@@ -137,7 +146,9 @@ def with_turns(records: DataFrame, layouts: Mapping[str, tuple[str, str]] = LAYO
         layout = F.when(mark == prints[name], name).otherwise(layout)
         turns = F.when(mark == prints[name], F.expr(expression).cast(TURNS)).otherwise(turns)
     out = records.withColumn("schema_print", fingerprint(F.col("record"), kind))
-    return out.withColumn("layout", layout).withColumn("turns", canonical(turns)).drop("schema_print")
+    if rename is None:
+        rename = not isinstance(kind, T.StructType)
+    return out.withColumn("layout", layout).withColumn("turns", canonical(turns) if rename else turns).drop("schema_print")
 
 
 def canonical(turns: Column) -> Column:
@@ -197,19 +208,28 @@ def read_back(output: Column) -> Column:
 def conversation_records(rows: DataFrame) -> DataFrame:
     """One record (conv_id, record) per conversation of the turn table, in the layout its turns fit.
 
-    A user and an assistant turn: prompt and response; a system turn before
-    them: with system; else a list of messages.  A record is a struct, so no
-    text passes through Spark's JSON parser and its bound on a string.
+    A user and an assistant turn: prompt and response, or, where the user's
+    text goes on behind its first line, instruction, input and output; a system
+    turn before them: with system; else a list of messages.  A record is a
+    struct, so no text passes through Spark's JSON parser and its bound on a
+    string.
     """
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     convs = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("t"))
     roles = F.array_join(F.transform("t", lambda x: F.replace(x["role"], F.lit(" "), F.lit("_"))), " ")
     at = lambda i: F.get("t", F.lit(i))["text"]
     messages = F.transform("t", lambda x: F.struct(x["text"].alias("content"), x["role"].alias("role")))
-    two, three = roles == "user assistant", roles == "system user assistant"
+    pair, three = roles == "user assistant", roles == "system user assistant"
+    line = F.locate("\n", at(0))       # where the first line ends, 0 if it is the only one
+    lines = pair & (line > 0) & (line < F.length(at(0)))
+    two = pair & ~lines
     record = F.struct(F.when(two, at(0)).when(three, at(1)).alias("prompt"),
                       F.when(two, at(1)).when(three, at(2)).alias("response"),
-                      F.when(three, at(0)).alias("system"), F.when(~(two | three), messages).alias("messages"))
+                      F.when(three, at(0)).alias("system"),
+                      F.when(lines, F.substr(at(0), F.lit(1), line - 1)).alias("instruction"),
+                      F.when(lines, F.substr(at(0), line + 1)).alias("input"),
+                      F.when(lines, at(1)).alias("output"),
+                      F.when(~(pair | three), messages).alias("messages"))
     return convs.select("conv_id", record.alias("record"))
 
 

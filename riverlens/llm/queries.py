@@ -100,8 +100,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -1, whose turns say the template's control strings."""
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
-    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
-                                  "conv_id long, turn long, role string, text string")
+    extra = spark.sql(f"VALUES (-1L, 0L, 'user', '{said}'), (-1L, 1L, 'assistant', '{said}') AS t(conv_id, turn, role, text)")
     records = chat.conversation_records(rows.unionByName(extra))
     return chat.digest(chat.formatted(chat.with_turns(records)))
 

@@ -152,15 +152,18 @@ def fit(docs: DataFrame, grades: DataFrame, per_grade: int = PER_GRADE) -> Model
         few = few.union(labels.where(F.col("grade") == grade).orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id").limit(per_grade))
     # at most (grades x per_grade) rows: small enough to broadcast by construction
     rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(few), "doc_id")
-    rows = rows.orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id", "text").limit(max(1, per_grade * len(totals)))
+    rows = rows.select(F.xxhash64("doc_id", F.lit(9)).alias("h"), "doc_id", F.xxhash64("text").alias("t"), "grade", "text")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [sorted({f for w in words_of(x.as_py()) for f in features_of(w)}) for x in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.array(found, pa.list_(pa.int32()))],
-                                             ["grade", "features"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("h", "doc_id", "t", "grade")),
+                                              pa.array(found, pa.list_(pa.int32()))], ["h", "doc_id", "t", "grade", "features"])
 
-    found = rows.select("grade", "text").mapInArrow(extract, "grade int, features array<int>").toArrow()
+    # every task extracts the features of its texts; of these, not of the texts, a bounded number of rows meet
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    found = (rows.mapInArrow(extract, f"h long, doc_id {kind}, t long, grade int, features array<int>")
+             .orderBy("h", "doc_id", "t").limit(max(1, per_grade * len(totals))).select("grade", "features").toArrow())
     y = found.column("grade").to_numpy().astype(np.int64)
     sets = [np.asarray(x.values, dtype=np.int32) for x in found.column("features")]
     seen = np.bincount(y, minlength=int(y.max()) + 1 if len(y) else 1)

@@ -60,7 +60,10 @@ def test_conversation_rows(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo é😀"), (2, 0, "system", "s"), (2, 1, "user", evil),
             (2, 2, "assistant", evil), (3, 0, "user", None), (3, 1, "assistant", None), (3, 2, None, "x"),
             (None, 0, "assistant", "n"), (4, None, "user", "first"), (4, 0, "assistant", "b"), (4, 0, "assistant", "a"),
-            (5, 0, "user", "same"), (5, 0, "user", "same"), (6, 0, "assistant", "long " * 200000)]
+            (5, 0, "user", "same"), (5, 0, "user", "same"),
+            (8, 0, "human", "h"), (8, 1, "gpt", "g"), (8, 2, "assistant", "a"), (9, 0, "user", "do this\nwith\n that"), (9, 1, "assistant", "ok"),
+            (10, 0, "user", "ends\n"), (10, 1, "assistant", "ok"), (11, 0, "user", "\n\nbegins"), (11, 1, "assistant", "\n"),
+            (12, 0, "user", "\n"), (12, 1, "assistant", "x"), (6, 0, "assistant", "long " * 200000)]
     rows += [(7, k, "user" if k % 2 else "assistant", f"t{k}") for k in range(3000)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("record", F.lit(1))
     got = {r["conv_id"]: r for r in chat.digest(chat.formatted(chat.with_turns(chat.conversation_records(df)))).collect()}
@@ -70,10 +73,31 @@ def test_conversation_rows(spark):
     assert set(got) == set(convs)
     for c, turns in convs.items():
         assert tuple(got[c])[1:5] == digests(turns), c
+    layouts = {r["conv_id"]: r["layout"] for r in chat.with_turns(chat.conversation_records(df)).collect()}
+    assert {c: layouts[c] for c in (1, 2, 3, 5, 8, 9, 10, 11, 12)} == {
+        1: "prompt", 2: "system prompt", 3: "messages", 5: "messages", 8: "messages", 9: "instruction with input", 10: "prompt",
+        11: "instruction with input", 12: "prompt"}
     empty = chat.conversation_records(df.limit(0))
     assert chat.digest(chat.formatted(chat.with_turns(empty))).count() == 0
 
 
+def test_roles_of_structs_stay_and_those_of_json_are_renamed(spark):
+    kind = "k int, record struct<messages:array<struct<content:string,role:string>>,instruction:string,output:string>"
+    rows = spark.createDataFrame([(1, ([("a", "human"), ("b", "gpt")], None, None)), (2, (None, "do", "done"))], kind)
+    turns = lambda df: {r["k"]: [tuple(t) for t in r["turns"]] for r in df.collect()}
+    assert turns(chat.with_turns(rows)) == {1: [("human", "a"), ("gpt", "b")], 2: [("user", "do"), ("assistant", "done")]}
+    assert turns(chat.with_turns(rows, rename=True))[1] == [("user", "a"), ("assistant", "b")]
+    text = spark.createDataFrame([(1, json.dumps({"messages": [{"role": "gpt", "content": "b"}]}))], "k int, record string")
+    assert turns(chat.with_turns(text)) == {1: [("assistant", "b")]}
+    assert turns(chat.with_turns(text, rename=False)) == {1: [("gpt", "b")]}
+
+
+def test_no_python_in_the_query(spark):
+    from riverlens.llm.queries import op9_chat_format
+    plan = op9_chat_format(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert not any(x in plan for x in ("Python", "Arrow", "ExistingRDD"))
+
+
 def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string")
     plan = chat.digest(chat.formatted(chat.with_turns(chat.conversation_records(df))))._jdf.queryExecution().toString()
