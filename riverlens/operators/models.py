@@ -123,15 +123,15 @@ def classifier(kind: str, weight_col: str | None = "weight", seed: int = 42, max
     """ML-1..4 estimators (balanced through ``weightCol`` except boosting).
 
     ``max_depth`` bounds the single tree and the forest, ``max_iter`` is the
-    number of boosting rounds.  Node ids are cached and checkpointed, since deep
-    trees and many rounds otherwise walk an ever longer lineage.
+    number of boosting rounds.  The forest caches its rows' node ids, and the
+    boosting rounds are checkpointed: else every pass walks all trees so far.
     """
     common = dict(featuresCol="features", labelCol="label_idx")
-    deep = dict(maxBins=256, seed=seed, maxMemoryInMB=512, cacheNodeIds=True, checkpointInterval=10)
+    trees = dict(maxDepth=max_depth, maxBins=256, seed=seed, maxMemoryInMB=512, weightCol=weight_col)
     if kind == "decision_tree":
-        return DecisionTreeClassifier(maxDepth=max_depth, weightCol=weight_col, **deep, **common)
+        return DecisionTreeClassifier(**trees, **common)
     if kind == "random_forest":
-        return RandomForestClassifier(numTrees=100, maxDepth=max_depth, weightCol=weight_col, **deep, **common)
+        return RandomForestClassifier(numTrees=100, cacheNodeIds=True, checkpointInterval=10, **trees, **common)
     if kind == "logistic_regression":
         return LogisticRegression(family="multinomial", maxIter=1000, weightCol=weight_col, **common)
     if kind == "boosted_trees":

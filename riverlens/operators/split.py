@@ -231,12 +231,12 @@ def smote(train: DataFrame, features: Sequence[str] = dims.MODEL_FEATURES, label
     synthetic).  A class lacks M - n rows: each of its rows gives q or q + 1 of
     them (the rest to the first in hash order), on the segment to one of its k
     nearest rows of the class in standardised space, both drawn by hash.  The
-    neighbours are exact for every row (grid cells, widened until certain); a
+    neighbours are exact for every row (an adaptive partition of space); a
     row without a neighbour (a class of one) is repeated as it is.
     """
-    from riverlens.operators.scoring import nearest_labelled
+    from riverlens.operators.nearest import nearest_labelled
     rows = written(train.select(key, label, *features), "smote-train")
-    stats = melt(rows, features).groupBy("feature").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std_pop"))
+    stats = moments(rows, features)
     sizes = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     plan = sizes.withColumn("_lack", F.max("n").over(Window.partitionBy()) - F.col("n")).where("_lack > 0")  # one row per class
     plan = plan.select(label, F.expr("_lack div n").alias("_q"), F.expr("_lack % n").alias("need"))
@@ -276,6 +276,12 @@ def resample(train: DataFrame, method: str = "none", features: Sequence[str] = d
     return oversample(train, label, key, seed).drop("copy") if kind == "oversample" else train
 
 
+def moments(train: DataFrame, features: Sequence[str] = dims.MODEL_FEATURES) -> DataFrame:
+    """(feature, n, mean, std_pop) of the values that are there, in one aggregation."""
+    long = melt(train, features).where(F.col("value").isNotNull())
+    return long.groupBy("feature").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std_pop"))
+
+
 def fitted_statistics(train: DataFrame, features: Sequence[str] = dims.MODEL_FEATURES) -> DataFrame:
     """CLN-2 / FEA-3..5 / AGG-30: train-only medians, mean, population std,
     quartiles and P10/P90, one row per feature (the fitted state)."""

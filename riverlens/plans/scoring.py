@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riverlens.functions import dims
 from riverlens.functions.scalars import log10_floor1
+from riverlens.operators import nearest as NN
 from riverlens.operators import scoring as SC
 from riverlens.operators import split as S
 from riverlens.plans.labelling import scored_observations
@@ -177,8 +178,8 @@ def nearest_labelled(spark, sf_dir):
     """Three nearest labelled observations per split for every accepted submission."""
     sp = written(split_frame(spark, sf_dir).withColumn("log10_fc", log10_floor1(F.col("fc")))
                  .select("obs_id", "split", "wqi_class", *NN_FEATURES), "split")
-    stats = S.fitted_statistics(sp.where(F.col("split") == "train"), NN_FEATURES)
+    stats = S.moments(sp.where(F.col("split") == "train"), NN_FEATURES)
     queries = accepted_submissions(spark, sf_dir).withColumn("log10_fc", log10_floor1(F.col("fc")))
-    out = SC.nearest_labelled(queries, sp, stats, NN_FEATURES, query_key="submission_id")
+    out = NN.nearest_labelled(queries, sp, stats, NN_FEATURES, query_key="submission_id")
     return out.select("query_id", "split", "neighbour_rank", "obs_id", "wqi_class",
                       F.round("distance", 6).alias("distance"))
