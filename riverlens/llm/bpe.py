@@ -14,8 +14,10 @@ repeated results; an empty table gives an empty result.
 Scale: a narrow map over the documents, no shuffle.  The vocabulary and its
 hash (about 1 MB at 50,000 tokens, fixed by the rank file) are read on the
 driver and broadcast.  A worker remembers the pieces of the last one
-or two times ``memory`` different pre-tokens it met; long texts are encoded in runs
-of pre-tokens, so no text needs more memory than a few times its own size.
+or two times ``memory`` different pre-tokens it met, fewer if they are long
+(``ENTRY`` bytes each on average, none of over ``LONG``); long texts are encoded
+in runs of pre-tokens.  A pre-token of over ``LONG`` bytes is merged over arrays
+and a heap of plain numbers: about 60 bytes of memory a byte.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 from itertools import islice
@@ -35,6 +38,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 MEMO = 220_000
+ENTRY = 200     # bytes of a remembered pre-token and its ids, on average, at most
+LONG = 4096     # bytes of a pre-token that is merged over arrays and not remembered
 RUN = 100_000  # pre-tokens encoded at once
 
 
@@ -101,6 +106,8 @@ class Vocabulary:
         """Ids of a pre-token: itself if it is a token, else by merges of lowest rank, leftmost first."""
         if (whole := self.rank(piece)) >= 0:
             return [whole]
+        if len(piece) > LONG:
+            return self._merged_long(piece)
         n, parts = len(piece), self.parts
         rank, push, pop = parts.get, heapq.heappush, heapq.heappop
         # the parts as a linked list by their first byte; ends[i] < 0: merged into the part before it
@@ -127,6 +134,40 @@ class Vocabulary:
         return out
 
 
+    def _merged_long(self, piece: bytes) -> list[int]:
+        """The same for a long pre-token: the linked list as arrays, a pair on the heap as one number (rank, place)."""
+        n, rank, none = len(piece), self.parts.get, -1
+        before, ends = array("i", range(-1, n - 1)), array("i", range(1, n + 1))
+        # the rank of the pair that begins at a place; a number on the heap with another one is stale
+        pair = array("i", (rank(piece[i:i + 2], none) for i in range(n - 1)))
+        pair.append(none)
+        heap = [r * n + i for i, r in enumerate(pair) if r >= 0]
+        heapq.heapify(heap)
+        while heap:
+            r, i = divmod(heapq.heappop(heap), n)
+            if pair[i] != r:
+                continue
+            j = ends[i]
+            end = ends[j]
+            ends[i], ends[j], pair[j] = end, -1, none
+            fresh = none
+            if end < n:
+                before[end] = i
+                fresh = rank(piece[i:ends[end]], none)
+            pair[i] = fresh
+            if fresh >= 0:
+                heapq.heappush(heap, fresh * n + i)
+            if (p := before[i]) >= 0:
+                pair[p] = fresh = rank(piece[p:end], none)
+                if fresh >= 0:
+                    heapq.heappush(heap, fresh * n + p)
+        out, i = [], 0
+        while i < n:
+            out.append(self.parts[piece[i:ends[i]]])
+            i = ends[i]
+        return out
+
+
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(read_ranks(path))
@@ -139,6 +180,7 @@ class Coder:
         self.vocabulary, self.pattern, self.memory = vocabulary, regex.compile(pattern), memory
         self.memo: dict[str, str] = {}      # met lately
         self.older: dict[str, str] = {}     # met before that
+        self.held = 0                       # characters of what was met lately, and of its ids
         self.pieces = {str(k): t for k, t in enumerate(vocabulary.tokens) if t}
 
     def runs(self, text: str) -> Iterator[str]:
@@ -149,12 +191,18 @@ class Coder:
             matches = (m[0] for m in self.pattern.finditer(text))
             found = iter(lambda: list(islice(matches, RUN)), [])
         for words in found:
-            memo = self.memo
+            memo, long = self.memo, []
             for word in set(words).difference(memo):
                 memo[word] = self.older.get(word) or ",".join(map(str, self.vocabulary.merged(word.encode())))
+                if len(word) > LONG:
+                    long.append(word)
+                else:
+                    self.held += len(word) + len(memo[word])
             yield ",".join([memo[w] for w in words])
-            if len(memo) > self.memory:
-                self.memo, self.older = {}, memo
+            for word in long:
+                del memo[word]
+            if len(memo) > self.memory or self.held > self.memory * ENTRY:
+                self.memo, self.older, self.held = {}, memo, 0
 
     def decoded(self, ids: str) -> bytes:
         pieces = self.pieces

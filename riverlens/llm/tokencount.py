@@ -214,8 +214,8 @@ class Counter:
         self.older: dict[str, int] = {}     # met before that
         self.held = 0
 
-    def _learn(self, words: set[str]) -> dict[str, int]:
-        """Counts of pre-tokens that are too long to be remembered; the others are remembered now."""
+    def _learn(self, words: set[str]) -> list[str]:
+        """Make the counts of ``words`` known; returns those that are too long to be remembered."""
         fresh = []
         for word in words.difference(self.known):
             if (n := self.older.get(word)) is not None:
@@ -223,19 +223,17 @@ class Counter:
                 self.held += len(word) + 100
             else:
                 fresh.append(word)
-        extra = {}
         for word, n in zip(fresh, self.merges.counts([w.encode() for w in fresh]).tolist()):
-            if len(word) > LONG:
-                extra[word] = n
-            else:
-                self.known[word] = n
-                self.held += len(word) + 100
-        return extra
+            self.known[word] = n
+            self.held += len(word) + 100
+        return [w for w in fresh if len(w) > LONG]
 
     def _sum(self, lists: list[list[str]]) -> list[int]:
-        extra = self._learn(set().union(*lists))
-        known = {**extra, **self.known} if extra else self.known
-        out = [sum(map(known.__getitem__, words)) for words in lists]
+        long = self._learn(set().union(*lists))
+        out = [sum(map(self.known.__getitem__, words)) for words in lists]
+        for word in long:
+            del self.known[word]
+            self.held -= len(word) + 100
         if self.held > self.memory:
             self.known, self.older, self.held = {}, self.known, 0
         return out

@@ -1,4 +1,5 @@
 import base64
+import random
 from hashlib import sha256
 
 import public_tokenizers
@@ -40,6 +41,27 @@ def test_long_texts_and_runs():
         assert ids(text) == REFERENCE.encode_ordinary(text)
 
 
+def test_long_pre_tokens_by_arrays(monkeypatch):
+    rng = random.Random(3)
+    pieces = ["".join(rng.choice("abcdefé") for _ in range(n)) for n in (4097, 9000, 60_000)] + ["a" * 5000, "ab" * 4000]
+    for text in pieces:
+        assert ids(text) == REFERENCE.encode_ordinary(text)
+    short = ["".join(rng.choice("aabc") for _ in range(rng.randrange(1, 40))).encode() for _ in range(300)]
+    want = [CODER.vocabulary.merged(p) for p in short]
+    monkeypatch.setattr(bpe, "LONG", 0)
+    assert [CODER.vocabulary.merged(p) for p in short] == want
+
+
+def test_memory_is_bounded_by_bytes():
+    rng = random.Random(4)
+    coder = bpe.Coder(CODER.vocabulary, PATTERN, memory=50)
+    for _ in range(30):
+        text = " ".join("".join(rng.choice("abcdefgh") for _ in range(3000)) for _ in range(3)) + " " + "z" * 5000
+        assert [int(k) for run in coder.runs(text) for k in run.split(",")] == REFERENCE.encode_ordinary(text)
+        assert sum(len(w) + len(v) for d in (coder.memo, coder.older) for w, v in d.items()) < 3 * 50 * bpe.ENTRY + 60_000
+        assert all(len(w) <= bpe.LONG for d in (coder.memo, coder.older) for w in d)
+
+
 def test_tables(spark):
     rows = [(1, "Hello world", "en", "a"), (1, "Hello world", "en", "a"), (2, None, None, None), (3, "", "en", "a"),
             (None, "<|endoftext|> é", "en", "b"), (4, "x" * 200000, "en", "b")]
