@@ -80,13 +80,22 @@ def coordinate_columns() -> dict[str, Column]:
     return {"latitude": lat, "longitude": lon}
 
 
-def observations(spark: SparkSession, sf_dir: str, with_coordinates: bool = False, raw: bool = False) -> DataFrame:
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table as a stream of its files."""
+    path = os.path.join(sf_dir, f"{name}.parquet*")     # a pattern: the table may be one file or a folder
+    return spark.readStream.schema(read_table(spark, sf_dir, name).schema).parquet(path)
+
+
+def observations(spark: SparkSession, sf_dir: str, with_coordinates: bool = False, raw: bool = False,
+                 lineitem: DataFrame | None = None) -> DataFrame:
     """One row per sampling event; with ``raw`` before any cleaning.
 
+    ``lineitem`` stands in for the table of that name, for instance as a stream.
+
     Columns: obs_id, station, state, sampled_at, ph, do_mgl, bod_mgl, fc
     (+ latitude, longitude).  Key: obs_id (unique at every scale factor).
     """
-    li = read_table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem") if lineitem is None else lineitem
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     cols = {
