@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).parents[2]))
 
 import corpus_pipeline as cp  # noqa: E402
+from helpers import docs_frame, prose  # noqa: E402
 from test_linededup import brute as brute_lines  # noqa: E402
 from test_neardup import brute_classes  # noqa: E402
 
@@ -98,3 +99,43 @@ def test_token_ids_come_in_training_order(spark, steps):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert [r["position"] for r in out] == list(range(len(want)))
     assert [r["doc_id"] for r in out] == [d for _, d in want]
+
+
+def awkward(spark, folder, rows, extra=True):
+    """A tables folder with these documents and no usable label."""
+    docs_frame(spark, rows, extra).coalesce(2).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (None, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def test_run_over_awkward_rows(spark, tmp_path):
+    """Nulls in every column, empty and long texts, ties, repeated rows and clashing columns, through all stages."""
+    rows = [(1, prose(1, 60), "en", "a"), (1, prose(1, 60), "en", "a"), (2, prose(1, 60), "en", "b"), (3, None, None, None),
+            (4, "", "en", "a"), (None, prose(2, 40), None, "b"), (5, prose(3, 30_000), "en", None), (6, "one", "en", "b"),
+            (7, prose(4, 50) + "\nshared line of words", "en", "a"), (8, prose(5, 50) + "\nshared line of words", "en", "b"),
+            (9, "\n \n", "en", "c"), (10, None, "en", "c")]
+    out = cp.run(spark, awkward(spark, tmp_path, rows)).collect()
+    assert [r["position"] for r in out] == list(range(len(out)))
+    found = {}
+    for r in out:
+        found.setdefault(r["doc_id"], []).append(r)
+        assert len(r["ids"]) == r["n_tokens"]
+    # of the copies of one text one document stays; what is left of the other is the first of the empty texts
+    assert set(found) <= {1, 2, None, 5, 6, 7, 8} and all(r["n_tokens"] == 0 for r in found.get(2, []))
+    assert len({r["decoded_sha256"] for r in found.get(1, [])}) <= 1
+    assert max(map(len, found.values())) <= 2
+
+
+def test_run_over_no_rows(spark, tmp_path):
+    assert cp.run(spark, awkward(spark, tmp_path, [], extra=False)).count() == 0
+
+
+def test_stages_keep_other_columns(spark, tmp_path):
+    rows = [(k, prose(k, 40) + "\nsame line here", "en", f"s{k % 3}") for k in range(9)] + [(9, None, None, None)]
+    folder = awkward(spark, tmp_path, rows)
+    docs = read_table(spark, folder, "documents")
+    for name, stage in cp.STAGES[:-1]:
+        after = cut(stage(spark, docs, folder), name)
+        assert after.columns == docs.columns, name
+        docs = after
+    assert {(r["row"], r["node"], r["position"]) for r in docs.collect()} == {(1, "n", 0.5)}
