@@ -9,13 +9,12 @@ from conftest import SF_SMALL
 
 
 def norm(v):
-    if v is None:
-        return None
+    """A value as the driver compares it: floats as they are, without any tolerance."""
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 5)
+        return "nan" if math.isnan(v) else v + 0.0
     if hasattr(v, "item"):
         return norm(v.item())
-    return v if isinstance(v, (int, str, bool)) else str(v)
+    return v if v is None or isinstance(v, (int, str, bool)) else str(v)
 
 
 def rows(records, cols):
