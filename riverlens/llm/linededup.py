@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -34,6 +34,7 @@ from riverlens.llm.common import cut, join_known, packed
 
 BLANK = r"^[ \t\r]+|[ \t\r]+$"
 WORD = r"[^ \t\r]+"
+PART = 4_000_000    # characters of texts that are strings of Python at once
 
 
 def line_hashes(docs: DataFrame, min_words: int = 1) -> DataFrame:
@@ -65,12 +66,24 @@ def boilerplate_lines(lines: DataFrame, min_sites: int = 2, lg_k: int = 12) -> D
             .union(near.join(exact, ["h1", "h2"], "left_semi").select("h1", "h2", "n", "first")))
 
 
-@F.pandas_udf(StringType())
-def without_lines(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+@F.arrow_udf(StringType())
+def without_lines(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    """Texts without the lines of the given numbers, ``PART`` bytes of texts at a time."""
     for texts, drops in batches:
-        yield pd.Series([None if t is None else "\n".join(
-            x for i, x in enumerate(t.split("\n")) if i not in gone)
-            for t, gone in ((t, None if t is None else set(d)) for t, d in zip(texts, drops))], dtype=object)
+        done, kept, held = [], [], 0
+        for text, drop in zip(texts, drops):
+            value = text.as_py()
+            if value is not None:
+                gone = set(drop.as_py())
+                value = "\n".join([x for i, x in enumerate(value.split("\n")) if i not in gone])
+                held += len(value)
+            kept.append(value)
+            if held > PART:
+                done.append(pa.array(kept, pa.string()))
+                kept, held = [], 0
+        yield pa.concat_arrays([*done, pa.array(kept, pa.string())])
+        del done, kept, texts, drops
+        pa.default_memory_pool().release_unused()
 
 
 def remove_boilerplate(docs: DataFrame, min_sites: int = 2, min_words: int = 1, lg_k: int = 12,

@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riverlens.llm.common import connected_components, cut, join_known, packed
+from riverlens.llm.common import HEAVY, connected_components, cut, join_known, packed
 
 WORDS, SIMILAR = 5, 0.8
 BANDS, ROWS = 16, 3
@@ -227,7 +227,7 @@ def _band_hashes(signature: np.ndarray, first: int) -> np.ndarray:
 
 
 def bands(docs: DataFrame, idf: np.ndarray) -> DataFrame:
-    """(node, keys): each distinct text that has words, with the band keys of both families."""
+    """(node, keys, copies): each distinct text that has words, with the band keys of both families and its number of rows."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +239,22 @@ def bands(docs: DataFrame, idf: np.ndarray) -> DataFrame:
 
     signed = (docs.select(text_key(F.col("text")).alias("node"), "text")
               .mapInArrow(sign, "node string, keys array<long>").where("keys is not null"))
-    return signed.groupBy("node").agg(F.first("keys").alias("keys"))
+    return signed.groupBy("node").agg(F.first("keys").alias("keys"), F.count("*").alias("copies"))
+
+
+def texts_of(docs: DataFrame, asked: DataFrame, signed: DataFrame) -> DataFrame:
+    """(node, text) of the ``asked`` nodes, each once.
+
+    A text with more copies than one in ``HEAVY`` rows, so one of fewer than
+    ``HEAVY``, leaves each task once; the others shuffle by their node.
+    """
+    rows = docs.select(text_key(F.col("text")).alias("node"), "text")
+    total = signed.agg(F.sum("copies")).first()[0] or 0
+    common = F.broadcast(signed.where(F.col("copies") * HEAVY > total).select("node"))
+    one = lambda df: df.groupBy("node").agg(F.first("text").alias("text"))
+    hot = one(rows.join(common, "node", "left_semi"))
+    rest = one(rows.join(common, "node", "left_anti").join(asked, "node", "left_semi"))
+    return hot.join(asked, "node", "left_semi").unionByName(rest)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, similar: float) -> DataFrame:
@@ -318,7 +333,7 @@ def tile_links(rows: DataFrame, texts: DataFrame, signed: DataFrame, idf: np.nda
             yield _pairs_batch(_links_of(held, similar))
         pa.default_memory_pool().release_unused()
 
-    full = rows.join(texts, "node").join(signed, "node")
+    full = rows.join(texts, "node").join(signed.select("node", "keys"), "node")
     return (full.repartition("deal").sortWithinPartitions("deal", "tile", "side")
             .select("tile", "side", "node", "component", "band", "text", "keys")
             .mapInArrow(compare, "a string, b string"))
@@ -360,9 +375,7 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     members = cut(members.join(first, ["band", "key"]), "bucket-members")
     # only texts that share a key with another one are ever read again
     asked = members.select("node").distinct()
-    texts = (docs.select(text_key(F.col("text")).alias("node"), "text").join(asked, "node", "left_semi")
-             .groupBy("node").agg(F.first("text").alias("text")))
-    texts = cut(texts, "bucket-texts")
+    texts = cut(texts_of(docs, asked, signed), "bucket-texts")
     # each text with its first leader: most of a class hangs together after this one comparison a text
     led = members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
     asked_first = cut(led.groupBy("a").agg(F.min("b").alias("b")), "first-pairs")
