@@ -22,7 +22,8 @@ Scale: one pass that counts entropies (1001 numbers a task), one pass over the
 ids that finds where the ordered partitions begin, and one shuffle of the
 texts into them.  The first document of each partition is also sent to the one
 before, so the following document is always at hand and no window runs over
-the whole table.  A task streams its documents; memory follows the longest.
+the whole table.  A task streams its documents; a long one is worked on in
+segments of ``GROUP`` bytes, so beside the text itself its features are held.
 """
 
 from __future__ import annotations
@@ -83,9 +84,12 @@ def likeness(a: Digest, b: Digest) -> float:
 
 
 def _groups(texts: list[bytes]) -> Iterator[list[int]]:
-    """Numbers of consecutive texts of about ``GROUP`` bytes in all."""
+    """Numbers of consecutive texts of about ``GROUP`` bytes in all; a longer text is a group of its own."""
     group, size = [], 0
     for k, t in enumerate(texts):
+        if len(t) > GROUP and group:
+            yield group
+            group, size = [], 0
         group.append(k)
         size += len(t)
         if size >= GROUP:
@@ -139,6 +143,9 @@ def _slide(buf: np.ndarray, at: np.ndarray, here: np.ndarray, out: np.ndarray) -
 def entropy_histogram(texts: list[bytes]) -> np.ndarray:
     """How many windows of ``texts`` have each entropy bin."""
     found = np.zeros(BINS, dtype=np.int64)
+    # a very long text in segments, which share no window
+    texts = [part for t in texts for part in ([t] if len(t) <= GROUP else [
+        t[a:a + GROUP + WINDOW - 1] for a in range(0, len(t) - WINDOW + 1, GROUP)])]
     for group in _groups(texts):
         long = [texts[k] for k in group if len(texts[k]) >= WINDOW]
         if long:
@@ -160,8 +167,47 @@ def rarity_ranks(histogram: np.ndarray) -> np.ndarray:
     return ranks
 
 
+def _best_of_runs(key: np.ndarray) -> np.ndarray:
+    """The least key of each run of ``WINDOW`` neighbours."""
+    best, span = key, 1
+    while span < WINDOW:
+        best = np.minimum(best[:-span], best[span:])
+        span *= 2
+    return best
+
+
+def _long_features(text: bytes, ranks: np.ndarray) -> np.ndarray:
+    """The features of one text of more than ``GROUP`` bytes, in order and with repeats, a segment at a time.
+
+    A window's votes come from the runs that hold it, so a segment that reaches
+    a run further on both sides has all votes of its own windows.
+    """
+    wins, reach, enough = len(text) - WINDOW + 1, WINDOW - 1, WINDOW // 4
+    while True:
+        most, out = 0, []
+        for a in range(0, wins, GROUP):
+            b = min(wins, a + GROUP)
+            lo, hi = max(0, a - reach), min(wins, b + reach)
+            buf, starts, lengths = _flat([text[lo:hi + reach]])
+            key = ranks[_entropy_bins(buf, starts, lengths)] << 40 | np.arange(hi - lo)
+            votes = np.bincount(_best_of_runs(key) & ((1 << 40) - 1), minlength=hi - lo)[a - lo:b - lo]
+            most = max(most, int(votes.max()))
+            at = np.flatnonzero(votes >= enough) + a - lo
+            hashed = np.zeros(len(at), dtype=np.uint64)
+            for k in range(WINDOW):
+                hashed += buf[at + k].astype(np.uint64) * _WEIGHTS[k]
+            out.append(hashed)
+        if most >= enough:
+            return np.concatenate(out)
+        enough = most
+
+
 def _features(texts: list[bytes], ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text number, 64-bit feature) of all features of the texts, in order."""
+    if len(texts) == 1 and len(texts[0]) > GROUP:
+        value = _mixed(_long_features(texts[0], ranks))
+        value = value[np.sort(np.unique(value, return_index=True)[1])]     # the first place counts
+        return np.zeros(len(value), dtype=np.int64), value
     whole = [k for k, t in enumerate(texts) if 0 < len(t) < WINDOW]
     long = np.array([k for k, t in enumerate(texts) if len(t) >= WINDOW], dtype=np.int64)
     owner, value = [], []
@@ -179,10 +225,7 @@ def _features(texts: list[bytes], ranks: np.ndarray) -> tuple[np.ndarray, np.nda
         key = np.full(int(ends[-1]), np.int64(1) << 62, dtype=np.int64)
         inside = np.arange(int(wins.sum())) + np.repeat(place - (np.cumsum(wins) - wins), wins)
         key[inside] = ranks[_entropy_bins(buf, starts, lengths)] << 40 | inside
-        best, span = key, 1
-        while span < WINDOW:
-            best = np.minimum(best[:-span], best[span:])
-            span *= 2
+        best = _best_of_runs(key)
         runs = slot - WINDOW + 1
         first = np.arange(int(runs.sum())) + np.repeat(place - (np.cumsum(runs) - runs), runs)
         votes = np.bincount(best[first] & ((1 << 40) - 1), minlength=int(ends[-1]))

@@ -49,6 +49,26 @@ def test_digests_do_not_depend_on_the_batch():
     assert set(long.counts[:-1].tolist()) <= {fp.FILTER_FEATURES}
 
 
+def test_long_texts_in_segments(monkeypatch):
+    texts = [prose(3, 3000).encode(), b"ab" * 4000, prose(4, 40).encode(), bytes(range(256)) * 20, b"q" * 9000, b"", b"short"]
+    histogram = fp.entropy_histogram(texts)
+    ranks = fp.rarity_ranks(histogram)
+    whole = [d.text() for d in fp.digests(texts, ranks)]
+    for size in (64, 333, 5000):
+        monkeypatch.setattr(fp, "GROUP", size)
+        assert (fp.entropy_histogram(texts) == histogram).all()
+        assert [d.text() for d in fp.digests(texts, ranks)] == whole
+
+
+def test_memory_of_a_long_text():
+    import resource
+    text, ranks = (prose(7, 200_000) + " ").encode() * 8, np.arange(fp.BINS)      # about 20 MB
+    fp.digests([text[:100_000]], ranks)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    fp.digests([text], ranks)
+    assert (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) * 1024 < 20 * len(text)
+
+
 def test_likeness_follows_the_share_of_common_text():
     ranks = np.arange(fp.BINS)
     a, b = prose(1, 2000).encode(), prose(2, 2000).encode()
