@@ -36,17 +36,18 @@ def packed(df: DataFrame) -> Column:
 HEAVY = 1000    # a key on more than one in HEAVY rows is joined by broadcast
 
 
-def join_known(rows: DataFrame, side: DataFrame, keys: list[str], n: str, total: int) -> DataFrame:
+def join_known(rows: DataFrame, side: DataFrame, keys: list[str], n: str, total: int, every: DataFrame | None = None) -> DataFrame:
     """Inner join of ``rows`` with ``side``, which has one row a key and in ``n`` how many rows the key has.
 
     Of ``total`` rows fewer than ``HEAVY`` keys can have more than one in
     ``HEAVY`` each: their rows of ``side`` are broadcast, whatever the size of the
-    table, and the others shuffle, so no task gets a hot key.
+    table, and the others shuffle, so no task gets a hot key.  Where ``side`` lacks
+    some of the hot keys, ``every`` has them (keys, n), so that they do not shuffle.
     """
     heavy = F.col(n) * HEAVY > total
-    common = F.broadcast(side.where(heavy).drop(n))
-    rest = rows.join(common.select(*keys), keys, "left_anti").join(side.where(~heavy).drop(n), keys)
-    return rows.join(common, keys).unionByName(rest)
+    hot = (side if every is None else every).where(heavy).select(*keys)
+    rest = rows.join(F.broadcast(hot), keys, "left_anti").join(side.where(~heavy).drop(n), keys)
+    return rows.join(F.broadcast(side.where(heavy).drop(n)), keys).unionByName(rest)
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -47,19 +47,23 @@ def line_hashes(docs: DataFrame, min_words: int = 1) -> DataFrame:
                     "site", "doc_id", "t", "line_no"))
 
 
-def boilerplate_lines(lines: DataFrame, min_sites: int = 2, lg_k: int = 12) -> DataFrame:
-    """(h1, h2, n, first) of the lines on at least ``min_sites`` distinct sites, n of them in all."""
+def line_spread(lines: DataFrame, min_sites: int = 2, lg_k: int = 12) -> DataFrame:
+    """(h1, h2, n, first, sites) of the lines that occur ``min_sites`` times; sites is the sketch's estimate."""
     spread = (lines.groupBy("h1", "h2")
               .agg(F.count("*").alias("n"), F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"),
                    F.min(F.struct("doc_id", "line_no")).alias("first"))
               .where(F.col("n") >= min_sites)
               .select("h1", "h2", "n", "first", F.hll_sketch_estimate("sketch").alias("sites")))
-    spread = cut(spread, "line-spread")
+    return cut(spread, "line-spread")
+
+
+def boilerplate_lines(lines: DataFrame, spread: DataFrame, total: int, min_sites: int = 2, lg_k: int = 12) -> DataFrame:
+    """(h1, h2, n, first) of the lines on at least ``min_sites`` distinct sites, n of them in all; ``lines`` has ``total`` rows."""
     # three standard errors of the sketch, one site at least
     band = max(1.0, 3 * 1.04 / (2 ** lg_k) ** 0.5 * min_sites)
     near = spread.where(F.abs(F.col("sites") - min_sites) <= band)
     exact = (join_known(lines.where("site is not null").select("h1", "h2", "site"), near.select("h1", "h2", "n"),
-                        ["h1", "h2"], "n", lines.count()).distinct()
+                        ["h1", "h2"], "n", total, spread).distinct()
              .groupBy("h1", "h2").count().where(F.col("count") >= min_sites))
     clear = spread.where(F.col("sites") > min_sites + band)
     return (clear.select("h1", "h2", "n", "first")
@@ -95,8 +99,9 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = 2, min_words: int = 1,
     ``n_chars``, where there is one, follows the new text.
     """
     lines = cut(line_hashes(docs, min_words), "line-hashes")
-    known = cut(boilerplate_lines(lines, min_sites, lg_k), "boilerplate")
-    gone = (join_known(lines.select("h1", "h2", "doc_id", "t", "line_no"), known, ["h1", "h2"], "n", lines.count())
+    spread, total = line_spread(lines, min_sites, lg_k), lines.count()
+    known = cut(boilerplate_lines(lines, spread, total, min_sites, lg_k), "boilerplate")
+    gone = (join_known(lines.select("h1", "h2", "doc_id", "t", "line_no"), known, ["h1", "h2"], "n", total, spread)
             .where(~F.struct("doc_id", "line_no").eqNullSafe(F.col("first")))
             .groupBy("doc_id", "t").agg(F.collect_set("line_no").alias("drop")))
     gone = gone.select(F.col("doc_id").alias("g_id"), F.col("t").alias("g_t"), "drop")

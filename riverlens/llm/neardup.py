@@ -248,7 +248,8 @@ def texts_of(docs: DataFrame, asked: DataFrame, signed: DataFrame) -> DataFrame:
     A text with more copies than one in ``HEAVY`` rows, so one of fewer than
     ``HEAVY``, leaves each task once; the others shuffle by their node.
     """
-    rows = docs.select(text_key(F.col("text")).alias("node"), "text")
+    # only texts with words are ever asked for
+    rows = docs.where(F.col("text").rlike(r"[^\t-\r ]")).select(text_key(F.col("text")).alias("node"), "text")
     total = signed.agg(F.sum("copies")).first()[0] or 0
     common = F.broadcast(signed.where(F.col("copies") * HEAVY > total).select("node"))
     one = lambda df: df.groupBy("node").agg(F.first("text").alias("text"))
