@@ -55,3 +55,31 @@ def test_fallback_limits_are_labelled_and_train_only(spark):
     assert got["load"]["standard_type"] == "Empirical Statistical Fallback (P90 of Training Baseline)"
     found = S.beyond_fallback(df, limits, ("load", "oxygen", "known", "empty")).groupBy("feature").count().collect()
     assert {r["feature"]: r["count"] for r in found} == {"load": 10, "oxygen": 10}
+
+
+@pytest.fixture
+def no_small_joins(spark):
+    """As on tables whose sizes Spark does not know: no join is broadcast unless the code says so."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def largest_part(df):
+    return df.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+
+
+def test_no_task_takes_a_whole_class(spark, no_small_joins):
+    df = spark.range(0, 4000, numPartitions=16).select(
+        F.concat(F.lit("r"), "id").alias("obs_id"), F.when(F.col("id") % 40 == 0, "Poor").otherwise("Good").alias("wqi_class"),
+        *[(F.col("id") * k % 97).cast("double").alias(f) for k, f in ((3, "ph"), (5, "do_mgl"), (7, "bod_mgl"), (11, "fc"))])
+    split = S.stratified_split(df, materialize=True)
+    assert split.count() == 4000 and split.where("split = 'test'").count() == 800
+    assert largest_part(split) < 1000          # before: 3,998
+    more = S.oversample(df)
+    assert more.where("wqi_class = 'Poor'").count() == 3900 and largest_part(more) < 2500
+    made = S.smote(df).where("synthetic")
+    assert made.count() == 3800 and largest_part(made) < 2500
