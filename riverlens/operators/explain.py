@@ -17,6 +17,11 @@
    of degree d - 1, and Gauss-Legendre nodes, half as many as d, give it
    exactly.  All terms are positive, so nothing cancels.  The work per row is
    leaves x features x nodes; no table of subsets is made.
+   A tree with few features and many more leaves than subsets of them goes by
+   the definition instead: the tree's expectation given each subset is found by
+   walking down, one way at splits on the subset and both ways, weighted by
+   cover, at the others.  A row then meets only the leaves that agree with it
+   on the subset, and not every leaf of a model that grows with its data.
 4. Rows are scored with ``mapInArrow``: each distinct combination of threshold
    sides in a batch once, a chunk of rows and leaves at a time.  One array
    leaves per row; ranking, directions and the decision document are column
@@ -28,7 +33,8 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from math import factorial
 
 import numpy as np
 import pandas as pd
@@ -72,6 +78,72 @@ def node_table(tree: DecisionTreeClassificationModel, spark) -> pd.DataFrame:
 
 
 CHUNK = 1 << 18     # pairs of a row and a leaf that are worked on at once
+WIDE = 64           # leaves for each subset of the features, from which on the subsets take less work
+KEPT = 1 << 17      # combinations of sides of a subset whose expectations a worker keeps
+
+
+@dataclass
+class Nodes:
+    """The tree as arrays over its nodes: children (-1: a leaf), feature, split, left child's cover, leaf's distribution."""
+
+    left: np.ndarray
+    right: np.ndarray
+    feature: np.ndarray
+    split: np.ndarray       # a row goes left if its side is at most this
+    cover: np.ndarray
+    value: np.ndarray
+    kept: dict = field(default_factory=dict)    # subset -> (which are known, expectations), filled as rows need them
+
+    def given(self, sides: np.ndarray, fixed: np.ndarray) -> np.ndarray:
+        """The tree's expectation of each class for rows whose sides are known for the ``fixed`` features."""
+        out = np.zeros((len(sides), self.value.shape[1]))
+        todo = [(np.arange(len(sides)), np.zeros(len(sides), dtype=np.int64), np.ones(len(sides)))]
+        while todo:
+            row, node, w = todo.pop()
+            if len(row) > CHUNK:
+                half = len(row) // 2
+                todo += [(row[half:], node[half:], w[half:]), (row[:half], node[:half], w[:half])]
+                continue
+            end = self.left[node] < 0
+            if end.any():
+                at, value = row[end], w[end, None] * self.value[node[end]]
+                for c in range(out.shape[1]):
+                    out[:, c] += np.bincount(at, value[:, c], minlength=len(out))
+                row, node, w = row[~end], node[~end], w[~end]
+            if not len(row):
+                continue
+            f = self.feature[node]
+            known = fixed[f]
+            one, both = node[known], node[~known]
+            next_ = np.where(sides[row[known], f[known]] <= self.split[one], self.left[one], self.right[one])
+            share, ways = self.cover[both], row[~known]
+            todo.append((np.concatenate([row[known], ways, ways]), np.concatenate([next_, self.left[both], self.right[both]]),
+                         np.concatenate([w[known], w[~known] * share[:, 0], w[~known] * share[:, 1]])))
+        return out
+
+    def expectations(self, sides: np.ndarray, subset: Sequence[int], sizes: Sequence[int]) -> np.ndarray:
+        """``given`` with each combination of the ``subset``'s sides once; a small number of them is kept."""
+        fixed = np.isin(np.arange(sides.shape[1]), subset)
+        cells = 1
+        for f in subset:
+            cells *= sizes[f]
+        if cells > np.iinfo(np.int64).max:
+            return self.given(sides, fixed)
+        code = np.zeros(len(sides), dtype=np.int64)
+        for f in subset:
+            code = code * sizes[f] + sides[:, f]
+        distinct, first, back = np.unique(code, return_index=True, return_inverse=True)
+        if cells > KEPT:
+            return self.given(sides[first], fixed)[back]
+        key = tuple(subset)
+        if key not in self.kept:
+            self.kept[key] = np.zeros(cells, dtype=bool), np.zeros((cells, self.value.shape[1]))
+        known, table = self.kept[key]
+        new = ~known[distinct]
+        if new.any():
+            table[distinct[new]] = self.given(sides[first[new]], fixed)
+            known[distinct[new]] = True
+        return table[code]
 
 
 @dataclass
@@ -87,6 +159,7 @@ class Leaves:
     high: np.ndarray
     z: np.ndarray
     value: np.ndarray
+    nodes: Nodes | None = None
 
     @property
     def base(self) -> np.ndarray:
@@ -124,7 +197,24 @@ def leaves_of(nodes: pd.DataFrame, n_features: int) -> Leaves:
                 hi2[f] = min(hi[f], at)
             cover2[f] *= weight[child] / weight[i] if weight[i] > 0 else 0.0
             todo.append((child, lo2, hi2, cover2))
-    return Leaves(thresholds, np.array(low, dtype=np.int32), np.array(high, dtype=np.int32), np.array(z), np.array(value))
+    return Leaves(thresholds, np.array(low, dtype=np.int32), np.array(high, dtype=np.int32), np.array(z), np.array(value),
+                  _nodes_of(by_id, weight, thresholds))
+
+
+def _nodes_of(by_id: dict, weight: dict, thresholds: list[np.ndarray]) -> Nodes:
+    """The node arrays, the root first."""
+    place = {i: k for k, i in enumerate(sorted(by_id))}
+    out = Nodes(*(np.full(len(by_id), -1, dtype=np.int64) for _ in range(4)), np.zeros((len(by_id), 2)),
+                np.zeros((len(by_id), len(by_id[0].impurityStats))))
+    for i, r in by_id.items():
+        k, stats = place[i], np.asarray(r.impurityStats, dtype=float)
+        out.value[k] = stats / stats.sum() if stats.sum() > 0 else stats
+        if r.leftChild >= 0:
+            f, children = int(r.feature), (int(r.leftChild), int(r.rightChild))
+            out.left[k], out.right[k], out.feature[k] = place[children[0]], place[children[1]], f
+            out.split[k] = np.searchsorted(thresholds[f], r.thr[0])
+            out.cover[k] = [weight[c] / weight[i] if weight[i] > 0 else 0.0 for c in children]
+    return out
 
 
 def _others(factors: list[np.ndarray]) -> list[np.ndarray]:
@@ -149,6 +239,9 @@ def shapley_values(leaves: Leaves, x: np.ndarray) -> np.ndarray:
     out = np.zeros((len(rows), n_classes, n_features))
     if not len(used):
         return out.reshape(len(rows), -1)[back]
+    if len(leaves.z) > WIDE << len(used):
+        _by_subsets(leaves, rows, [int(f) for f in used], out)
+        return out.reshape(len(rows), -1)[back]
     on_path = (leaves.low[:, used] >= 0) | (leaves.high[:, used] < [len(leaves.thresholds[f]) for f in used])
     # leaves of similar path length together, so that short paths take few nodes
     length = on_path.sum(axis=1)
@@ -175,6 +268,18 @@ def shapley_values(leaves: Leaves, x: np.ndarray) -> np.ndarray:
     return out.reshape(len(rows), -1)[back]
 
 
+def _by_subsets(leaves: Leaves, rows: np.ndarray, used: Sequence[int], out: np.ndarray) -> None:
+    """Shapley's definition over all subsets of the ``used`` features, into ``out`` (row, class, feature)."""
+    n = len(used)
+    sizes = [len(t) + 1 for t in leaves.thresholds]
+    weight = [factorial(s) * factorial(n - s - 1) / factorial(n) for s in range(n)]
+    for mask in range(1 << n):
+        subset = [f for k, f in enumerate(used) if mask >> k & 1]
+        v = leaves.nodes.expectations(rows, subset, sizes)
+        for f in used:
+            out[:, :, f] += weight[len(subset) - 1] * v if f in subset else -weight[len(subset)] * v
+
+
 def attributed(nodes: pd.DataFrame, df: DataFrame, n_features: int,
                features_col: str = "features") -> tuple[DataFrame, np.ndarray]:
     """XAI-1: ``df`` with ``x`` (feature values) and ``phi`` (class-major Shapley values) in place of the features.

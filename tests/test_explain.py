@@ -116,6 +116,28 @@ def test_wide_deep_tree_equals_exact_fractions():
         close(phi, by_paths(nodes, row, 12))
 
 
+@pytest.mark.parametrize("kept", [X.KEPT, 8])
+def test_tree_with_many_leaves_and_few_features_goes_by_subsets(monkeypatch, kept):
+    """The work per row must not grow with the leaves: the walk meets only those that agree with the row."""
+    monkeypatch.setattr(X, "KEPT", kept)
+    nodes = random_tree(13, 4, 2500)
+    x = np.random.default_rng(6).integers(0, 66, (300, 4)).astype(float)
+    x[0, 1] = float("nan")
+    leaves = X.leaves_of(nodes, 4)
+    met = []
+    walk = X.Nodes.given
+    monkeypatch.setattr(X.Nodes, "given", lambda self, sides, fixed: met.append(len(sides)) or walk(self, sides, fixed))
+    got = X.shapley_values(leaves, x)
+    assert met
+    for row, phi in list(zip(x, got))[1:4]:
+        close(phi, by_paths(nodes, row, 4))
+    monkeypatch.setattr(X, "WIDE", 1 << 20)
+    assert np.abs(got - X.shapley_values(leaves, x)).max() < 1e-13
+    monkeypatch.setattr(X, "WIDE", 1)
+    monkeypatch.setattr(X, "CHUNK", 50)
+    assert np.abs(got[:20] - X.shapley_values(X.leaves_of(nodes, 4), x[:20])).max() < 1e-13
+
+
 def test_chain_of_a_hundred_splits():
     nodes = random_tree(7, 15, 100, chain=True)
     x = np.random.default_rng(3).integers(0, 66, (3, 15)).astype(float)
