@@ -10,6 +10,8 @@ partial aggregation merges them before any shuffle).
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from riverlens.functions import dims
 from riverlens.functions.index import with_index
 from riverlens.functions.scalars import in_bounds, no_nan
 from riverlens.operators.quantiles import melt
+from riverlens.operators.rules import finding_columns
 
 # FIXED VALUES: probe step per model feature for the sensitivity screen.
 PROBE_STEPS: dict[str, float] = {"ph": 0.01, "do_mgl": 0.1, "bod_mgl": 0.1, "fc": 1.0}
@@ -133,9 +136,12 @@ def model_sensitivity(df: DataFrame, predict: Callable[[DataFrame, Sequence[str]
 def rule_label_disagreement(findings_df: DataFrame, params: Sequence[str] = ("pH", "DO", "BOD", "FC"),
                             label: str = "wqi_class", keys: Sequence[str] = ("obs_id",)) -> DataFrame:
     """SCO-9: all four core parameters within limits, yet the label is Poor or worse."""
-    core = F.filter(F.col("findings"), lambda x: x["parameter"].isin(*params))
-    return (findings_df.where((F.size(core) == 0) & F.col(label).isin(*dims.POOR_CLASSES))
-                       .select(*keys, label))
+    columns = finding_columns(findings_df)
+    if columns:     # plain columns stay in generated code; the array and its filter are made row by row
+        core = reduce(or_, [F.coalesce(F.col(c)["parameter"].isin(*params), F.lit(False)) for c in columns])
+    else:
+        core = F.size(F.filter(F.col("findings"), lambda x: x["parameter"].isin(*params))) > 0
+    return findings_df.where(F.col(label).isin(*dims.POOR_CLASSES)).where(~core).select(*keys, label)
 
 
 def uncertain(prob_max, threshold: float = dims.UNCERTAIN_BELOW):

@@ -99,3 +99,18 @@ def test_text_helpers(spark):
     r = spark.range(1).select(slug(F.lit("  Dissolved Oxygen (mg/L) ")).alias("s"),
                               normalise_text(F.lit("  BOD ")).alias("n")).first()
     assert r["s"] == "dissolved_oxygen_mg_l_" and r["n"] == "bod"
+
+
+def test_disagreement_needs_no_array_of_findings(spark):
+    """The rows are told apart by plain columns; a frame with the array alone gives the same rows."""
+    from riverlens.operators import rules as RU
+    from riverlens.operators import scoring as SC
+    rows = [("a", 7.0, 8.0, 1.0, 10.0, "Poor"), ("b", 3.0, 8.0, 1.0, 10.0, "Poor"), ("c", 7.0, 8.0, 1.0, 10.0, "Good"),
+            ("d", 7.0, None, float("nan"), 10.0, "Unsuitable"), ("e", 7.0, 1.0, 30.0, 1e6, "Very Poor"), ("f", 7.0, 8.0, 1.0, 10.0, None)]
+    df = spark.createDataFrame(rows, "obs_id string, ph double, do_mgl double, bod_mgl double, fc double, wqi_class string")
+    found = RU.with_findings(df, ("ph", "do_mgl", "bod_mgl", "fc"))
+    out = SC.rule_label_disagreement(found)
+    assert sorted(tuple(r) for r in out.collect()) == [("a", "Poor"), ("d", "Unsuitable")]
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
+    array = SC.rule_label_disagreement(found.drop(*RU.finding_columns(found)))
+    assert sorted(tuple(r) for r in array.collect()) == [("a", "Poor"), ("d", "Unsuitable")]
