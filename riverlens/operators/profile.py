@@ -202,37 +202,37 @@ def spearman_matrix(df: DataFrame, features: Sequence[str] = dims.MODEL_FEATURES
 
     For each pair the rows complete on both sides are ranked separately (as
     pandas does).  Rows collapse to distinct (pair, x, y) with counts first,
-    so neither a frequent value nor the joins of the ranks meet the rows; the
-    correlation of the ranks is weighted by these counts.
+    so neither a frequent value nor the join of the ranks meets the rows.  The
+    points meet the ranks of one side only: the sum of products goes by the
+    distinct values of the other, whose rank multiplies what its points add up to.
     """
     features = list(features)
     pairs = _pairs(features)
     rows = []
     for i, (a, b) in enumerate(pairs):
-        rows.append(F.when(F.col(a).isNotNull() & F.col(b).isNotNull() & ~F.isnan(a) & ~F.isnan(b),
-                           F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"),
-                                    F.col(b).cast("double").alias("y"))))
-    long = df.select(F.inline(F.filter(F.array(*rows), lambda s: s.isNotNull())))
+        both = F.col(a).isNotNull() & F.col(b).isNotNull() & ~F.isnan(a) & ~F.isnan(b)
+        rows.append(F.struct(F.lit(i).alias("pair"), F.when(both, F.col(a).cast("double")).alias("x"),
+                             F.when(both, F.col(b).cast("double")).alias("y")))
+    long = df.select(F.inline(F.array(*rows))).where(F.col("x").isNotNull())     # plain columns: generated code
     points = written(long.groupBy("pair", "x", "y").agg(F.count(F.lit(1)).alias("w")), "rank-points")
 
-    def ranks(side: str) -> DataFrame:
-        """Average rank of each distinct value of one side: counts are merged before anything is ordered."""
-        values = points.groupBy("pair", side).agg(F.sum("w").alias("cnt"))
+    def deviations(values: DataFrame, side: str) -> DataFrame:
+        """``values`` (pair, side, cnt) with ``d``: the average rank less the mean rank (n + 1) / 2, which keeps sums small."""
         parts = written(values.repartitionByRange("pair", side).withColumn("_b", F.spark_partition_id()), "rank-values")
         upto = Window.partitionBy("pair").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
         offsets = (parts.groupBy("pair", "_b").agg(F.sum("cnt").alias("_t"))
-                   .select("pair", "_b", F.coalesce(F.sum("_t").over(upto), F.lit(0)).alias("_off")))
+                   .select("pair", "_b", F.coalesce(F.sum("_t").over(upto), F.lit(0)).alias("_off"),
+                           F.sum("_t").over(Window.partitionBy("pair")).alias("_n")))
         inside = Window.partitionBy("pair", "_b").orderBy(side).rowsBetween(Window.unboundedPreceding, -1)
         rank = F.col("_off") + F.coalesce(F.sum("cnt").over(inside), F.lit(0)) + (F.col("cnt") + 1) / 2.0
-        return parts.join(offsets, ["pair", "_b"]).select("pair", side, rank.alias(f"r{side}"))
-
-    ranked = points.join(ranks("x"), ["pair", "x"]).join(ranks("y"), ["pair", "y"])
-    # ranks of n rows have mean (n + 1) / 2: deviations from it keep the sums small
-    sizes = points.groupBy("pair").agg(F.sum("w").alias("n")).withColumnRenamed("pair", "p")
-    ranked = ranked.join(sizes, F.col("pair") == F.col("p"))
-    dx, dy = (F.col(c) - (F.col("n") + 1) / 2.0 for c in ("rx", "ry"))
-    rho = ranked.groupBy("pair").agg(
-        (F.sum(F.col("w") * dx * dy) / F.sqrt(F.sum(F.col("w") * dx * dx) * F.sum(F.col("w") * dy * dy))).alias("rho"))
+        return parts.join(offsets, ["pair", "_b"]).withColumn("d", rank - (F.col("_n") + 1) / 2.0).drop("_b", "_off", "_n")
+
+    xs = deviations(points.groupBy("pair", "x").agg(F.sum("w").alias("cnt")), "x").select("pair", "x", "d")
+    ys = deviations(points.join(xs, ["pair", "x"]).groupBy("pair", "y").agg(
+        F.sum("w").alias("cnt"), F.sum(F.col("w") * F.col("d")).alias("_x"),
+        F.sum(F.col("w") * F.col("d") * F.col("d")).alias("_xx")), "y")
+    rho = ys.groupBy("pair").agg((F.sum(F.col("d") * F.col("_x")) / F.sqrt(
+        F.sum("_xx") * F.sum(F.col("cnt") * F.col("d") * F.col("d")))).alias("rho"))
     names = F.array(*[F.struct(F.lit(i).alias("pair"), F.lit(a).alias("a"), F.lit(b).alias("b"))
                       for i, (a, b) in enumerate(pairs)])
     spark = df.sparkSession
