@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riverlens.functions import dims
@@ -83,6 +83,12 @@ def outside_support(df: DataFrame, ranges: DataFrame, features: Sequence[str] =
     return j.where((F.col("value") < F.col("support_min")) | (F.col("value") > F.col("support_max")))
 
 
+def probe_values(steps: dict[str, float], bounds) -> list[tuple[int, str, Column, Column]]:
+    """(number, feature, value, whether inside the bounds) of each probe: a feature a step lower, then higher."""
+    moves = [(f, F.col(f) + F.lit(sign * step)) for f, step in steps.items() for sign in (-1.0, 1.0)]
+    return [(no, f, v.cast("double"), v.between(*bounds[f])) for no, (f, v) in enumerate(moves)]
+
+
 def probe_rows(df: DataFrame, steps: dict[str, float], bounds, keys: Sequence[str]) -> DataFrame:
     """Each row as it is (``probe_no`` -1) and with one feature a step lower or higher, as far as inside the bounds.
 
@@ -91,12 +97,7 @@ def probe_rows(df: DataFrame, steps: dict[str, float], bounds, keys: Sequence[st
     """
     struct = lambda no, f, v: F.struct(F.lit(no).alias("probe_no"), F.lit(f).cast("string").alias("feature"),
                                        v.cast("double").alias("probe_value"))
-    probes = [struct(-1, None, F.lit(None))]
-    for f in steps:
-        lo, hi = bounds[f]
-        for sign in (-1.0, 1.0):
-            v = F.col(f) + F.lit(sign * steps[f])
-            probes.append(F.when(v.between(lo, hi), struct(len(probes) - 1, f, v)))
+    probes = [struct(-1, None, F.lit(None)), *[F.when(ok, struct(no, f, v)) for no, f, v, ok in probe_values(steps, bounds)]]
     rows = df.select(*keys, *steps, F.explode(F.array_compact(F.array(*probes))).alias("_p"))
     moved = {f: F.when(F.col("_p.feature") == f, F.col("_p.probe_value")).otherwise(F.col(f)) for f in steps}
     return rows.select(*keys, *[v.alias(f) for f, v in moved.items()], "_p.*")
@@ -118,8 +119,37 @@ def first_changes(scored: DataFrame, label: str, keys: Sequence[str]) -> DataFra
 
 def sensitivity_probes(df: DataFrame, steps: dict[str, float] = PROBE_STEPS, bounds=dims.INPUT_BOUNDS,
                        keys: Sequence[str] = ("obs_id",)) -> DataFrame:
-    """SCO-6 with the index label as classifier."""
-    return first_changes(with_index(probe_rows(df, steps, bounds, keys)), "wqi_class", keys)
+    """SCO-6 with the index label as classifier: what ``first_changes`` gives for the ``probe_rows``.
+
+    The index is an expression, so a row's probes are labelled in the row.  Only
+    those with another label than the row, and the first with its own, are
+    shuffled, once and without the features' names: rows with the same key have
+    the smallest of their labels, so for one of them its own may be a change.
+    """
+    rows = df.select(*keys, *[F.col(f).alias(f"_o_{f}") for f in steps])
+    back = {f: F.col(f"_o_{f}") for f in steps}
+
+    def labelled(rows: DataFrame, name: str) -> DataFrame:
+        return rows.transform(with_index).withColumnRenamed("wqi_class", name).drop("n_params", "wqi_score", "potability", *steps)
+
+    rows = labelled(rows.withColumns(back), "_own")
+    own, other, same = F.col("_own"), [], []
+    for no, f, v, ok in probe_values(steps, bounds):
+        rows = rows.withColumns(back).withColumns({"_v": v, "_ok": ok})
+        rows = labelled(rows.withColumns({f: F.col("_v"), f"_v{no}": F.when(F.col("_ok"), F.col("_v"))}).drop("_v", "_ok"), f"_c{no}")
+        probe = F.struct(F.lit(no).alias("probe_no"), F.col(f"_v{no}").alias("probe_value"), F.col(f"_c{no}").alias("probe_class"))
+        there = F.col(f"_v{no}").isNotNull()
+        other.append(F.when(there & (F.col(f"_c{no}") != own), probe))
+        same.append(F.when(there & (F.col(f"_c{no}") == own), probe))
+    rows = rows.select(*keys, own, F.array_compact(F.array(*other)).alias("_other"), F.coalesce(*same).alias("_same"))
+    # dealt out first: merging before the shuffle would sort rows that hardly ever share a key
+    rows = rows.repartition(*keys).groupBy(*keys).agg(
+        F.when(F.count("_own") == F.count(F.lit(1)), F.min("_own")).alias("label"),
+        F.array_sort(F.concat(F.flatten(F.collect_list("_other")), F.collect_list("_same"))).alias("_all"))
+    first = F.get(F.filter("_all", lambda p: p["probe_class"] != F.col("label")), F.lit(0))
+    feature = F.get(F.array(*[F.lit(f) for f in steps]), F.floor(F.col("_f.probe_no") / 2).cast("int"))
+    return (rows.withColumn("_f", first).where(F.col("_f").isNotNull())
+            .select(*keys, "_f.probe_no", feature.alias("feature"), "_f.probe_value", "_f.probe_class", "label"))
 
 
 def model_sensitivity(df: DataFrame, predict: Callable[[DataFrame, Sequence[str]], DataFrame], steps: dict[str, float] = PROBE_STEPS,
