@@ -25,7 +25,8 @@
 4. Rows are scored with ``mapInArrow``: each distinct combination of threshold
    sides in a batch once, a chunk of rows and leaves at a time.  One array
    leaves per row; ranking, directions and the decision document are column
-   expressions on the same row.  No shuffle.
+   expressions on the same row.  No shuffle.  Where only the predicted class is
+   explained, its values leave with their order, and nothing is ranked after.
 """
 
 from __future__ import annotations
@@ -34,11 +35,13 @@ import os
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from decimal import ROUND_HALF_UP, Decimal
 from math import factorial
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import DecisionTreeClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -280,11 +283,32 @@ def _by_subsets(leaves: Leaves, rows: np.ndarray, used: Sequence[int], out: np.n
             out[:, :, f] += weight[len(subset) - 1] * v if f in subset else -weight[len(subset)] * v
 
 
-def attributed(nodes: pd.DataFrame, df: DataFrame, n_features: int,
-               features_col: str = "features") -> tuple[DataFrame, np.ndarray]:
+def by_size(values: np.ndarray) -> np.ndarray:
+    """The columns of each row by falling size, rounded half up to nine digits as Spark rounds; ties by number."""
+    size = np.abs(values)
+    units = np.floor(size * 1e9 + 0.5)
+    edge = np.abs(size * 1e9 - units) > 0.499       # hardly ever: the decimal digits decide
+    if edge.any():
+        units[edge] = [float(Decimal(repr(float(v))).quantize(Decimal("1e-9"), ROUND_HALF_UP).scaleb(9)) for v in size[edge]]
+    return np.argsort(-units, axis=1, kind="stable").astype(np.int32)
+
+
+def _lists(values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1) * values.shape[1], pa.int32()), pa.array(values.reshape(-1)))
+
+
+def answers(pred: DataFrame, keys: Sequence[str] = ("obs_id",)) -> DataFrame:
+    """What an explanation of the predicted class takes of predictions: one probability, no map of all."""
+    return pred.select(*keys, "predicted", F.col("probabilities")[F.col("predicted")].alias("predicted_probability"), "features")
+
+
+def attributed(nodes: pd.DataFrame, df: DataFrame, n_features: int, features_col: str = "features",
+               class_names: Sequence[str] | None = None) -> tuple[DataFrame, np.ndarray]:
     """XAI-1: ``df`` with ``x`` (feature values) and ``phi`` (class-major Shapley values) in place of the features.
 
     One row in, one row out, whatever else ``df`` carries; also the base value of each class.
+    With ``class_names`` the rows have, in place of ``phi``, the values ``own`` of their ``predicted``
+    class and ``order``, the numbers of the features by size (``by_size``); both null without a class.
     """
     leaves = leaves_of(nodes, n_features)
     base = leaves.base
@@ -293,17 +317,25 @@ def attributed(nodes: pd.DataFrame, df: DataFrame, n_features: int,
     if df.schema[features_col].dataType.typeName() != "array":
         x = vector_to_array(x)
     src = df.select(*[c for c in df.columns if c != features_col], x.alias("x"))
+    classes = None if class_names is None else pa.array(list(class_names), pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, n_features)
             phi = shapley_values(shared.value, values)
-            width = phi.shape[1]
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(phi) + 1) * width, pa.int32()), pa.array(phi.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "phi"])
+            if classes is None:
+                yield pa.RecordBatch.from_arrays([*batch.columns, _lists(phi)], [*batch.schema.names, "phi"])
+                continue
+            at = pc.index_in(batch.column("predicted").cast(pa.string()), value_set=classes)
+            there = at.is_valid()
+            own = phi.reshape(len(phi), -1, n_features)[np.arange(len(phi)), at.fill_null(0).to_numpy(zero_copy_only=False)]
+            found = [pc.if_else(there, a, pa.scalar(None, a.type)) for a in (_lists(own), _lists(by_size(own)))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*batch.schema.names, "own", "order"])
 
-    schema = T.StructType([*src.schema.fields, T.StructField("phi", T.ArrayType(T.DoubleType()))])
-    return src.mapInArrow(run, schema), base
+    doubles = T.ArrayType(T.DoubleType())
+    made = ([T.StructField("phi", doubles)] if classes is None else
+            [T.StructField("own", doubles), T.StructField("order", T.ArrayType(T.IntegerType()))])
+    return src.mapInArrow(run, T.StructType([*src.schema.fields, *made])), base
 
 
 def long_form(rows: DataFrame, feature_names: Sequence[str], keys: Sequence[str] = ("obs_id",)) -> DataFrame:
@@ -342,10 +374,17 @@ def with_explanation(rows: DataFrame, base: np.ndarray, class_names: Sequence[st
     """XAI-4 / WIN-4 / SCL-8: attributed predictions with ``ranked``, ``base_value``, ``additive_ok`` and ``caveat``.
 
     ``ranked`` holds the contributions toward the predicted class by size (ties
-    by feature order), with direction.  All in-row: no join, no shuffle.
+    by feature order), with direction.  All in-row: no join, no shuffle.  Rows
+    attributed with ``class_names`` are ranked already: they get the features'
+    ``names`` in place of ``ranked``, for ``local_explanation``.
     """
     n = len(feature_names)
     at = F.array_position(F.array(*[F.lit(c) for c in class_names]), F.col("predicted")).cast("int") - 1
+    if "order" in rows.columns:
+        total = sum((F.get("own", F.lit(i)) for i in range(n)), F.lit(0.0))
+        value = F.get(F.array(*[F.lit(float(b)) for b in base]), at)
+        return rows.withColumns({"names": F.array(*[F.lit(f) for f in feature_names]), "base_value": value, "additive_ok":
+                                 F.abs(value + total - F.col("predicted_probability")) <= 1e-5, "caveat": F.lit(CAVEAT)})
     rows = rows.withColumn("_at", at).withColumn("_phi", F.slice("phi", F.col("_at") * n + 1, F.lit(n)))
     names = F.array(*[F.lit(f) for f in feature_names])
     items = F.transform("_phi", lambda c, i: F.struct(
@@ -361,7 +400,16 @@ def with_explanation(rows: DataFrame, base: np.ndarray, class_names: Sequence[st
 
 
 def local_explanation(rows: DataFrame, keys: Sequence[str] = ("obs_id",)) -> DataFrame:
-    """Long form of explained rows: one row per ranked contribution."""
+    """Long form of explained rows: one row per ranked contribution.
+
+    The order, a plain column, is exploded: Spark asks first whether an exploded
+    array has items, and would rank each row again for both parts of that question.
+    """
+    if "order" in rows.columns:
+        at, c = F.col("_i"), F.get("own", F.col("_i"))
+        out = rows.select(*keys, "predicted", "base_value", "additive_ok", "x", "own", "names", F.posexplode("order").alias("_rank", "_i"))
+        return out.select(*keys, "predicted", "base_value", "additive_ok", (F.col("_rank") + 1).alias("rank"), F.get("names", at).alias("feature"),
+                          F.get("x", at).alias("feature_value"), c.alias("contribution"), direction(c).alias("direction"))
     return rows.select(*keys, "predicted", "base_value", "additive_ok", F.inline("ranked"))
 
 

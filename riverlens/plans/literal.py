@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from riverlens.functions import dims
-from riverlens.functions.scalars import log10_floor1
+from riverlens.functions.scalars import log10_floor1, rounded
 from riverlens.operators import explain as X
 from riverlens.operators import models as MD
 from riverlens.operators import profile as P
@@ -176,10 +176,11 @@ SELECT obs_id, predicted, CAST(rank AS INTEGER) AS rank, feature, round(feature_
 FROM ranked
 """)
 def literal_local_explanations(spark, sf_dir):
-    out = X.local_explanation(explained(spark, sf_dir))
-    return out.select("obs_id", "predicted", "rank", "feature", F.round("feature_value", 6).alias("feature_value"),
-                      (F.round("contribution", 6) + 0.0).alias("contribution"), F.round("base_value", 6).alias("base_value"),
-                      "additive_ok", "direction")
+    rows, base = X.attributed(node_frame(), X.answers(predictions(spark, sf_dir)), len(FEATURES), class_names=NAMES)
+    rows = X.with_explanation(rows, base, NAMES, FEATURES).withColumn("base_value", rounded(F.col("base_value")))
+    out = X.local_explanation(rows)
+    return out.select("obs_id", "predicted", "rank", "feature", rounded(F.col("feature_value")).alias("feature_value"),
+                      (rounded(F.col("contribution")) + 0.0).alias("contribution"), "base_value", "additive_ok", "direction")
 
 
 _KEY = "CASE feature " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in RU.MATCH_KEY.items()) + " END"

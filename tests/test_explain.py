@@ -8,7 +8,9 @@ from math import factorial
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from riverlens.functions.scalars import rounded
 from riverlens.operators import explain as X
 from riverlens.plans import literal as L
 
@@ -202,3 +204,35 @@ def test_categorical_splits_are_refused(spark):
     tree = DecisionTreeClassifier(labelCol="y").fit(df)
     with pytest.raises(X.NotATreeError):
         X.node_table(tree, spark)
+
+
+def test_predicted_class_is_ranked_with_its_values(spark):
+    """The short way to a local explanation gives the rows of the long one; nothing is ranked again for the explode."""
+    rng = np.random.default_rng(5)
+    nodes, names, features = random_tree(5, 4, 20), ["a", "b", "c"], ["p", "q", "r", "s"]
+    data = [(i, None if i == 7 else names[i % 3], [float(v) for v in rng.integers(0, 65, 4)]) for i in range(60)]
+    pred = spark.createDataFrame(data, "obs_id long, predicted string, features array<double>").withColumn(
+        "probabilities", F.create_map(*[x for k, n in enumerate(names) for x in (F.lit(n), F.lit(0.1 * k))]))
+    rows, base = X.attributed(nodes, X.answers(pred), 4, class_names=names)
+    short = X.local_explanation(X.with_explanation(rows, base, names, features))
+    rows, base = X.attributed(nodes, pred, 4)
+    long = X.local_explanation(X.with_explanation(rows, base, names, features))
+    assert short.columns == long.columns and short.count() == 59 * 4
+    assert sorted(map(tuple, short.collect())) == sorted(map(tuple, long.collect()))
+    plan = short._jdf.queryExecution().executedPlan().toString()
+    assert "array_sort" not in plan and "transform(" not in plan
+
+
+def test_order_by_size_rounds_as_spark():
+    values = np.array([[1e-10, -2e-10, 0.25, -0.25], [0.1234567895, 0.1234567901, 0.1234567885, 0.0], [-0.3, 0.1, -0.2, 0.4]])
+    assert X.by_size(values).tolist() == [[2, 3, 0, 1], [0, 1, 2, 3], [3, 0, 2, 1]]
+
+
+def test_rounded_is_round(spark):
+    rng = np.random.default_rng(9)
+    values = [0.0, -0.0, 2.5e-6, 1.5e-6, -0.5e-6, 1.0000005, -1.0000005, 0.1234565, 1e300, -1e12, 123456789.1234565, 1e-320,
+              float("nan"), float("inf"), float("-inf"), None, *rng.normal(0, 1, 2000).tolist(), *rng.normal(0, 1e6, 2000).tolist(),
+              *(rng.integers(-10**9, 10**9, 2000) / 2e6).tolist(), *(rng.integers(-10**9, 10**9, 2000) / 2e6 + 1e-10).tolist()]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = df.select(rounded(F.col("v")).alias("a"), F.round("v", 6).alias("b"))
+    assert got.where(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
