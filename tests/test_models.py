@@ -88,6 +88,25 @@ def test_one_protocol_for_every_model(spark, tmp_path):
         TR.checked_predictions(models["decision_tree"], test, test.count() + 1, "decision_tree", "wqi_class", "obs_id")
 
 
+def test_query_fits_every_model_at_full_size(spark, monkeypatch):
+    """The query's options leave every estimator as the library makes it: no fewer rounds, trees or levels."""
+    from riverlens.plans import models as PM
+    asked = {}
+
+    def recorded(train, test, kinds, save_dir=None, **options):
+        asked.update(options, kinds=kinds)
+        raise InterruptedError
+
+    monkeypatch.setattr(PM.TR, "train_models", recorded)
+    with pytest.raises(InterruptedError):
+        PM.fitted_model_metrics(spark, SF_SMALL)
+    assert tuple(asked["kinds"]) == MD.KINDS
+    made = {kind: MD.classifier(kind, **asked.get(kind, {})) for kind in MD.KINDS}
+    assert made["boosted_trees"].getClassifier().getMaxIter() == 100 and made["boosted_trees"].getClassifier().getMaxDepth() == 6
+    assert made["random_forest"].getNumTrees() == 100 and made["logistic_regression"].getMaxIter() == 1000
+    assert made["decision_tree"].getMaxDepth() == made["random_forest"].getMaxDepth() == MD.NO_LIMIT
+
+
 def test_ties_go_to_explainability_then_latency(spark):
     from riverlens.operators import metrics as M
     pairs = spark.createDataFrame([("Good", "Good"), ("Poor", "Poor"), ("Poor", "Good")], "label string, prediction string")
