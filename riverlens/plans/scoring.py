@@ -31,13 +31,17 @@ SUBMISSIONS_SQL = f"""subs AS (
          {d(0.9)} * (c_custkey % 11) AS bod_mgl, abs(c_acctbal) / {d(5.0)} AS fc FROM customer)"""
 
 
-def gated_submissions(spark, sf_dir):
-    return SC.gate_payload(submissions(spark, sf_dir))
+def gated_submissions(spark, sf_dir, dealt: bool = False):
+    """The submissions after the gate; ``dealt`` out to all tasks before it, as few bytes of JSON are much work."""
+    sent = submissions(spark, sf_dir)
+    if dealt:       # written, as Spark would put the gate's filter before the exchange
+        sent = written(sent.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))), "submissions")
+    return SC.gate_payload(sent)
 
 
-def accepted_submissions(spark, sf_dir):
+def accepted_submissions(spark, sf_dir, dealt: bool = False):
     """Accepted submissions as a table of raw measurements, without any label."""
-    return gated_submissions(spark, sf_dir).where(F.col("gate_reason").isNull()).select("submission_id", *FEATURES)
+    return gated_submissions(spark, sf_dir, dealt).where(F.col("gate_reason").isNull()).select("submission_id", *FEATURES)
 
 
 @register("input_gate_summary", ("VAL-5",), oracle=f"""
@@ -179,7 +183,7 @@ def nearest_labelled(spark, sf_dir):
     sp = written(split_frame(spark, sf_dir).withColumn("log10_fc", log10_floor1(F.col("fc")))
                  .select("obs_id", "split", "wqi_class", *NN_FEATURES), "split")
     stats = S.moments(sp.where(F.col("split") == "train"), NN_FEATURES)
-    queries = accepted_submissions(spark, sf_dir).withColumn("log10_fc", log10_floor1(F.col("fc")))
+    queries = written(accepted_submissions(spark, sf_dir, dealt=True).withColumn("log10_fc", log10_floor1(F.col("fc"))), "queries")
     out = NN.nearest_labelled(queries, sp, stats, NN_FEATURES, query_key="submission_id")
     return out.select("query_id", "split", "neighbour_rank", "obs_id", "wqi_class",
                       F.round("distance", 6).alias("distance"))
