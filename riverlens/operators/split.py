@@ -244,10 +244,9 @@ def smote(train: DataFrame, features: Sequence[str] = dims.MODEL_FEATURES, label
     plan = plan.select(label, F.expr("_lack div n").alias("_q"), F.expr("_lack % n").alias("need"))
     plan = written(plan, "smote-plan")
     minor = rows.join(F.broadcast(plan.select(label)), label, "left_semi")
-    near = nearest_labelled(minor, minor, stats, features, k, label, key, key, own_group=True)
-    points = rows.select(F.col(key).alias("_to"), F.struct(*features).alias("_point"))
-    near = (near.select("query_id", "neighbour_rank", F.col(key).alias("_to")).join(points, "_to")
-            .groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("neighbour_rank", "_point"))).alias("_near")))  # k at most
+    near = nearest_labelled(minor, minor.withColumn("_point", F.struct(*features)), stats, features, k, label, key, key,
+                            own_group=True, carry=["_point"])
+    near = near.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("neighbour_rank", "_point"))).alias("_near"))  # k at most
     base = with_first(minor, plan.select(label, "need"), label, key, seed + 2, "_extra").join(F.broadcast(plan.drop("need")), label)
     base = base.withColumn("_copies", F.col("_q") + F.col("_extra").cast("long")).drop("_q", "_extra")
     base = base.join(near, F.col(key) == F.col("query_id"), "left").drop("query_id")
